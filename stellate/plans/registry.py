@@ -29,6 +29,7 @@ def register(name: str, sql: str | None = None):
 def _load_all() -> None:
     # Importing the modules fills the registry.
     from stellate.plans import (  # noqa: F401
+        q_catalog,
         q_profile,
     )
 
