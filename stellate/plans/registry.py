@@ -30,6 +30,7 @@ def _load_all() -> None:
     # Importing the modules fills the registry.
     from stellate.plans import (  # noqa: F401
         q_catalog,
+        q_star,
         q_profile,
     )
 
