@@ -31,6 +31,9 @@ def _load_all() -> None:
     from stellate.plans import (  # noqa: F401
         q_catalog,
         q_star,
+        q_gates,
+        q_metrics,
+        q_model,
         q_profile,
     )
 

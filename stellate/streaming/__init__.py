@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The modelled workflow has no stream, watermark, event-time window or stateful
+operator: sources are profiled and loaded as batch tables, late-arriving dimension
+rows are handled by the batch unknown-member rule (``operators.dims.unknown_member``)
+and web sessions are a batch sessionisation (``operators.facts.sessionize``).
+"""
