@@ -148,6 +148,54 @@ def inclusion_dependencies(tables: dict, min_rate: float = 1.0) -> DataFrame:
 
 
 # ---------------------------------------------------------------- K2, K3
+MAX_KEY_TEXT = 255  # a text column longer than this is never a key candidate
+
+
+def key_profile(tables: dict, max_text: int = MAX_KEY_TEXT) -> DataFrame:
+    """Counts that key inference needs, for key-type columns only.
+
+    Pass 1 (no shuffle): per table one wide aggregate - rows, non-null count and,
+    for text columns, the longest value. Pass 2: exact distinct counts, only for
+    integral, date and short text columns, from one stacked distinct per table.
+    Output: (table_name, column_name, ordinal, total_rows, non_null_count,
+    null_count, distinct_count).
+    """
+    spark = next(iter(tables.values())).sparkSession
+    cols = key_columns(tables)
+    first = []
+    for t in sorted(tables):
+        df = tables[t]
+        mine = [(c, fam) for tt, c, fam in cols if tt == t]
+        if not mine:
+            continue
+        aggs = [F.count(F.lit(1)).alias("_rows")]
+        for i, (c, fam) in enumerate(mine):
+            aggs.append(F.count(F.col(f"`{c}`")).alias(f"_nn{i}"))
+            aggs.append((F.max(F.length(F.col(f"`{c}`"))) if fam == STRING else F.lit(0)).alias(f"_len{i}"))
+        wide = df.agg(*aggs)
+        order = {f.name: i + 1 for i, f in enumerate(df.schema.fields)}
+        first.append(wide.select(F.inline(F.array(*[
+            F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
+                     F.lit(order[c]).alias("ordinal"), F.col("_rows").alias("total_rows"),
+                     F.col(f"_nn{i}").alias("non_null_count"),
+                     F.coalesce(F.col(f"_len{i}"), F.lit(0)).alias("max_len"))
+            for i, (c, fam) in enumerate(mine)]))))
+    stats = first[0]
+    for x in first[1:]:
+        stats = stats.unionByName(x)
+    short = [(r.table_name, r.column_name) for r in
+             stats.where(F.col("max_len") <= max_text).select("table_name", "column_name").collect()]  # catalog-sized
+    if short:
+        dc = stacked_values(tables, short).groupBy("table_name", "column_name").agg(
+            F.count(F.lit(1)).alias("distinct_count"))
+    else:
+        dc = spark.createDataFrame([], "table_name string, column_name string, distinct_count bigint")
+    return (stats.where(F.col("max_len") <= max_text).join(dc, ["table_name", "column_name"], "left")
+            .select("table_name", "column_name", "ordinal", "total_rows", "non_null_count",
+                    (F.col("total_rows") - F.col("non_null_count")).alias("null_count"),
+                    F.coalesce("distinct_count", F.lit(0)).cast("bigint").alias("distinct_count")))
+
+
 def infer_primary_keys(profile: DataFrame) -> DataFrame:
     """K2: one single-column key per table: unique and null-free, key-like name first.
 

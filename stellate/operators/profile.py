@@ -97,17 +97,70 @@ def _profilable(df: DataFrame, columns=None):
     return [(i + 1, f.name, f.dataType) for i, f in enumerate(df.schema.fields) if f.name in cols]
 
 
-def value_frequencies(df: DataFrame, columns=None) -> DataFrame:
+_TEXT, _INTEGRAL, _DOUBLE, _FLOAT = 0, 1, 2, 3
+
+
+def _value_kind(dt: T.DataType) -> int:
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return _INTEGRAL
+    if isinstance(dt, T.DoubleType):
+        return _DOUBLE
+    if isinstance(dt, T.FloatType):
+        return _FLOAT
+    return _TEXT
+
+
+def value_frequencies(df: DataFrame, columns=None, with_number: bool = False) -> DataFrame:
     """Non-null value counts for all columns at once: (column_name, value, frequency).
 
-    Arrays, maps and structs are keyed by their JSON text (for distinct counts).
+    Integral and floating columns are grouped on their typed value (a long or a
+    double) and turned into text only after the aggregation, so the shuffle hashes
+    numbers instead of formatting every row as a string. Other types are grouped on
+    their text; arrays, maps and structs on their JSON text. ``with_number`` keeps
+    the numeric value (``num``) for exact percentiles.
     """
-    entries = [F.struct(F.lit(name).alias("column_name"), value_text(F.col(f"`{name}`"), dt).alias("value"))
-               for _, name, dt in _profilable(df, columns)]
-    if not entries:
-        return df.sparkSession.createDataFrame([], "column_name string, value string, frequency bigint")
-    stacked = df.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
-    return stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("frequency"))
+    fields = _profilable(df, columns)
+    if not fields:
+        schema = "column_name string, value string" + (", num double" if with_number else "") + ", frequency bigint"
+        return df.sparkSession.createDataFrame([], schema)
+    entries = []
+    for _, name, dt in fields:
+        c = F.col(f"`{name}`")
+        kind = _value_kind(dt)
+        ival = c.cast("bigint") if kind == _INTEGRAL else F.lit(None).cast("bigint")
+        dval = c.cast("double") if kind in (_DOUBLE, _FLOAT) else F.lit(None).cast("double")
+        sval = value_text(c, dt) if kind == _TEXT else F.lit(None).cast("string")
+        entries.append(F.struct(F.lit(name).alias("column_name"), F.lit(kind).alias("_k"),
+                                ival.alias("_i"), dval.alias("_d"), sval.alias("_s"),
+                                c.isNotNull().alias("_nn")))
+    stacked = df.select(F.inline(F.array(*entries))).where(F.col("_nn"))
+    g = stacked.groupBy("column_name", "_k", "_i", "_d", "_s").agg(F.count(F.lit(1)).alias("frequency"))
+    value = (F.when(F.col("_k") == _INTEGRAL, F.col("_i").cast("string"))
+             .when(F.col("_k") == _DOUBLE, F.col("_d").cast("string"))
+             .when(F.col("_k") == _FLOAT, F.col("_d").cast("float").cast("string"))
+             .otherwise(F.col("_s")))
+    out = [F.col("column_name"), value.alias("value")]
+    if with_number:
+        num = (F.when(F.col("_k") == _INTEGRAL, F.col("_i").cast("double"))
+               .when(F.col("_k").isin(_DOUBLE, _FLOAT), F.col("_d"))
+               .otherwise(F.col("_s").try_cast("double")))
+        numeric_cols = [n for _, n, dt in fields if type_family(dt) == NUMERIC]
+        out.append(F.when(F.col("column_name").isin(numeric_cols), num).alias("num"))
+    out.append(F.col("frequency"))
+    return g.select(*out)
+
+
+def exact_percentiles(freqs: DataFrame) -> DataFrame:
+    """P5 from the P8 frequencies: ``percentile(value, p, frequency)`` per column.
+
+    Grouped by column, so each column's value map is merged in its own task (the
+    columns run in parallel); the map holds one entry per distinct value.
+    """
+    return (freqs.where(F.col("num").isNotNull() & ~F.isnan("num"))
+            .groupBy("column_name")
+            .agg(F.percentile("num", [0.25, 0.5, 0.75], F.col("frequency")).alias("_p"))
+            .select("column_name", finite(F.col("_p")[0]).alias("p25"), finite(F.col("_p")[1]).alias("median"),
+                    finite(F.col("_p")[2]).alias("p75")))
 
 
 def _stat_struct(name, dt, idx, percentiles, approx_distinct):
@@ -132,9 +185,7 @@ def _stat_struct(name, dt, idx, percentiles, approx_distinct):
         d = c.cast("double")
         fields.update(min_val=finite(F.min(c)), max_val=finite(F.max(c)),
                       mean_val=finite(F.avg(d)), stddev_val=finite(F.stddev_samp(d)))
-        if percentiles == "exact":
-            p = F.percentile(d, [0.25, 0.5, 0.75])
-        elif percentiles == "approx":
+        if percentiles == "approx":
             p = F.percentile_approx(d, [0.25, 0.5, 0.75], 10000).cast("array<double>")
         else:
             p = None
@@ -198,19 +249,25 @@ def profile_columns(df: DataFrame, table_name: str, percentiles: str | None = "e
     def r(name):
         return F.round(name, digits).alias(name) if digits is not None else F.col(name)
     stats = profile_stats(df, percentiles=percentiles, distinct=distinct)
+    pct = None
     if distinct == "approx":
         # HLL count decides eligibility; only candidate columns are stacked and shuffled.
         # The collected list is one name per column (catalog-sized).
         dc = stats.select("column_name", F.col("approx_distinct").alias("distinct_count"))
         cand = [r[0] for r in dc.where(F.col("distinct_count") <= threshold * 1.05).collect()]
-        freqs = value_frequencies(df, cand) if cand else None
+        freqs = value_frequencies(df, cand, with_number=True) if cand else None
         if freqs is not None:
             exact_small = distinct_counts(freqs)
             dc = (dc.join(exact_small.withColumnRenamed("distinct_count", "exact_dc"), "column_name", "left")
                   .select("column_name", F.coalesce("exact_dc", "distinct_count").alias("distinct_count")))
     else:
-        freqs = value_frequencies(df)
+        freqs = value_frequencies(df, with_number=True)
         dc = distinct_counts(freqs)
+        if percentiles == "exact":
+            pct = exact_percentiles(freqs)
+    if pct is not None:
+        stats = (stats.drop("p25", "median", "p75")
+                 .join(pct, "column_name", "left"))
     prof = (stats.join(F.broadcast(dc), "column_name", "left")
             .select(
                 F.lit(table_name).alias("table_name"), "column_name", "ordinal", "data_type",

@@ -174,11 +174,16 @@ VALS_SQL = "vals AS (SELECT DISTINCT * FROM (" + " UNION ALL ".join(
 KC_SQL = "kc(table_name, column_name, family) AS (VALUES " + ", ".join(
     f"('{t}', '{c}', '{f}')" for t, c, f in _key_cols()) + ")"
 
-# Unique, null-free columns of every table, ranked: key-like name first, then position.
+# Key profile of every table: integral, date and text columns (text at most 255 chars).
+def _uniq_part(t, i, c, ty):
+    short = f" HAVING MAX(length(\"{c}\")) <= 255" if ty == "string" else ""
+    return (f"SELECT '{t}' AS table_name, '{c}' AS column_name, {i} AS ordinal, "
+            f"COUNT(*) AS n, COUNT(\"{c}\") AS nn, COUNT(DISTINCT \"{c}\") AS nd FROM {t}{short}")
+
+
 UNIQ_SQL = "uniq AS (" + " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS column_name, {i} AS ordinal, "
-    f"COUNT(*) AS n, COUNT(\"{c}\") AS nn, COUNT(DISTINCT \"{c}\") AS nd FROM {t}"
-    for t in TABLES for i, (c, ty) in enumerate(SCHEMAS[t], start=1) if not ty.startswith("array")) + ")"
+    _uniq_part(t, i, c, ty) for t in TABLES for i, (c, ty) in enumerate(SCHEMAS[t], start=1)
+    if ty in ("int", "bigint", "smallint", "tinyint", "string", "date", "timestamp_ntz", "timestamp")) + ")"
 
 PKS_SQL = f"""{UNIQ_SQL},
 pks AS (SELECT table_name, column_name, key_like_name FROM (
@@ -194,10 +199,16 @@ def _profile_all(spark, sf):
     return tabs, prof
 
 
+def _keys(spark, sf):
+    tabs = _tables(spark, sf)
+    return tabs, K.key_profile(tabs)
+
+
 @register("primary_keys_inferred", f"WITH {PKS_SQL} SELECT * FROM pks")
 def primary_keys_inferred(spark, sf):
-    _, prof = _profile_all(spark, sf)
-    return K.infer_primary_keys(prof)
+    """K2 over the key profile (integral, date and short text columns)."""
+    _, kp = _keys(spark, sf)
+    return K.infer_primary_keys(kp)
 
 
 FKS_SQL = f"""{PKS_SQL}, {CAT_SQL}, {VALS_SQL},
@@ -219,8 +230,9 @@ SELECT from_table, from_column, to_table, to_column, distinct_values, found_valu
        ROUND(found_values / distinct_values, 6) AS inclusion_rate
 FROM rates WHERE distinct_values > 0 AND found_values = distinct_values""")
 def foreign_keys_inferred(spark, sf):
-    tabs, prof = _profile_all(spark, sf)
-    pks = K.infer_primary_keys(prof)
+    """K3: name match + full inclusion + unique target."""
+    tabs, kp = _keys(spark, sf)
+    pks = K.infer_primary_keys(kp)
     return K.infer_foreign_keys(tabs, M.catalog_columns(spark, tabs), pks)
 
 
@@ -352,7 +364,7 @@ def relation_matrix(spark, sf):
 
 def _roles(spark, sf):
     tabs, prof = _profile_all(spark, sf)
-    pks = K.infer_primary_keys(prof)
+    pks = K.infer_primary_keys(K.key_profile(tabs))
     fks = K.infer_foreign_keys(tabs, M.catalog_columns(spark, tabs), pks)
     summary = P.table_summary(prof, pks.select("table_name", "column_name"))
     return prof, pks, fks, K.infer_role(summary, fks, prof)
@@ -374,10 +386,10 @@ SELECT f.from_table, f.from_column, f.to_table, f.to_column,
 FROM fks f LEFT JOIN u fu ON fu.table_name = f.from_table AND fu.column_name = f.from_column
 LEFT JOIN u tu ON tu.table_name = f.to_table AND tu.column_name = f.to_column""")
 def relation_cardinality(spark, sf):
-    tabs, prof = _profile_all(spark, sf)
-    pks = K.infer_primary_keys(prof)
+    tabs, kp = _keys(spark, sf)
+    pks = K.infer_primary_keys(kp)
     fks = K.infer_foreign_keys(tabs, M.catalog_columns(spark, tabs), pks)
-    return K.relation_cardinality(fks, prof)
+    return K.relation_cardinality(fks, kp)
 
 
 @register("logical_table_spec")

@@ -23,9 +23,9 @@ def _tables(spark, sf):
 
 def _inferred(spark, sf):
     tabs = _tables(spark, sf)
-    prof, _, _ = P.profile_many(tabs, percentiles=None)
-    pks = K.infer_primary_keys(prof)
-    return tabs, prof, pks, K.infer_foreign_keys(tabs, M.catalog_columns(spark, tabs), pks).select(*REL)
+    kp = K.key_profile(tabs)
+    pks = K.infer_primary_keys(kp)
+    return tabs, kp, pks, K.infer_foreign_keys(tabs, M.catalog_columns(spark, tabs), pks).select(*REL)
 
 
 def _declared(spark):
@@ -180,10 +180,11 @@ def schema_coverage(spark, sf):
 @register("modelling_flags")
 def modelling_flags(spark, sf):
     """V7 (rows-only: uses the weighted role rule K12)."""
-    tabs, prof, pks, fks = _inferred(spark, sf)
+    tabs, kp, pks, fks = _inferred(spark, sf)
+    prof, _, _ = P.profile_many(tabs, percentiles=None)
     summary = P.table_summary(prof, pks.select("table_name", "column_name"))
     roles = K.infer_role(summary, fks, prof)
-    return V.modelling_flags(K.relation_cardinality(fks, prof), roles)
+    return V.modelling_flags(K.relation_cardinality(fks, kp), roles)
 
 
 @register("relations_match", f"""WITH {QC.FKS_SQL}, {DECL_SQL},
