@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from stellate.functions.types import DATE, NUMERIC, STRING, type_family
 from stellate.operators.catalog import name_stem
+from stellate.operators.partitioning import spread
 
 # Column-name endings that mark a shared join key.
 KEY_SUFFIXES = ("_id", "_key", "_code", "_num")
+MAX_KEY_TEXT = 255  # a text column longer than this is never a key candidate
 
 
 # ---------------------------------------------------------------- K1 uniqueness
@@ -68,9 +70,11 @@ def key_columns(tables: dict) -> list[tuple[str, str, str]]:
 
 
 def stacked_values(tables: dict, columns) -> DataFrame:
-    """Distinct non-null values of the given columns: (table_name, column_name, value).
+    """Distinct non-null values of the given columns: (table_name, column_name, ival, sval).
 
-    One scan per table; all of its columns are stacked with ``inline``.
+    Integral columns carry their value in ``ival`` (a long: hashed and compared as a
+    number, never formatted), every other column its text in ``sval``. One scan per
+    table; all of its columns are stacked with ``inline``; ``distinct`` combines map-side.
     """
     by_table: dict[str, list[str]] = {}
     for t, c in columns:
@@ -78,19 +82,44 @@ def stacked_values(tables: dict, columns) -> DataFrame:
     parts = []
     for t, cols in sorted(by_table.items()):
         df = tables[t]
-        entries = [F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
-                            F.col(f"`{c}`").cast("string").alias("value")) for c in cols]
-        parts.append(df.select(F.inline(F.array(*entries))))
+        types = {f.name: f.dataType for f in df.schema.fields}
+        entries = []
+        for c in cols:
+            col = F.col(f"`{c}`")
+            integral = key_family(types[c]) == "integral"
+            entries.append(F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
+                                    (col.cast("bigint") if integral else F.lit(None).cast("bigint")).alias("ival"),
+                                    (F.lit(None).cast("string") if integral else col.cast("string")).alias("sval")))
+        parts.append(spread(df.select(*[F.col(f"`{c}`") for c in cols])).select(F.inline(F.array(*entries))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.where(F.col("value").isNotNull()).distinct()
+    return out.where(F.col("ival").isNotNull() | F.col("sval").isNotNull()).distinct()
+
+
+def _as_text(vals: DataFrame) -> DataFrame:
+    """Compare across families on text: integral values become their decimal text."""
+    return vals.select("table_name", "column_name", F.lit(None).cast("bigint").alias("ival"),
+                       F.coalesce("sval", F.col("ival").cast("string")).alias("sval"))
+
+
+def _inclusion(src: DataFrame, dst: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Distinct from-values and how many of them occur among the to-values, per pair."""
+    a = (src.join(F.broadcast(pairs), (src.table_name == pairs.from_table) & (src.column_name == pairs.from_column))
+         .select("from_table", "from_column", "to_table", "to_column", "ival", "sval"))
+    b = dst.select(F.col("table_name").alias("_tt"), F.col("column_name").alias("_tc"),
+                   F.col("ival").alias("_bi"), F.col("sval").alias("_bs"), F.lit(True).alias("found"))
+    cond = ((a.to_table == b._tt) & (a.to_column == b._tc) & a.ival.eqNullSafe(b._bi) & a.sval.eqNullSafe(b._bs))
+    j = a.join(b, cond, "left")
+    return (j.groupBy("from_table", "from_column", "to_table", "to_column")
+            .agg(F.count(F.lit(1)).alias("distinct_values"), F.count("found").alias("found_values")))
 
 
 def inclusion_rates(tables: dict, pairs: DataFrame) -> DataFrame:
     """K4: share of distinct from-values found among the to-values, per pair.
 
-    ``pairs``: (from_table, from_column, to_table, to_column), catalog-sized.
+    ``pairs``: (from_table, from_column, to_table, to_column), catalog-sized. Pairs of
+    two integral columns compare numbers; any other pair compares text.
     """
     prs = pairs.select("from_table", "from_column", "to_table", "to_column").distinct()
     rows = prs.collect()  # catalog-sized: one row per candidate column pair
@@ -98,15 +127,14 @@ def inclusion_rates(tables: dict, pairs: DataFrame) -> DataFrame:
         return prs.sparkSession.createDataFrame(
             [], "from_table string, from_column string, to_table string, to_column string, "
                 "distinct_values bigint, found_values bigint, inclusion_rate double")
+    fam = {(t, f.name): key_family(f.dataType) for t, df in tables.items() for f in df.schema.fields}
+    typed = all(fam.get((r.from_table, r.from_column)) == "integral" == fam.get((r.to_table, r.to_column))
+                for r in rows)
     src = stacked_values(tables, {(r.from_table, r.from_column) for r in rows})
     dst = stacked_values(tables, {(r.to_table, r.to_column) for r in rows})
-    a = (src.join(F.broadcast(prs), (src.table_name == prs.from_table) & (src.column_name == prs.from_column))
-         .select("from_table", "from_column", "to_table", "to_column", "value"))
-    b = dst.select(F.col("table_name").alias("to_table"), F.col("column_name").alias("to_column"),
-                   "value", F.lit(True).alias("found"))
-    j = a.join(b, ["to_table", "to_column", "value"], "left")
-    agg = (j.groupBy("from_table", "from_column", "to_table", "to_column")
-           .agg(F.count(F.lit(1)).alias("distinct_values"), F.count("found").alias("found_values")))
+    if not typed:
+        src, dst = _as_text(src), _as_text(dst)
+    agg = _inclusion(src, dst, prs)
     return (prs.join(agg, ["from_table", "from_column", "to_table", "to_column"], "left")
             .select("from_table", "from_column", "to_table", "to_column",
                     F.coalesce("distinct_values", F.lit(0)).cast("bigint").alias("distinct_values"),
@@ -115,16 +143,39 @@ def inclusion_rates(tables: dict, pairs: DataFrame) -> DataFrame:
                     .alias("inclusion_rate")))
 
 
-def inclusion_dependencies(tables: dict, min_rate: float = 1.0) -> DataFrame:
+def short_key_columns(tables: dict, max_text: int = MAX_KEY_TEXT) -> list[tuple[str, str, str]]:
+    """Key-type columns whose text values are at most ``max_text`` long (one cheap
+    aggregate per table; the list is catalog-sized)."""
+    cols = key_columns(tables)
+    by_table: dict[str, list[str]] = {}
+    for t, c, fam in cols:
+        if fam == STRING:
+            by_table.setdefault(t, []).append(c)
+    parts = [tables[t].agg(F.array(*[F.struct(F.lit(c).alias("c"), F.max(F.length(F.col(f"`{c}`"))).alias("n"))
+                                     for c in cs]).alias("a")).select(F.lit(t).alias("t"), F.inline("a"))
+             for t, cs in sorted(by_table.items())]
+    too_long = set()
+    if parts:
+        u = parts[0]
+        for p in parts[1:]:
+            u = u.unionByName(p)
+        too_long = {(r.t, r.c) for r in u.where(F.col("n") > max_text).collect()}  # one job, catalog-sized
+    return [(t, c, fam) for t, c, fam in cols if (t, c) not in too_long]
+
+
+def inclusion_dependencies(tables: dict, min_rate: float = 1.0, max_text: int = MAX_KEY_TEXT) -> DataFrame:
     """Column pairs of one key family where the values of A occur in B.
 
-    Candidate pairs are every same-family pair across different tables; for full
-    inclusion (``min_rate`` = 1) a pair is kept only when A has no more distinct
-    values than B - an exact necessary condition, so no pair that qualifies is lost.
+    Columns: integral, date and text columns of at most ``max_text`` characters
+    (join keys; whole documents are never compared). Candidate pairs are every
+    same-family pair across different tables; for full inclusion (``min_rate`` = 1)
+    a pair is kept only when A has no more distinct values than B - an exact
+    necessary condition, so no pair that qualifies is lost.
     """
     spark = next(iter(tables.values())).sparkSession
-    kc = spark.createDataFrame(key_columns(tables), "table_name string, column_name string, family string")
-    vals = stacked_values(tables, [(t, c) for t, c, _ in key_columns(tables)])
+    kcols = short_key_columns(tables, max_text)
+    kc = spark.createDataFrame(kcols, "table_name string, column_name string, family string")
+    vals = stacked_values(tables, [(t, c) for t, c, _ in kcols])
     dcount = vals.groupBy("table_name", "column_name").agg(F.count(F.lit(1)).alias("nd"))
     cols = kc.join(dcount, ["table_name", "column_name"], "left").fillna(0, ["nd"])
     a = cols.select(F.col("table_name").alias("from_table"), F.col("column_name").alias("from_column"),
@@ -136,21 +187,12 @@ def inclusion_dependencies(tables: dict, min_rate: float = 1.0) -> DataFrame:
         pairs = pairs.where(F.col("nd_a") <= F.col("nd_b"))
     pairs = pairs.select("from_table", "from_column", "to_table", "to_column")
     # Values of A paired with each candidate B (partners per column are catalog-bounded).
-    src = vals.select(F.col("table_name").alias("from_table"), F.col("column_name").alias("from_column"), "value")
-    dst = vals.select(F.col("table_name").alias("to_table"), F.col("column_name").alias("to_column"),
-                      "value", F.lit(True).alias("found"))
-    j = (src.join(F.broadcast(pairs), ["from_table", "from_column"])
-         .join(dst, ["to_table", "to_column", "value"], "left"))
-    agg = (j.groupBy("from_table", "from_column", "to_table", "to_column")
-           .agg(F.count(F.lit(1)).alias("distinct_values"), F.count("found").alias("found_values")))
+    agg = _inclusion(vals, vals, pairs)
     return (agg.withColumn("inclusion_rate", F.round(F.col("found_values") / F.col("distinct_values"), 6))
             .where(F.col("inclusion_rate") >= min_rate))
 
 
 # ---------------------------------------------------------------- K2, K3
-MAX_KEY_TEXT = 255  # a text column longer than this is never a key candidate
-
-
 def key_profile(tables: dict, max_text: int = MAX_KEY_TEXT) -> DataFrame:
     """Counts that key inference needs, for key-type columns only.
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stellate.functions.types import BOOLEAN, DATE, NUMERIC, OTHER, STRING, type_family
+from stellate.operators.partitioning import spread
 
 # Fixed values (must equal the reference's profiler defaults).
 TOP_LIMIT = 10            # values kept per column
@@ -125,15 +126,14 @@ def value_frequencies(df: DataFrame, columns=None, with_number: bool = False) ->
         return df.sparkSession.createDataFrame([], schema)
     entries = []
     for _, name, dt in fields:
-        c = F.col(f"`{name}`")
+        c = _q(name)
         kind = _value_kind(dt)
-        ival = c.cast("bigint") if kind == _INTEGRAL else F.lit(None).cast("bigint")
-        dval = c.cast("double") if kind in (_DOUBLE, _FLOAT) else F.lit(None).cast("double")
-        sval = value_text(c, dt) if kind == _TEXT else F.lit(None).cast("string")
-        entries.append(F.struct(F.lit(name).alias("column_name"), F.lit(kind).alias("_k"),
-                                ival.alias("_i"), dval.alias("_d"), sval.alias("_s"),
-                                c.isNotNull().alias("_nn")))
-    stacked = df.select(F.inline(F.array(*entries))).where(F.col("_nn"))
+        ival = f"CAST({c} AS BIGINT)" if kind == _INTEGRAL else "CAST(NULL AS BIGINT)"
+        dval = f"CAST({c} AS DOUBLE)" if kind in (_DOUBLE, _FLOAT) else "CAST(NULL AS DOUBLE)"
+        sval = _text_sql(c, dt) if kind == _TEXT else "CAST(NULL AS STRING)"
+        entries.append(f"named_struct('column_name', {_s(name)}, '_k', {kind}, '_i', {ival}, '_d', {dval}, "
+                       f"'_s', {sval}, '_nn', {c} IS NOT NULL)")
+    stacked = spread(df).selectExpr(f"inline(array({', '.join(entries)}))").where(F.col("_nn"))
     g = stacked.groupBy("column_name", "_k", "_i", "_d", "_s").agg(F.count(F.lit(1)).alias("frequency"))
     value = (F.when(F.col("_k") == _INTEGRAL, F.col("_i").cast("string"))
              .when(F.col("_k") == _DOUBLE, F.col("_d").cast("string"))
@@ -150,54 +150,79 @@ def value_frequencies(df: DataFrame, columns=None, with_number: bool = False) ->
     return g.select(*out)
 
 
-def exact_percentiles(freqs: DataFrame) -> DataFrame:
-    """P5 from the P8 frequencies: ``percentile(value, p, frequency)`` per column.
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-    Grouped by column, so each column's value map is merged in its own task (the
-    columns run in parallel); the map holds one entry per distinct value.
-    """
-    return (freqs.where(F.col("num").isNotNull() & ~F.isnan("num"))
-            .groupBy("column_name")
-            .agg(F.percentile("num", [0.25, 0.5, 0.75], F.col("frequency")).alias("_p"))
-            .select("column_name", finite(F.col("_p")[0]).alias("p25"), finite(F.col("_p")[1]).alias("median"),
-                    finite(F.col("_p")[2]).alias("p75")))
+
+def _s(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _fin(x: str) -> str:
+    return f"CASE WHEN isnan({x}) OR abs({x}) = CAST('Infinity' AS DOUBLE) THEN NULL ELSE {x} END"
+
+
+def _text_sql(c: str, dt: T.DataType) -> str:
+    """C14 as SQL text (same rules as ``value_text``)."""
+    if isinstance(dt, T.BooleanType):
+        return f"CASE WHEN {c} THEN 'true' ELSE 'false' END"
+    if isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
+        return f"to_json({c})"
+    if isinstance(dt, T.BinaryType):
+        return f"base64({c})"
+    return f"CAST({c} AS STRING)"
 
 
-def _stat_struct(name, dt, idx, percentiles, approx_distinct):
-    """Aggregate expressions for one column, packed into a struct of fixed shape."""
-    c = F.col(f"`{name}`")
+def _stat_sql(name, dt, i, percentiles, approx_distinct):
+    """(aggregate SQL list, row SQL) for one column.
+
+    Expressions are SQL text: the whole wide aggregate is one ``selectExpr`` call, so
+    building the plan costs one parse on the JVM instead of thousands of small calls.
+    """
+    c = _q(name)
     fam = type_family(dt)
-    nul_d = F.lit(None).cast("double")
-    nul_s = F.lit(None).cast("string")
-    nul_i = F.lit(None).cast("int")
-    fields = {
-        "column_name": F.lit(name), "ordinal": F.lit(idx),
-        "data_type": F.lit(dt.simpleString().upper()), "family": F.lit(fam),
-        "non_null_count": F.count(c),
-        "approx_distinct": (F.approx_count_distinct(value_text(c, dt)) if approx_distinct
-                            else F.lit(None).cast("bigint")),
-        "min_val": nul_d, "max_val": nul_d, "mean_val": nul_d, "stddev_val": nul_d,
-        "p25": nul_d, "median": nul_d, "p75": nul_d,
-        "min_date": nul_s, "max_date": nul_s, "date_range_days": nul_i,
-        "min_length": nul_i, "max_length": nul_i, "avg_length": nul_d,
-    }
+    aggs = [f"count({c}) AS nn{i}"]
+    if approx_distinct:
+        aggs.append(f"approx_count_distinct({_text_sql(c, dt)}) AS ad{i}")
+    have = set()
     if fam == NUMERIC:
-        d = c.cast("double")
-        fields.update(min_val=finite(F.min(c)), max_val=finite(F.max(c)),
-                      mean_val=finite(F.avg(d)), stddev_val=finite(F.stddev_samp(d)))
+        d = f"CAST({c} AS DOUBLE)"
+        aggs += [f"CAST(min({c}) AS DOUBLE) AS mn{i}", f"CAST(max({c}) AS DOUBLE) AS mx{i}",
+                 f"avg({d}) AS av{i}", f"stddev_samp({d}) AS sd{i}"]
+        have |= {"mn", "mx", "av", "sd"}
         if percentiles == "approx":
-            p = F.percentile_approx(d, [0.25, 0.5, 0.75], 10000).cast("array<double>")
-        else:
-            p = None
-        if p is not None:
-            fields.update(p25=finite(p[0]), median=finite(p[1]), p75=finite(p[2]))
+            aggs.append(f"CAST(percentile_approx({d}, array(0.25, 0.5, 0.75), 10000) AS ARRAY<DOUBLE>) AS pq{i}")
+            have.add("pq")
     elif fam == DATE:
-        fields.update(min_date=F.min(c).cast("string"), max_date=F.max(c).cast("string"),
-                      date_range_days=F.datediff(F.max(c), F.min(c)))
+        aggs += [f"min({c}) AS dmn{i}", f"max({c}) AS dmx{i}"]
+        have |= {"dmn", "dmx"}
     elif fam == STRING:
-        ln = F.length(c)
-        fields.update(min_length=F.min(ln), max_length=F.max(ln), avg_length=F.avg(ln.cast("double")))
-    return F.struct(*[v.alias(k) for k, v in fields.items()])
+        aggs += [f"min(length({c})) AS lmn{i}", f"max(length({c})) AS lmx{i}",
+                 f"avg(CAST(length({c}) AS DOUBLE)) AS lav{i}"]
+        have |= {"lmn", "lmx", "lav"}
+
+    def g(key, typ, wrap=None):
+        if key not in have:
+            return f"CAST(NULL AS {typ})"
+        return wrap(f"{key}{i}") if wrap else f"{key}{i}"
+
+    def pq(k):
+        return _fin(f"pq{i}[{k}]") if "pq" in have else "CAST(NULL AS DOUBLE)"
+
+    fields = [
+        ("column_name", _s(name)), ("ordinal", str(i)), ("data_type", _s(dt.simpleString().upper())),
+        ("family", _s(fam)), ("non_null_count", f"nn{i}"),
+        ("approx_distinct", f"ad{i}" if approx_distinct else "CAST(NULL AS BIGINT)"),
+        ("min_val", g("mn", "DOUBLE", _fin)), ("max_val", g("mx", "DOUBLE", _fin)),
+        ("mean_val", g("av", "DOUBLE", _fin)), ("stddev_val", g("sd", "DOUBLE", _fin)),
+        ("p25", pq(0)), ("median", pq(1)), ("p75", pq(2)),
+        ("min_date", g("dmn", "STRING", lambda x: f"CAST({x} AS STRING)")),
+        ("max_date", g("dmx", "STRING", lambda x: f"CAST({x} AS STRING)")),
+        ("date_range_days", f"datediff(dmx{i}, dmn{i})" if "dmn" in have else "CAST(NULL AS INT)"),
+        ("min_length", g("lmn", "INT")), ("max_length", g("lmx", "INT")), ("avg_length", g("lav", "DOUBLE")),
+    ]
+    row = "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields) + ")"
+    return aggs, row
 
 
 def profile_stats(df: DataFrame, percentiles: str | None = "exact", distinct: str = "exact",
@@ -206,19 +231,37 @@ def profile_stats(df: DataFrame, percentiles: str | None = "exact", distinct: st
     cols = _profilable(df, columns)
     if not cols:
         return df.sparkSession.createDataFrame([], "column_name string")
-    structs = [_stat_struct(n, dt, i, percentiles, distinct == "approx") for i, n, dt in cols]
-    wide = df.agg(F.count(F.lit(1)).alias("total_rows"), F.array(*structs).alias("s"))
-    return wide.select("total_rows", F.inline("s"))
+    aggs, rows = [], []
+    for i, n, dt in cols:
+        a, r = _stat_sql(n, dt, i, percentiles, distinct == "approx")
+        aggs += a
+        rows.append(r)
+    wide = df.selectExpr("count(1) AS total_rows", *aggs)
+    return wide.selectExpr("total_rows", f"inline(array({', '.join(rows)}))")
 
 
-def distinct_counts(freqs: DataFrame) -> DataFrame:
-    """Exact COUNT(DISTINCT) per column from the P8 frequencies.
+def distinct_counts(freqs: DataFrame, percentiles: bool = False, n_columns: int = 1) -> DataFrame:
+    """Exact COUNT(DISTINCT) per column (and exact percentiles) from the P8 frequencies.
 
-    ``value_total`` (= non-null count) keeps the frequency column alive, so this
-    branch and the top-values branch read the very same shuffle (``ReusedExchange``).
+    The count reads ``frequency`` (a group exists only with a positive total), so this
+    branch and the top-values branch keep the very same frequency aggregate below the
+    shuffle and Spark runs that shuffle once (``ReusedExchange``).
     """
-    return freqs.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count"),
-                                            F.sum("frequency").alias("value_total"))
+    aggs = [F.when(F.sum("frequency") > 0, F.count(F.lit(1))).otherwise(F.lit(0)).cast("bigint")
+            .alias("distinct_count")]
+    if percentiles:
+        ok = F.col("num").isNotNull() & ~F.isnan("num")
+        aggs.append(F.percentile(F.when(ok, F.col("num")), [0.25, 0.5, 0.75], F.col("frequency")).alias("_p"))
+    src = freqs
+    if percentiles:
+        # One value map per column: hash-partition by column (a fixed count, so AQE does
+        # not fold all columns' maps into one or two tasks).
+        src = freqs.repartition(max(2 * n_columns, 1), "column_name")
+    out = src.groupBy("column_name").agg(*aggs)
+    if percentiles:
+        out = out.select("column_name", "distinct_count", finite(F.col("_p")[0]).alias("p25"),
+                         finite(F.col("_p")[1]).alias("median"), finite(F.col("_p")[2]).alias("p75"))
+    return out
 
 
 def top_values(freqs: DataFrame, distinct: DataFrame, limit: int = TOP_LIMIT,
@@ -249,7 +292,6 @@ def profile_columns(df: DataFrame, table_name: str, percentiles: str | None = "e
     def r(name):
         return F.round(name, digits).alias(name) if digits is not None else F.col(name)
     stats = profile_stats(df, percentiles=percentiles, distinct=distinct)
-    pct = None
     if distinct == "approx":
         # HLL count decides eligibility; only candidate columns are stacked and shuffled.
         # The collected list is one name per column (catalog-sized).
@@ -262,12 +304,10 @@ def profile_columns(df: DataFrame, table_name: str, percentiles: str | None = "e
                   .select("column_name", F.coalesce("exact_dc", "distinct_count").alias("distinct_count")))
     else:
         freqs = value_frequencies(df, with_number=True)
-        dc = distinct_counts(freqs)
+        dc = distinct_counts(freqs, percentiles=(percentiles == "exact"), n_columns=len(df.columns))
         if percentiles == "exact":
-            pct = exact_percentiles(freqs)
-    if pct is not None:
-        stats = (stats.drop("p25", "median", "p75")
-                 .join(pct, "column_name", "left"))
+            # one per-column aggregate carries both the distinct count and the percentiles
+            stats = stats.drop("p25", "median", "p75")
     prof = (stats.join(F.broadcast(dc), "column_name", "left")
             .select(
                 F.lit(table_name).alias("table_name"), "column_name", "ordinal", "data_type",
@@ -282,7 +322,8 @@ def profile_columns(df: DataFrame, table_name: str, percentiles: str | None = "e
         top = df.sparkSession.createDataFrame([], "column_name string, value string, frequency bigint, rank int")
     else:
         nested = [f.name for f in df.schema.fields if type_family(f.dataType) == OTHER]
-        top = top_values(freqs, dc, limit=limit, threshold=threshold, exclude=nested)
+        top = top_values(freqs, dc.select("column_name", "distinct_count"), limit=limit, threshold=threshold,
+                         exclude=nested)
     top = top.select(F.lit(table_name).alias("table_name"), "column_name", "rank", "value", "frequency")
     return prof, top
 

@@ -174,6 +174,16 @@ VALS_SQL = "vals AS (SELECT DISTINCT * FROM (" + " UNION ALL ".join(
 KC_SQL = "kc(table_name, column_name, family) AS (VALUES " + ", ".join(
     f"('{t}', '{c}', '{f}')" for t, c, f in _key_cols()) + ")"
 
+# Values of key columns whose text is at most 255 characters long (K15 join keys).
+SHORT_VALS_SQL = "svals AS (SELECT DISTINCT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(\"{c}\" AS VARCHAR) AS value FROM {t} "
+    f"WHERE \"{c}\" IS NOT NULL"
+    + (f" AND (SELECT MAX(length(\"{c}\")) FROM {t}) <= 255" if f == "string" else "")
+    for t, c, f in _key_cols()) + "))"
+SHORT_KC_SQL = "kc AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{t}', '{c}', '{f}', " + (f"(SELECT MAX(length(\"{c}\")) FROM {t}) <= 255" if f == "string" else "TRUE") + ")"
+    for t, c, f in _key_cols()) + ") v(table_name, column_name, family, short) WHERE short)"
+
 # Key profile of every table: integral, date and text columns (text at most 255 chars).
 def _uniq_part(t, i, c, ty):
     short = f" HAVING MAX(length(\"{c}\")) <= 255" if ty == "string" else ""
@@ -254,9 +264,11 @@ def inclusion_rates(spark, sf):
     return K.inclusion_rates(_tables(spark, sf), pairs)
 
 
-@register("inclusion_dependencies", f"""WITH {VALS_SQL}, {KC_SQL},
+@register("inclusion_dependencies", f"""WITH {SHORT_VALS_SQL}, {SHORT_KC_SQL},
+vals AS (SELECT * FROM svals),
 nd AS (SELECT table_name, column_name, COUNT(*) AS nd FROM vals GROUP BY ALL),
-cols AS (SELECT kc.*, COALESCE(nd.nd, 0) AS nd FROM kc LEFT JOIN nd USING (table_name, column_name)),
+cols AS (SELECT kc.table_name, kc.column_name, kc.family, COALESCE(nd.nd, 0) AS nd
+         FROM kc LEFT JOIN nd USING (table_name, column_name)),
 pairs AS (SELECT a.table_name AS from_table, a.column_name AS from_column, b.table_name AS to_table,
                  b.column_name AS to_column
           FROM cols a JOIN cols b ON a.family = b.family
