@@ -34,6 +34,7 @@ HEADLINE = [
     "to_date_revenue",             # W5
     "prior_month_growth",          # W6 + W7
     "rollup_lines",                # A9
+    "star_build_audit",            # dims -> bridge -> facts written, audited
 ]
 
 
