@@ -216,3 +216,8 @@ def date_key(c) -> Column:
     """Calendar key yyyyMMdd as INTEGER."""
     c = F.to_date(col(c))
     return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("int")
+
+
+def seconds_between(start, end) -> Column:
+    """Seconds from ``start`` to ``end`` (fractional), independent of the session time zone."""
+    return F.timestamp_diff("MICROSECOND", col(start), col(end)) / F.lit(1_000_000.0)

@@ -198,7 +198,7 @@ def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tiebrea
     """
     bucket = bucket if bucket is not None else F.date_trunc("day", F.col(ts))
     x = ordered_neighbours(events, user, ts, tiebreak, bucket)
-    gap = F.col(ts).cast("timestamp").cast("double") - F.col("_prev_ts").cast("timestamp").cast("double")
+    gap = C.seconds_between("_prev_ts", ts)
     x = x.withColumn("_new", (F.col("_prev_ts").isNull() | (gap > gap_minutes * 60)).cast("int"))
     w = Window.partitionBy(user, "_b").orderBy(ts, tiebreak).rowsBetween(Window.unboundedPreceding, 0)
     x = x.withColumn("_local", F.sum("_new").over(w))
@@ -216,8 +216,7 @@ def web_sessions(events: DataFrame, gap_minutes: int = 30, **kw) -> DataFrame:
     g = s.groupBy("user_id", "session_no").agg(
         F.min("ts").alias("session_start"), F.max("ts").alias("session_end"),
         F.count(F.lit(1)).alias("event_count"))
-    dur = (F.col("session_end").cast("timestamp").cast("double")
-           - F.col("session_start").cast("timestamp").cast("double"))
+    dur = C.seconds_between("session_start", "session_end")
     return g.select("user_id", "session_no", F.to_date("session_start").alias("session_start_date"),
                     F.date_format("session_start", "HH:mm:ss").alias("session_start_time"),
                     "session_start", F.round(dur, 3).alias("session_duration_seconds"), "event_count")
@@ -229,7 +228,7 @@ def page_views(events: DataFrame, gap_minutes: int = 30, **kw) -> DataFrame:
     s = sessionize(events, gap_minutes=gap_minutes, **kw)
     first_seq = s.groupBy("user_id", "session_no").agg(F.min("_seq").alias("_s0"))
     s = s.join(first_seq, ["user_id", "session_no"])
-    nxt = (F.col("_next_ts").cast("timestamp").cast("double") - F.col("ts").cast("timestamp").cast("double"))
+    nxt = C.seconds_between("ts", "_next_ts")
     same = F.col("_next_ts").isNotNull() & (nxt <= gap_minutes * 60)
     return s.select("event_id", "user_id", "session_no", "ts",
                     (F.col("_seq") - F.col("_s0") + 1).cast("bigint").alias("sequence_in_session"),
