@@ -382,9 +382,38 @@ def _roles(spark, sf):
     return prof, pks, fks, K.infer_role(summary, fks, prof)
 
 
-@register("infer_roles")
+def _kinds_row(t):
+    from stellate.plans.sqlgen import _fam, _role
+    cols = SCHEMAS[t]
+    n_meas = sum(1 for c, ty in cols if _role(c, _fam(ty)) == "measure")
+    n_dates = sum(1 for _, ty in cols if ty.startswith("timestamp") or ty == "date")
+    n_text = sum(1 for _, ty in cols if ty == "string")
+    nums = [c for c, ty in cols if _fam(ty) == "numeric"]
+    n_num = " + ".join(f"CAST(COUNT(*) FILTER (WHERE isfinite(CAST(\"{c}\" AS DOUBLE))) > 0 AS INTEGER)"
+                       for c in nums) or "0"
+    return f"SELECT '{t}', COUNT(*), {n_meas}, {n_dates}, {n_text}, {n_num} FROM {t}"
+
+
+ROLES_SQL = f"""{FKS_SQL},
+fks AS (SELECT * FROM rates WHERE distinct_values > 0 AND found_values = distinct_values),
+kinds(table_name, row_count, n_measures, n_dates, n_text, n_numeric) AS (
+  {" UNION ALL ".join(_kinds_row(t) for t in TABLES)}),
+med AS (SELECT quantile_cont(row_count, 0.5) AS m FROM kinds),
+tr AS (SELECT k.*, CAST(COALESCE(o.n, 0) AS BIGINT) AS n_fk_out, CAST(COALESCE(i.n, 0) AS BIGINT) AS n_fk_in,
+              (SELECT m FROM med) AS med
+       FROM kinds k LEFT JOIN (SELECT from_table, COUNT(*) AS n FROM fks GROUP BY 1) o ON o.from_table = k.table_name
+       LEFT JOIN (SELECT to_table, COUNT(*) AS n FROM fks GROUP BY 1) i ON i.to_table = k.table_name),
+pts AS (SELECT table_name, row_count, n_fk_out, n_fk_in,
+  CAST(CAST(row_count >= med AS INTEGER) + CAST(n_fk_out >= 2 AS INTEGER) + CAST(n_measures >= 1 AS INTEGER)
+       + CAST(n_dates >= 1 AS INTEGER) AS INTEGER) AS fact_points,
+  CAST(CAST(n_fk_in >= 1 AS INTEGER) + CAST(n_text > n_numeric AS INTEGER) + CAST(row_count < med AS INTEGER)
+       AS INTEGER) AS dim_points FROM tr),
+roles AS (SELECT *, CASE WHEN fact_points > dim_points THEN 'fact' ELSE 'dimension' END AS role FROM pts)"""
+
+
+@register("infer_roles", f"WITH {ROLES_SQL} SELECT * FROM roles")
 def infer_roles(spark, sf):
-    """K12 (rows-only: a weighted rule over profile and FK evidence)."""
+    """A weighted rule over profile and FK evidence."""
     return _roles(spark, sf)[3]
 
 

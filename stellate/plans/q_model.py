@@ -177,9 +177,21 @@ def schema_coverage(spark, sf):
     return V.schema_coverage(declared, cols)
 
 
-@register("modelling_flags")
+@register("modelling_flags", f"""WITH {QC.ROLES_SQL},
+u AS (SELECT table_name, column_name, nn > 0 AND nd = nn AS u FROM uniq),
+card AS (SELECT f.from_table, f.from_column, f.to_table, f.to_column,
+  CASE WHEN fu.u AND tu.u THEN 'one-to-one' WHEN tu.u THEN 'many-to-one' WHEN fu.u THEN 'one-to-many'
+       ELSE 'many-to-many' END AS cardinality
+  FROM fks f LEFT JOIN u fu ON fu.table_name = f.from_table AND fu.column_name = f.from_column
+  LEFT JOIN u tu ON tu.table_name = f.to_table AND tu.column_name = f.to_column),
+x AS (SELECT c.*, rf.role AS from_role, rt.role AS to_role FROM card c
+      LEFT JOIN roles rf ON rf.table_name = c.from_table LEFT JOIN roles rt ON rt.table_name = c.to_table)
+SELECT from_table, from_column, to_table, to_column, 'many-to-many' AS flag FROM x WHERE cardinality = 'many-to-many'
+UNION ALL
+SELECT from_table, from_column, to_table, to_column, 'snowflake' FROM x
+WHERE from_role = 'dimension' AND to_role = 'dimension'""")
 def modelling_flags(spark, sf):
-    """V7 (rows-only: uses the weighted role rule K12)."""
+    """V7: many-to-many relations and dimension -> dimension relations."""
     tabs, kp, pks, fks = _inferred(spark, sf)
     prof, _, _ = P.profile_many(tabs, percentiles=None)
     summary = P.table_summary(prof, pks.select("table_name", "column_name"))
@@ -287,9 +299,38 @@ def star_build_audit(spark, sf):
     return audit
 
 
-@register("star_build_gates")
+def _cov_sql(table, column, observed):
+    return (f"SELECT 'fk_coverage' AS gate, '{table}' AS table_name, '{column}' AS column_name, "
+            f"CAST(ROUND({observed}, 6) AS DOUBLE) AS observed, CAST(0.95 AS DOUBLE) AS threshold, "
+            f"COALESCE(ROUND({observed}, 6) >= 0.95, TRUE) AS passed")
+
+
+_STAR_GATES_SQL = """WITH cal AS (SELECT MIN(CAST(o_orderdate AS DATE)) AS a, MAX(CAST(o_orderdate AS DATE)) AS b FROM orders),
+fo AS (SELECT o.o_orderkey, o.o_custkey, c.c_custkey FROM orders o
+       LEFT JOIN (SELECT DISTINCT c_custkey FROM customer) c ON o.o_custkey = c.c_custkey WHERE o.o_orderkey IS NOT NULL),
+fl AS (SELECT CAST(l_shipdate AS DATE) BETWEEN (SELECT a FROM cal) AND (SELECT b FROM cal) AS ship_ok,
+              p.p_partkey IS NOT NULL AS part_ok, s.s_suppkey IS NOT NULL AS supp_ok
+       FROM lineitem LEFT JOIN (SELECT DISTINCT p_partkey FROM part) p ON l_partkey = p.p_partkey
+       LEFT JOIN (SELECT DISTINCT s_suppkey FROM supplier) s ON l_suppkey = s.s_suppkey)
+""" + " UNION ALL ".join([
+    _cov_sql("fact_sales_orders", "order_date_key", "(SELECT AVG(1.0) FROM fo)"),
+    _cov_sql("fact_sales_orders", "customer_key",
+             "(SELECT AVG(CASE WHEN c_custkey IS NOT NULL THEN 1.0 ELSE 0.0 END) FROM fo)"),
+    _cov_sql("fact_sales_orders", "order_status_key", "(SELECT AVG(1.0) FROM fo)"),
+    _cov_sql("fact_sales_lines", "ship_date_key", "(SELECT AVG(CASE WHEN ship_ok THEN 1.0 ELSE 0.0 END) FROM fl)"),
+    _cov_sql("fact_sales_lines", "product_key", "(SELECT AVG(CASE WHEN part_ok THEN 1.0 ELSE 0.0 END) FROM fl)"),
+    _cov_sql("fact_sales_lines", "company_key", "(SELECT AVG(CASE WHEN supp_ok THEN 1.0 ELSE 0.0 END) FROM fl)"),
+    # orphans among the surrogate keys the lookup produced (rows whose key resolved)
+    "SELECT 'orphan_rate', 'fact_sales_orders', 'customer_key', "
+    "CAST(COALESCE((SELECT ROUND(AVG(CASE WHEN c_custkey IS NULL THEN 1.0 ELSE 0.0 END), 6) FROM fo "
+    "WHERE c_custkey IS NOT NULL), 0.0) AS DOUBLE), CAST(0.0 AS DOUBLE), "
+    "COALESCE((SELECT ROUND(AVG(CASE WHEN c_custkey IS NULL THEN 1.0 ELSE 0.0 END), 6) FROM fo "
+    "WHERE c_custkey IS NOT NULL), 0.0) <= 0.0"])
+
+
+@register("star_build_gates", _STAR_GATES_SQL)
 def star_build_gates(spark, sf):
-    """Gate report over the built star (rows-only; the gates themselves are oracle-checked above)."""
+    """Gate report over the built star: FK coverage of both facts and the customer orphan gate."""
     from stellate.plans.star import build_star
     _, _, gates = build_star(spark, sf)
     return gates
