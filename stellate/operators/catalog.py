@@ -49,6 +49,16 @@ def catalog_columns(spark: SparkSession, tables: dict) -> DataFrame:
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
 
 
+def catalog_from_metastore(spark: SparkSession, database: str | None = None, pattern: str | None = None) -> DataFrame:
+    """M1 for a lake registered in the Spark catalog: base tables (views and temporary
+    tables skipped, as the reference keeps ``BASE TABLE`` only) in name order and their
+    columns, read from the catalog API - no table data is touched."""
+    tables = sorted((t.name for t in spark.catalog.listTables(database, pattern)
+                     if not t.isTemporary and (t.tableType or "").upper() != "VIEW"))
+    prefix = f"{database}." if database else ""
+    return catalog_columns(spark, {t: spark.table(prefix + t) for t in tables})
+
+
 def table_list(columns: DataFrame) -> DataFrame:
     return columns.select("table_name").distinct()
 

@@ -88,3 +88,14 @@ def test_uniqueness(spark):
     df = spark.createDataFrame([(1, 1), (1, 2), (1, 2)], "a int, b int")
     r = K.uniqueness(df, ["a", "b"]).first()
     assert (r.row_count, r.distinct_keys, r.duplicate_keys, r.is_unique) == (3, 2, 1, False)
+
+
+def test_catalog_from_metastore(spark, tmp_path):
+    db = "stellate_test_db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_path}/db'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.t_a (id BIGINT, name STRING) USING parquet")
+    spark.sql(f"CREATE OR REPLACE VIEW {db}.v_a AS SELECT id FROM {db}.t_a")
+    cat = M.catalog_from_metastore(spark, db)
+    got = [(r.table_name, r.column_name, r.data_type, r.ordinal_position) for r in cat.collect()]
+    assert got == [("t_a", "id", "bigint", 1), ("t_a", "name", "string", 2)]
+    spark.sql(f"DROP DATABASE {db} CASCADE")
