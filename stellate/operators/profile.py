@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from stellate.functions.types import BOOLEAN, DATE, NUMERIC, OTHER, STRING, type_family
 from stellate.operators.partitioning import spread
+from stellate.session import checkpoint_dir
 
 # Fixed values (must equal the reference's profiler defaults).
 TOP_LIMIT = 10            # values kept per column
@@ -173,7 +174,7 @@ def _text_sql(c: str, dt: T.DataType) -> str:
     return f"CAST({c} AS STRING)"
 
 
-def _stat_sql(name, dt, i, percentiles, approx_distinct):
+def _stat_sql(name, dt, i, percentiles, approx_distinct, approx_numeric=False):
     """(aggregate SQL list, row SQL) for one column.
 
     Expressions are SQL text: the whole wide aggregate is one ``selectExpr`` call, so
@@ -182,6 +183,8 @@ def _stat_sql(name, dt, i, percentiles, approx_distinct):
     c = _q(name)
     fam = type_family(dt)
     aggs = [f"count({c}) AS nn{i}"]
+    if approx_numeric and not approx_distinct and fam == NUMERIC:
+        approx_distinct = True
     if approx_distinct:
         aggs.append(f"approx_count_distinct({_text_sql(c, dt)}) AS ad{i}")
     have = set()
@@ -226,21 +229,25 @@ def _stat_sql(name, dt, i, percentiles, approx_distinct):
 
 
 def profile_stats(df: DataFrame, percentiles: str | None = "exact", distinct: str = "exact",
-                  columns=None) -> DataFrame:
-    """One row per column, from a single wide aggregate (one scan)."""
+                  columns=None, approx_numeric: bool = False) -> DataFrame:
+    """One row per column, from a single wide aggregate (one scan).
+
+    ``approx_numeric`` adds a HyperLogLog distinct estimate for numeric columns (used to
+    choose how exact percentiles are computed)."""
     cols = _profilable(df, columns)
     if not cols:
         return df.sparkSession.createDataFrame([], "column_name string")
     aggs, rows = [], []
     for i, n, dt in cols:
-        a, r = _stat_sql(n, dt, i, percentiles, distinct == "approx")
+        a, r = _stat_sql(n, dt, i, percentiles, distinct == "approx", approx_numeric)
         aggs += a
         rows.append(r)
     wide = df.selectExpr("count(1) AS total_rows", *aggs)
     return wide.selectExpr("total_rows", f"inline(array({', '.join(rows)}))")
 
 
-def distinct_counts(freqs: DataFrame, percentiles: bool = False, n_columns: int = 1) -> DataFrame:
+def distinct_counts(freqs: DataFrame, percentiles: bool = False, n_columns: int = 1,
+                    map_columns=None) -> DataFrame:
     """Exact COUNT(DISTINCT) per column (and exact percentiles) from the P8 frequencies.
 
     The count reads ``frequency`` (a group exists only with a positive total), so this
@@ -251,6 +258,8 @@ def distinct_counts(freqs: DataFrame, percentiles: bool = False, n_columns: int
             .alias("distinct_count")]
     if percentiles:
         ok = F.col("num").isNotNull() & ~F.isnan("num")
+        if map_columns is not None:
+            ok = ok & F.col("column_name").isin(list(map_columns))
         aggs.append(F.percentile(F.when(ok, F.col("num")), [0.25, 0.5, 0.75], F.col("frequency")).alias("_p"))
     src = freqs
     if percentiles:
@@ -264,6 +273,70 @@ def distinct_counts(freqs: DataFrame, percentiles: bool = False, n_columns: int
     return out
 
 
+# Columns with at most this many distinct values get their exact percentiles from one
+# value map per column (one task holds the map); larger ones use the distributed
+# rank selection below, which never gathers a column in one task.
+EXACT_MAP_MAX = 1_000_000
+
+
+def percentiles_by_rank(freqs: DataFrame, columns, probs=(0.25, 0.5, 0.75),
+                        partitions: int | None = None) -> DataFrame:
+    """Exact interpolated percentiles (``percentile_cont``) by distributed rank selection.
+
+    The (value, frequency) rows of the given columns are range-partitioned on
+    (column, value) and checkpointed (range bounds come from sampling). Per partition
+    and column the frequency total is one small row; cumulative offsets over those rows
+    give every partition's first rank. Each wanted rank (lower and upper neighbour of
+    p * (n - 1)) is located in its partition, only those partitions are scanned in value
+    order, and the two neighbours are interpolated. No task ever holds a whole column.
+    Output: (column_name, p25, median, p75) for the default ``probs``.
+    """
+    spark = freqs.sparkSession
+    names = ["p25", "median", "p75"] if tuple(probs) == (0.25, 0.5, 0.75) else [f"p{i}" for i in range(len(probs))]
+    cols = list(columns)
+    if not cols:
+        return spark.createDataFrame([], "column_name string, " + ", ".join(f"{n} double" for n in names))
+    checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    g = (freqs.where(F.col("column_name").isin(cols) & F.col("num").isNotNull() & ~F.isnan("num"))
+         .select("column_name", "num", "frequency"))
+    r = (g.repartitionByRange(n, "column_name", "num").withColumn("_pid", F.spark_partition_id())
+         .checkpoint(eager=True))
+    per = r.groupBy("_pid", "column_name").agg(F.sum("frequency").alias("_s"))
+    wc = Window.partitionBy("column_name")
+    per = per.select("_pid", "column_name", "_s",
+                     F.coalesce(F.sum("_s").over(wc.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+                                F.lit(0)).alias("_before"),
+                     F.sum("_s").over(wc).alias("_n"))
+    # wanted ranks (0-based): for each p the lower and upper neighbour of p * (n - 1)
+    targets = (per.select("column_name", "_n").distinct()
+               .select("column_name", F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("_k", "_p"),
+                       "_n")
+               .withColumn("_pos", F.col("_p") * (F.col("_n") - 1))
+               .select("column_name", "_k", "_pos",
+                       F.explode(F.array(F.floor("_pos").alias("x"), F.ceil("_pos").alias("x"))).alias("_rank"))
+               .distinct())
+    located = (targets.join(per, "column_name")
+               .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_s")))
+               .select("column_name", "_k", "_pos", "_rank", "_pid", "_before"))
+    wanted = located.select("_pid", "column_name").distinct()
+    wl = Window.partitionBy("_pid", "column_name").orderBy("num").rowsBetween(Window.unboundedPreceding, 0)
+    scanned = (r.join(F.broadcast(wanted), ["_pid", "column_name"], "left_semi")
+               .withColumn("_cum", F.sum("frequency").over(wl)))
+    hit = (scanned.join(F.broadcast(located), ["_pid", "column_name"])
+           .where((F.col("_rank") >= F.col("_before") + F.col("_cum") - F.col("frequency"))
+                  & (F.col("_rank") < F.col("_before") + F.col("_cum")))
+           .select("column_name", "_k", "_pos", "_rank", "num"))
+    lo_rank, hi_rank = F.floor("_pos"), F.ceil("_pos")
+    per_k = (hit.groupBy("column_name", "_k", "_pos")
+             .agg(F.max(F.when(F.col("_rank") == lo_rank, F.col("num"))).alias("_lo"),
+                  F.max(F.when(F.col("_rank") == hi_rank, F.col("num"))).alias("_hi"))
+             .withColumn("_v", F.when(lo_rank == hi_rank, F.col("_lo"))
+                         .otherwise((hi_rank - F.col("_pos")) * F.col("_lo") + (F.col("_pos") - lo_rank) * F.col("_hi"))))
+    out = per_k.groupBy("column_name").pivot("_k", list(range(len(probs)))).agg(F.first("_v"))
+    return out.select("column_name", *[finite(F.col(str(i))).alias(nm) for i, nm in enumerate(names)])
+
+
 def top_values(freqs: DataFrame, distinct: DataFrame, limit: int = TOP_LIMIT,
                threshold: int = TOP_THRESHOLD, exclude=()) -> DataFrame:
     """P9 + P10 + W1: ten most frequent values of each low-cardinality column.
@@ -291,7 +364,17 @@ def profile_columns(df: DataFrame, table_name: str, percentiles: str | None = "e
     """
     def r(name):
         return F.round(name, digits).alias(name) if digits is not None else F.col(name)
-    stats = profile_stats(df, percentiles=percentiles, distinct=distinct)
+    stats = profile_stats(df, percentiles=percentiles, distinct=distinct,
+                          approx_numeric=(percentiles == "exact" and distinct != "approx"))
+    big = []
+    if percentiles == "exact" and distinct != "approx":
+        # The statistics are one row per column: computed here (the one scan of the wide
+        # aggregate) and kept as a small local table, so the HLL estimate can choose the
+        # percentile method per column without scanning twice.
+        rows = stats.collect()
+        stats = df.sparkSession.createDataFrame(rows, stats.schema)
+        big = [r["column_name"] for r in rows
+               if r["family"] == NUMERIC and (r["approx_distinct"] or 0) > EXACT_MAP_MAX]
     if distinct == "approx":
         # HLL count decides eligibility; only candidate columns are stacked and shuffled.
         # The collected list is one name per column (catalog-sized).
@@ -304,10 +387,18 @@ def profile_columns(df: DataFrame, table_name: str, percentiles: str | None = "e
                   .select("column_name", F.coalesce("exact_dc", "distinct_count").alias("distinct_count")))
     else:
         freqs = value_frequencies(df, with_number=True)
-        dc = distinct_counts(freqs, percentiles=(percentiles == "exact"), n_columns=len(df.columns))
+        numeric = [f.name for f in df.schema.fields if type_family(f.dataType) == NUMERIC]
+        dc = distinct_counts(freqs, percentiles=(percentiles == "exact"), n_columns=len(df.columns),
+                             map_columns=[c for c in numeric if c not in big])
         if percentiles == "exact":
             # one per-column aggregate carries both the distinct count and the percentiles
             stats = stats.drop("p25", "median", "p75")
+            if big:
+                ranked = percentiles_by_rank(freqs, big)
+                dc = (dc.join(ranked.withColumnsRenamed({"p25": "_r25", "median": "_r50", "p75": "_r75"}),
+                              "column_name", "left")
+                      .select("column_name", "distinct_count", F.coalesce("p25", "_r25").alias("p25"),
+                              F.coalesce("median", "_r50").alias("median"), F.coalesce("p75", "_r75").alias("p75")))
     prof = (stats.join(F.broadcast(dc), "column_name", "left")
             .select(
                 F.lit(table_name).alias("table_name"), "column_name", "ordinal", "data_type",

@@ -101,3 +101,32 @@ def test_profile_many_unions_tables(spark):
     b = spark.createDataFrame([("x", 2.0)], "s string, d double")
     prof, _, errors = P.profile_many({"a": a, "b": b})
     assert prof.count() == 3 and errors.count() == 0
+
+
+def test_percentiles_by_rank_matches_numpy(spark):
+    import numpy as np
+    rng = np.random.default_rng(7)
+    a = rng.integers(0, 50, 3000).astype(float)          # many ties
+    b = rng.normal(0, 1e3, 2500)                          # all distinct
+    c = np.array([5.0])                                   # a single value
+    rows = [("a", float(v)) for v in a] + [("b", float(v)) for v in b] + [("c", float(v)) for v in c]
+    df = spark.createDataFrame(rows, "col string, x double")
+    freqs = (df.groupBy(F.col("col").alias("column_name"), F.col("x").alias("num"))
+             .agg(F.count(F.lit(1)).alias("frequency")))
+    got = {r.column_name: r for r in P.percentiles_by_rank(freqs, ["a", "b", "c"], partitions=5).collect()}
+    for name, vals in (("a", a), ("b", b), ("c", c)):
+        want = np.percentile(vals, [25, 50, 75])
+        r = got[name]
+        assert np.allclose([r.p25, r.median, r.p75], want, rtol=1e-12, atol=1e-9), (name, r, want)
+
+
+def test_profile_uses_rank_selection_for_large_columns(spark, monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(P, "EXACT_MAP_MAX", 10)
+    vals = [float(i % 97) * 1.5 for i in range(1000)]
+    df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(vals)], "x double, k int")
+    prof, _ = P.profile_columns(df, "t")
+    r = {row.column_name: row for row in prof.collect()}
+    assert np.allclose([r["x"].p25, r["x"].median, r["x"].p75], np.percentile(vals, [25, 50, 75]))
+    assert np.allclose([r["k"].p25, r["k"].median, r["k"].p75], np.percentile([i % 3 for i in range(1000)],
+                                                                               [25, 50, 75]))
