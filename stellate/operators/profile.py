@@ -356,7 +356,7 @@ def top_values(freqs: DataFrame, distinct: DataFrame, limit: int = TOP_LIMIT,
 
 def profile_columns(df: DataFrame, table_name: str, percentiles: str | None = "exact",
                     distinct: str = "exact", threshold: int = TOP_THRESHOLD,
-                    limit: int = TOP_LIMIT, digits: int | None = None):
+                    limit: int = TOP_LIMIT, digits: int | None = None, stats_rows=None):
     """P16 core: (per-column profile, top values). Both lazy DataFrames.
 
     ``digits`` rounds the floating statistics (means, deviations, percentiles) for
@@ -370,8 +370,9 @@ def profile_columns(df: DataFrame, table_name: str, percentiles: str | None = "e
     if percentiles == "exact" and distinct != "approx":
         # The statistics are one row per column: computed here (the one scan of the wide
         # aggregate) and kept as a small local table, so the HLL estimate can choose the
-        # percentile method per column without scanning twice.
-        rows = stats.collect()
+        # percentile method per column without scanning twice. ``profile_many`` passes
+        # the rows of all tables from one job.
+        rows = stats_rows if stats_rows is not None else stats.collect()
         stats = df.sparkSession.createDataFrame(rows, stats.schema)
         big = [r["column_name"] for r in rows
                if r["family"] == NUMERIC and (r["approx_distinct"] or 0) > EXACT_MAP_MAX]
@@ -475,12 +476,34 @@ def profile_many(tables: dict, percentiles: str | None = "exact", distinct: str
     Returns (profile, top_values, errors). Each table contributes its own lazy plan;
     the union runs as one job whose stages the scheduler interleaves.
     """
-    spark = None
+    spark = next(iter(tables.values())).sparkSession if tables else None
     profs, tops, errs = [], [], []
+    pre = {}
+    if percentiles == "exact" and distinct != "approx" and tables:
+        # one job computes the wide aggregate of every table (the scans run side by side)
+        parts = []
+        for name, df in tables.items():
+            try:
+                st = profile_stats(df, percentiles=percentiles, distinct=distinct, approx_numeric=True)
+                if "family" in st.columns:
+                    parts.append((name, st))
+            except Exception as e:  # noqa: BLE001 - reported below with the table
+                errs.append((name, str(e).splitlines()[0][:500]))
+        if parts:
+            u = None
+            for name, st in parts:
+                x = st.withColumn("_table", F.lit(name))
+                u = x if u is None else u.unionByName(x)
+            from pyspark.sql import Row
+            for r in u.collect():  # one row per column of every table (catalog-sized)
+                d = r.asDict()
+                pre.setdefault(d.pop("_table"), []).append(Row(**d))
     for name, df in tables.items():
-        spark = df.sparkSession
+        if any(e[0] == name for e in errs):
+            continue
         try:
-            p, t = profile_columns(df, name, percentiles=percentiles, distinct=distinct, digits=digits)
+            p, t = profile_columns(df, name, percentiles=percentiles, distinct=distinct, digits=digits,
+                                   stats_rows=pre.get(name) if pre else None)
             p.schema  # analysis happens here: bad columns fail now, not in the union
             profs.append(p)
             tops.append(t)
