@@ -273,9 +273,10 @@ def distinct_counts(freqs: DataFrame, percentiles: bool = False, n_columns: int
     return out
 
 
-# Columns with at most this many distinct values get their exact percentiles from one
-# value map per column (one task holds the map); larger ones use the distributed
-# rank selection below, which never gathers a column in one task.
+# Columns with at most this many non-null values (so at most this many distinct values)
+# get their exact percentiles from one value map per column (one task holds the map);
+# larger ones use the distributed rank selection below, which never gathers a column
+# in one task.
 EXACT_MAP_MAX = 1_000_000
 
 
@@ -364,18 +365,18 @@ def profile_columns(df: DataFrame, table_name: str, percentiles: str | None = "e
     """
     def r(name):
         return F.round(name, digits).alias(name) if digits is not None else F.col(name)
-    stats = profile_stats(df, percentiles=percentiles, distinct=distinct,
-                          approx_numeric=(percentiles == "exact" and distinct != "approx"))
+    stats = profile_stats(df, percentiles=percentiles, distinct=distinct)
     big = []
     if percentiles == "exact" and distinct != "approx":
         # The statistics are one row per column: computed here (the one scan of the wide
-        # aggregate) and kept as a small local table, so the HLL estimate can choose the
-        # percentile method per column without scanning twice. ``profile_many`` passes
-        # the rows of all tables from one job.
+        # aggregate) and kept as a small local table, so the method for exact percentiles
+        # is chosen per column without scanning twice: distinct values <= non-null
+        # values, so a column with at most EXACT_MAP_MAX values has a bounded value map.
+        # ``profile_many`` passes the rows of all tables from one job.
         rows = stats_rows if stats_rows is not None else stats.collect()
         stats = df.sparkSession.createDataFrame(rows, stats.schema)
         big = [r["column_name"] for r in rows
-               if r["family"] == NUMERIC and (r["approx_distinct"] or 0) > EXACT_MAP_MAX]
+               if r["family"] == NUMERIC and (r["non_null_count"] or 0) > EXACT_MAP_MAX]
     if distinct == "approx":
         # HLL count decides eligibility; only candidate columns are stacked and shuffled.
         # The collected list is one name per column (catalog-sized).
@@ -484,7 +485,7 @@ def profile_many(tables: dict, percentiles: str | None = "exact", distinct: str
         parts = []
         for name, df in tables.items():
             try:
-                st = profile_stats(df, percentiles=percentiles, distinct=distinct, approx_numeric=True)
+                st = profile_stats(df, percentiles=percentiles, distinct=distinct)
                 if "family" in st.columns:
                     parts.append((name, st))
             except Exception as e:  # noqa: BLE001 - reported below with the table
