@@ -224,8 +224,11 @@ def key_profile(tables: dict, max_text: int = MAX_KEY_TEXT) -> DataFrame:
     stats = first[0]
     for x in first[1:]:
         stats = stats.unionByName(x)
-    short = [(r.table_name, r.column_name) for r in
-             stats.where(F.col("max_len") <= max_text).select("table_name", "column_name").collect()]  # catalog-sized
+    # one row per column (catalog-sized): kept as a local table so later jobs do not
+    # scan the tables again for these counts
+    rows = stats.collect()
+    stats = spark.createDataFrame(rows, stats.schema)
+    short = [(r.table_name, r.column_name) for r in rows if r.max_len <= max_text]
     if short:
         dc = stacked_values(tables, short).groupBy("table_name", "column_name").agg(
             F.count(F.lit(1)).alias("distinct_count"))

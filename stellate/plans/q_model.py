@@ -334,3 +334,14 @@ def star_build_gates(spark, sf):
     from stellate.plans.star import build_star
     _, _, gates = build_star(spark, sf)
     return gates
+
+
+@register("target_schema_lists", f"""WITH {QC.CAT_SQL}
+SELECT table_name, 'other' AS kind, string_agg(column_name, ', ' ORDER BY ordinal_position) AS columns
+FROM cat GROUP BY table_name""")
+def target_schema_lists(spark, sf):
+    """S4 grouped: the Table,Column CSV read back as one ordered column list per target table."""
+    path = S.scratch_path(spark, "columns-csv")
+    S.write_columns(QC._catalog(spark, sf), path)
+    lists = S.target_schema_lists(S.read_target_schema(spark, path))
+    return lists.select("table_name", "kind", F.array_join("columns", ", ").alias("columns"))

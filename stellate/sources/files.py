@@ -45,6 +45,13 @@ def read_target_schema(spark: SparkSession, path: str) -> DataFrame:
                     table_kind(F.col("table_name")).alias("kind"))
 
 
+def target_schema_lists(target: DataFrame) -> DataFrame:
+    """S4 (grouped form): one row per target table with its kind and ordered column list."""
+    return (target.groupBy("table_name", "kind")
+            .agg(F.array_sort(F.collect_list(F.struct("column_position", "column_name"))).alias("_c"))
+            .select("table_name", "kind", F.transform("_c", lambda c: c["column_name"]).alias("columns")))
+
+
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
     """Wide relation matrix -> long (fact, dim); any non-blank cell other than '0' is a relation."""
     raw = spark.read.option("header", True).csv(path)
