@@ -34,6 +34,9 @@ def simple_paths(relations: DataFrame, max_hops: int | None = None):
     """
     edges = relations.select(F.col("from_table").alias("a"), F.col("to_table").alias("b")).distinct()
     edges = edges.where(F.col("a") != F.col("b"))
+    # table pairs (catalog-sized): materialised once so the loop does not re-run the
+    # relation discovery behind ``relations`` on every hop
+    edges = relations.sparkSession.createDataFrame(edges.collect(), edges.schema)
     n_tables = edges.select(F.explode(F.array("a", "b"))).distinct().count()
     limit = max_hops or max(n_tables, 1)
     frontier = edges.select(F.col("a").alias("src"), F.col("b").alias("dst"), F.lit(1).alias("hops"),

@@ -58,11 +58,25 @@ paths AS (SELECT * FROM (
   SELECT * FROM p))"""
 
 
-@register("ambiguous_paths", f"""WITH {_PATHS_SQL}
+_INF_PATHS_SQL = f"""{QC.FKS_SQL},
+fk AS (SELECT from_table, to_table FROM rates WHERE distinct_values > 0 AND found_values = distinct_values),
+e AS (SELECT DISTINCT from_table AS a, to_table AS b FROM fk WHERE from_table <> to_table),
+paths AS (SELECT * FROM (
+  WITH RECURSIVE p(src, dst, path) AS (
+    SELECT a, b, [a, b] FROM e
+    UNION ALL
+    SELECT p.src, e.b, list_append(p.path, e.b) FROM p JOIN e ON p.dst = e.a
+    WHERE NOT list_contains(p.path, e.b))
+  SELECT * FROM p))"""
+
+
+@register("ambiguous_paths", f"""WITH {_INF_PATHS_SQL}
 SELECT src, dst, COUNT(*) AS routes FROM paths GROUP BY src, dst HAVING COUNT(*) > 1""")
 def ambiguous_paths(spark, sf):
-    """V2: more than one route between two tables (lineitem reaches nation via orders and via supplier)."""
-    return V.ambiguous_paths(_declared(spark)).select("src", "dst", "routes")
+    """V2 on the relations discovered from the data (lineitem reaches nation via orders and
+    via supplier)."""
+    _, _, _, fks = _inferred(spark, sf)
+    return V.ambiguous_paths(fks).select("src", "dst", "routes")
 
 
 @register("relation_cycles", f"""WITH {QC.JOINS_SQL},
@@ -83,13 +97,15 @@ def relation_cycles(spark, sf):
     return V.cycles(rel)
 
 
-@register("unused_tables", f"""WITH {QC.CAT_SQL}, {DECL_SQL}
-SELECT DISTINCT table_name FROM cat WHERE table_name NOT IN (SELECT from_table FROM decl)
-  AND table_name NOT IN (SELECT to_table FROM decl) AND table_name NOT IN ('orders', 'events')""")
+@register("unused_tables", f"""WITH {QC.FKS_SQL},
+fk AS (SELECT from_table, to_table FROM rates WHERE distinct_values > 0 AND found_values = distinct_values)
+SELECT DISTINCT table_name FROM cat WHERE table_name NOT IN (SELECT from_table FROM fk)
+  AND table_name NOT IN (SELECT to_table FROM fk) AND table_name NOT IN ('orders', 'events')""")
 def unused_tables(spark, sf):
-    """V4: tables in no relation and no metric (metrics exist on orders and events)."""
+    """V4: tables in no discovered relation and no metric (metrics exist on orders and events)."""
+    tabs, _, _, fks = _inferred(spark, sf)
     metric_tables = spark.createDataFrame([("orders",), ("events",)], "table_name string")
-    return V.unused_tables(M.table_list(QC._catalog(spark, sf)), _declared(spark), metric_tables)
+    return V.unused_tables(M.table_list(M.catalog_columns(spark, tabs)), fks, metric_tables)
 
 
 def _built_tables(spark, sf):

@@ -325,14 +325,22 @@ def dim_year(spark, sf):
     return Dm.dim_year(_dim_date(spark, sf))
 
 
-@register("dim_time", """SELECT CAST(range AS INTEGER) AS time_key, CAST(range // 3600 AS INTEGER) AS hour,
+@register("dim_time", """WITH ev AS (SELECT CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS INTEGER) AS time_key,
+  COUNT(*) AS event_count FROM events GROUP BY 1)
+SELECT CAST(range AS INTEGER) AS time_key, CAST(range // 3600 AS INTEGER) AS hour,
   CAST((range % 3600) // 60 AS INTEGER) AS minute, CAST(range % 60 AS INTEGER) AS second,
   lpad(CAST(range // 3600 AS VARCHAR), 2, '0') || ':' || lpad(CAST((range % 3600) // 60 AS VARCHAR), 2, '0') || ':'
-    || lpad(CAST(range % 60 AS VARCHAR), 2, '0') AS time_text
-FROM range(86400)""")
+    || lpad(CAST(range % 60 AS VARCHAR), 2, '0') AS time_text,
+  COALESCE(ev.event_count, 0) AS event_count
+FROM range(86400) LEFT JOIN ev ON CAST(range AS INTEGER) = ev.time_key""")
 def dim_time(spark, sf):
-    """One row per second of the day (a fixed 86,400-row spine, built in parallel)."""
-    return Dm.dim_time(spark)
+    """One row per second of the day (a spine built in parallel), with the events
+    that fall on each second - the time dimension as the event facts use it."""
+    ev = _t(spark, sf, "events")
+    per_second = (ev.groupBy((F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")).cast("int")
+                             .alias("time_key")).agg(F.count(F.lit(1)).alias("event_count")))
+    return (Dm.dim_time(spark).join(per_second, "time_key", "left")
+            .withColumn("event_count", F.coalesce("event_count", F.lit(0)).cast("bigint")))
 
 
 DIM_GEO_SQL = """dim_geography AS (SELECT ROW_NUMBER() OVER (ORDER BY n_nationkey) AS geography_key, n_nationkey,
