@@ -168,22 +168,30 @@ def inclusion_dependencies(tables: dict, min_rate: float = 1.0, max_text: int =
     Columns: integral, date and text columns of at most ``max_text`` characters
     (join keys; whole documents are never compared). Candidate pairs are every
     same-family pair across different tables; for full inclusion (``min_rate`` = 1)
-    a pair is kept only when A has no more distinct values than B - an exact
-    necessary condition, so no pair that qualifies is lost.
+    a pair is kept only when A has no more distinct values than B and A's value range
+    lies inside B's - exact necessary conditions, so no pair that qualifies is lost.
     """
     spark = next(iter(tables.values())).sparkSession
     kcols = short_key_columns(tables, max_text)
     kc = spark.createDataFrame(kcols, "table_name string, column_name string, family string")
     vals = stacked_values(tables, [(t, c) for t, c, _ in kcols])
-    dcount = vals.groupBy("table_name", "column_name").agg(F.count(F.lit(1)).alias("nd"))
+    dcount = vals.groupBy("table_name", "column_name").agg(
+        F.count(F.lit(1)).alias("nd"), F.min("ival").alias("imin"), F.max("ival").alias("imax"),
+        F.min("sval").alias("smin"), F.max("sval").alias("smax"))
     cols = kc.join(dcount, ["table_name", "column_name"], "left").fillna(0, ["nd"])
     a = cols.select(F.col("table_name").alias("from_table"), F.col("column_name").alias("from_column"),
-                    "family", F.col("nd").alias("nd_a"))
+                    "family", F.col("nd").alias("nd_a"), F.col("imin").alias("ai0"), F.col("imax").alias("ai1"),
+                    F.col("smin").alias("as0"), F.col("smax").alias("as1"))
     b = cols.select(F.col("table_name").alias("to_table"), F.col("column_name").alias("to_column"),
-                    "family", F.col("nd").alias("nd_b"))
+                    "family", F.col("nd").alias("nd_b"), F.col("imin").alias("bi0"), F.col("imax").alias("bi1"),
+                    F.col("smin").alias("bs0"), F.col("smax").alias("bs1"))
     pairs = a.join(b, "family").where((F.col("from_table") != F.col("to_table")) & (F.col("nd_a") > 0))
     if min_rate >= 1.0:
-        pairs = pairs.where(F.col("nd_a") <= F.col("nd_b"))
+        # exact necessary conditions for full inclusion: no more distinct values, and
+        # A's value range inside B's
+        inside = (F.coalesce((F.col("ai0") >= F.col("bi0")) & (F.col("ai1") <= F.col("bi1")), F.lit(True))
+                  & F.coalesce((F.col("as0") >= F.col("bs0")) & (F.col("as1") <= F.col("bs1")), F.lit(True)))
+        pairs = pairs.where((F.col("nd_a") <= F.col("nd_b")) & inside)
     pairs = pairs.select("from_table", "from_column", "to_table", "to_column")
     # Values of A paired with each candidate B (partners per column are catalog-bounded).
     agg = _inclusion(vals, vals, pairs)
