@@ -34,18 +34,30 @@ def dedupe_latest(df: DataFrame, key, order, tiebreak=()) -> DataFrame:
 
 
 # ------------------------------------------------------------------ D2, D3
-def surrogate_key(df: DataFrame, natural_key, key_name: str, offset=0, partitions: int | None = None) -> DataFrame:
+# A dimension of at most this many rows (checked by counting at most this many + 1 rows)
+# is numbered by one ordered window in one task; larger ones use range partitions.
+SMALL_DIM_ROWS = 1_000_000
+
+
+def surrogate_key(df: DataFrame, natural_key, key_name: str, offset=0, partitions: int | None = None,
+                  small_max_rows: int = SMALL_DIM_ROWS) -> DataFrame:
     """Dense keys 1..n (+ offset) in natural-key order; equals
     ``ROW_NUMBER() OVER (ORDER BY natural_key)`` for a unique, non-null key.
 
-    No single-partition window: rows are range-partitioned on the key and sorted
-    within partitions; each row gets its partition id and position, the result is
+    Dimensions with a proven size of at most ``small_max_rows`` are numbered by one
+    ordered window. Larger ones never go through a single partition: rows are
+    range-partitioned on the key and sorted within partitions; each row gets its partition id and position, the result is
     checkpointed (range bounds come from sampling, so a re-evaluation could cut
     differently), and the per-partition counts (one row per partition) become
     cumulative offsets that are broadcast back.
     """
     spark = df.sparkSession
     keys = [natural_key] if isinstance(natural_key, str) else list(natural_key)
+    off = offset if not isinstance(offset, (int, float)) else F.lit(int(offset))
+    if small_max_rows and df.limit(small_max_rows + 1).count() <= small_max_rows:
+        # proven small: one ordered window over at most ``small_max_rows`` rows
+        w = Window.orderBy(*[F.col(k).asc_nulls_last() for k in keys])
+        return df.withColumn(key_name, (off + F.row_number().over(w)).cast("bigint"))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     checkpoint_dir(spark)
     ranged = (df.repartitionByRange(n, *[F.col(k).asc_nulls_last() for k in keys])
@@ -57,7 +69,6 @@ def surrogate_key(df: DataFrame, natural_key, key_name: str, offset=0, partition
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", "_base",
                             F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    off = offset if not isinstance(offset, (int, float)) else F.lit(int(offset))
     return (ranged.join(F.broadcast(offsets), "_pid")
             .withColumn(key_name, (off + F.col("_before") + (F.col("_mid") - F.col("_base")) + 1).cast("bigint"))
             .drop("_pid", "_mid", "_base", "_before"))

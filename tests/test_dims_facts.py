@@ -11,15 +11,18 @@ SF = "/root/testdata/sf0.001"
 
 def test_surrogate_key_dense_unique_and_ordered(spark):
     df = spark.range(0, 5000).select(((F.col("id") * 7919) % 100003).alias("k"))
-    keyed = Dm.surrogate_key(df, "k", "sk", partitions=7)
-    got = keyed.orderBy("k").select("sk").collect()
-    assert [r[0] for r in got] == list(range(1, 5001))
+    for small in (0, 1_000_000):  # range-partition path and bounded single-window path
+        keyed = Dm.surrogate_key(df, "k", "sk", partitions=7, small_max_rows=small)
+        got = keyed.orderBy("k").select("sk").collect()
+        assert [r[0] for r in got] == list(range(1, 5001))
 
 
 def test_surrogate_key_with_offset_and_composite(spark):
     df = spark.createDataFrame([("b", 1), ("a", 2), ("a", 1)], "x string, y int")
-    keyed = {(r.x, r.y): r.sk for r in Dm.surrogate_key(df, ["x", "y"], "sk", offset=10).collect()}
-    assert keyed == {("a", 1): 11, ("a", 2): 12, ("b", 1): 13}
+    for small in (0, 100):
+        keyed = {(r.x, r.y): r.sk for r in Dm.surrogate_key(df, ["x", "y"], "sk", offset=10,
+                                                             small_max_rows=small).collect()}
+        assert keyed == {("a", 1): 11, ("a", 2): 12, ("b", 1): 13}
 
 
 def test_stable_surrogate_key_keeps_old_keys(spark):

@@ -13,10 +13,12 @@ SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(He
 
 
 @SETTINGS
-@given(keys=st.sets(st.integers(-10**12, 10**12), min_size=1, max_size=300), parts=st.integers(1, 9))
-def test_surrogate_key_is_row_number(spark, keys, parts):
+@given(keys=st.sets(st.integers(-10**12, 10**12), min_size=1, max_size=300), parts=st.integers(1, 9),
+       small=st.sampled_from([0, 10, 10**6]))
+def test_surrogate_key_is_row_number(spark, keys, parts, small):
     df = spark.createDataFrame([(k,) for k in keys], "k bigint")
-    got = [r.sk for r in Dm.surrogate_key(df, "k", "sk", partitions=parts).orderBy("k").collect()]
+    got = [r.sk for r in Dm.surrogate_key(df, "k", "sk", partitions=parts, small_max_rows=small)
+           .orderBy("k").collect()]
     assert got == list(range(1, len(keys) + 1))
 
 
