@@ -421,6 +421,17 @@ def profile_columns(df: DataFrame, table_name: str, percentiles: str | None = "e
     return prof, top
 
 
+def table_top_values(df: DataFrame, table_name: str, threshold: int = TOP_THRESHOLD,
+                     limit: int = TOP_LIMIT) -> DataFrame:
+    """P8-P10 + W1 alone: the top values of a table without the other statistics
+    (one frequency shuffle, no wide aggregate)."""
+    freqs = value_frequencies(df)
+    dc = distinct_counts(freqs)
+    nested = [f.name for f in df.schema.fields if type_family(f.dataType) == OTHER]
+    top = top_values(freqs, dc, limit=limit, threshold=threshold, exclude=nested)
+    return top.select(F.lit(table_name).alias("table_name"), "column_name", "rank", "value", "frequency")
+
+
 def table_quality(profile: DataFrame) -> DataFrame:
     """Avg / max null % per table and the list of columns above 50 %."""
     return (profile.groupBy("table_name").agg(

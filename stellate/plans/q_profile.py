@@ -24,8 +24,7 @@ def _profile(table):
 
 def _top(table):
     def q(spark, sf):
-        _, top = P.profile_columns(load_table(spark, sf, table), table, digits=DIGITS)
-        return top
+        return P.table_top_values(load_table(spark, sf, table), table)
     return q
 
 
