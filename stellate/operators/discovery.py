@@ -20,6 +20,12 @@ KEY_SUFFIXES = ("_id", "_key", "_code", "_num")
 MAX_KEY_TEXT = 255  # a text column longer than this is never a key candidate
 
 
+def local_copy(df: DataFrame) -> DataFrame:
+    """Materialise a catalog-sized result (keys, relations: one row per table or column
+    pair) as a local table, so reusing it does not re-run the discovery behind it."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 # ---------------------------------------------------------------- K1 uniqueness
 def uniqueness(df: DataFrame, cols) -> DataFrame:
     """K1: rows, distinct key values, duplicate keys and a uniqueness flag for a key (set).

@@ -421,6 +421,25 @@ def profile_columns(df: DataFrame, table_name: str, percentiles: str | None = "e
     return prof, top
 
 
+def profile_light(tables: dict) -> DataFrame:
+    """Counts, ranges, lengths and roles of every column of every table, without the
+    value-frequency shuffle (no distinct counts, percentiles or top values): one wide
+    aggregate per table, all tables in one job. For consumers that need no value-level
+    statistics (role inference, table specs)."""
+    parts = []
+    for name, df in tables.items():
+        st = profile_stats(df, percentiles=None)
+        if "family" not in st.columns:
+            continue
+        nulls = F.col("total_rows") - F.col("non_null_count")
+        parts.append(st.select(
+            F.lit(name).alias("table_name"), "column_name", "ordinal", "data_type", "total_rows", "non_null_count",
+            nulls.alias("null_count"), null_pct(nulls, F.col("total_rows")).alias("null_pct"),
+            "min_val", "max_val", "min_date", "max_date", "min_length", "max_length",
+            column_role(F.col("column_name"), F.col("family")).alias("column_role")))
+    return _union(parts)
+
+
 def table_top_values(df: DataFrame, table_name: str, threshold: int = TOP_THRESHOLD,
                      limit: int = TOP_LIMIT) -> DataFrame:
     """P8-P10 + W1 alone: the top values of a table without the other statistics

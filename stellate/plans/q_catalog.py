@@ -375,9 +375,10 @@ def relation_matrix(spark, sf):
 
 
 def _roles(spark, sf):
-    tabs, prof = _profile_all(spark, sf)
-    pks = K.infer_primary_keys(K.key_profile(tabs))
-    fks = K.infer_foreign_keys(tabs, M.catalog_columns(spark, tabs), pks)
+    tabs = _tables(spark, sf)
+    prof = P.profile_light(tabs)
+    pks = K.local_copy(K.infer_primary_keys(K.key_profile(tabs)))
+    fks = K.local_copy(K.infer_foreign_keys(tabs, M.catalog_columns(spark, tabs), pks))
     summary = P.table_summary(prof, pks.select("table_name", "column_name"))
     return prof, pks, fks, K.infer_role(summary, fks, prof)
 

@@ -23,9 +23,9 @@ def _tables(spark, sf):
 
 def _inferred(spark, sf):
     tabs = _tables(spark, sf)
-    kp = K.key_profile(tabs)
-    pks = K.infer_primary_keys(kp)
-    return tabs, kp, pks, K.infer_foreign_keys(tabs, M.catalog_columns(spark, tabs), pks).select(*REL)
+    kp = K.local_copy(K.key_profile(tabs))
+    pks = K.local_copy(K.infer_primary_keys(kp))
+    return tabs, kp, pks, K.local_copy(K.infer_foreign_keys(tabs, M.catalog_columns(spark, tabs), pks).select(*REL))
 
 
 def _declared(spark):
@@ -209,7 +209,7 @@ WHERE from_role = 'dimension' AND to_role = 'dimension'""")
 def modelling_flags(spark, sf):
     """V7: many-to-many relations and dimension -> dimension relations."""
     tabs, kp, pks, fks = _inferred(spark, sf)
-    prof, _, _ = P.profile_many(tabs, percentiles=None)
+    prof = P.profile_light(tabs)
     summary = P.table_summary(prof, pks.select("table_name", "column_name"))
     roles = K.infer_role(summary, fks, prof)
     return V.modelling_flags(K.relation_cardinality(fks, kp), roles)
