@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stellate.functions.types import DATE, NUMERIC, STRING, type_family
+from stellate.functions.types import DATE, STRING, type_family
 from stellate.operators.catalog import name_stem
 
 # Column-name endings that mark a shared join key.

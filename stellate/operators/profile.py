@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stellate.functions.types import BOOLEAN, DATE, NUMERIC, OTHER, STRING, type_family
+from stellate.functions.types import DATE, NUMERIC, OTHER, STRING, type_family
 from stellate.operators.partitioning import spread
 from stellate.session import checkpoint_dir
 

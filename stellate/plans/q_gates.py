@@ -9,7 +9,6 @@ from stellate.operators import facts as Fa
 from stellate.operators import profile as P
 from stellate.operators import quality as Q
 from stellate.plans.registry import register
-from stellate.plans.schemas import SCHEMAS
 from stellate.plans.sqlgen import profile_sql
 from stellate.sources import derived as D
 from stellate.sources.tables import TABLES, load_table

@@ -1,5 +1,4 @@
 import pandas as pd
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stellate.functions import clean as C
