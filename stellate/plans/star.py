@@ -26,8 +26,13 @@ def _write(spark: SparkSession, df: DataFrame, out_dir: str, name: str) -> DataF
     return spark.read.parquet(path)
 
 
-def build_star(spark: SparkSession, sf_dir: str, out_dir: str | None = None):
-    """Build dims, bridge and facts; return (targets, audit, gates)."""
+def build_star(spark: SparkSession, sf_dir: str, out_dir: str | None = None, audit_path: str | None = None):
+    """Build dims, bridge and facts; return (targets, audit, gates).
+
+    The audit rows are also appended (S11: an append-only record of loads) to
+    ``audit_path``, by default ``<out_dir>/_load_audit``; each run adds its rows with
+    the run's timestamp and output folder.
+    """
     out_dir = out_dir or S.scratch_path(spark, "star")
     t = {n: load_table(spark, sf_dir, n) for n in ("customer", "nation", "region", "part", "supplier",
                                                    "orders", "lineitem")}
@@ -92,6 +97,8 @@ def build_star(spark: SparkSession, sf_dir: str, out_dir: str | None = None):
         (6, "dim_order_status", status, []), (7, "bridge_customer_product", bridge, ["customer_key", "product_key"]),
         (8, "fact_sales_orders", orders_fact, ["order_date_key", "customer_key", "order_status_key"]),
         (9, "fact_sales_lines", lines_fact, ["ship_date_key", "product_key", "company_key"])])
+    Q.write_audit(audit.select("*", F.current_timestamp().alias("run_at"), F.lit(out_dir).alias("run_dir")),
+                  audit_path or os.path.join(out_dir, "_load_audit"))
     gates = Q.gate_report(
         Q.fk_coverage(orders_fact, "fact_sales_orders", ["order_date_key", "customer_key", "order_status_key"]),
         Q.fk_coverage(lines_fact, "fact_sales_lines", ["ship_date_key", "product_key", "company_key"]),

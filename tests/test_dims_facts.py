@@ -100,3 +100,12 @@ def test_unknown_member(spark):
     dim = spark.createDataFrame([(1, "a")], "sk bigint, name string")
     out = {r.sk: r.name for r in Dm.unknown_member(dim, "sk").collect()}
     assert out == {1: "a", -1: "Unknown"}
+
+
+def test_star_build_appends_audit(spark, tmp_path):
+    from stellate.plans.star import build_star
+    audit_path = str(tmp_path / "audit")
+    for run in range(2):
+        build_star(spark, SF, out_dir=str(tmp_path / f"run{run}"), audit_path=audit_path)
+    log = spark.read.parquet(audit_path)
+    assert log.count() == 18 and log.select("run_dir").distinct().count() == 2
