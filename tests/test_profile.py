@@ -130,3 +130,20 @@ def test_profile_uses_rank_selection_for_large_columns(spark, monkeypatch):
     assert np.allclose([r["x"].p25, r["x"].median, r["x"].p75], np.percentile(vals, [25, 50, 75]))
     assert np.allclose([r["k"].p25, r["k"].median, r["k"].p75], np.percentile([i % 3 for i in range(1000)],
                                                                                [25, 50, 75]))
+
+
+def test_approx_profile_close_to_exact(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    exact = {r.column_name: r for r in P.profile_columns(df, "l")[0].collect()}
+    approx = {r.column_name: r for r in P.profile_columns(df, "l", percentiles="approx",
+                                                          distinct="approx")[0].collect()}
+    for c, e in exact.items():
+        a = approx[c]
+        assert a.non_null_count == e.non_null_count and a.min_val == e.min_val and a.max_val == e.max_val
+        assert abs(a.distinct_count - e.distinct_count) <= max(2, 0.1 * e.distinct_count), c
+        if e.median is not None:
+            # percentile_approx returns a data value (nearest rank), the exact profile
+            # interpolates: allow 5 % of the range plus one step between distinct values
+            span = (e.max_val - e.min_val) or 1.0
+            step = span / max(e.distinct_count - 1, 1)
+            assert abs(a.median - e.median) <= 0.05 * span + step, c
