@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import hosts, packing, prefix_counts
+from stellate.llm import hosts, langid, packing, prefix_counts, simhash
 from stellate.sources.tables import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_table(spark, sf_dir, "documents")
 
 
+@query()
+def op1_simhash_gray_index(spark, sf_dir):
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "copies")
+
+
 @query()
 def op3_power_of_two_packing(spark, sf_dir):
     pieces = packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
@@ -35,6 +41,12 @@ def op3_power_of_two_packing(spark, sf_dir):
                          "sequence_id", "offset")
 
 
+@query()
+def op7_ppm_language_id(spark, sf_dir):
+    found = langid.identify(documents(spark, sf_dir))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 # Fixed rules of the query: (host, path prefix, verdict).
 SITE_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
               ("net", "/es/", "block"), ("net", "/fr/", "block"))
