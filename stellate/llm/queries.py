@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import hosts, langid, packing, prefix_counts, simhash
+from stellate.llm import hosts, langid, packing, prefix_counts, simhash, weighted_sampling
 from stellate.sources.tables import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op1_simhash_gray_index(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "copies")
 
 
+@query()
+def op2_weighted_sampling(spark, sf_dir):
+    return weighted_sampling.edit_robustness(documents(spark, sf_dir))
+
+
 @query()
 def op3_power_of_two_packing(spark, sf_dir):
     pieces = packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
