@@ -113,6 +113,24 @@ def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE)
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+# Byte values with A-Z and a-z taken as equal.
+LOWER_VALUES = BYTE_VALUES.copy()
+LOWER_VALUES[65:91] = BYTE_VALUES[97:123]
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
+    """Rabin-Karp hash of each word, a stretch of bytes at a time."""
+    out = np.empty(len(starts), _U64)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + SLICE_BYTES, "right")))
+        base = starts[i]
+        sums = prefix_sums(values[data[base:ends[j - 1]]])
+        out[i:j] = spans_hash(sums, starts[i:j] - base, ends[i:j] - base)
+        i = j
+    return out
+
+
 def window_min(keys: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each ``width`` consecutive keys."""
     step, out = 1, keys

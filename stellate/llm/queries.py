@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import hosts, langid, packing, prefix_counts, simhash, weighted_sampling
+from stellate.llm import decontaminate, hosts, langid, packing, prefix_counts, simhash, weighted_sampling
 from stellate.sources.tables import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,13 @@ def op3_power_of_two_packing(spark, sf_dir):
                          "sequence_id", "offset")
 
 
+@query()
+def op4_fm_index_decontamination(spark, sf_dir):
+    found = decontaminate.decontaminate(documents(spark, sf_dir), load_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 @query()
 def op7_ppm_language_id(spark, sf_dir):
     found = langid.identify(documents(spark, sf_dir))
