@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import decontaminate, hosts, langid, packing, prefix_counts, simhash, weighted_sampling
+from stellate.llm import decontaminate, hosts, langid, packing, prefix_counts, simhash, substrings, suffixes, weighted_sampling
 from stellate.sources.tables import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,19 @@ def op4_fm_index_decontamination(spark, sf_dir):
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+@query()
+def op5_rabin_karp_substrings(spark, sf_dir):
+    found = substrings.dedup_substrings(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query()
+def op6_suffix_merge_sort(spark, sf_dir):
+    found = suffixes.dedup_bytes(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query()
 def op7_ppm_language_id(spark, sf_dir):
     found = langid.identify(documents(spark, sf_dir))
