@@ -113,6 +113,29 @@ def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE)
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+# Kinds of bytes for tokens that tell words from signs: 0 white space, 1 letters, digits and all of
+# non-ASCII, 2 the rest.
+KINDS = np.full(256, 2, np.int8)
+KINDS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+KINDS[SPACE] = 0
+
+
+def tokens(data: np.ndarray, offsets: np.ndarray):
+    """(starts, ends, first token of each text and the end): runs of words or of signs."""
+    if not len(data):
+        z = np.zeros(0, np.int64)
+        return z, z, np.zeros(len(offsets), np.int64)
+    kind = KINDS[data]
+    turn = np.zeros(len(data), bool)
+    turn[1:] = kind[1:] != kind[:-1]
+    turn[offsets[:-1][offsets[:-1] < len(data)]] = True
+    starts = np.flatnonzero(turn)
+    ends = np.append(starts[1:], len(data))
+    some = kind[starts] > 0
+    starts, ends = starts[some], ends[some]
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
 # Byte values with A-Z and a-z taken as equal.
 LOWER_VALUES = BYTE_VALUES.copy()
 LOWER_VALUES[65:91] = BYTE_VALUES[97:123]

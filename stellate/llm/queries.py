@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import decontaminate, hosts, langid, packing, prefix_counts, simhash, substrings, suffixes, weighted_sampling
+from stellate.llm import decontaminate, hosts, langid, packing, prefix_counts, resample, simhash, substrings, suffixes, weighted_sampling
 from stellate.sources.tables import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,6 +116,13 @@ def op8_host_reputation(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query()
+def op9_importance_resampling(spark, sf_dir):
+    """The drawn sample."""
+    drawn = resample.resample(documents(spark, sf_dir), load_table(spark, sf_dir, "labels"))
+    return drawn.where("selected")
+
+
 @query()
 def op10_prefix_token_counts(spark, sf_dir):
     counted = prefix_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), tables=False)

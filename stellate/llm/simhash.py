@@ -277,3 +277,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = classes.join(least, "root").select("fp", "component_id", "copies")
     return marked.join(by_fp, "fp").select(id_col, "fp", "component_id", "copies")
+
+
+def keep_representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs``, all their columns, with one row of each class: the smallest doc_id (null first), by text
+    hash where ids repeat, and once where whole rows repeat."""
+    held = docs.select(F.struct("*").alias("row"), "text", F.struct("doc_id", F.xxhash64("text").alias("text")).alias("key"))
+    chosen = (near_duplicates(held, "key", "text", shingle, max_bits)
+              .where(F.col("key").eqNullSafe(F.col("component_id"))).select(F.col("key").alias("kept")).distinct())
+    same = F.col("key").eqNullSafe(F.col("kept"))
+    return held.join(chosen, same, "left_semi").dropDuplicates(["key"]).select("row.*")

@@ -233,9 +233,9 @@ def merge_runs(runs: DataFrame, buckets: int, gram: int, length: int) -> DataFra
 
 
 def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                crowd: int = CROWD) -> DataFrame:
+                crowd: int = CROWD, whole_characters: bool = False) -> DataFrame:
     """id, n_bytes, n_removed, spans (maximal removed runs of bytes), kept (bytes), row (struct of the other
-    columns)."""
+    columns). With ``whole_characters``, what is left of characters that were cut goes from ``kept`` too."""
     units = Units(length, min(GRAM, length), byte_units)
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
 
@@ -249,28 +249,31 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches):
         for batch in batches:
-            kept, spans = [], []
+            kept, spans, size = [], [], []
             for text, ranges in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()):
                 gone = covered(ranges, length)
+                size.append(len(text))
                 if gone:
                     edges = [0, *(x for span in gone for x in span), len(text)]
                     text = b"".join([text[s:e] for s, e in zip(edges[::2], edges[1::2])])
+                    if whole_characters:
+                        text = text.decode("utf-8", "ignore").encode()
                 kept.append(text)
                 spans.append(gone)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                 pa.array(kept, pa.binary())], ["id", "row", "spans", "kept"])
+                [batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                 pa.array(kept, pa.binary())], ["id", "row", "n_bytes", "spans", "kept"])
 
-    out = found.mapInArrow(run, f"id {id_type}, row {row_type}, spans array<struct<start:long,end:long>>, kept binary")
+    out = found.mapInArrow(run, f"id {id_type}, row {row_type}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return out.select(F.col("id").alias(id_col), (removed + F.octet_length("kept")).alias("n_bytes"), removed.alias("n_removed"),
+    return out.select(F.col("id").alias(id_col), "n_bytes", removed.alias("n_removed"),
                       "spans", "kept", "row")
 
 
 def keep_new_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` with repeated bytes cut from their texts. Characters that were cut in two are dropped whole,
-    and ``n_chars`` is counted anew; null texts become empty."""
-    done = dedup_bytes(docs, length=length)
-    text = F.try_validate_utf8(F.col("kept").cast("string"))
-    return done.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(
-        *[F.col(c) if c in ("doc_id", "text", "n_chars") else F.col(f"row.{c}") for c in docs.columns])
+    """``docs``, all their columns, with repeated bytes cut from their texts (what is left of a character
+    that was cut goes too) and ``n_chars`` counted anew; null texts become empty."""
+    done = dedup_bytes(docs, length=length, whole_characters=True)
+    text = F.col("kept").cast("string")
+    new = {"doc_id": F.col("doc_id"), "text": text.alias("text"), "n_chars": F.char_length(text).cast("long").alias("n_chars")}
+    return done.select(*[new.get(c, F.col(f"row.`{c}`")) for c in docs.columns])
