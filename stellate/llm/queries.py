@@ -46,20 +46,67 @@ def op3_power_of_two_packing(spark, sf_dir):
                          "sequence_id", "offset")
 
 
-@query()
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP4_WORDS = r"regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_OP4_SQL = f"""
+WITH b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_OP4_WORDS} AS w FROM benchmark),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_OP4_WORDS} AS w FROM documents),
+win AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS p FROM
+  (SELECT item, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+dw AS (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS p FROM
+  (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT r, i, dw.n, item FROM dw JOIN win ON dw.p = win.p AND dw.n = win.n),
+cov AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS pos FROM hit) GROUP BY r),
+it AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN cov USING (r) LEFT JOIN it USING (r)"""
+
+
+@query(_OP4_SQL)
 def op4_fm_index_decontamination(spark, sf_dir):
     found = decontaminate.decontaminate(documents(spark, sf_dir), load_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
-@query()
+def _repeats_sql(units: str, length: str, window: str, part: str, width: int, result: str) -> str:
+    """Islands of repeated windows: texts as ``units``, windows and kept parts as SQL over them (positions
+    from 0)."""
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {units} AS u FROM documents),
+n AS (SELECT r, doc_id, u, CAST({length} AS BIGINT) AS n FROM d),
+w AS (SELECT r, i, md5({window}) AS k FROM (SELECT r, u, unnest(range(0, n - {width - 1})) AS i FROM n WHERE n >= {width})),
+rep AS (SELECT r, i FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+isl AS (SELECT r, i, sum(CASE WHEN i - before > {width} OR before IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS g
+  FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM rep)),
+span AS (SELECT r, g, min(i) AS s, max(i) + {width} AS e FROM isl GROUP BY r, g),
+gap AS (SELECT r, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) AS a, s AS b FROM span
+  UNION ALL SELECT n.r, coalesce(max(e), 0), min(n.n) FROM n LEFT JOIN span USING (r) GROUP BY n.r),
+kept AS (SELECT r, {part} AS kept FROM gap JOIN n USING (r) WHERE b > a GROUP BY r),
+cnt AS (SELECT r, CAST(sum(e - s) AS BIGINT) AS n_removed, count(*) AS n_spans FROM span GROUP BY r)
+SELECT doc_id, {result} FROM n LEFT JOIN cnt USING (r) LEFT JOIN kept USING (r)"""
+
+
+_OP5_SQL = _repeats_sql(
+    r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')", "len(u)", "array_to_string(u[i + 1:i + 35], ' ')",
+    "string_agg(array_to_string(u[a + 1:b], ' '), ' ' ORDER BY a)", 35,
+    "n AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256")
+_OP6_SQL = _repeats_sql(
+    "hex(encode(coalesce(text, '')))", "length(u) // 2", "substr(u, 2 * i + 1, 400)",
+    "string_agg(substr(u, 2 * a + 1, 2 * (b - a)), '' ORDER BY a)", 200,
+    "n AS n_bytes, coalesce(n_removed, 0) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, "
+    "sha256(unhex(coalesce(kept, ''))) AS kept_sha256")
+
+
+@query(_OP5_SQL)
 def op5_rabin_karp_substrings(spark, sf_dir):
     found = substrings.dedup_substrings(documents(spark, sf_dir))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
-@query()
+@query(_OP6_SQL)
 def op6_suffix_merge_sort(spark, sf_dir):
     found = suffixes.dedup_bytes(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
