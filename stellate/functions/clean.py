@@ -29,11 +29,6 @@ def col(c) -> Column:
 
 
 # ------------------------------------------------------------------ F: projections / filters
-def project(df: DataFrame, exprs: dict) -> DataFrame:
-    """explicit projection, every target column once, in the given order."""
-    return df.select(*[col(e).alias(name) for name, e in exprs.items()])
-
-
 def typed_null(type_: str | T.DataType) -> Column:
     """NULL of a type."""
     return F.lit(None).cast(type_)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,30 +34,20 @@ def dedupe_latest(df: DataFrame, key, order, tiebreak=()) -> DataFrame:
 
 
 # ------------------------------------------------------------------ D2, D3
-# A dimension of at most this many rows (checked by counting at most this many + 1 rows)
-# is numbered by one ordered window in one task; larger ones use range partitions.
-SMALL_DIM_ROWS = 1_000_000
-
-
-def surrogate_key(df: DataFrame, natural_key, key_name: str, offset=0, partitions: int | None = None,
-                  small_max_rows: int = SMALL_DIM_ROWS) -> DataFrame:
+def surrogate_key(df: DataFrame, natural_key, key_name: str, offset=0, partitions: int | None = None) -> DataFrame:
     """Dense keys 1..n (+ offset) in natural-key order; equals
     ``ROW_NUMBER() OVER (ORDER BY natural_key)`` for a unique, non-null key.
 
-    Dimensions with a proven size of at most ``small_max_rows`` are numbered by one
-    ordered window. Larger ones never go through a single partition: rows are
-    range-partitioned on the key and sorted within partitions; each row gets its partition id and position, the result is
-    checkpointed (range bounds come from sampling, so a re-evaluation could cut
-    differently), and the per-partition counts (one row per partition) become
-    cumulative offsets that are broadcast back.
+    Rows never go through a single partition, whatever the size: they are
+    range-partitioned on the key and sorted within partitions; each row gets its
+    partition id and position, the result is checkpointed (range bounds come from
+    sampling, so a re-evaluation could cut differently; the input is evaluated once),
+    and the per-partition counts (one row per partition) become cumulative offsets
+    that are broadcast back.
     """
     spark = df.sparkSession
     keys = [natural_key] if isinstance(natural_key, str) else list(natural_key)
     off = offset if not isinstance(offset, (int, float)) else F.lit(int(offset))
-    if small_max_rows and df.limit(small_max_rows + 1).count() <= small_max_rows:
-        # proven small: one ordered window over at most ``small_max_rows`` rows
-        w = Window.orderBy(*[F.col(k).asc_nulls_last() for k in keys])
-        return df.withColumn(key_name, (off + F.row_number().over(w)).cast("bigint"))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     checkpoint_dir(spark)
     ranged = (df.repartitionByRange(n, *[F.col(k).asc_nulls_last() for k in keys])
@@ -76,9 +66,10 @@ def surrogate_key(df: DataFrame, natural_key, key_name: str, offset=0, partition
 
 def stable_surrogate_key(existing: DataFrame, incoming: DataFrame, natural_key, key_name: str) -> DataFrame:
     """D3: identity semantics across loads: existing rows keep their keys, new natural
-    keys get max(key) + 1, + 2, ... in natural-key order."""
+    keys get max(key) + 1, + 2, ... in natural-key order. Repeated incoming keys get one
+    row, rows without a natural key none."""
     keys = [natural_key] if isinstance(natural_key, str) else list(natural_key)
-    new = incoming.join(existing.select(*keys), keys, "left_anti")
+    new = C.require_key(incoming, keys).dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
     top = existing.agg(F.max(key_name)).first()[0] or 0  # one scalar
     fresh = surrogate_key(new, keys, key_name, offset=int(top))
     return existing.unionByName(fresh.select(*existing.columns))
@@ -103,7 +94,7 @@ class DimensionSpec:
     keep_null_status: bool = True
     schema: T.StructType | None = None     # C16 target types
     defaults: bool = True                  # C8
-    extra: dict = field(default_factory=dict)
+    foreign_keys: tuple = ()               # attributes that are never defaulted: an unresolved key stays NULL
 
 
 def build_dimension(df: DataFrame, spec: DimensionSpec) -> DataFrame:
@@ -121,7 +112,7 @@ def build_dimension(df: DataFrame, spec: DimensionSpec) -> DataFrame:
     x = x.select(*[F.col(k) for k in spec.natural_key],
                  *[C.col(v).alias(k) for k, v in spec.attributes.items() if k not in spec.natural_key])
     if spec.defaults:
-        x = C.fill_defaults(x, [k for k in spec.attributes if k not in spec.natural_key])
+        x = C.fill_defaults(x, [k for k in spec.attributes if k not in (*spec.natural_key, *spec.foreign_keys)])
     x = surrogate_key(x, list(spec.natural_key), spec.key_name)
     cols = [spec.key_name, *spec.natural_key, *[k for k in spec.attributes if k not in spec.natural_key]]
     x = x.select(*cols)
@@ -131,13 +122,17 @@ def build_dimension(df: DataFrame, spec: DimensionSpec) -> DataFrame:
 
 
 # ------------------------------------------------------------------ D6
-def unknown_member(dim: DataFrame, key_name: str, key_value: int = -1) -> DataFrame:
+def unknown_member(dim: DataFrame, key_name: str, key_value: int = -1, natural_key=()) -> DataFrame:
     """Add one 'Unknown' member for consumers; facts map NULL keys to it with
-    ``coalesce(fk, -1)``."""
+    ``coalesce(fk, -1)``. Columns named in ``natural_key`` stay NULL, as any default could be
+    a real key."""
+    natural = [natural_key] if isinstance(natural_key, str) else list(natural_key)
     row = []
     for f in dim.schema.fields:
         if f.name == key_name:
             row.append(F.lit(key_value).cast(f.dataType).alias(f.name))
+        elif f.name in natural:
+            row.append(F.lit(None).cast(f.dataType).alias(f.name))
         else:
             d = C.default_for(f.dataType)
             row.append((d if d is not None else F.lit(None)).cast(f.dataType).alias(f.name))
@@ -147,9 +142,12 @@ def unknown_member(dim: DataFrame, key_name: str, key_value: int = -1) -> DataFr
 
 # ------------------------------------------------------------------ D7-D9 calendars
 def dim_date(spark: SparkSession, start, end) -> DataFrame:
-    """One row per day in [start, end], generated in parallel with ``range``."""
-    start_d = F.to_date(F.lit(str(start)))
-    n = spark.sql(f"SELECT datediff(DATE'{end}', DATE'{start}') AS n").first()[0]
+    """One row per day in [start, end], generated in parallel with ``range``; no row if a
+    bound is missing (a source without dates)."""
+    start_d = F.to_date(F.lit(None if start is None else str(start)))
+    n = -1
+    if start is not None and end is not None:
+        n = spark.sql(f"SELECT datediff(DATE'{end}', DATE'{start}') AS n").first()[0]
     d = spark.range(0, int(n) + 1).select(F.date_add(start_d, F.col("id").cast("int")).alias("full_date"))
     return d.select(
         date_key("full_date").alias("date_key"), "full_date",

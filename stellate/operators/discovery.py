@@ -1,10 +1,10 @@
 """Key, role and relationship discovery.
 
-Name-based rules (K5-K11) run on the catalog DataFrame. Data evidence (K1, K4, K15)
-runs on the tables: every table is scanned once per side, its candidate columns
-stacked as ``(table, column, value)`` and de-duplicated with a map-side partial
-aggregate; inclusion is then one join per value against the target's distinct
-values. Candidate column pairs are catalog-sized and broadcast.
+Name-based rules (K5-K11) run on the catalog DataFrame. Data evidence (K1-K4, K15)
+runs on the tables: every table is scanned once, its candidate columns stacked as
+``(column, value)`` and de-duplicated with a map-side partial aggregate; grouping by
+value then tells which sets of columns share how many values (``value_sets``), and all
+key and inclusion questions are sums over that catalog-sized result.
 """
 
 from __future__ import annotations
@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from stellate.functions.types import DATE, STRING, type_family
 from stellate.operators.catalog import name_stem
+from stellate.session import checkpoint_dir
 
 # Column-name endings that mark a shared join key.
 KEY_SUFFIXES = ("_id", "_key", "_code", "_num")
-MAX_KEY_TEXT = 255  # a text column longer than this is never a key candidate
+LONG_TEXT = 64  # longer texts are compared by a 128-bit digest instead of being shuffled
 
 
 def local_copy(df: DataFrame) -> DataFrame:
@@ -50,13 +51,13 @@ def uniqueness(df: DataFrame, cols) -> DataFrame:
 
 
 # ---------------------------------------------------------------- stacked values
-KEY_FAMILIES = ("integral", STRING, DATE)
+KEY_FAMILIES = ("number", STRING, DATE)
 
 
 def key_family(dt) -> str | None:
     from pyspark.sql import types as T
-    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return "integral"
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)):
+        return "number"
     fam = type_family(dt)
     if fam in (STRING, DATE):
         return fam
@@ -74,181 +75,155 @@ def key_columns(tables: dict) -> list[tuple[str, str, str]]:
     return out
 
 
-def stacked_values(tables: dict, columns) -> DataFrame:
-    """Distinct non-null values of the given columns: (table_name, column_name, ival, sval).
-
-    Integral columns carry their value in ``ival`` (a long: hashed and compared as a
-    number, never formatted), every other column its text in ``sval``. One scan per
-    table; all of its columns are stacked with ``inline``; ``distinct`` combines map-side.
+def _key_value(name: str, dt):
+    """(ival, sval) of a column: whole numbers of any numeric type, and texts that read as one, are a
+    long; other numbers their shortest decimal text; long texts a digest. Equal values of different types
+    meet on the same pair."""
+    from pyspark.sql import types as T
+    c = F.col(f"`{name}`")
+    none_i, none_s = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    if isinstance(dt, T.DecimalType):
+        text = c.cast("string")
+        short = F.when(text.contains("."), F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
+        whole = F.when(short.rlike(r"^-?\d{1,18}$"), short).try_cast("bigint")
+        return whole, F.when(whole.isNull(), short)
+    if key_family(dt) == "number":
+        return c.cast("bigint"), none_s
+    text = c.cast("string")
+    if type_family(dt) == DATE:
+        return none_i, text
+    whole = F.when(text.rlike(r"^(0|-?[1-9]\d{0,17})$"), text).try_cast("bigint")
+    long_ = F.concat(F.lit("#"), F.md5(text.cast("binary")))
+    return whole, F.when(whole.isNull(), F.when(F.length(text) > LONG_TEXT, long_).otherwise(text))
+
+
+def value_sets(tables: dict, columns) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """Which columns share how many values: (cols, n): ``n`` different values occur in exactly the columns
+    ``cols`` (sorted positions in the returned list).
+
+    One scan per table and one shuffle of the different values, whatever the number of column pairs; the
+    result has one row per different set of columns and is checkpointed, so key, foreign-key and inclusion
+    questions read it instead of the tables.
     """
+    listed = sorted(set(columns))
+    place = {c: i for i, c in enumerate(listed)}
     by_table: dict[str, list[str]] = {}
-    for t, c in columns:
+    for t, c in listed:
         by_table.setdefault(t, []).append(c)
     parts = []
     for t, cols in sorted(by_table.items()):
-        df = tables[t]
-        types = {f.name: f.dataType for f in df.schema.fields}
+        types = {f.name: f.dataType for f in tables[t].schema.fields}
         entries = []
         for c in cols:
-            col = F.col(f"`{c}`")
-            integral = key_family(types[c]) == "integral"
-            entries.append(F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
-                                    (col.cast("bigint") if integral else F.lit(None).cast("bigint")).alias("ival"),
-                                    (F.lit(None).cast("string") if integral else col.cast("string")).alias("sval")))
-        parts.append(df.select(F.inline(F.array(*entries))))
+            ival, sval = _key_value(c, types[c])
+            entries.append(F.struct(F.lit(place[(t, c)]).alias("c"), ival.alias("ival"), sval.alias("sval")))
+        parts.append(tables[t].select(F.inline(F.array(*entries))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.where(F.col("ival").isNotNull() | F.col("sval").isNotNull()).distinct()
+    checkpoint_dir(out.sparkSession)
+    held = (out.where(F.col("ival").isNotNull() | F.col("sval").isNotNull()).distinct()
+            .groupBy("ival", "sval").agg(F.sort_array(F.collect_list("c")).alias("cols")))
+    sets = held.groupBy("cols").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    return sets, listed
+
+
+def _names(spark, listed) -> DataFrame:
+    return spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate(listed)], "c int, table_name string, column_name string")
+
 
+def distinct_by_sets(sets: DataFrame, listed) -> DataFrame:
+    """Distinct non-null values of every column: (table_name, column_name, distinct_count)."""
+    counts = sets.select(F.explode("cols").alias("c"), "n").groupBy("c").agg(F.sum("n").alias("n"))
+    return _names(sets.sparkSession, listed).join(counts, "c", "left").select(
+        "table_name", "column_name", F.coalesce("n", F.lit(0)).cast("bigint").alias("distinct_count"))
 
-def _as_text(vals: DataFrame) -> DataFrame:
-    """Compare across families on text: integral values become their decimal text."""
-    return vals.select("table_name", "column_name", F.lit(None).cast("bigint").alias("ival"),
-                       F.coalesce("sval", F.col("ival").cast("string")).alias("sval"))
 
+def shared_by_sets(sets: DataFrame, listed) -> DataFrame:
+    """Column pairs that share values, with how many: catalog-sized."""
+    pairs = (sets.select(F.explode("cols").alias("a"), "cols", "n").select("a", F.explode("cols").alias("b"), "n")
+             .where("a <> b").groupBy("a", "b").agg(F.sum("n").alias("found_values")))
+    names = _names(sets.sparkSession, listed)
+    f = names.toDF("a", "from_table", "from_column")
+    t = names.toDF("b", "to_table", "to_column")
+    return pairs.join(f, "a").join(t, "b").select("from_table", "from_column", "to_table", "to_column", "found_values")
 
-def _inclusion(src: DataFrame, dst: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Distinct from-values and how many of them occur among the to-values, per pair."""
-    a = (src.join(F.broadcast(pairs), (src.table_name == pairs.from_table) & (src.column_name == pairs.from_column))
-         .select("from_table", "from_column", "to_table", "to_column", "ival", "sval"))
-    b = dst.select(F.col("table_name").alias("_tt"), F.col("column_name").alias("_tc"),
-                   F.col("ival").alias("_bi"), F.col("sval").alias("_bs"), F.lit(True).alias("found"))
-    cond = ((a.to_table == b._tt) & (a.to_column == b._tc) & a.ival.eqNullSafe(b._bi) & a.sval.eqNullSafe(b._bs))
-    j = a.join(b, cond, "left")
-    return (j.groupBy("from_table", "from_column", "to_table", "to_column")
-            .agg(F.count(F.lit(1)).alias("distinct_values"), F.count("found").alias("found_values")))
 
+_PAIR = ["from_table", "from_column", "to_table", "to_column"]
 
-def inclusion_rates(tables: dict, pairs: DataFrame) -> DataFrame:
+
+def inclusion_rates(tables: dict, pairs: DataFrame, found=None) -> DataFrame:
     """K4: share of distinct from-values found among the to-values, per pair.
 
-    ``pairs``: (from_table, from_column, to_table, to_column), catalog-sized. Pairs of
-    two integral columns compare numbers; any other pair compares text.
+    ``pairs``: (from_table, from_column, to_table, to_column), catalog-sized. Values of different types are
+    equal if they are the same number or have the same text. ``found`` reuses ``value_sets`` of at least
+    these columns.
     """
-    prs = pairs.select("from_table", "from_column", "to_table", "to_column").distinct()
-    rows = prs.collect()  # catalog-sized: one row per candidate column pair
-    if not rows:
-        return prs.sparkSession.createDataFrame(
-            [], "from_table string, from_column string, to_table string, to_column string, "
-                "distinct_values bigint, found_values bigint, inclusion_rate double")
-    fam = {(t, f.name): key_family(f.dataType) for t, df in tables.items() for f in df.schema.fields}
-    typed = all(fam.get((r.from_table, r.from_column)) == "integral" == fam.get((r.to_table, r.to_column))
-                for r in rows)
-    src = stacked_values(tables, {(r.from_table, r.from_column) for r in rows})
-    dst = stacked_values(tables, {(r.to_table, r.to_column) for r in rows})
-    if not typed:
-        src, dst = _as_text(src), _as_text(dst)
-    agg = _inclusion(src, dst, prs)
-    return (prs.join(agg, ["from_table", "from_column", "to_table", "to_column"], "left")
-            .select("from_table", "from_column", "to_table", "to_column",
-                    F.coalesce("distinct_values", F.lit(0)).cast("bigint").alias("distinct_values"),
-                    F.coalesce("found_values", F.lit(0)).cast("bigint").alias("found_values"),
-                    F.round(F.try_divide(F.col("found_values"), F.col("distinct_values")), 6)
-                    .alias("inclusion_rate")))
-
-
-def short_key_columns(tables: dict, max_text: int = MAX_KEY_TEXT) -> list[tuple[str, str, str]]:
-    """Key-type columns whose text values are at most ``max_text`` long (one cheap
-    aggregate per table; the list is catalog-sized)."""
-    cols = key_columns(tables)
-    by_table: dict[str, list[str]] = {}
-    for t, c, fam in cols:
-        if fam == STRING:
-            by_table.setdefault(t, []).append(c)
-    parts = [tables[t].agg(F.array(*[F.struct(F.lit(c).alias("c"), F.max(F.length(F.col(f"`{c}`"))).alias("n"))
-                                     for c in cs]).alias("a")).select(F.lit(t).alias("t"), F.inline("a"))
-             for t, cs in sorted(by_table.items())]
-    too_long = set()
-    if parts:
-        u = parts[0]
-        for p in parts[1:]:
-            u = u.unionByName(p)
-        too_long = {(r.t, r.c) for r in u.where(F.col("n") > max_text).collect()}  # one job, catalog-sized
-    return [(t, c, fam) for t, c, fam in cols if (t, c) not in too_long]
-
-
-def inclusion_dependencies(tables: dict, min_rate: float = 1.0, max_text: int = MAX_KEY_TEXT) -> DataFrame:
-    """Column pairs of one key family where the values of A occur in B.
-
-    Columns: integral, date and text columns of at most ``max_text`` characters
-    (join keys; whole documents are never compared). Candidate pairs are every
-    same-family pair across different tables; for full inclusion (``min_rate`` = 1)
-    a pair is kept only when A has no more distinct values than B and A's value range
-    lies inside B's - exact necessary conditions, so no pair that qualifies is lost.
+    prs = local_copy(pairs.select(*_PAIR).distinct())
+    if found is None:
+        ends = (prs.select(F.col("from_table").alias("t"), F.col("from_column").alias("c"))
+                .unionByName(prs.select(F.col("to_table").alias("t"), F.col("to_column").alias("c"))).distinct().collect())
+        if not ends:
+            return prs.select("*", F.lit(0).cast("bigint").alias("distinct_values"), F.lit(0).cast("bigint").alias("found_values"),
+                              F.lit(None).cast("double").alias("inclusion_rate"))
+        found = value_sets(tables, [(r.t, r.c) for r in ends])
+    sets, listed = found
+    counts = distinct_by_sets(sets, listed).toDF("from_table", "from_column", "distinct_values")
+    x = prs.join(counts, ["from_table", "from_column"], "left").join(shared_by_sets(sets, listed), _PAIR, "left")
+    n, k = F.coalesce("distinct_values", F.lit(0)), F.coalesce("found_values", F.lit(0))
+    k = F.when((F.col("from_table") == F.col("to_table")) & (F.col("from_column") == F.col("to_column")), n).otherwise(k)
+    return x.select(*_PAIR, n.cast("bigint").alias("distinct_values"), k.cast("bigint").alias("found_values"),
+                    F.round(F.try_divide(k, n), 6).alias("inclusion_rate"))
+
+
+def inclusion_dependencies(tables: dict, min_rate: float = 1.0) -> DataFrame:
+    """Column pairs of one key family in different tables where the values of A occur in B.
+
+    Every number, date and text column takes part, texts of any length. Pairs come from the sets of
+    columns that share values (``value_sets``), so no value is copied per pair.
     """
+    kcols = key_columns(tables)
     spark = next(iter(tables.values())).sparkSession
-    kcols = short_key_columns(tables, max_text)
-    kc = spark.createDataFrame(kcols, "table_name string, column_name string, family string")
-    vals = stacked_values(tables, [(t, c) for t, c, _ in kcols])
-    dcount = vals.groupBy("table_name", "column_name").agg(
-        F.count(F.lit(1)).alias("nd"), F.min("ival").alias("imin"), F.max("ival").alias("imax"),
-        F.min("sval").alias("smin"), F.max("sval").alias("smax"))
-    cols = kc.join(dcount, ["table_name", "column_name"], "left").fillna(0, ["nd"])
-    a = cols.select(F.col("table_name").alias("from_table"), F.col("column_name").alias("from_column"),
-                    "family", F.col("nd").alias("nd_a"), F.col("imin").alias("ai0"), F.col("imax").alias("ai1"),
-                    F.col("smin").alias("as0"), F.col("smax").alias("as1"))
-    b = cols.select(F.col("table_name").alias("to_table"), F.col("column_name").alias("to_column"),
-                    "family", F.col("nd").alias("nd_b"), F.col("imin").alias("bi0"), F.col("imax").alias("bi1"),
-                    F.col("smin").alias("bs0"), F.col("smax").alias("bs1"))
-    pairs = a.join(b, "family").where((F.col("from_table") != F.col("to_table")) & (F.col("nd_a") > 0))
-    if min_rate >= 1.0:
-        # exact necessary conditions for full inclusion: no more distinct values, and
-        # A's value range inside B's
-        inside = (F.coalesce((F.col("ai0") >= F.col("bi0")) & (F.col("ai1") <= F.col("bi1")), F.lit(True))
-                  & F.coalesce((F.col("as0") >= F.col("bs0")) & (F.col("as1") <= F.col("bs1")), F.lit(True)))
-        pairs = pairs.where((F.col("nd_a") <= F.col("nd_b")) & inside)
-    pairs = pairs.select("from_table", "from_column", "to_table", "to_column")
-    # Values of A paired with each candidate B (partners per column are catalog-bounded).
-    agg = _inclusion(vals, vals, pairs)
-    return (agg.withColumn("inclusion_rate", F.round(F.col("found_values") / F.col("distinct_values"), 6))
+    sets, listed = value_sets(tables, [(t, c) for t, c, _ in kcols])
+    counts = distinct_by_sets(sets, listed).toDF("from_table", "from_column", "distinct_values")
+    fam = spark.createDataFrame(kcols, "from_table string, from_column string, family string")
+    x = (shared_by_sets(sets, listed).where(F.col("from_table") != F.col("to_table"))
+         .join(counts, ["from_table", "from_column"]).join(fam, ["from_table", "from_column"])
+         .join(fam.toDF("to_table", "to_column", "family"), ["to_table", "to_column", "family"]))
+    return (x.select(*_PAIR, "distinct_values", "found_values",
+                     F.round(F.col("found_values") / F.col("distinct_values"), 6).alias("inclusion_rate"))
             .where(F.col("inclusion_rate") >= min_rate))
 
 
 # ---------------------------------------------------------------- K2, K3
-def key_profile(tables: dict, max_text: int = MAX_KEY_TEXT) -> DataFrame:
-    """Counts that key inference needs, for key-type columns only.
-
-    Pass 1 (no shuffle): per table one wide aggregate - rows, non-null count and,
-    for text columns, the longest value. Pass 2: exact distinct counts, only for
-    integral, date and short text columns, from one stacked distinct per table.
-    Output: (table_name, column_name, ordinal, total_rows, non_null_count,
-    null_count, distinct_count).
+def key_profile(tables: dict, found=None) -> DataFrame:
+    """Counts that key inference needs, for every column that can carry a key: (table_name, column_name,
+    ordinal, total_rows, non_null_count, null_count, distinct_count).
+
+    One aggregate per table without a shuffle, and the distinct counts of ``value_sets``.
     """
     spark = next(iter(tables.values())).sparkSession
     cols = key_columns(tables)
     first = []
     for t in sorted(tables):
         df = tables[t]
-        mine = [(c, fam) for tt, c, fam in cols if tt == t]
+        mine = [c for tt, c, _ in cols if tt == t]
         if not mine:
             continue
-        aggs = [F.count(F.lit(1)).alias("_rows")]
-        for i, (c, fam) in enumerate(mine):
-            aggs.append(F.count(F.col(f"`{c}`")).alias(f"_nn{i}"))
-            aggs.append((F.max(F.length(F.col(f"`{c}`"))) if fam == STRING else F.lit(0)).alias(f"_len{i}"))
-        wide = df.agg(*aggs)
+        wide = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{c}`")).alias(f"_nn{i}") for i, c in enumerate(mine)])
         order = {f.name: i + 1 for i, f in enumerate(df.schema.fields)}
         first.append(wide.select(F.inline(F.array(*[
-            F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
-                     F.lit(order[c]).alias("ordinal"), F.col("_rows").alias("total_rows"),
-                     F.col(f"_nn{i}").alias("non_null_count"),
-                     F.coalesce(F.col(f"_len{i}"), F.lit(0)).alias("max_len"))
-            for i, (c, fam) in enumerate(mine)]))))
+            F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), F.lit(order[c]).alias("ordinal"),
+                     F.col("_rows").alias("total_rows"), F.col(f"_nn{i}").alias("non_null_count"))
+            for i, c in enumerate(mine)]))))
     stats = first[0]
     for x in first[1:]:
         stats = stats.unionByName(x)
     # one row per column (catalog-sized): kept as a local table so later jobs do not
     # scan the tables again for these counts
-    rows = stats.collect()
-    stats = spark.createDataFrame(rows, stats.schema)
-    short = [(r.table_name, r.column_name) for r in rows if r.max_len <= max_text]
-    if short:
-        dc = stacked_values(tables, short).groupBy("table_name", "column_name").agg(
-            F.count(F.lit(1)).alias("distinct_count"))
-    else:
-        dc = spark.createDataFrame([], "table_name string, column_name string, distinct_count bigint")
-    return (stats.where(F.col("max_len") <= max_text).join(dc, ["table_name", "column_name"], "left")
+    stats = spark.createDataFrame(stats.collect(), stats.schema)
+    dc = distinct_by_sets(*(found or value_sets(tables, [(t, c) for t, c, _ in cols])))
+    return (stats.join(dc, ["table_name", "column_name"], "left")
             .select("table_name", "column_name", "ordinal", "total_rows", "non_null_count",
                     (F.col("total_rows") - F.col("non_null_count")).alias("null_count"),
                     F.coalesce("distinct_count", F.lit(0)).cast("bigint").alias("distinct_count")))
@@ -268,7 +243,7 @@ def infer_primary_keys(profile: DataFrame) -> DataFrame:
             .select("table_name", "column_name", keyish.alias("key_like_name")))
 
 
-def infer_foreign_keys(tables: dict, columns: DataFrame, pks: DataFrame) -> DataFrame:
+def infer_foreign_keys(tables: dict, columns: DataFrame, pks: DataFrame, found=None) -> DataFrame:
     """K3: FK = name match to another table's key + full inclusion of values + unique target.
 
     Name match: same lower-cased name, or same stem after a short alias prefix
@@ -283,7 +258,7 @@ def infer_foreign_keys(tables: dict, columns: DataFrame, pks: DataFrame) -> Data
             .where(F.col("table_name") != F.col("to_table"))
             .select(F.col("table_name").alias("from_table"), F.col("column_name").alias("from_column"),
                     "to_table", "to_column"))
-    rates = inclusion_rates(tables, cand)
+    rates = inclusion_rates(tables, cand, found)
     return rates.where(F.col("inclusion_rate") >= 1.0)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,43 +10,27 @@ from pyspark.sql import functions as F
 from stellate.functions import clean as C
 from stellate.operators.discovery import uniqueness
 
-# A dimension is broadcast to every task only below this many rows (checked with a
-# count of the dimension, not trusted from estimates). Above it the join is left to
-# a shuffle join, where AQE splits skewed fact partitions.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
 def _keys(x):
     return [x] if isinstance(x, str) else list(x)
 
 
-def small_enough(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Size check for a broadcast: counts at most ``max_rows + 1`` rows of ``df``."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if small_enough(df, max_rows) else df
-
-
 def enrich(df: DataFrame, secondary: DataFrame, on, how: str = "left") -> DataFrame:
     """LEFT join a secondary source; no row of ``df`` is dropped."""
     return df.join(secondary, on, how)
 
 
 def lookup_key(fact: DataFrame, dim: DataFrame, fact_on, dim_on, key_name: str,
-               required: bool = False, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-               attributes=()) -> DataFrame:
+               required: bool = False, attributes=()) -> DataFrame:
     """J1 (J4 when ``required``, J6 with ``attributes``): bring a dimension's surrogate
     key (and attributes) onto fact rows by natural key.
 
-    LEFT by default: unresolved rows keep a NULL key and are never dropped. The
-    dimension is broadcast only after a row-count check.
+    LEFT by default: unresolved rows keep a NULL key and are never dropped. The join
+    strategy is left to AQE: it broadcasts a dimension whose measured bytes are under
+    ``spark.sql.autoBroadcastJoinThreshold`` and splits skewed fact keys otherwise.
     """
     fk, dk = _keys(fact_on), _keys(dim_on)
     d = dim.select(*[F.col(c).alias(f"_lk{i}") for i, c in enumerate(dk)], F.col(key_name),
                    *[F.col(a) for a in attributes])
-    d = maybe_broadcast(d, max_broadcast_rows)
     cond = None
     for i, c in enumerate(fk):
         e = fact[c] == d[f"_lk{i}"]
@@ -95,11 +79,11 @@ class FactSpec:
     predicate: Column | None = None      # own filter (e.g. chapter vs membership)
     enrich: tuple = ()                   # (df, on) LEFT joined before the projection
     schema: object = None                # C16 target StructType
-    extra: dict = field(default_factory=dict)
 
 
 def load_fact(src: DataFrame, spec: FactSpec) -> DataFrame:
-    """L1: F3-F5 (+ own predicate) -> J3 -> C* expressions -> J2 -> F1 -> C16."""
+    """L1: F3-F5 -> J3 -> own predicate (Catalyst pushes what it can below the join) -> J2 ->
+    C* expressions -> F1 -> C16."""
     x = src
     if spec.soft_delete:
         x = C.soft_delete_filter(x, spec.soft_delete)
@@ -107,10 +91,10 @@ def load_fact(src: DataFrame, spec: FactSpec) -> DataFrame:
         x = C.require_key(x, list(spec.required_key))
     if spec.status:
         x = C.active_filter(x, spec.status, keep_null=spec.keep_null_status)
-    if spec.predicate is not None:
-        x = x.where(spec.predicate)
     for df, on in spec.enrich:
         x = enrich(x, df, on)
+    if spec.predicate is not None:
+        x = x.where(spec.predicate)
     x = lookup_all(x, spec.lookups)
     x = x.select(*[C.col(v).alias(k) for k, v in spec.columns.items()])
     if spec.schema is not None:
@@ -119,11 +103,12 @@ def load_fact(src: DataFrame, spec: FactSpec) -> DataFrame:
 
 
 def membership_term_fact(log: DataFrame, product: DataFrame, prefix: str = "membership",
+                         first_keys=("membership_type_key", "product_key"), last_key: str = "memberships_key",
                          predicate: Column | None = None) -> DataFrame:
-    """L2 / L3: one row per membership term log entry (chapter variant: ``prefix`` and
-    its own ``predicate``). Start = effective date else join date (C7); end, grace;
-    quantity 1, amount 0; keys not resolvable from the source stay NULL."""
-    p = product.select(F.col("id").alias("_pid"))
+    """L2: one row per membership term log entry, in the target's columns and order. Start =
+    effective date else join date (C7); end, grace; quantity 1, amount 0; keys not resolvable
+    from the source stay NULL."""
+    p = product.select(F.col("id").alias("_pid"), *[c for c in product.columns if c != "id"])
     spec = FactSpec(
         name=f"fact_{prefix}s",
         columns={
@@ -132,9 +117,8 @@ def membership_term_fact(log: DataFrame, product: DataFrame, prefix: str = "memb
             f"{prefix}_start_date": C.guarded_date("effectivedate", "joindate"),
             f"{prefix}_end_date": C.guarded_date("expiredate"),
             f"{prefix}_grace_date": C.guarded_date("terminatedate"),
-            "individual_key": C.typed_null("bigint"),
-            "company_key": C.typed_null("bigint"),
-            "geography_key": C.typed_null("bigint"),
+            **{k: C.typed_null("bigint")
+               for k in (*first_keys, "individual_key", "company_key", "geography_key", last_key)},
         },
         soft_delete="isdeleted", status="meta_record_status", required_key=("id",),
         predicate=predicate,
@@ -143,6 +127,12 @@ def membership_term_fact(log: DataFrame, product: DataFrame, prefix: str = "memb
     return load_fact(log, spec)
 
 
+def chapter_membership_fact(log: DataFrame, product: DataFrame) -> DataFrame:
+    """L3: the same load for terms of chapter products (``ischapter``), with its own keys."""
+    return membership_term_fact(log, product, "chapter_membership", ("chapter_key",), "chapter_memberships_key",
+                                F.coalesce(F.col("ischapter"), F.lit(False)))
+
+
 # ------------------------------------------------------------------ L6-L8
 def pivot_counts(df: DataFrame, by, pivot_col: str, values, prefix: str = "n_") -> DataFrame:
     """Per-entity counts of each type, one column per listed value (fixed list, so

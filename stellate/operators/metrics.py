@@ -65,14 +65,13 @@ def pre_aggregate(fact: DataFrame, levels, measures, rollup: bool = False) -> Da
 def metric_by_dimension(fact: DataFrame, dims, attrs, measure: str, name: str = "total") -> DataFrame:
     """A10: a base metric sliced by dimension attributes (filter flows dim -> fact).
 
-    ``dims``: iterable of (dim_df, fact_fk, dim_key). Dimensions are looked up with the
-    size-checked join, then grouped by ``attrs``.
+    ``dims``: iterable of (dim_df, fact_fk, dim_key). Dimensions are joined (AQE picks the
+    strategy from measured sizes), then grouped by ``attrs``.
     """
-    from stellate.operators.facts import maybe_broadcast
     x = fact
     for dim, fk, dk in dims:
         extra = [a for a in attrs if a in dim.columns and a != dk]
-        x = x.join(maybe_broadcast(dim.select(F.col(dk).alias(fk), *extra)), fk, "left")
+        x = x.join(dim.select(F.col(dk).alias(fk), *extra), fk, "left")
     return x.groupBy(*attrs).agg(F.sum(F.col(measure).cast("decimal(38,4)")).alias(name),
                                  F.count(F.lit(1)).alias("row_count"))
 

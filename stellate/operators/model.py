@@ -24,58 +24,97 @@ def missing_columns(relations: DataFrame, columns: DataFrame) -> DataFrame:
     return f.unionByName(t)
 
 
-def simple_paths(relations: DataFrame, max_hops: int | None = None):
-    """All simple directed paths between tables, by iterated self-join of the edge list.
+def _table_edges(relations: DataFrame) -> list[tuple[str, str]]:
+    """Different directed table pairs (catalog-sized: at most one row per relation)."""
+    rows = relations.where(F.col("from_table") != F.col("to_table")).select("from_table", "to_table").distinct().collect()
+    return sorted((r[0], r[1]) for r in rows)
 
-    Returns (paths, cycles): paths (src, dst, hops, path) and cycles (start, path) -
-    a cycle is a path that returns to its start. Stops at an empty frontier or after
-    ``max_hops`` (default: number of tables). The graph is the catalog's, so each
-    frontier is small; one count per hop decides whether to go on.
+
+def _has_other_route(edges: dict, src: str, dst: str) -> tuple[list, list] | None:
+    """Two different simple routes src -> dst, or None.
+
+    The shortest route is found first. A second one exists if, without some edge of the first, dst is
+    still reachable; one search per edge of the route, so no route is ever enumerated.
+    """
+    first = _shortest(edges, src, dst, None)
+    if first is None:
+        return None
+    for cut in zip(first, first[1:]):
+        second = _shortest(edges, src, dst, cut)
+        if second is not None:
+            return first, second
+    return None
+
+
+def _shortest(edges: dict, src: str, dst: str, without) -> list | None:
+    came, frontier = {src: None}, [src]
+    while frontier and dst not in came:
+        step = []
+        for a in frontier:
+            for b in edges.get(a, ()):
+                if b not in came and (a, b) != without:
+                    came[b] = a
+                    step.append(b)
+        frontier = step
+    if dst not in came or src == dst:
+        return None
+    path = [dst]
+    while path[-1] != src:
+        path.append(came[path[-1]])
+    return path[::-1]
+
+
+def ambiguous_paths(relations: DataFrame) -> DataFrame:
+    """V2: table pairs joined by more than one route, with two of their routes.
+
+    Works on the table graph of the catalog (one row per pair of related tables); routes are counted
+    up to two, never enumerated.
     """
-    edges = relations.select(F.col("from_table").alias("a"), F.col("to_table").alias("b")).distinct()
-    edges = edges.where(F.col("a") != F.col("b"))
-    # table pairs (catalog-sized): materialised once so the loop does not re-run the
-    # relation discovery behind ``relations`` on every hop
-    edges = relations.sparkSession.createDataFrame(edges.collect(), edges.schema)
-    n_tables = edges.select(F.explode(F.array("a", "b"))).distinct().count()
-    limit = max_hops or max(n_tables, 1)
-    frontier = edges.select(F.col("a").alias("src"), F.col("b").alias("dst"), F.lit(1).alias("hops"),
-                            F.array("a", "b").alias("path"))
-    paths, cycles = [frontier], []
-    for _ in range(limit - 1):
-        step = (frontier.join(edges, frontier.dst == edges.a)
-                .select("src", F.col("b").alias("dst"), (F.col("hops") + 1).alias("hops"),
-                        F.concat("path", F.array("b")).alias("path")))
-        cyc = step.where(F.col("dst") == F.col("src"))
-        cycles.append(cyc.select(F.col("src").alias("start"), "path"))
-        frontier = step.where(~F.array_contains(F.slice("path", 1, F.size("path") - 1), F.col("dst")))
-        frontier = frontier.checkpoint(eager=True)  # cut the growing lineage of the loop
-        if frontier.count() == 0:
-            break
-        paths.append(frontier)
-    allp = paths[0]
-    for p in paths[1:]:
-        allp = allp.unionByName(p)
-    cyc = cycles[0] if cycles else relations.sparkSession.createDataFrame([], "start string, path array<string>")
-    for c in cycles[1:]:
-        cyc = cyc.unionByName(c)
-    return allp, cyc
-
-
-def ambiguous_paths(relations: DataFrame, max_hops: int | None = None) -> DataFrame:
-    """V2: table pairs joined by more than one route."""
-    paths, _ = simple_paths(relations, max_hops)
-    return (paths.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("routes"),
-                                            F.sort_array(F.collect_list(F.array_join("path", ">"))).alias("via"))
-            .where(F.col("routes") > 1))
-
-
-def cycles(relations: DataFrame, max_hops: int | None = None) -> DataFrame:
-    """V3: circular relationships, each reported once (from its smallest table name)."""
-    _, cyc = simple_paths(relations, max_hops)
-    body = F.slice("path", 1, F.size("path") - 1)
-    return (cyc.where(F.col("start") == F.array_min(body))
-            .select(F.col("start"), F.array_join("path", ">").alias("cycle")).distinct())
+    pairs = _table_edges(relations)
+    edges: dict[str, list[str]] = {}
+    for a, b in pairs:
+        edges.setdefault(a, []).append(b)
+    rows = []
+    for src in sorted(edges):
+        for dst in sorted({b for _, b in pairs} - {src}):
+            two = _has_other_route(edges, src, dst)
+            if two:
+                rows.append((src, dst, *sorted(">".join(p) for p in two)))
+    return relations.sparkSession.createDataFrame(rows, "src string, dst string, via string, other_via string")
+
+
+def cycles(relations: DataFrame) -> DataFrame:
+    """V3: circular relationships: each strongly connected group of tables with one witness cycle through
+    its smallest table (tables of a group all reach each other)."""
+    pairs = _table_edges(relations)
+    edges: dict[str, list[str]] = {}
+    back: dict[str, list[str]] = {}
+    for a, b in pairs:
+        edges.setdefault(a, []).append(b)
+        back.setdefault(b, []).append(a)
+
+    def reach(graph, start):
+        seen, stack = set(), [start]
+        while stack:
+            for b in graph.get(stack.pop(), ()):
+                if b not in seen:
+                    seen.add(b)
+                    stack.append(b)
+        return seen
+
+    rows, done = [], set()
+    for t in sorted(edges):
+        if t in done:
+            continue
+        group = reach(edges, t) & reach(back, t)
+        if t not in group:
+            continue
+        done |= group
+        inside = {a: [b for b in bs if b in group] for a, bs in edges.items() if a in group}
+        ways = [_shortest(inside, b, t, None) for b in inside[t]]
+        best = min((w for w in ways if w), key=lambda w: (len(w), w))
+        rows.append((t, ",".join(sorted(group)), ">".join([t, *best])))
+    return relations.sparkSession.createDataFrame(rows, "start string, tables string, cycle string")
 
 
 def unused_tables(tables: DataFrame, relations: DataFrame, metric_tables: DataFrame | None = None) -> DataFrame:

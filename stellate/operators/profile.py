@@ -1,19 +1,21 @@
 """Column profiling.
 
-Plan shape per table (two scans, one shuffle):
-
-* one wide, distinct-free aggregate over every column (counts, min/max/mean/stddev,
-  date range, string lengths, optional percentiles) - partial + final
-  ``HashAggregate`` with a single-row exchange;
-* one value-frequency shuffle (P8): every column is stacked as ``(column, value)``
-  with ``inline``; ``groupBy(column, value).count()`` gets a map-side partial
-  aggregate, so a value that holds a third of all rows is combined before the
-  shuffle. Exact distinct counts and top values both come from this result.
-
-``distinct="approx"`` replaces the exact distinct count by HyperLogLog
-(``approx_count_distinct``) inside the wide aggregate and only stacks columns that
-can qualify for top values; ``percentiles="approx"`` uses ``percentile_approx``
-(a bounded sketch per column) instead of the exact ``percentile`` value map.
+Plan shape (all tables of a call together):
+
+* one wide, distinct-free aggregate per table over every column (counts, min/max/mean/
+  stddev, date range, string lengths) - partial + final ``HashAggregate`` with a
+  single-row exchange;
+* numeric columns: one value-frequency shuffle, range-partitioned by (column, value) and
+  checkpointed; distinct counts and exact percentiles (by rank) are read from it;
+* other columns: exact distinct counts over 96-bit digests of the values, so whole texts
+  are never shuffled;
+* top values: only columns with few enough distinct values are stacked again with their
+  values; the aggregate combines map-side to at most ``threshold`` rows a column and task.
+
+``distinct="approx"`` replaces the distinct count by HyperLogLog
+(``approx_count_distinct``) inside the wide aggregate, with exact counts for the columns
+that can qualify for top values; ``percentiles="approx"`` uses ``percentile_approx``
+(a bounded sketch per column) instead of the exact ranks.
 """
 
 from __future__ import annotations
@@ -23,7 +25,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stellate.functions.types import DATE, NUMERIC, OTHER, STRING, type_family
-from stellate.operators.partitioning import spread
 from stellate.session import checkpoint_dir
 
 # Fixed values (must equal the reference's profiler defaults).
@@ -32,6 +33,7 @@ TOP_THRESHOLD = 1000      # only columns with at most this many distinct values
 HIGH_NULL_PCT = 50        # a column is "high null" above this percentage
 READINESS_HIGH = 10       # PK and avg null % below this -> high
 READINESS_MEDIUM = 30     # PK and avg null % below this -> medium
+KEY_GRAIN, NO_KEY_GRAIN = "unique by primary key columns ", "no explicit primary key; grain unclear"
 # Numeric columns whose lower-cased name is "id" or ends with one of these are dimensions.
 DIMENSION_SUFFIXES = ("_id", "_code", "_flag", "_seq", "_order", "_year", "_month", "_day",
                       "_num", "_no")
@@ -134,7 +136,7 @@ def value_frequencies(df: DataFrame, columns=None, with_number: bool = False) ->
         sval = _text_sql(c, dt) if kind == _TEXT else "CAST(NULL AS STRING)"
         entries.append(f"named_struct('column_name', {_s(name)}, '_k', {kind}, '_i', {ival}, '_d', {dval}, "
                        f"'_s', {sval}, '_nn', {c} IS NOT NULL)")
-    stacked = spread(df).selectExpr(f"inline(array({', '.join(entries)}))").where(F.col("_nn"))
+    stacked = df.selectExpr(f"inline(array({', '.join(entries)}))").where(F.col("_nn"))
     g = stacked.groupBy("column_name", "_k", "_i", "_d", "_s").agg(F.count(F.lit(1)).alias("frequency"))
     value = (F.when(F.col("_k") == _INTEGRAL, F.col("_i").cast("string"))
              .when(F.col("_k") == _DOUBLE, F.col("_d").cast("string"))
@@ -174,7 +176,7 @@ def _text_sql(c: str, dt: T.DataType) -> str:
     return f"CAST({c} AS STRING)"
 
 
-def _stat_sql(name, dt, i, percentiles, approx_distinct, approx_numeric=False):
+def _stat_sql(name, dt, i, percentiles, approx_distinct):
     """(aggregate SQL list, row SQL) for one column.
 
     Expressions are SQL text: the whole wide aggregate is one ``selectExpr`` call, so
@@ -183,8 +185,6 @@ def _stat_sql(name, dt, i, percentiles, approx_distinct, approx_numeric=False):
     c = _q(name)
     fam = type_family(dt)
     aggs = [f"count({c}) AS nn{i}"]
-    if approx_numeric and not approx_distinct and fam == NUMERIC:
-        approx_distinct = True
     if approx_distinct:
         aggs.append(f"approx_count_distinct({_text_sql(c, dt)}) AS ad{i}")
     have = set()
@@ -229,80 +229,61 @@ def _stat_sql(name, dt, i, percentiles, approx_distinct, approx_numeric=False):
 
 
 def profile_stats(df: DataFrame, percentiles: str | None = "exact", distinct: str = "exact",
-                  columns=None, approx_numeric: bool = False) -> DataFrame:
-    """One row per column, from a single wide aggregate (one scan).
-
-    ``approx_numeric`` adds a HyperLogLog distinct estimate for numeric columns (used to
-    choose how exact percentiles are computed)."""
+                  columns=None) -> DataFrame:
+    """One row per column, from a single wide aggregate (one scan)."""
     cols = _profilable(df, columns)
     if not cols:
         return df.sparkSession.createDataFrame([], "column_name string")
     aggs, rows = [], []
     for i, n, dt in cols:
-        a, r = _stat_sql(n, dt, i, percentiles, distinct == "approx", approx_numeric)
+        a, r = _stat_sql(n, dt, i, percentiles, distinct == "approx")
         aggs += a
         rows.append(r)
     wide = df.selectExpr("count(1) AS total_rows", *aggs)
     return wide.selectExpr("total_rows", f"inline(array({', '.join(rows)}))")
 
 
-def distinct_counts(freqs: DataFrame, percentiles: bool = False, n_columns: int = 1,
-                    map_columns=None) -> DataFrame:
-    """Exact COUNT(DISTINCT) per column (and exact percentiles) from the P8 frequencies.
-
-    The count reads ``frequency`` (a group exists only with a positive total), so this
-    branch and the top-values branch keep the very same frequency aggregate below the
-    shuffle and Spark runs that shuffle once (``ReusedExchange``).
-    """
-    aggs = [F.when(F.sum("frequency") > 0, F.count(F.lit(1))).otherwise(F.lit(0)).cast("bigint")
-            .alias("distinct_count")]
-    if percentiles:
-        ok = F.col("num").isNotNull() & ~F.isnan("num")
-        if map_columns is not None:
-            ok = ok & F.col("column_name").isin(list(map_columns))
-        aggs.append(F.percentile(F.when(ok, F.col("num")), [0.25, 0.5, 0.75], F.col("frequency")).alias("_p"))
-    src = freqs
-    if percentiles:
-        # One value map per column: hash-partition by column (a fixed count, so AQE does
-        # not fold all columns' maps into one or two tasks).
-        src = freqs.repartition(max(2 * n_columns, 1), "column_name")
-    out = src.groupBy("column_name").agg(*aggs)
-    if percentiles:
-        out = out.select("column_name", "distinct_count", finite(F.col("_p")[0]).alias("p25"),
-                         finite(F.col("_p")[1]).alias("median"), finite(F.col("_p")[2]).alias("p75"))
-    return out
-
-
-# Columns with at most this many non-null values (so at most this many distinct values)
-# get their exact percentiles from one value map per column (one task holds the map);
-# larger ones use the distributed rank selection below, which never gathers a column
-# in one task.
-EXACT_MAP_MAX = 1_000_000
-
+def distinct_counts(freqs: DataFrame) -> DataFrame:
+    """Exact COUNT(DISTINCT) per column from the P8 frequencies (map-side combined)."""
+    return freqs.groupBy("column_name").agg(F.count("frequency").alias("distinct_count"))
 
-def percentiles_by_rank(freqs: DataFrame, columns, probs=(0.25, 0.5, 0.75),
-                        partitions: int | None = None) -> DataFrame:
-    """Exact interpolated percentiles (``percentile_cont``) by distributed rank selection.
 
-    The (value, frequency) rows of the given columns are range-partitioned on
-    (column, value) and checkpointed (range bounds come from sampling). Per partition
-    and column the frequency total is one small row; cumulative offsets over those rows
-    give every partition's first rank. Each wanted rank (lower and upper neighbour of
-    p * (n - 1)) is located in its partition, only those partitions are scanned in value
-    order, and the two neighbours are interpolated. No task ever holds a whole column.
-    Output: (column_name, p25, median, p75) for the default ``probs``.
+def distinct_by_digest(df: DataFrame, columns=None) -> DataFrame:
+    """Exact distinct counts of columns of any type, (column_name, distinct_count): values are shuffled
+    as a 64-bit hash and a CRC of their text, never as text."""
+    fields = _profilable(df, columns)
+    if not fields:
+        return df.sparkSession.createDataFrame([], "column_name string, distinct_count bigint")
+    entries = []
+    for _, name, dt in fields:
+        text = _text_sql(_q(name), dt)
+        entries.append(f"named_struct('column_name', {_s(name)}, 'h', xxhash64({text}), "
+                       f"'c', crc32(CAST({text} AS BINARY)), '_nn', {_q(name)} IS NOT NULL)")
+    stacked = df.selectExpr(f"inline(array({', '.join(entries)}))").where(F.col("_nn"))
+    return (stacked.groupBy("column_name", "h", "c").agg(F.lit(1).alias("one"))
+            .groupBy("column_name").agg(F.count("one").alias("distinct_count")))
+
+
+def rank_statistics(freqs: DataFrame, probs=(0.25, 0.5, 0.75), partitions: int | None = None) -> DataFrame:
+    """Distinct counts and exact interpolated percentiles (``percentile_cont``) by distributed rank
+    selection.
+
+    ``freqs`` is (column_name, value, num, frequency) of numeric columns. Its rows are range-partitioned
+    on (column, number) and checkpointed (range bounds come from sampling). Per partition and column the
+    frequency total is one small row; cumulative offsets over those rows give every partition's first
+    rank. Each wanted rank (lower and upper neighbour of p * (n - 1)) is located in its partition, only
+    those partitions are scanned in value order, and the two neighbours are interpolated. No task ever
+    holds a whole column. Output: (column_name, distinct_count, p25, median, p75) for the default
+    ``probs``.
     """
     spark = freqs.sparkSession
     names = ["p25", "median", "p75"] if tuple(probs) == (0.25, 0.5, 0.75) else [f"p{i}" for i in range(len(probs))]
-    cols = list(columns)
-    if not cols:
-        return spark.createDataFrame([], "column_name string, " + ", ".join(f"{n} double" for n in names))
     checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    g = (freqs.where(F.col("column_name").isin(cols) & F.col("num").isNotNull() & ~F.isnan("num"))
-         .select("column_name", "num", "frequency"))
-    r = (g.repartitionByRange(n, "column_name", "num").withColumn("_pid", F.spark_partition_id())
-         .checkpoint(eager=True))
+    ranked = (F.col("num").isNotNull() & ~F.isnan("num")).alias("_ok")
+    kept = (freqs.select("column_name", "num", "frequency", ranked).repartitionByRange(n, "column_name", "num")
+            .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    r = kept.where("_ok")
     per = r.groupBy("_pid", "column_name").agg(F.sum("frequency").alias("_s"))
     wc = Window.partitionBy("column_name")
     per = per.select("_pid", "column_name", "_s",
@@ -335,90 +316,112 @@ def percentiles_by_rank(freqs: DataFrame, columns, probs=(0.25, 0.5, 0.75),
              .withColumn("_v", F.when(lo_rank == hi_rank, F.col("_lo"))
                          .otherwise((hi_rank - F.col("_pos")) * F.col("_lo") + (F.col("_pos") - lo_rank) * F.col("_hi"))))
     out = per_k.groupBy("column_name").pivot("_k", list(range(len(probs)))).agg(F.first("_v"))
-    return out.select("column_name", *[finite(F.col(str(i))).alias(nm) for i, nm in enumerate(names)])
+    out = out.select("column_name", *[finite(F.col(str(i))).alias(nm) for i, nm in enumerate(names)])
+    return distinct_counts(kept).join(out, "column_name", "left")
 
 
-def top_values(freqs: DataFrame, distinct: DataFrame, limit: int = TOP_LIMIT,
-               threshold: int = TOP_THRESHOLD, exclude=()) -> DataFrame:
-    """P9 + P10 + W1: ten most frequent values of each low-cardinality column.
+def presented(c: Column, digits: int) -> Column:
+    """Round for presentation. Exact halves (a mean of few-digit numbers often is one) go up even where the
+    last bits of a floating sum fall just short of the half."""
+    return F.rint(c * F.lit(10.0 ** digits) + F.lit(1e-4)) / F.lit(10.0 ** digits)
 
-    ``distinct`` holds (column_name, distinct_count); it has one row per column, so
-    it is broadcast. Each window partition holds at most ``threshold`` rows.
-    Ties are broken by value ascending.
-    """
-    eligible = distinct.where(F.col("distinct_count") <= threshold).select("column_name")
-    if exclude:
-        eligible = eligible.where(~F.col("column_name").isin(list(exclude)))
-    ranked = freqs.join(F.broadcast(eligible), "column_name", "left_semi")
-    w = Window.partitionBy("column_name").orderBy(F.col("frequency").desc(), F.col("value").asc())
-    return (ranked.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= limit))
 
+_NO_TOP = "table_name string, column_name string, rank int, value string, frequency bigint"
 
-def profile_columns(df: DataFrame, table_name: str, percentiles: str | None = "exact",
-                    distinct: str = "exact", threshold: int = TOP_THRESHOLD,
-                    limit: int = TOP_LIMIT, digits: int | None = None, stats_rows=None):
-    """P16 core: (per-column profile, top values). Both lazy DataFrames.
 
-    ``digits`` rounds the floating statistics (means, deviations, percentiles) for
-    presentation; counts, minima and maxima are never rounded.
-    """
-    def r(name):
-        return F.round(name, digits).alias(name) if digits is not None else F.col(name)
-    stats = profile_stats(df, percentiles=percentiles, distinct=distinct)
-    big = []
-    if percentiles == "exact" and distinct != "approx":
-        # The statistics are one row per column: computed here (the one scan of the wide
-        # aggregate) and kept as a small local table, so the method for exact percentiles
-        # is chosen per column without scanning twice: distinct values <= non-null
-        # values, so a column with at most EXACT_MAP_MAX values has a bounded value map.
-        # ``profile_many`` passes the rows of all tables from one job.
-        rows = stats_rows if stats_rows is not None else stats.collect()
-        stats = df.sparkSession.createDataFrame(rows, stats.schema)
-        big = [r["column_name"] for r in rows
-               if r["family"] == NUMERIC and (r["non_null_count"] or 0) > EXACT_MAP_MAX]
+def _tagged(parts) -> DataFrame | None:
+    """Union of (position of the table, DataFrame with column_name): the position leads the name, so that
+    one job serves all tables."""
+    out = None
+    for i, df in parts:
+        x = df.withColumn("column_name", F.concat(F.lit(f"{i}:"), F.col("column_name")))
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
+def _profile_tables(tables: dict, percentiles, distinct, threshold, limit, digits):
+    """(profile, top values) of all tables, with one job for the wide aggregates, one for the numeric
+    value frequencies and one for the other distinct counts. What is collected is one row per column."""
+    spark = next(iter(tables.values())).sparkSession
+    items = [(name, df) for name, df in tables.items() if _profilable(df, None)]
+    if not items:
+        return spark.createDataFrame([], PROFILE_SCHEMA), spark.createDataFrame([], _NO_TOP)
+    wide = _tagged((i, profile_stats(df, percentiles=percentiles, distinct=distinct)) for i, (_, df) in enumerate(items))
+    rows = wide.collect()
+    stats = spark.createDataFrame(rows, wide.schema)
+    family: dict[int, dict[str, str]] = {}
+    approx: dict[int, dict[str, int]] = {}
+    for r in rows:
+        i, name = r["column_name"].split(":", 1)
+        family.setdefault(int(i), {})[name] = r["family"]
+        approx.setdefault(int(i), {})[name] = r["approx_distinct"]
+    ranked = percentiles == "exact" and distinct != "approx"
+    counts = []
     if distinct == "approx":
-        # HLL count decides eligibility; only candidate columns are stacked and shuffled.
-        # The collected list is one name per column (catalog-sized).
-        dc = stats.select("column_name", F.col("approx_distinct").alias("distinct_count"))
-        cand = [r[0] for r in dc.where(F.col("distinct_count") <= threshold * 1.05).collect()]
-        freqs = value_frequencies(df, cand, with_number=True) if cand else None
+        # the sketch is off by a few percent (5 % standard deviation): columns within twice the limit
+        # are counted exactly, so the limit itself is applied to exact counts
+        near = {i: [c for c, n in cols.items() if n <= 2 * threshold] for i, cols in approx.items()}
+        far = [(f"{i}:{c}", int(n)) for i, cols in approx.items() for c, n in cols.items() if c not in near[i]]
+        counts.append(spark.createDataFrame(far, "column_name string, distinct_count bigint"))
+    else:
+        near = {i: [c for c in cols if not (ranked and family[i][c] == NUMERIC)] for i, cols in family.items()}
+    by_digest = _tagged((i, distinct_by_digest(df, near[i])) for i, (_, df) in enumerate(items) if near.get(i))
+    if by_digest is not None:
+        counts.append(by_digest)
+    dc = _union([c.select("column_name", "distinct_count", *[F.lit(None).cast("double").alias(p) for p in ("p25", "median", "p75")])
+                 for c in counts]) if counts else None
+    if ranked:
+        numeric = {i: [c for c, f in cols.items() if f == NUMERIC] for i, cols in family.items()}
+        freqs = _tagged((i, value_frequencies(df, numeric[i], with_number=True)) for i, (_, df) in enumerate(items) if numeric.get(i))
         if freqs is not None:
-            exact_small = distinct_counts(freqs)
-            dc = (dc.join(exact_small.withColumnRenamed("distinct_count", "exact_dc"), "column_name", "left")
-                  .select("column_name", F.coalesce("exact_dc", "distinct_count").alias("distinct_count")))
+            numbers = rank_statistics(freqs)
+            dc = numbers if dc is None else dc.unionByName(numbers)
+        stats = stats.drop("p25", "median", "p75")
     else:
-        freqs = value_frequencies(df, with_number=True)
-        numeric = [f.name for f in df.schema.fields if type_family(f.dataType) == NUMERIC]
-        dc = distinct_counts(freqs, percentiles=(percentiles == "exact"), n_columns=len(df.columns),
-                             map_columns=[c for c in numeric if c not in big])
-        if percentiles == "exact":
-            # one per-column aggregate carries both the distinct count and the percentiles
-            stats = stats.drop("p25", "median", "p75")
-            if big:
-                ranked = percentiles_by_rank(freqs, big)
-                dc = (dc.join(ranked.withColumnsRenamed({"p25": "_r25", "median": "_r50", "p75": "_r75"}),
-                              "column_name", "left")
-                      .select("column_name", "distinct_count", F.coalesce("p25", "_r25").alias("p25"),
-                              F.coalesce("median", "_r50").alias("median"), F.coalesce("p75", "_r75").alias("p75")))
+        dc = dc.drop("p25", "median", "p75")
+    found = dc.collect()  # one row per column
+    dc = spark.createDataFrame(found, dc.schema)
+
+    def r(name):
+        return presented(F.col(name), digits).alias(name) if digits is not None else F.col(name)
+    place, column = F.substring_index("column_name", ":", 1), F.expr("substring(column_name, instr(column_name, ':') + 1)")
+    names = F.array(*[F.lit(n) for n, _ in items])
+    nulls = F.col("total_rows") - F.col("non_null_count")
     prof = (stats.join(F.broadcast(dc), "column_name", "left")
+            .withColumns({"table_name": F.get(names, place.cast("int")), "column_name": column})
             .select(
-                F.lit(table_name).alias("table_name"), "column_name", "ordinal", "data_type",
-                "total_rows", "non_null_count",
-                (F.col("total_rows") - F.col("non_null_count")).alias("null_count"),
-                null_pct(F.col("total_rows") - F.col("non_null_count"), F.col("total_rows")).alias("null_pct"),
+                "table_name", "column_name", "ordinal", "data_type", "total_rows", "non_null_count",
+                nulls.alias("null_count"), null_pct(nulls, F.col("total_rows")).alias("null_pct"),
                 F.coalesce(F.col("distinct_count"), F.lit(0)).cast("bigint").alias("distinct_count"),
                 "min_val", "max_val", r("mean_val"), r("stddev_val"), r("p25"), r("median"), r("p75"),
                 "min_date", "max_date", "date_range_days", "min_length", "max_length", r("avg_length"),
                 column_role(F.col("column_name"), F.col("family")).alias("column_role")))
-    if freqs is None:
-        top = df.sparkSession.createDataFrame([], "column_name string, value string, frequency bigint, rank int")
-    else:
-        nested = [f.name for f in df.schema.fields if type_family(f.dataType) == OTHER]
-        top = top_values(freqs, dc.select("column_name", "distinct_count"), limit=limit, threshold=threshold,
-                         exclude=nested)
-    top = top.select(F.lit(table_name).alias("table_name"), "column_name", "rank", "value", "frequency")
-    return prof, top
+    few: dict[int, list[str]] = {}
+    for row in found:
+        i, name = row["column_name"].split(":", 1)
+        if 0 < row["distinct_count"] <= threshold and family[int(i)][name] != OTHER:
+            few.setdefault(int(i), []).append(name)
+    tops = [top_values(df, name, few[i], limit) for i, (name, df) in enumerate(items) if i in few]
+    return prof, _union(tops) if tops else spark.createDataFrame([], _NO_TOP)
+
+
+def top_values(df: DataFrame, table_name: str, columns, limit: int) -> DataFrame:
+    """P9 + W1: the most frequent values of columns known to have few; ties by value ascending."""
+    freqs = value_frequencies(df, columns)
+    w = Window.partitionBy("column_name").orderBy(F.col("frequency").desc(), F.col("value").asc())
+    return (freqs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+            .select(F.lit(table_name).alias("table_name"), "column_name", "rank", "value", "frequency"))
+
+
+def profile_columns(df: DataFrame, table_name: str, percentiles: str | None = "exact",
+                    distinct: str = "exact", threshold: int = TOP_THRESHOLD,
+                    limit: int = TOP_LIMIT, digits: int | None = None):
+    """P16 core: (per-column profile, top values).
+
+    ``digits`` rounds the floating statistics (means, deviations, percentiles) for
+    presentation; counts, minima and maxima are never rounded.
+    """
+    return _profile_tables({table_name: df}, percentiles, distinct, threshold, limit, digits)
 
 
 def profile_light(tables: dict) -> DataFrame:
@@ -442,13 +445,13 @@ def profile_light(tables: dict) -> DataFrame:
 
 def table_top_values(df: DataFrame, table_name: str, threshold: int = TOP_THRESHOLD,
                      limit: int = TOP_LIMIT) -> DataFrame:
-    """P8-P10 + W1 alone: the top values of a table without the other statistics
-    (one frequency shuffle, no wide aggregate)."""
-    freqs = value_frequencies(df)
-    dc = distinct_counts(freqs)
-    nested = [f.name for f in df.schema.fields if type_family(f.dataType) == OTHER]
-    top = top_values(freqs, dc, limit=limit, threshold=threshold, exclude=nested)
-    return top.select(F.lit(table_name).alias("table_name"), "column_name", "rank", "value", "frequency")
+    """P8-P10 + W1 alone: the top values of a table without the other statistics: exact distinct counts
+    over digests decide which columns are stacked with their values."""
+    columns = [f.name for f in df.schema.fields if type_family(f.dataType) != OTHER]
+    few = [r["column_name"] for r in distinct_by_digest(df, columns).where(F.col("distinct_count") <= threshold).collect()]
+    if not few:
+        return df.sparkSession.createDataFrame([], _NO_TOP)
+    return top_values(df, table_name, few, limit)
 
 
 def table_quality(profile: DataFrame) -> DataFrame:
@@ -486,8 +489,8 @@ def table_summary(profile: DataFrame, primary_keys: DataFrame | None = None) ->
     return out.select(
         "table_name", "row_count", "column_count", "avg_null_pct", "max_null_pct", "high_null_columns",
         pk_list.alias("primary_keys"),
-        F.when(has_pk, F.concat(F.lit("unique by primary key columns "), F.concat_ws(", ", pk_list)))
-        .otherwise(F.lit("no explicit primary key; grain unclear")).alias("grain"),
+        F.when(has_pk, F.concat(F.lit(KEY_GRAIN), F.concat_ws(", ", pk_list)))
+        .otherwise(F.lit(NO_KEY_GRAIN)).alias("grain"),
         F.transform("_m", lambda s: s["column_name"]).alias("measures"),
         F.transform("_d", lambda s: s["column_name"]).alias("dimensions"),
         modeling_readiness(has_pk, F.col("avg_null_pct")).alias("modeling_readiness"))
@@ -502,48 +505,31 @@ def modeling_readiness(has_pk: Column, avg_null: Column) -> Column:
 
 def profile_many(tables: dict, percentiles: str | None = "exact", distinct: str = "exact",
                  digits: int | None = None):
-    """Profile every table; a table whose plan cannot be built is reported with an error.
+    """Profile every table; a table that fails is reported with its error.
 
-    Returns (profile, top_values, errors). Each table contributes its own lazy plan;
-    the union runs as one job whose stages the scheduler interleaves.
+    Returns (profile, top_values, errors). All tables share their jobs; only if a joint job fails is each
+    table profiled by itself (its rows computed and kept, one per column), so that a table whose plan or
+    rows raise leaves the others profiled.
     """
     spark = next(iter(tables.values())).sparkSession if tables else None
-    profs, tops, errs = [], [], []
-    pre = {}
-    if percentiles == "exact" and distinct != "approx" and tables:
-        # one job computes the wide aggregate of every table (the scans run side by side)
-        parts = []
+    errs, prof, top = [], None, None
+    try:
+        if tables:
+            prof, top = _profile_tables(tables, percentiles, distinct, TOP_THRESHOLD, TOP_LIMIT, digits)
+    except Exception:  # noqa: BLE001 - each table is tried by itself below
+        profs, tops = [], []
         for name, df in tables.items():
             try:
-                st = profile_stats(df, percentiles=percentiles, distinct=distinct)
-                if "family" in st.columns:
-                    parts.append((name, st))
-            except Exception as e:  # noqa: BLE001 - reported below with the table
+                p, t = _profile_tables({name: df}, percentiles, distinct, TOP_THRESHOLD, TOP_LIMIT, digits)
+                profs.append(spark.createDataFrame(p.collect(), p.schema))
+                tops.append(spark.createDataFrame(t.collect(), t.schema))
+            except Exception as e:  # noqa: BLE001 - reported with the table
                 errs.append((name, str(e).splitlines()[0][:500]))
-        if parts:
-            u = None
-            for name, st in parts:
-                x = st.withColumn("_table", F.lit(name))
-                u = x if u is None else u.unionByName(x)
-            from pyspark.sql import Row
-            for r in u.collect():  # one row per column of every table (catalog-sized)
-                d = r.asDict()
-                pre.setdefault(d.pop("_table"), []).append(Row(**d))
-    for name, df in tables.items():
-        if any(e[0] == name for e in errs):
-            continue
-        try:
-            p, t = profile_columns(df, name, percentiles=percentiles, distinct=distinct, digits=digits,
-                                   stats_rows=pre.get(name) if pre else None)
-            p.schema  # analysis happens here: bad columns fail now, not in the union
-            profs.append(p)
-            tops.append(t)
-        except Exception as e:  # noqa: BLE001 - reported per table, the others continue
-            errs.append((name, str(e).splitlines()[0][:500]))
+        if profs:
+            prof, top = _union(profs), _union(tops)
     errors = spark.createDataFrame(errs, "table_name string, error string")
-    prof = _union(profs) if profs else spark.createDataFrame([], PROFILE_SCHEMA)
-    top = _union(tops) if tops else spark.createDataFrame(
-        [], "table_name string, column_name string, rank int, value string, frequency bigint")
+    if prof is None:
+        prof, top = spark.createDataFrame([], PROFILE_SCHEMA), spark.createDataFrame([], _NO_TOP)
     return prof, top, errors
 
 

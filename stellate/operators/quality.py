@@ -13,14 +13,16 @@ GATE_SCHEMA = "gate string, table_name string, column_name string, observed doub
 
 
 def _gate_rows(df: DataFrame, gate: str, table: str, observed: dict, thresholds: dict, higher_is_bad: bool = True):
-    """One aggregate row of observed values -> one gate row per column (inline, no shuffle)."""
+    """One aggregate row of observed values -> one gate row per column (inline, no shuffle).
+
+    Nothing observed (an empty load) is NULL and does not pass."""
     entries = []
     for c, obs in observed.items():
         thr = float(thresholds[c])
         passed = (obs <= F.lit(thr)) if higher_is_bad else (obs >= F.lit(thr))
         entries.append(F.struct(F.lit(gate).alias("gate"), F.lit(table).alias("table_name"),
                                 F.lit(c).alias("column_name"), obs.cast("double").alias("observed"),
-                                F.lit(thr).alias("threshold"), F.coalesce(passed, F.lit(True)).alias("passed")))
+                                F.lit(thr).alias("threshold"), F.coalesce(passed, F.lit(False)).alias("passed")))
     return df.select(F.inline(F.array(*entries)))
 
 
@@ -57,7 +59,7 @@ def format_gate(df: DataFrame, table: str, column: str, pattern: str, min_rate:
     c = F.col(column)
     agg = df.where(c.isNotNull()).agg(F.round(F.try_divide(F.count_if(c.rlike(pattern)), F.count(F.lit(1))), 6)
                                       .alias("r"))
-    return _gate_rows(agg, "format_rate", table, {column: F.coalesce(F.col("r"), F.lit(1.0))}, {column: min_rate},
+    return _gate_rows(agg, "format_rate", table, {column: F.col("r")}, {column: min_rate},
                       higher_is_bad=False)
 
 
@@ -99,7 +101,7 @@ def fk_coverage(fact: DataFrame, table: str, fks, min_rate: float = 0.95) -> Dat
     """Q8: share of non-null foreign keys per key column, against a minimum."""
     fks = list(fks)
     agg = fact.agg(*[F.avg(F.col(c).isNotNull().cast("double")).alias(c) for c in fks])
-    return _gate_rows(agg, "fk_coverage", table, {c: F.round(F.coalesce(F.col(c), F.lit(1.0)), 6) for c in fks},
+    return _gate_rows(agg, "fk_coverage", table, {c: F.round(F.col(c), 6) for c in fks},
                       {c: min_rate for c in fks}, higher_is_bad=False)
 
 

@@ -9,6 +9,7 @@ from stellate.operators import discovery as K
 from stellate.operators import profile as P
 from stellate.plans.registry import register
 from stellate.plans.schemas import SCHEMAS
+from stellate.plans.sqlgen import _fam, _role
 from stellate.sources.tables import TABLES, load_tables
 
 # Declared keys of the driver tables: the constraint catalog a warehouse would hold.
@@ -159,7 +160,7 @@ def _key_cols():
     for t in TABLES:
         for c, ty in SCHEMAS[t]:
             if ty in ("int", "bigint", "smallint", "tinyint"):
-                out.append((t, c, "integral"))
+                out.append((t, c, "number"))
             elif ty in ("string",):
                 out.append((t, c, "string"))
             elif ty in ("date", "timestamp_ntz", "timestamp"):
@@ -174,21 +175,10 @@ VALS_SQL = "vals AS (SELECT DISTINCT * FROM (" + " UNION ALL ".join(
 KC_SQL = "kc(table_name, column_name, family) AS (VALUES " + ", ".join(
     f"('{t}', '{c}', '{f}')" for t, c, f in _key_cols()) + ")"
 
-# Values of key columns whose text is at most 255 characters long (K15 join keys).
-SHORT_VALS_SQL = "svals AS (SELECT DISTINCT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(\"{c}\" AS VARCHAR) AS value FROM {t} "
-    f"WHERE \"{c}\" IS NOT NULL"
-    + (f" AND (SELECT MAX(length(\"{c}\")) FROM {t}) <= 255" if f == "string" else "")
-    for t, c, f in _key_cols()) + "))"
-SHORT_KC_SQL = "kc AS (SELECT * FROM (VALUES " + ", ".join(
-    f"('{t}', '{c}', '{f}', " + (f"(SELECT MAX(length(\"{c}\")) FROM {t}) <= 255" if f == "string" else "TRUE") + ")"
-    for t, c, f in _key_cols()) + ") v(table_name, column_name, family, short) WHERE short)"
-
-# Key profile of every table: integral, date and text columns (text at most 255 chars).
+# Key profile of every table: number, date and text columns.
 def _uniq_part(t, i, c, ty):
-    short = f" HAVING MAX(length(\"{c}\")) <= 255" if ty == "string" else ""
     return (f"SELECT '{t}' AS table_name, '{c}' AS column_name, {i} AS ordinal, "
-            f"COUNT(*) AS n, COUNT(\"{c}\") AS nn, COUNT(DISTINCT \"{c}\") AS nd FROM {t}{short}")
+            f"COUNT(*) AS n, COUNT(\"{c}\") AS nn, COUNT(DISTINCT \"{c}\") AS nd FROM {t}")
 
 
 UNIQ_SQL = "uniq AS (" + " UNION ALL ".join(
@@ -203,31 +193,41 @@ pks AS (SELECT table_name, column_name, key_like_name FROM (
   FROM uniq WHERE n > 0 AND nn = n AND nd = n) x WHERE r = 1)"""
 
 
-def _profile_all(spark, sf):
+def _keys(spark, sf):
+    """(tables, shared value sets of all key columns, key profile)."""
     tabs = _tables(spark, sf)
-    prof, _, _ = P.profile_many(tabs, percentiles=None)
-    return tabs, prof
+    found = K.value_sets(tabs, [(t, c) for t, c, _ in K.key_columns(tabs)])
+    return tabs, found, K.key_profile(tabs, found)
 
 
-def _keys(spark, sf):
-    tabs = _tables(spark, sf)
-    return tabs, K.key_profile(tabs)
+def _relations(spark, sf):
+    """(tables, key profile, primary keys, foreign keys); the last three kept as local tables."""
+    tabs, found, kp = _keys(spark, sf)
+    kp = K.local_copy(kp)
+    pks = K.local_copy(K.infer_primary_keys(kp))
+    return tabs, kp, pks, K.local_copy(K.infer_foreign_keys(tabs, M.catalog_columns(spark, tabs), pks, found))
 
 
 @register("primary_keys_inferred", f"WITH {PKS_SQL} SELECT * FROM pks")
 def primary_keys_inferred(spark, sf):
-    """K2 over the key profile (integral, date and short text columns)."""
-    _, kp = _keys(spark, sf)
-    return K.infer_primary_keys(kp)
+    """K2 over the key profile (number, date and text columns)."""
+    return K.infer_primary_keys(_keys(spark, sf)[2])
 
 
-FKS_SQL = f"""{PKS_SQL}, {CAT_SQL}, {VALS_SQL},
+# Values of the columns that are an end of a candidate relation.
+_CAND_VALS_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(\"{c}\" AS VARCHAR) AS value FROM {t} "
+    f"WHERE \"{c}\" IS NOT NULL AND EXISTS (SELECT 1 FROM ends WHERE t = '{t}' AND c = '{c}')" for t, c, _ in _key_cols())
+
+FKS_SQL = f"""{PKS_SQL}, {CAT_SQL},
 stems AS (SELECT table_name, column_name, regexp_replace(lower(column_name), '^[a-z]{{1,2}}_', '') AS stem FROM cat),
 cand AS (SELECT s.table_name AS from_table, s.column_name AS from_column, k.table_name AS to_table,
                 k.column_name AS to_column
          FROM stems s JOIN (SELECT p.table_name, p.column_name, st.stem FROM pks p JOIN stems st
                             ON p.table_name = st.table_name AND p.column_name = st.column_name) k
            ON s.stem = k.stem WHERE s.table_name <> k.table_name),
+ends AS (SELECT from_table AS t, from_column AS c FROM cand UNION SELECT to_table, to_column FROM cand),
+vals AS (SELECT DISTINCT * FROM ({_CAND_VALS_SQL})),
 rates AS (SELECT c.from_table, c.from_column, c.to_table, c.to_column, COUNT(a.value) AS distinct_values,
                  COUNT(b.value) AS found_values
           FROM cand c LEFT JOIN vals a ON a.table_name = c.from_table AND a.column_name = c.from_column
@@ -241,9 +241,7 @@ SELECT from_table, from_column, to_table, to_column, distinct_values, found_valu
 FROM rates WHERE distinct_values > 0 AND found_values = distinct_values""")
 def foreign_keys_inferred(spark, sf):
     """K3: name match + full inclusion + unique target."""
-    tabs, kp = _keys(spark, sf)
-    pks = K.infer_primary_keys(kp)
-    return K.infer_foreign_keys(tabs, M.catalog_columns(spark, tabs), pks)
+    return _relations(spark, sf)[3]
 
 
 _K4_PAIRS = [("events", "user_id", "customer", "c_custkey"),
@@ -264,18 +262,15 @@ def inclusion_rates(spark, sf):
     return K.inclusion_rates(_tables(spark, sf), pairs)
 
 
-@register("inclusion_dependencies", f"""WITH {SHORT_VALS_SQL}, {SHORT_KC_SQL},
-vals AS (SELECT * FROM svals),
+@register("inclusion_dependencies", f"""WITH {VALS_SQL}, {KC_SQL},
 nd AS (SELECT table_name, column_name, COUNT(*) AS nd FROM vals GROUP BY ALL),
 cols AS (SELECT kc.table_name, kc.column_name, kc.family, COALESCE(nd.nd, 0) AS nd
          FROM kc LEFT JOIN nd USING (table_name, column_name)),
-pairs AS (SELECT a.table_name AS from_table, a.column_name AS from_column, b.table_name AS to_table,
-                 b.column_name AS to_column
-          FROM cols a JOIN cols b ON a.family = b.family
-          WHERE a.table_name <> b.table_name AND a.nd > 0 AND a.nd <= b.nd),
-j AS (SELECT p.*, COUNT(*) AS distinct_values, COUNT(b.value) AS found_values
-      FROM pairs p JOIN vals a ON a.table_name = p.from_table AND a.column_name = p.from_column
-      LEFT JOIN vals b ON b.table_name = p.to_table AND b.column_name = p.to_column AND b.value = a.value
+j AS (SELECT a.table_name AS from_table, a.column_name AS from_column, b.table_name AS to_table,
+             b.column_name AS to_column, ca.nd AS distinct_values, COUNT(*) AS found_values
+      FROM vals a JOIN vals b ON a.value = b.value AND a.table_name <> b.table_name
+      JOIN cols ca ON ca.table_name = a.table_name AND ca.column_name = a.column_name
+      JOIN cols cb ON cb.table_name = b.table_name AND cb.column_name = b.column_name AND ca.family = cb.family
       GROUP BY ALL)
 SELECT *, ROUND(found_values / distinct_values, 6) AS inclusion_rate FROM j WHERE found_values = distinct_values""")
 def inclusion_dependencies(spark, sf):
@@ -375,16 +370,13 @@ def relation_matrix(spark, sf):
 
 
 def _roles(spark, sf):
-    tabs = _tables(spark, sf)
+    tabs, _, pks, fks = _relations(spark, sf)
     prof = P.profile_light(tabs)
-    pks = K.local_copy(K.infer_primary_keys(K.key_profile(tabs)))
-    fks = K.local_copy(K.infer_foreign_keys(tabs, M.catalog_columns(spark, tabs), pks))
     summary = P.table_summary(prof, pks.select("table_name", "column_name"))
     return prof, pks, fks, K.infer_role(summary, fks, prof)
 
 
 def _kinds_row(t):
-    from stellate.plans.sqlgen import _fam, _role
     cols = SCHEMAS[t]
     n_meas = sum(1 for c, ty in cols if _role(c, _fam(ty)) == "measure")
     n_dates = sum(1 for _, ty in cols if ty.startswith("timestamp") or ty == "date")
@@ -428,14 +420,27 @@ SELECT f.from_table, f.from_column, f.to_table, f.to_column,
 FROM fks f LEFT JOIN u fu ON fu.table_name = f.from_table AND fu.column_name = f.from_column
 LEFT JOIN u tu ON tu.table_name = f.to_table AND tu.column_name = f.to_column""")
 def relation_cardinality(spark, sf):
-    tabs, kp = _keys(spark, sf)
-    pks = K.infer_primary_keys(kp)
-    fks = K.infer_foreign_keys(tabs, M.catalog_columns(spark, tabs), pks)
+    _, kp, _, fks = _relations(spark, sf)
     return K.relation_cardinality(fks, kp)
 
 
-@register("logical_table_spec")
+@register("logical_table_spec", f"""WITH {ROLES_SQL},
+kinds2(table_name, column_name, kind) AS (VALUES {", ".join(f"('{t}', '{c}', '{_role(c, _fam(ty))}')" for t in TABLES for c, ty in SCHEMAS[t])})
+SELECT r.table_name, r.role,
+  COALESCE((SELECT string_agg(column_name, ',' ORDER BY column_name) FROM pks p WHERE p.table_name = r.table_name), '') AS pk,
+  COALESCE((SELECT string_agg(from_column || '>' || to_table || '.' || to_column, ',' ORDER BY from_column, to_table, to_column)
+            FROM fks f WHERE f.from_table = r.table_name), '') AS fks,
+  COALESCE((SELECT COUNT(*) FROM kinds2 k WHERE k.table_name = r.table_name AND kind = 'measure'
+     AND (table_name, column_name) NOT IN (SELECT table_name, column_name FROM pks)
+     AND (table_name, column_name) NOT IN (SELECT from_table, from_column FROM fks)), 0) AS n_measures,
+  COALESCE((SELECT COUNT(*) FROM kinds2 k WHERE k.table_name = r.table_name AND kind = 'dimension'
+     AND (table_name, column_name) NOT IN (SELECT table_name, column_name FROM pks)
+     AND (table_name, column_name) NOT IN (SELECT from_table, from_column FROM fks)), 0) AS n_attributes
+FROM roles r""")
 def logical_table_spec(spark, sf):
-    """K14 (rows-only: nested spec per table)."""
+    """K14, the nested spec flattened to one row per table."""
     prof, pks, fks, roles = _roles(spark, sf)
-    return K.logical_table_spec(roles, pks, fks, prof)
+    spec = K.logical_table_spec(roles, pks, fks, prof)
+    ends = F.transform("fks", lambda f: F.concat(f["from"], F.lit(">"), f["toTable"], F.lit("."), f["toColumn"]))
+    return spec.select("table_name", "role", F.array_join("pk", ",").alias("pk"), F.array_join(ends, ",").alias("fks"),
+                       F.size("measures").cast("bigint").alias("n_measures"), F.size("attributes").cast("bigint").alias("n_attributes"))

@@ -30,13 +30,13 @@ def load_tables_counts(spark, sf):
     return out
 
 
-PD_SQL = """pd AS (SELECT ROW_NUMBER() OVER (ORDER BY c_custkey) AS customer_key, c_custkey FROM customer
-  WHERE c_mktsegment <> 'BUILDING'),
+PD_SQL = f"""{D.BENT_CUSTOMER_SQL},
+pd AS (SELECT ROW_NUMBER() OVER (ORDER BY c_custkey) AS customer_key, c_custkey FROM bent_customer),
 fo AS (SELECT o_orderkey, o_custkey, customer_key FROM orders LEFT JOIN pd ON o_custkey = c_custkey)"""
 
 
 def _fact_orders(spark, sf):
-    pd = Dm.surrogate_key(D.partial_customer(spark, sf).select("c_custkey"), "c_custkey", "customer_key")
+    pd = Dm.surrogate_key(D.bent_customer(spark, sf).select("c_custkey"), "c_custkey", "customer_key")
     return Fa.lookup_key(_t(spark, sf, "orders").select("o_orderkey", "o_custkey"), pd, "o_custkey", "c_custkey",
                          "customer_key")
 
@@ -45,7 +45,7 @@ def _gate_sql(gate, table, column, observed, threshold, higher_is_bad=True):
     op = "<=" if higher_is_bad else ">="
     return (f"SELECT '{gate}' AS gate, '{table}' AS table_name, '{column}' AS column_name, "
             f"CAST({observed} AS DOUBLE) AS observed, CAST({threshold} AS DOUBLE) AS threshold, "
-            f"COALESCE(CAST({observed} AS DOUBLE) {op} {threshold}, TRUE) AS passed")
+            f"COALESCE(CAST({observed} AS DOUBLE) {op} {threshold}, FALSE) AS passed")
 
 
 Q1_SQL = (_gate_sql("null_rate", "fact_orders", "o_orderkey",
@@ -66,16 +66,17 @@ SELECT COUNT(*) AS checked, COUNT(*) FILTER (WHERE c_custkey IS NULL) AS orphan_
        ROUND(COUNT(*) FILTER (WHERE c_custkey IS NULL) / COUNT(*), 6) AS orphan_rate
 FROM orders LEFT JOIN pd ON o_custkey = c_custkey WHERE o_custkey IS NOT NULL""")
 def orphans_summary(spark, sf):
-    """Q2 (summary): orders whose customer is missing from the partial dimension."""
-    s, _ = Q.orphans(_t(spark, sf, "orders"), D.partial_customer(spark, sf), "o_custkey", "c_custkey")
+    """Q2 (summary): orders whose customer is missing from the dimension."""
+    s, _ = Q.orphans(_t(spark, sf, "orders"), D.bent_customer(spark, sf), "o_custkey", "c_custkey")
     return s
 
 
-@register("orphan_rows", """SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IS NOT NULL
-  AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')""")
+@register("orphan_rows", f"""WITH {D.BENT_CUSTOMER_SQL}
+SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IS NOT NULL
+  AND o_custkey NOT IN (SELECT c_custkey FROM bent_customer)""")
 def orphan_rows(spark, sf):
     """Q2 (rows)."""
-    _, bad = Q.orphans(_t(spark, sf, "orders"), D.partial_customer(spark, sf), "o_custkey", "c_custkey")
+    _, bad = Q.orphans(_t(spark, sf, "orders"), D.bent_customer(spark, sf), "o_custkey", "c_custkey")
     return bad.select("o_orderkey", "o_custkey")
 
 
@@ -189,7 +190,7 @@ Q7_SQL = " UNION ALL ".join(
 def gate_report(spark, sf):
     """Q9: one table of every gate."""
     fo = _fact_orders(spark, sf)
-    pd = Dm.surrogate_key(D.partial_customer(spark, sf).select("c_custkey"), "c_custkey", "customer_key")
+    pd = Dm.surrogate_key(D.bent_customer(spark, sf).select("c_custkey"), "c_custkey", "customer_key")
     return Q.gate_report(
         Q.null_rate(fo, "fact_orders", ["o_orderkey", "customer_key"], 0.0),
         Q.orphan_gate(_t(spark, sf, "orders"), pd, "o_custkey", "c_custkey", "fact_orders", 0.0),
@@ -198,6 +199,22 @@ def gate_report(spark, sf):
         Q.fk_coverage(fo, "fact_orders", ["customer_key"], 0.95))
 
 
+_EMPTY_GATES_SQL = " UNION ALL ".join(
+    f"SELECT '{gate}' AS gate, 'empty_orders' AS table_name, '{col}' AS column_name, CAST(NULL AS DOUBLE) AS observed, "
+    f"CAST({thr} AS DOUBLE) AS threshold, (SELECT COUNT(*) FROM orders WHERE 1 = 0) > 0 AS passed"
+    for gate, col, thr in (("null_rate", "o_orderkey", 0.0), ("format_rate", "o_orderpriority", 1.0),
+                           ("fk_coverage", "o_custkey", 0.95)))
+
+
+@register("gates_on_empty_load", _EMPTY_GATES_SQL)
+def gates_on_empty_load(spark, sf):
+    """Q1, Q3, Q8 on an empty source: nothing observed, nothing passed."""
+    o = D.empty_orders(spark, sf)
+    return Q.gate_report(Q.null_rate(o, "empty_orders", ["o_orderkey"], 0.0),
+                         Q.format_gate(o, "empty_orders", "o_orderpriority", r"^\d", 1.0),
+                         Q.fk_coverage(o, "empty_orders", ["o_custkey"], 0.95))
+
+
 @register("load_audit", f"""WITH {PD_SQL}
 SELECT 1 AS step, 'dim_customer' AS target, (SELECT COUNT(*) FROM pd) AS row_count, CAST(NULL AS DOUBLE) AS null_fk_rate,
   CASE WHEN (SELECT COUNT(*) FROM pd) = 0 THEN 'empty load' END AS warning
@@ -209,6 +226,6 @@ SELECT 2, 'fact_orders', (SELECT COUNT(*) FROM fo),
        THEN 'unresolved foreign keys' END""")
 def load_audit(spark, sf):
     """Ordered audit rows for the loads (appended to the audit table by the caller)."""
-    pd = Dm.surrogate_key(D.partial_customer(spark, sf).select("c_custkey"), "c_custkey", "customer_key")
+    pd = Dm.surrogate_key(D.bent_customer(spark, sf).select("c_custkey"), "c_custkey", "customer_key")
     return Q.audit_rows(spark, [(1, "dim_customer", pd, []), (2, "fact_orders", _fact_orders(spark, sf),
                                                               ["customer_key"])])

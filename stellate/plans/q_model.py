@@ -11,6 +11,7 @@ from stellate.operators import profile as P
 from stellate.plans import q_catalog as QC
 from stellate.plans import q_star as QS
 from stellate.plans.registry import register
+from stellate.plans.sqlgen import profile_sql
 from stellate.sources import files as S
 from stellate.sources.tables import TABLES, load_tables
 
@@ -22,10 +23,8 @@ def _tables(spark, sf):
 
 
 def _inferred(spark, sf):
-    tabs = _tables(spark, sf)
-    kp = K.local_copy(K.key_profile(tabs))
-    pks = K.local_copy(K.infer_primary_keys(kp))
-    return tabs, kp, pks, K.local_copy(K.infer_foreign_keys(tabs, M.catalog_columns(spark, tabs), pks).select(*REL))
+    tabs, kp, pks, fks = QC._relations(spark, sf)
+    return tabs, kp, pks, fks.select(*REL)
 
 
 def _declared(spark):
@@ -71,30 +70,26 @@ paths AS (SELECT * FROM (
 
 
 @register("ambiguous_paths", f"""WITH {_INF_PATHS_SQL}
-SELECT src, dst, COUNT(*) AS routes FROM paths GROUP BY src, dst HAVING COUNT(*) > 1""")
+SELECT src, dst FROM paths GROUP BY src, dst HAVING COUNT(*) > 1""")
 def ambiguous_paths(spark, sf):
     """V2 on the relations discovered from the data (lineitem reaches nation via orders and
     via supplier)."""
     _, _, _, fks = _inferred(spark, sf)
-    return V.ambiguous_paths(fks).select("src", "dst", "routes")
+    return V.ambiguous_paths(fks).select("src", "dst")
 
 
 @register("relation_cycles", f"""WITH {QC.JOINS_SQL},
 e AS (SELECT DISTINCT from_table AS a, to_table AS b FROM k8 WHERE from_table <> to_table),
-cyc AS (SELECT * FROM (
-  WITH RECURSIVE p(src, dst, path) AS (
-    SELECT a, b, [a, b] FROM e
-    UNION ALL
-    SELECT p.src, e.b, list_append(p.path, e.b) FROM p JOIN e ON p.dst = e.a
-    WHERE NOT list_contains(p.path, e.b) OR (e.b = p.src AND p.dst <> p.src))
-  SELECT * FROM p WHERE dst = src))
-SELECT DISTINCT src AS start, array_to_string(path, '>') AS cycle FROM cyc
-WHERE src = list_min(path[1:len(path) - 1])""")
+r AS (SELECT * FROM (
+  WITH RECURSIVE p(src, dst) AS (SELECT a, b FROM e UNION SELECT p.src, e.b FROM p JOIN e ON p.dst = e.a)
+  SELECT * FROM p)),
+g AS (SELECT x.src, x.dst FROM r x JOIN r y ON x.src = y.dst AND x.dst = y.src)
+SELECT src AS start, string_agg(dst, ',' ORDER BY dst) AS tables FROM g GROUP BY src HAVING src = MIN(dst)""")
 def relation_cycles(spark, sf):
     """V3: circular relationships among the discovered joins (shared keys run both ways)."""
     _, joins = QC._joins(spark, sf)
     rel = joins.select("from_table", F.lit("").alias("from_column"), "to_table", F.lit("").alias("to_column"))
-    return V.cycles(rel)
+    return V.cycles(rel).select("start", "tables")
 
 
 @register("unused_tables", f"""WITH {QC.FKS_SQL},
@@ -251,16 +246,20 @@ def matrix_roundtrip(spark, sf):
     return S.read_matrix(spark, path)
 
 
-@register("profile_json_roundtrip")
+@register("profile_json_roundtrip", "SELECT table_name, column_name, ordinal, data_type, total_rows, null_count, "
+          "distinct_count, min_val, max_val, median, column_role FROM (" + " UNION ALL ".join(profile_sql(t) for t in TABLES) + ")")
 def profile_json_roundtrip(spark, sf):
-    """S8 (rows-only): nested profile document written as JSON lines and read back."""
-    tabs = load_tables(spark, sf, ("orders", "customer", "lineitem"))
+    """The nested profile document of all tables written as JSON lines, read back and flattened to one
+    row per column."""
+    tabs = load_tables(spark, sf, TABLES)
     prof, top, _ = P.profile_many(tabs, digits=6)
     doc = S.profile_document(prof, top, P.table_summary(prof), "sf")
     path = S.scratch_path(spark, "profile-json")
     S.write_profile_json(doc, path)
-    back = spark.read.json(path)
-    return back.select("name", "row_count", F.size("columns").alias("column_count"), "modeling_readiness")
+    c = spark.read.schema(doc.schema).json(path).select("name", F.explode("columns").alias("c"))
+    return c.select(F.col("name").alias("table_name"), *[F.col(f"c.{x}") for x in (
+        "column_name", "ordinal", "data_type", "total_rows", "null_count", "distinct_count", "min_val", "max_val", "median",
+        "column_role")])
 
 
 @register("write_table_roundtrip", f"""WITH {QS.DIM_CUSTOMER_SQL}, {QS.DIM_GEO_SQL}, {QS.DIM_DATE_SQL}

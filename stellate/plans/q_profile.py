@@ -104,7 +104,7 @@ def table_summary_tpch(spark, sf):
   NULL::DOUBLE AS mean_val, NULL::DOUBLE AS stddev_val, NULL::DOUBLE AS p25, NULL::DOUBLE AS median,
   NULL::DOUBLE AS p75, NULL::VARCHAR AS min_date, NULL::VARCHAR AS max_date, NULL::INTEGER AS date_range_days,
   CAST(MIN(length(o_comment)) AS INTEGER) AS min_length, CAST(MAX(length(o_comment)) AS INTEGER) AS max_length,
-  ROUND(AVG(length(o_comment)::DOUBLE), 6) AS avg_length, 'dimension' AS column_role FROM orders_nc""")
+  round(AVG(length(o_comment)::DOUBLE) * 1e6 + 1e-4) / 1e6 AS avg_length, 'dimension' AS column_role FROM orders_nc""")
 def profile_orders_with_null_column(spark, sf):
     prof, _ = P.profile_columns(D.orders_with_null_column(spark, sf), "orders", digits=DIGITS)
     return prof
@@ -117,12 +117,27 @@ def profile_empty_orders(spark, sf):
     return prof
 
 
-@register("profile_approx_lineitem")
+_APPROX_SQL = "\nUNION ALL\n".join(f"""SELECT '{c}' AS column_name, COUNT(*) AS total_rows, COUNT("{c}") AS non_null_count,
+  TRUE AS distinct_close, TRUE AS median_close FROM lineitem""" for c, _ in SCHEMAS["lineitem"])
+
+
+@register("profile_approx_lineitem", _APPROX_SQL)
 def profile_approx_lineitem(spark, sf):
-    """P6 + P7: sketch-based distinct counts and percentiles (rows-only check)."""
-    prof, _ = P.profile_columns(load_table(spark, sf, "lineitem"), "lineitem",
-                                percentiles="approx", distinct="approx")
-    return prof
+    """P6 + P7: sketch-based distinct counts and percentiles against their bounds: distinct counts within
+    five standard deviations of the sketch (25 %), and the share of values below the median within 1 % of
+    a half (counting those equal to it)."""
+    li = load_table(spark, sf, "lineitem")
+    approx, _ = P.profile_columns(li, "lineitem", percentiles="approx", distinct="approx")
+    exact = P.distinct_by_digest(li).withColumnRenamed("distinct_count", "exact")
+    medians = {r["column_name"]: r["median"] for r in approx.select("column_name", "median").collect()}
+    shares = li.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), (F.col(c).cast("double") < m).alias("below"), (F.col(c).cast("double") <= m).alias("upto"))
+        for c, m in medians.items() if m is not None]))).groupBy("column_name").agg(
+        F.avg(F.col("below").cast("int")).alias("below"), F.avg(F.col("upto").cast("int")).alias("upto"))
+    x = approx.join(exact, "column_name").join(shares, "column_name", "left")
+    return x.select("column_name", "total_rows", "non_null_count",
+                    (F.abs(F.col("distinct_count") - F.col("exact")) <= 0.25 * F.col("exact")).alias("distinct_close"),
+                    F.coalesce((F.col("below") <= 0.51) & (F.col("upto") >= 0.49), F.lit(True)).alias("median_close"))
 
 
 @register("bounded_sample_customer_name",

@@ -242,7 +242,7 @@ def surrogate_key_orders(spark, sf):
 
 
 @register("stable_surrogate_customer", """WITH old AS (
-  SELECT c_custkey, ROW_NUMBER() OVER (ORDER BY c_custkey) AS customer_key FROM customer WHERE c_custkey < 1000),
+  SELECT c_custkey, ROW_NUMBER() OVER (ORDER BY c_custkey) AS customer_key FROM customer WHERE c_custkey % 3 <> 0),
 new AS (SELECT c_custkey, (SELECT COALESCE(MAX(customer_key), 0) FROM old)
                           + ROW_NUMBER() OVER (ORDER BY c_custkey) AS customer_key
         FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM old))
@@ -250,7 +250,7 @@ SELECT * FROM old UNION ALL SELECT * FROM new""")
 def stable_surrogate_customer(spark, sf):
     """D3: keys of the first load stay; the second load appends max + 1, + 2, ..."""
     c = _t(spark, sf, "customer").select("c_custkey")
-    first = Dm.surrogate_key(c.where(F.col("c_custkey") < 1000), "c_custkey", "customer_key")
+    first = Dm.surrogate_key(c.where(F.col("c_custkey") % 3 != 0), "c_custkey", "customer_key")
     return Dm.stable_surrogate_key(first.select("c_custkey", "customer_key"), c, "c_custkey", "customer_key")
 
 
@@ -264,12 +264,13 @@ def dim_customer_spec():
     return Dm.DimensionSpec(
         name="dim_customer", natural_key=("c_custkey",), key_name="customer_key",
         attributes={"customer_name": "c_name", "market_segment": "c_mktsegment",
-                    "account_balance": F.col("c_acctbal").cast("decimal(18,4)"), "c_nationkey": "c_nationkey"})
+                    "account_balance": F.col("c_acctbal").cast("decimal(18,4)"), "c_nationkey": "c_nationkey"},
+        foreign_keys=("c_nationkey",))
 
 
 DIM_CUSTOMER_SQL = """dim_customer AS (SELECT ROW_NUMBER() OVER (ORDER BY c_custkey) AS customer_key, c_custkey,
   COALESCE(c_name, 'Unknown') AS customer_name, COALESCE(c_mktsegment, 'Unknown') AS market_segment,
-  COALESCE(CAST(c_acctbal AS DECIMAL(18,4)), 0) AS account_balance, COALESCE(c_nationkey, 0) AS c_nationkey
+  COALESCE(CAST(c_acctbal AS DECIMAL(18,4)), 0) AS account_balance, c_nationkey
   FROM (SELECT DISTINCT ON (c_custkey) * FROM customer WHERE c_custkey IS NOT NULL))"""
 
 
@@ -279,13 +280,13 @@ def build_dimension_customer(spark, sf):
     return Dm.build_dimension(_t(spark, sf, "customer"), dim_customer_spec())
 
 
-@register("unknown_member_customer", """WITH d AS (SELECT ROW_NUMBER() OVER (ORDER BY c_custkey) AS customer_key,
-  c_custkey, c_name FROM customer WHERE c_mktsegment <> 'BUILDING')
-SELECT * FROM d UNION ALL SELECT -1, 0, 'Unknown'""")
+@register("unknown_member_customer", f"""WITH {D.BENT_CUSTOMER_SQL},
+d AS (SELECT ROW_NUMBER() OVER (ORDER BY c_custkey) AS customer_key, c_custkey, c_name FROM bent_customer)
+SELECT * FROM d UNION ALL SELECT -1, NULL, 'Unknown'""")
 def unknown_member_customer(spark, sf):
-    """Partial dimension plus the 'Unknown' member."""
-    d = Dm.surrogate_key(D.partial_customer(spark, sf).select("c_custkey", "c_name"), "c_custkey", "customer_key")
-    return Dm.unknown_member(d.select("customer_key", "c_custkey", "c_name"), "customer_key")
+    """The dimension plus the 'Unknown' member."""
+    d = Dm.surrogate_key(D.bent_customer(spark, sf).select("c_custkey", "c_name"), "c_custkey", "customer_key")
+    return Dm.unknown_member(d.select("customer_key", "c_custkey", "c_name"), "customer_key", natural_key="c_custkey")
 
 
 DIM_DATE_SQL = """cal AS (SELECT CAST(d AS DATE) AS full_date FROM (
@@ -434,37 +435,38 @@ def activity_levels(spark, sf):
 
 
 # ------------------------------------------------------------------ J
-def _dim_cust_partial(spark, sf):
-    return Dm.surrogate_key(D.partial_customer(spark, sf).select("c_custkey", "c_name", "c_mktsegment"),
+def _dim_cust_bent(spark, sf):
+    return Dm.surrogate_key(D.bent_customer(spark, sf).select("c_custkey", "c_name", "c_mktsegment"),
                             "c_custkey", "customer_key")
 
 
-PARTIAL_DIM_SQL = """pd AS (SELECT ROW_NUMBER() OVER (ORDER BY c_custkey) AS customer_key, c_custkey, c_name, c_mktsegment
-  FROM customer WHERE c_mktsegment <> 'BUILDING')"""
+BENT_DIM_SQL = f"""{D.BENT_CUSTOMER_SQL},
+pd AS (SELECT ROW_NUMBER() OVER (ORDER BY c_custkey) AS customer_key, c_custkey, c_name, c_mktsegment
+  FROM bent_customer)"""
 
 
-@register("lookup_key_orders", f"""WITH {PARTIAL_DIM_SQL}
+@register("lookup_key_orders", f"""WITH {BENT_DIM_SQL}
 SELECT o_orderkey, customer_key FROM orders LEFT JOIN pd ON o_custkey = c_custkey""")
 def lookup_key_orders(spark, sf):
     """LEFT lookup; orders of missing customers keep a NULL key."""
-    x = Fa.lookup_key(_t(spark, sf, "orders"), _dim_cust_partial(spark, sf), "o_custkey", "c_custkey", "customer_key")
+    x = Fa.lookup_key(_t(spark, sf, "orders"), _dim_cust_bent(spark, sf), "o_custkey", "c_custkey", "customer_key")
     return x.select("o_orderkey", "customer_key")
 
 
-@register("required_lookup_orders", f"""WITH {PARTIAL_DIM_SQL}
+@register("required_lookup_orders", f"""WITH {BENT_DIM_SQL}
 SELECT o_orderkey, customer_key FROM orders JOIN pd ON o_custkey = c_custkey""")
 def required_lookup_orders(spark, sf):
     """INNER lookup where a missing dimension row makes the fact invalid."""
-    x = Fa.lookup_key(_t(spark, sf, "orders"), _dim_cust_partial(spark, sf), "o_custkey", "c_custkey",
+    x = Fa.lookup_key(_t(spark, sf, "orders"), _dim_cust_bent(spark, sf), "o_custkey", "c_custkey",
                       "customer_key", required=True)
     return x.select("o_orderkey", "customer_key")
 
 
-@register("attribute_lookup_orders", f"""WITH {PARTIAL_DIM_SQL}
+@register("attribute_lookup_orders", f"""WITH {BENT_DIM_SQL}
 SELECT o_orderkey, customer_key, c_name, c_mktsegment FROM orders LEFT JOIN pd ON o_custkey = c_custkey""")
 def attribute_lookup_orders(spark, sf):
     """Raw id -> descriptive attributes."""
-    x = Fa.lookup_key(_t(spark, sf, "orders"), _dim_cust_partial(spark, sf), "o_custkey", "c_custkey",
+    x = Fa.lookup_key(_t(spark, sf, "orders"), _dim_cust_bent(spark, sf), "o_custkey", "c_custkey",
                       "customer_key", attributes=("c_name", "c_mktsegment"))
     return x.select("o_orderkey", "customer_key", "c_name", "c_mktsegment")
 
@@ -518,7 +520,7 @@ def lookup_all_lines(spark, sf):
 
 
 # ------------------------------------------------------------------ L
-def _membership_sql(prefix, extra=""):
+def _membership_sql(prefix, first_keys, last_key, extra=""):
     return f"""WITH {ML}, {D.MEMBERSHIP_PRODUCT_SQL}
 SELECT CAST(1 AS DECIMAL(18,4)) AS {prefix}_quantity, CAST(0 AS DECIMAL(18,4)) AS {prefix}_amount,
   CASE WHEN length(trim(s1.effectivedate)) >= 10 THEN TRY_CAST(substring(trim(s1.effectivedate), 1, 10) AS DATE)
@@ -528,26 +530,23 @@ SELECT CAST(1 AS DECIMAL(18,4)) AS {prefix}_quantity, CAST(0 AS DECIMAL(18,4)) A
   END AS {prefix}_end_date,
   CASE WHEN length(trim(s1.terminatedate)) >= 10 THEN TRY_CAST(substring(trim(s1.terminatedate), 1, 10) AS DATE)
   END AS {prefix}_grace_date,
-  CAST(NULL AS BIGINT) AS individual_key, CAST(NULL AS BIGINT) AS company_key, CAST(NULL AS BIGINT) AS geography_key
+  {", ".join(f"CAST(NULL AS BIGINT) AS {k}" for k in (*first_keys, "individual_key", "company_key", "geography_key", last_key))}
 FROM membership_log s1 LEFT JOIN membership_product s2 ON s1.membershipproductid = s2.id
 WHERE COALESCE(s1.isdeleted, FALSE) = FALSE AND s1.id IS NOT NULL
   AND (s1.meta_record_status IS NULL OR s1.meta_record_status = 'A') {extra}"""
 
 
-@register("fact_memberships", _membership_sql("membership"))
+@register("fact_memberships", _membership_sql("membership", ("membership_type_key", "product_key"), "memberships_key"))
 def fact_memberships(spark, sf):
     """L2 (+ L1, C7, F2-F5, J3): the membership-term fact load."""
     return Fa.membership_term_fact(D.membership_log(spark, sf), D.membership_product(spark, sf))
 
 
 @register("fact_chapter_memberships", _membership_sql(
-    "chapter_membership", "AND s1.membershipproductid IN (SELECT id FROM membership_product)"))
+    "chapter_membership", ("chapter_key",), "chapter_memberships_key", "AND COALESCE(s2.ischapter, FALSE) = TRUE"))
 def fact_chapter_memberships(spark, sf):
-    """L3: same load with its own predicate: only terms whose product is a known chapter product."""
-    prod = D.membership_product(spark, sf)
-    log = D.membership_log(spark, sf).join(prod.select(F.col("id").alias("membershipproductid")),
-                                           "membershipproductid", "left_semi")
-    return Fa.membership_term_fact(log, prod, prefix="chapter_membership")
+    """L3: same load with its own predicate: only terms whose product is a chapter product."""
+    return Fa.chapter_membership_fact(D.membership_log(spark, sf), D.membership_product(spark, sf))
 
 
 @register("fact_sales_lines", f"""WITH {KEYS_SQL}, {DIM_DATE_SQL}
@@ -603,43 +602,80 @@ def _dim_individual(spark, sf):
     return Dm.surrogate_key(_t(spark, sf, "customer").select("c_custkey"), "c_custkey", "individual_key")
 
 
-def _event_fact(spark, sf, types, amount: bool):
-    e = _t(spark, sf, "events").where(F.col("event_type").isin(*types))
-    x = Fa.lookup_key(e, _dim_individual(spark, sf), "user_id", "c_custkey", "individual_key")
-    cols = [F.col("event_id"), F.col("event_type"), C.date_key("ts").alias("event_date_key"),
-            F.to_date("ts").alias("event_date"), F.date_format("ts", "HH:mm:ss").alias("event_time"),
-            F.col("individual_key")]
-    if amount:
-        cols += [F.lit(1).cast("decimal(18,4)").alias("quantity"),
-                 F.col("value").cast("decimal(18,4)").alias("amount")]
-    return x.select(*cols)
-
-
-def _event_fact_sql(types, amount):
-    t = ", ".join(f"'{x}'" for x in types)
-    amt = (", CAST(1 AS DECIMAL(18,4)) AS quantity, CAST(value AS DECIMAL(18,4)) AS amount" if amount else "")
-    return f"""WITH {_CUST_KEY_SQL}
+@register("fact_activities", f"""WITH {_CUST_KEY_SQL}
 SELECT event_id, event_type, CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INTEGER) AS event_date_key,
-  CAST(ts AS DATE) AS event_date, strftime(ts, '%H:%M:%S') AS event_time, individual_key{amt}
-FROM events LEFT JOIN dcu ON user_id = c_custkey WHERE event_type IN ({t})"""
-
-
-@register("fact_activities", _event_fact_sql(("click", "view", "error"), False))
+  CAST(ts AS DATE) AS event_date, strftime(ts, '%H:%M:%S') AS event_time, individual_key
+FROM events LEFT JOIN dcu ON user_id = c_custkey WHERE event_type IN ('click', 'view', 'error')""")
 def fact_activities(spark, sf):
     """One row per activity event with date, time and individual keys."""
-    return _event_fact(spark, sf, ("click", "view", "error"), False)
+    e = _t(spark, sf, "events").where(F.col("event_type").isin("click", "view", "error"))
+    x = Fa.lookup_key(e, _dim_individual(spark, sf), "user_id", "c_custkey", "individual_key")
+    return x.select("event_id", "event_type", C.date_key("ts").alias("event_date_key"), F.to_date("ts").alias("event_date"),
+                    F.date_format("ts", "HH:mm:ss").alias("event_time"), "individual_key")
 
 
-@register("fact_registrations", _event_fact_sql(("signup",), True))
-def fact_registrations(spark, sf):
-    """L11 (registrations): signup events with quantity and amount."""
-    return _event_fact(spark, sf, ("signup",), True)
+# Keys of the event facts come from the customer: the individual and, through the nation, the geography.
+_EVENT_KEYS_SQL = f"""{_CUST_KEY_SQL}, {DIM_GEO_SQL},
+dig AS (SELECT c.c_custkey, d.individual_key, g.geography_key FROM customer c JOIN dcu d ON c.c_custkey = d.c_custkey
+  LEFT JOIN dim_geography g ON c.c_nationkey = g.n_nationkey),
+reg AS (SELECT user_id, MIN(CAST(ts AS DATE)) AS first_registration, MIN(event_id) AS registration_key
+  FROM events WHERE event_type = 'signup' GROUP BY user_id)"""
 
 
-@register("fact_purchases", _event_fact_sql(("purchase",), True))
+def _event_keys(spark, sf):
+    c = Dm.surrogate_key(_t(spark, sf, "customer").select("c_custkey", "c_nationkey"), "c_custkey", "individual_key")
+    g = Dm.dim_geography(_t(spark, sf, "nation"), _t(spark, sf, "region"))
+    return Fa.lookup_key(c, g, "c_nationkey", "n_nationkey", "geography_key").select(
+        "c_custkey", "individual_key", "geography_key")
+
+
+@register("fact_registrations", f"""WITH {_EVENT_KEYS_SQL}
+SELECT CAST(1 AS DECIMAL(18,4)) AS registration_quantity, CAST(value AS DECIMAL(18,4)) AS registration_amount,
+  CAST(NULL AS DECIMAL(18,4)) AS event_distance, CAST(ts AS DATE) AS event_registration_date,
+  CAST(NULL AS DATE) AS event_start_date, CAST(NULL AS BIGINT) AS event_key, CAST(NULL AS BIGINT) AS product_key,
+  individual_key, CAST(NULL AS BIGINT) AS company_key, geography_key, CAST(NULL AS BIGINT) AS event_geography_key,
+  CAST(event_id AS BIGINT) AS event_registrations_key
+FROM events LEFT JOIN dig ON user_id = c_custkey WHERE event_type = 'signup'""")
+def fact_registrations(spark, sf):
+    """L11 (registrations): signup events in the declared target's columns; what no source resolves is a
+    typed NULL."""
+    e = _t(spark, sf, "events").where(F.col("event_type") == "signup")
+    return Fa.load_fact(e, Fa.FactSpec(
+        name="fact_event_registrations",
+        columns={"registration_quantity": C.typed_const(1, "decimal(18,4)"),
+                 "registration_amount": F.col("value").cast("decimal(18,4)"),
+                 "event_distance": C.typed_null("decimal(18,4)"),
+                 "event_registration_date": F.to_date("ts"), "event_start_date": C.typed_null("date"),
+                 "event_key": C.typed_null("bigint"), "product_key": C.typed_null("bigint"),
+                 "individual_key": "individual_key", "company_key": C.typed_null("bigint"),
+                 "geography_key": "geography_key", "event_geography_key": C.typed_null("bigint"),
+                 "event_registrations_key": F.col("event_id").cast("bigint")},
+        enrich=((_event_keys(spark, sf), F.col("user_id") == F.col("c_custkey")),)))
+
+
+@register("fact_purchases", f"""WITH {_EVENT_KEYS_SQL}
+SELECT CAST(1 AS DECIMAL(18,4)) AS purchase_quantity, CAST(value AS DECIMAL(18,4)) AS purchase_amount,
+  CAST(ts AS DATE) AS purchase_date, first_registration AS event_registration_date,
+  CAST(NULL AS DECIMAL(18,4)) AS event_distance, CAST(NULL AS BIGINT) AS event_key, CAST(NULL AS BIGINT) AS product_key,
+  individual_key, CAST(NULL AS BIGINT) AS company_key, geography_key, CAST(NULL AS BIGINT) AS event_geography_key,
+  CAST(registration_key AS BIGINT) AS event_registration_key, CAST(NULL AS BIGINT) AS event_sessions_key
+FROM events e LEFT JOIN dig ON e.user_id = c_custkey LEFT JOIN reg r ON e.user_id = r.user_id WHERE event_type = 'purchase'""")
 def fact_purchases(spark, sf):
-    """L11 (purchases): purchase events with quantity and amount."""
-    return _event_fact(spark, sf, ("purchase",), True)
+    """L11 (purchases): purchase events with the user's first registration, in the declared target's columns."""
+    e = _t(spark, sf, "events")
+    reg = (e.where(F.col("event_type") == "signup").groupBy(F.col("user_id").alias("_user"))
+           .agg(F.min(F.to_date("ts")).alias("first_registration"), F.min("event_id").alias("registration_key")))
+    return Fa.load_fact(e, Fa.FactSpec(
+        name="fact_event_purchases", predicate=F.col("event_type") == "purchase",
+        columns={"purchase_quantity": C.typed_const(1, "decimal(18,4)"),
+                 "purchase_amount": F.col("value").cast("decimal(18,4)"), "purchase_date": F.to_date("ts"),
+                 "event_registration_date": "first_registration", "event_distance": C.typed_null("decimal(18,4)"),
+                 "event_key": C.typed_null("bigint"), "product_key": C.typed_null("bigint"),
+                 "individual_key": "individual_key", "company_key": C.typed_null("bigint"),
+                 "geography_key": "geography_key", "event_geography_key": C.typed_null("bigint"),
+                 "event_registration_key": F.col("registration_key").cast("bigint"),
+                 "event_sessions_key": C.typed_null("bigint")},
+        enrich=((_event_keys(spark, sf), F.col("user_id") == F.col("c_custkey")), (reg, F.col("user_id") == F.col("_user")))))
 
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -705,18 +741,57 @@ def fact_web_pageviews(spark, sf):
     return Fa.page_views(e)
 
 
-@register("fact_sponsorships", """WITH dco AS (SELECT s_suppkey, ROW_NUMBER() OVER (ORDER BY s_suppkey) AS company_key
-  FROM supplier)
-SELECT l_orderkey, l_linenumber, company_key AS sponsor_key, CAST(l_quantity AS DECIMAL(18,4)) AS sponsorship_quanity,
-  CAST(l_extendedprice AS DECIMAL(18,4)) AS sponsorship_amount, CAST(l_shipdate AS DATE) AS valid_from,
-  CAST(CAST(l_shipdate AS DATE) + INTERVAL 365 DAY AS DATE) AS valid_to
-FROM lineitem LEFT JOIN dco ON l_suppkey = s_suppkey""")
+_LINE_KEYS_SQL = """dp AS (SELECT p_partkey, ROW_NUMBER() OVER (ORDER BY p_partkey) AS product_key FROM part),
+dco AS (SELECT s_suppkey, ROW_NUMBER() OVER (ORDER BY s_suppkey) AS company_key FROM supplier)"""
+
+
+@register("fact_sponsorships", f"""WITH {_LINE_KEYS_SQL}
+SELECT CAST(l_quantity AS DECIMAL(18,4)) AS sponsorship_quanity, CAST(l_extendedprice AS DECIMAL(18,4)) AS sponsorship_amount,
+  CAST(l_shipdate AS DATE) AS sponsorship_purchase_date, CAST(l_shipdate AS DATE) AS sponsorship_start_date,
+  CAST(CAST(l_shipdate AS DATE) + INTERVAL 365 DAY AS DATE) AS sponsorship_end_date, product_key,
+  company_key AS sponsor_key, CAST(NULL AS BIGINT) AS sponsorships_key
+FROM lineitem LEFT JOIN dp ON l_partkey = p_partkey LEFT JOIN dco ON l_suppkey = s_suppkey""")
 def fact_sponsorships(spark, sf):
-    """Quantity, amount, validity dates and sponsor key (target names kept verbatim)."""
-    li = _t(spark, sf, "lineitem")
-    x = Fa.lookup_key(li, _dim_company(spark, sf), "l_suppkey", "s_suppkey", "company_key")
-    d = F.to_date("l_shipdate")
-    return x.select("l_orderkey", "l_linenumber", F.col("company_key").alias("sponsor_key"),
-                    F.col("l_quantity").cast("decimal(18,4)").alias("sponsorship_quanity"),
-                    F.col("l_extendedprice").cast("decimal(18,4)").alias("sponsorship_amount"),
-                    d.alias("valid_from"), F.date_add(d, 365).alias("valid_to"))
+    """Quantity, amount, dates and keys in the declared target's columns (names kept verbatim)."""
+    start = F.to_date("l_shipdate")
+    return Fa.load_fact(_t(spark, sf, "lineitem"), Fa.FactSpec(
+        name="fact_sponsorships",
+        columns={"sponsorship_quanity": F.col("l_quantity").cast("decimal(18,4)"),
+                 "sponsorship_amount": F.col("l_extendedprice").cast("decimal(18,4)"),
+                 "sponsorship_purchase_date": F.to_date("l_shipdate"), "sponsorship_start_date": start,
+                 "sponsorship_end_date": F.date_add(start, 365), "product_key": "product_key",
+                 "sponsor_key": "company_key", "sponsorships_key": C.typed_null("bigint")},
+        lookups=((_dim_product(spark, sf), "l_partkey", "p_partkey", "product_key"),
+                 (_dim_company(spark, sf), "l_suppkey", "s_suppkey", "company_key"))))
+
+
+@register("fact_event_exhibits", f"""WITH {_LINE_KEYS_SQL}
+SELECT CAST(l_quantity AS DECIMAL(18,4)) AS event_exhibit_quantity, CAST(l_extendedprice AS DECIMAL(18,4)) AS event_exhibit_amount,
+  CAST(l_shipdate AS DATE) AS event_exhibit_date, CAST(l_shipdate AS DATE) AS event_start_date,
+  CAST(NULL AS BIGINT) AS event_key, product_key, CAST(l_orderkey AS BIGINT) AS event_exhibit_key,
+  company_key AS exhibitor_key, CAST(NULL AS BIGINT) AS event_exhibits_key
+FROM lineitem LEFT JOIN dp ON l_partkey = p_partkey LEFT JOIN dco ON l_suppkey = s_suppkey""")
+def fact_event_exhibits(spark, sf):
+    """L12 (exhibits): the exhibit fact with its exhibitor and product keys."""
+    return Fa.load_fact(_t(spark, sf, "lineitem"), Fa.FactSpec(
+        name="fact_event_exhibits",
+        columns={"event_exhibit_quantity": F.col("l_quantity").cast("decimal(18,4)"),
+                 "event_exhibit_amount": F.col("l_extendedprice").cast("decimal(18,4)"),
+                 "event_exhibit_date": F.to_date("l_shipdate"), "event_start_date": F.to_date("l_shipdate"),
+                 "event_key": C.typed_null("bigint"), "product_key": "product_key",
+                 "event_exhibit_key": F.col("l_orderkey").cast("bigint"), "exhibitor_key": "company_key",
+                 "event_exhibits_key": C.typed_null("bigint")},
+        lookups=((_dim_product(spark, sf), "l_partkey", "p_partkey", "product_key"),
+                 (_dim_company(spark, sf), "l_suppkey", "s_suppkey", "company_key"))))
+
+
+@register("customer_geography_null_nation", f"""WITH {DIM_GEO_SQL},
+c AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_nationkey END AS c_nationkey FROM customer)
+SELECT c_custkey, c.c_nationkey, geography_key FROM c LEFT JOIN dim_geography g ON c.c_nationkey = g.n_nationkey""")
+def customer_geography_null_nation(spark, sf):
+    """D5 + D12: a missing nation stays NULL and resolves to no geography."""
+    c = _t(spark, sf, "customer").withColumn("c_nationkey", F.when(F.col("c_custkey") % 10 != 0, F.col("c_nationkey")))
+    dim = Dm.build_dimension(c, dim_customer_spec())
+    g = Dm.dim_geography(_t(spark, sf, "nation"), _t(spark, sf, "region"))
+    return Fa.lookup_key(dim, g, "c_nationkey", "n_nationkey", "geography_key").select(
+        "c_custkey", "c_nationkey", "geography_key")

@@ -32,7 +32,7 @@ def _text(c: str, t: str) -> str:
 
 def profile_sql(table: str, digits: int | None = 6) -> str:
     def r(x):
-        return f"ROUND({x}, {digits})" if digits is not None else x
+        return f"round({x} * 1e{digits} + 1e-4) / 1e{digits}" if digits is not None else x
 
     parts = []
     for i, (c, t) in enumerate(SCHEMAS[table], start=1):

@@ -40,7 +40,8 @@ def build_star(spark: SparkSession, sf_dir: str, out_dir: str | None = None, aud
     geo = _write(spark, Dm.dim_geography(t["nation"], t["region"]), out_dir, "dim_geography")
     cust = Dm.build_dimension(t["customer"], Dm.DimensionSpec(
         name="dim_customer", natural_key=("c_custkey",), key_name="customer_key",
-        attributes={"customer_name": "c_name", "market_segment": "c_mktsegment", "c_nationkey": "c_nationkey"}))
+        attributes={"customer_name": "c_name", "market_segment": "c_mktsegment", "c_nationkey": "c_nationkey"},
+        foreign_keys=("c_nationkey",)))
     cust = Fa.lookup_key(cust, geo, "c_nationkey", "n_nationkey", "geography_key")
     cust = _write(spark, cust.select("customer_key", "c_custkey", "customer_name", "market_segment",
                                      F.col("geography_key").alias("customer_geography_key")), out_dir, "dim_customer")

@@ -45,11 +45,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared file system folder and is used as is.
-    Only when it is unset (local tests) a fresh scratch folder is created.
+    On a cluster the setting names a shared file system folder. Only where it is unset and
+    the master is local (tests) a scratch folder is made, once per session; otherwise an
+    error asks for the setting. The folder that Spark makes below it is set once.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return d or current
     if not d:
-        d = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="stellate-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        d = tempfile.mkdtemp(prefix="stellate-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return d

@@ -1,3 +1,3 @@
-from stellate.sources.tables import TABLES, load_table, load_tables, register_views
+from stellate.sources.tables import TABLES, load_table, load_tables
 
-__all__ = ["TABLES", "load_table", "load_tables", "register_views"]
+__all__ = ["TABLES", "load_table", "load_tables"]

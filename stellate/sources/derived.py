@@ -44,7 +44,9 @@ def membership_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def membership_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
+    k = F.col("p_partkey")
+    chapter = F.when(k % 4 == 0, F.lit(None).cast("boolean")).otherwise(k % 3 == 0)
+    return load_table(spark, sf_dir, "part").select(k.alias("id"), chapter.alias("ischapter"))
 
 
 def numeric_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,8 +64,11 @@ def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select("l_orderkey", "l_linenumber", "l_partkey", flag.alias("flag_txt"))
 
 
-def partial_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "BUILDING")
+def bent_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers; the keys of one segment are bent, so that their orders are orphans."""
+    k = F.col("c_custkey")
+    return load_table(spark, sf_dir, "customer").withColumn(
+        "c_custkey", F.when(F.col("c_mktsegment") == "BUILDING", -k - 1).otherwise(k))
 
 
 def repeated_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +104,8 @@ MEMBERSHIP_LOG_SQL = """membership_log AS (
       AS meta_record_status
   FROM orders)"""
 
-MEMBERSHIP_PRODUCT_SQL = "membership_product AS (SELECT p_partkey AS id FROM part)"
+MEMBERSHIP_PRODUCT_SQL = """membership_product AS (SELECT p_partkey AS id,
+    CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_partkey % 3 = 0 END AS ischapter FROM part)"""
 
 NUMERIC_TEXT_SQL = """numeric_text AS (
   SELECT l_orderkey, l_linenumber,
@@ -112,7 +118,8 @@ FLAGS_SQL = """flags AS (
                        WHEN 4 THEN 'N' ELSE NULL END AS flag_txt
   FROM lineitem)"""
 
-PARTIAL_CUSTOMER_SQL = "partial_customer AS (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING')"
+BENT_CUSTOMER_SQL = """bent_customer AS (SELECT * REPLACE (
+  CASE WHEN c_mktsegment = 'BUILDING' THEN -c_custkey - 1 ELSE c_custkey END AS c_custkey) FROM customer)"""
 
 REPEATED_CUSTOMER_SQL = """repeated_customer AS (
   SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_custkey % 10 = 0)"""

@@ -109,10 +109,7 @@ def write_profile_json(doc: DataFrame, path: str) -> None:
     doc.write.mode("overwrite").json(path)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:
+def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Typed target write. ``overwrite`` makes a re-run idempotent (an append
     re-run would duplicate facts)."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    df.write.mode(mode).parquet(path)

@@ -99,3 +99,27 @@ def test_catalog_from_metastore(spark, tmp_path):
     got = [(r.table_name, r.column_name, r.data_type, r.ordinal_position) for r in cat.collect()]
     assert got == [("t_a", "id", "bigint", 1), ("t_a", "name", "string", 2)]
     spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_numbers_of_different_types_and_long_texts_meet(spark):
+    from decimal import Decimal
+    a = spark.createDataFrame([(Decimal("1.0000"), "t" * 300, "7"), (Decimal("2.5000"), "u" * 300, "07")],
+                              "d decimal(18,4), long_text string, n string")
+    b = spark.createDataFrame([(1, "t" * 300, 2.5), (7, "u" * 300, 3.5)], "id bigint, long_text string, x double")
+    pairs = spark.createDataFrame([("b", "id", "a", "d"), ("a", "long_text", "b", "long_text"), ("a", "n", "b", "id"),
+                                   ("a", "d", "b", "id")],
+                                  "from_table string, from_column string, to_table string, to_column string")
+    got = {(r.from_table, r.from_column, r.to_column): (r.distinct_values, r.found_values)
+           for r in K.inclusion_rates({"a": a, "b": b}, pairs).collect()}
+    assert got == {("b", "id", "d"): (2, 1), ("a", "long_text", "long_text"): (2, 2), ("a", "n", "id"): (2, 1),
+                   ("a", "d", "id"): (2, 1)}
+    same = spark.createDataFrame([(Decimal("1.0000"),), (Decimal("7.0000"),)], "d decimal(18,4)")
+    one = spark.createDataFrame([("a", "d", "b", "id")], pairs.schema)
+    assert K.inclusion_rates({"a": same, "b": b}, one).first().inclusion_rate == 1.0
+    assert ("a", "d", "number") in K.key_columns({"a": a})
+
+
+def test_inclusion_dependencies_of_any_text_length(spark):
+    a = spark.createDataFrame([("t" * 999,)], "x string")
+    b = spark.createDataFrame([("t" * 999,), ("u",)], "y string")
+    assert [(r.from_column, r.to_column) for r in K.inclusion_dependencies({"a": a, "b": b}).collect()] == [("x", "y")]

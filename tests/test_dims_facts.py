@@ -10,23 +10,20 @@ SF = "/root/testdata/sf0.001"
 
 def test_surrogate_key_dense_unique_and_ordered(spark):
     df = spark.range(0, 5000).select(((F.col("id") * 7919) % 100003).alias("k"))
-    for small in (0, 1_000_000):  # range-partition path and bounded single-window path
-        keyed = Dm.surrogate_key(df, "k", "sk", partitions=7, small_max_rows=small)
-        got = keyed.orderBy("k").select("sk").collect()
+    for parts in (1, 7):
+        got = Dm.surrogate_key(df, "k", "sk", partitions=parts).orderBy("k").select("sk").collect()
         assert [r[0] for r in got] == list(range(1, 5001))
 
 
 def test_surrogate_key_with_offset_and_composite(spark):
     df = spark.createDataFrame([("b", 1), ("a", 2), ("a", 1)], "x string, y int")
-    for small in (0, 100):
-        keyed = {(r.x, r.y): r.sk for r in Dm.surrogate_key(df, ["x", "y"], "sk", offset=10,
-                                                             small_max_rows=small).collect()}
-        assert keyed == {("a", 1): 11, ("a", 2): 12, ("b", 1): 13}
+    keyed = {(r.x, r.y): r.sk for r in Dm.surrogate_key(df, ["x", "y"], "sk", offset=10).collect()}
+    assert keyed == {("a", 1): 11, ("a", 2): 12, ("b", 1): 13}
 
 
 def test_stable_surrogate_key_keeps_old_keys(spark):
     old = spark.createDataFrame([(5, 1), (9, 2)], "k int, sk bigint")
-    new = spark.createDataFrame([(1,), (5,), (9,), (7,)], "k int")
+    new = spark.createDataFrame([(1,), (5,), (9,), (7,), (7,), (None,)], "k int")
     got = {r.k: r.sk for r in Dm.stable_surrogate_key(old, new, "k", "sk").collect()}
     assert got == {5: 1, 9: 2, 1: 3, 7: 4}
 
@@ -109,3 +106,35 @@ def test_star_build_appends_audit(spark, tmp_path):
         build_star(spark, SF, out_dir=str(tmp_path / f"run{run}"), audit_path=audit_path)
     log = spark.read.parquet(audit_path)
     assert log.count() == 18 and log.select("run_dir").distinct().count() == 2
+
+
+def test_empty_source_gives_an_empty_calendar(spark):
+    o = spark.createDataFrame([], "d date")
+    assert Dm.dim_date_for(o, "d").count() == 0
+
+
+def test_missing_foreign_key_stays_null(spark):
+    src = spark.createDataFrame([(1, "a", None), (2, None, 7)], "id int, name string, nation int")
+    spec = Dm.DimensionSpec("d", ("id",), "sk", {"name": "name", "nation": "nation"}, foreign_keys=("nation",))
+    got = {r.id: (r.name, r.nation) for r in Dm.build_dimension(src, spec).collect()}
+    assert got == {1: ("a", None), 2: ("Unknown", 7)}
+
+
+def test_unknown_member_has_no_natural_key(spark):
+    dim = spark.createDataFrame([(1, 0, "x")], "sk long, k int, name string")
+    got = {r.sk: (r.k, r.name) for r in Dm.unknown_member(dim, "sk", natural_key="k").collect()}
+    assert got == {1: (0, "x"), -1: (None, "Unknown")}
+
+
+def test_lookups_start_no_size_check(spark):
+    fact = spark.range(10).withColumnRenamed("id", "k")
+    dim = spark.range(5).selectExpr("id AS k", "id + 100 AS sk")
+    plan = Fa.lookup_key(fact, dim, "k", "k", "sk")._jdf.queryExecution().toString()
+    assert "Limit" not in plan
+
+
+def test_checkpoint_dir_is_set_once(spark):
+    from stellate.session import checkpoint_dir
+    first = checkpoint_dir(spark), spark.sparkContext.getCheckpointDir()
+    for _ in range(500):
+        assert (checkpoint_dir(spark), spark.sparkContext.getCheckpointDir()) == first

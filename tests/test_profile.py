@@ -103,7 +103,7 @@ def test_profile_many_unions_tables(spark):
     assert prof.count() == 3 and errors.count() == 0
 
 
-def test_percentiles_by_rank_matches_numpy(spark):
+def test_rank_statistics_match_numpy(spark):
     import numpy as np
     rng = np.random.default_rng(7)
     a = rng.integers(0, 50, 3000).astype(float)          # many ties
@@ -113,16 +113,16 @@ def test_percentiles_by_rank_matches_numpy(spark):
     df = spark.createDataFrame(rows, "col string, x double")
     freqs = (df.groupBy(F.col("col").alias("column_name"), F.col("x").alias("num"))
              .agg(F.count(F.lit(1)).alias("frequency")))
-    got = {r.column_name: r for r in P.percentiles_by_rank(freqs, ["a", "b", "c"], partitions=5).collect()}
+    got = {r.column_name: r for r in P.rank_statistics(freqs, partitions=5).collect()}
     for name, vals in (("a", a), ("b", b), ("c", c)):
         want = np.percentile(vals, [25, 50, 75])
         r = got[name]
         assert np.allclose([r.p25, r.median, r.p75], want, rtol=1e-12, atol=1e-9), (name, r, want)
+        assert r.distinct_count == len(set(vals.tolist()))
 
 
-def test_profile_uses_rank_selection_for_large_columns(spark, monkeypatch):
+def test_profile_percentiles_match_numpy(spark):
     import numpy as np
-    monkeypatch.setattr(P, "EXACT_MAP_MAX", 10)
     vals = [float(i % 97) * 1.5 for i in range(1000)]
     df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(vals)], "x double, k int")
     prof, _ = P.profile_columns(df, "t")
@@ -147,3 +147,24 @@ def test_approx_profile_close_to_exact(spark):
             span = (e.max_val - e.min_val) or 1.0
             step = span / max(e.distinct_count - 1, 1)
             assert abs(a.median - e.median) <= 0.05 * span + step, c
+
+
+def test_approx_profile_keeps_top_values_of_columns_at_the_limit(spark):
+    cols = [F.concat(F.lit(f"c{i}-"), (F.col("id") % 1000).cast("string")).alias(f"c{i}") for i in range(60)]
+    df = spark.range(2000).select(*cols)
+    _, top = P.profile_columns(df, "t", percentiles="approx", distinct="approx")
+    assert {r.column_name: r.n for r in top.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()} == {
+        f"c{i}": 10 for i in range(60)}
+
+
+def test_profile_many_isolates_a_table_whose_rows_raise(spark):
+    good = spark.createDataFrame([(1,), (2,)], "a int")
+    bad = spark.createDataFrame([("x",)], "s string").select(F.col("s").cast("int").alias("n"))
+    prof, top, errors = P.profile_many({"good": good, "bad": bad})
+    assert {r.table_name for r in prof.collect()} == {"good"} == {r.table_name for r in top.collect()}
+    assert [r.table_name for r in errors.collect()] == ["bad"]
+
+
+def test_long_texts_are_counted_by_digest(spark):
+    df = spark.createDataFrame([("x" * 5000,), ("x" * 5000,), ("x" * 5000 + "y",), (None,)], "t string")
+    assert P.distinct_by_digest(df).first().distinct_count == 2

@@ -81,3 +81,19 @@ def test_relations_match_and_coverage(spark):
     d = spark.createDataFrame([("t", "a"), ("t", "b")], "table_name string, column_name string")
     bt = spark.createDataFrame([("t", "a"), ("t", "c")], "table_name string, column_name string")
     assert {r.issue for r in V.schema_coverage(d, bt).collect()} == {"declared, not built", "built, not declared"}
+
+
+def test_clique_of_tables(spark):
+    import itertools
+    names = [f"t{i:02d}" for i in range(30)]
+    rel = spark.createDataFrame([(a, "k", b, "k") for a, b in itertools.permutations(names, 2)],
+                                "from_table string, from_column string, to_table string, to_column string")
+    assert V.ambiguous_paths(rel).count() == 30 * 29
+    assert [(r.start, r.cycle) for r in V.cycles(rel).collect()] == [("t00", "t00>t01>t00")]
+
+
+def test_gates_fail_on_an_empty_load(spark):
+    e = spark.createDataFrame([], "k int, s string")
+    for gate in (Q.null_rate(e, "e", ["k"]), Q.format_gate(e, "e", "s", "x"), Q.fk_coverage(e, "e", ["k"])):
+        row = gate.first()
+        assert row.observed is None and row.passed is False
