@@ -7,8 +7,8 @@ Counting, truncating and budgeting then read the table and never encode again.
 The table of a piece (a word, number or run of signs; a BPE never merges across pieces) comes from
 a dynamic program over its prefixes: the encoding of a prefix ends in the one vocabulary token whose
 removal leaves a shorter prefix that ends in a *compatible* token, i.e. the two tokens stay two when
-encoded together. So each prefix needs its last token and its count, nothing is encoded anew, and
-tables of pieces are kept and strung together per text.
+encoded together. So each prefix needs its last token and its count and nothing is encoded anew. Prefixes
+and whole pieces that were met before are looked up, and pieces' tables are strung together per text.
 
 Texts with characters outside ASCII and Latin-1 letters, control characters or special strings are
 cut by the tokenizer library; there counts change at the code point where the library's piece or
@@ -28,23 +28,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.vocab import CACHE_LENGTH, CACHE_PIECES, tokenizer, usual, word_pieces
+from stellate.llm.vocab import CACHE_LENGTH, Lookup, Unusual, byte_letters, tokenizer, usual, word_pieces
 
+# Prefixes (twice as many with those of the last lookup) and pairs of tokens kept per process.
+CACHE_STATES = 1 << 18
 
-def byte_letters() -> list[str]:
-    """The printable letter that byte-level vocabularies write for each byte value."""
-    kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    letters = {b: chr(b) for b in kept}
-    spare = iter(range(0x100, 0x200))
-    return [letters.get(b) or chr(next(spare)) for b in range(256)]
 
-
-class PieceTables(dict):
-    """Piece -> bytes: for each of its code points, the change of the token count of the prefix that
-    ends there. Built by the dynamic program above from the vocabulary file's merges."""
+class PieceTables:
+    """For each code point of a text, the change of the token count of the prefix that ends there, one
+    signed byte each. Built by the dynamic program above from the vocabulary file's merges."""
 
     def __init__(self, path: str):
-        super().__init__()
+        self.pieces = Lookup(self.piece)
+        self.parts = Lookup(self.cut)
         model = json.load(open(path))["model"]
         self.end = model["end_of_word_suffix"] or ""
         self.letters = byte_letters()
@@ -54,61 +50,70 @@ class PieceTables(dict):
         for i, (a, b) in enumerate(merges):
             self.made.setdefault(a + b, (i, (a, b)))
         self.stays: dict[tuple[str, str], bool] = {}
+        # letters of a prefix -> last token and count inside a word, count as a whole word
+        self.states: dict[str, tuple[str, int, int]] = {}
+        self.last_states: dict[str, tuple[str, int, int]] = {}
         # tokens that encode to themselves: letters, and merges of two compatible parts
-        self.vocab = frozenset(t for t in model["vocab"] if t not in self.made or self.reached(t))
+        self.vocab = {t: t for t in model["vocab"] if t not in self.made or self.reached(t)}
         self.longest = max(map(len, self.vocab))
 
-    def __missing__(self, piece: str) -> bytes:
-        table = bytes(len(piece)) if piece.isspace() else self.table(piece)
-        if len(piece) <= CACHE_LENGTH:
-            if len(self) >= CACHE_PIECES:
-                self.clear()
-            self[piece] = table
-        return table
+    def table(self, text: str) -> bytes:
+        # white space has no tokens, so a text falls apart at its spaces, each a zero in the table
+        return b"\0".join(map(self.parts.__getitem__, text.lower().split(" ")))
+
+    def cut(self, part: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, word_pieces(part)))
 
-    def table(self, piece: str) -> bytes:
+    def piece(self, piece: str) -> bytes:
+        if not usual(piece):
+            raise Unusual
+        if piece.isspace():
+            return bytes(len(piece))
         counts = self.counts(piece)
         return bytes([b - a & 0xFF for a, b in zip([0, *counts], counts)])
 
     def counts(self, piece: str) -> list[int]:
         """Tokens of each prefix of a piece, one entry a code point."""
-        letters, vocab, longest, end = self.letters, self.vocab, self.longest, self.end
-        stays, compatible = self.stays, self.compatible
+        letters, states = self.letters, self.states
         data = piece.encode()
         symbols = "".join([letters[b] for b in data])
-        # the byte prefixes that are whole code points: the next byte does not continue one
-        whole = [k for k in range(1, len(data)) if data[k] & 0xC0 != 0x80] + [len(data)]
-        inner = [("", 0)]  # last token and count of each prefix, taken as the inside of a word
-        out = []
-        at = 0
+        if len(states) >= CACHE_STATES:
+            self.last_states, self.states = states, {}
+            states = self.states
+        last_states = self.last_states
+        path = [("", 0, 0)]
         for k in range(1, len(symbols) + 1):
-            # the same prefix as the end of a word, then as its inside
-            for last_of in (end, "") if k == whole[at] else ("",):
-                if last_of == "" and k == len(symbols) and end:
-                    continue
-                found = None
-                upto = symbols[:k] + last_of
-                for j in range(k - longest if k > longest else 0, k):
-                    last = upto[j:]
-                    if last in vocab:
-                        before, n = inner[j]
-                        if j == 0:
-                            found = last, 1
-                            break
-                        stay = stays.get((before, last))
-                        if stay or stay is None and compatible(before, last):
-                            found = last, n + 1
-                            break
-                if found is None:
-                    raise ValueError(f"no token ends at {k} of {symbols!r}")
-                if last_of == end and k == whole[at]:
-                    out.append(found[1])
-                    at += 1
-                if last_of == "":
-                    inner.append(found)
-            if at == len(whole):
-                break
-        return out
+            prefix = symbols[:k]
+            state = states.get(prefix)
+            if state is None:
+                state = last_states.get(prefix)
+                if state is None:
+                    last, n = self.step(prefix, "", path)
+                    state = last, n, self.step(prefix, self.end, path)[1]
+                if k <= CACHE_LENGTH:
+                    states[prefix] = state
+            path.append(state)
+        if len(data) == len(piece):
+            return [state[2] for state in path[1:]]
+        # the byte prefixes that are whole code points: the next byte does not continue one
+        return [path[k][2] for k in range(1, len(data) + 1) if k == len(data) or data[k] & 0xC0 != 0x80]
+
+    def step(self, prefix: str, end: str, path: list[tuple[str, int, int]]) -> tuple[str, int]:
+        """Last token and count of a prefix, given those of the shorter ones (the inside of a word, or
+        with ``end`` a whole word)."""
+        vocab, stays = self.vocab, self.stays
+        upto = prefix + end
+        k = len(prefix)
+        for j in range(k - self.longest if k > self.longest else 0, k):
+            last = vocab.get(upto[j:])
+            if last is not None:
+                if j == 0:
+                    return last, 1
+                before, n, _ = path[j]
+                stay = stays.get((before, last))
+                if stay or stay is None and self.compatible(before, last):
+                    return last, n + 1
+        raise ValueError(f"no token ends {upto!r}")
 
     def reached(self, token: str) -> bool:
         """Whether a token's two parts meet, unmerged, until the merge that makes the token."""
@@ -149,7 +154,7 @@ class PieceTables(dict):
                 limit, a = ra, left[1]
             else:  # of two equal merges the left one comes first
                 limit, b = rb + 1, right[0]
-        if len(self.stays) >= 4 * CACHE_PIECES:
+        if len(self.stays) >= CACHE_STATES:
             self.stays.clear()
         self.stays[key] = result
         return result
@@ -162,8 +167,10 @@ def piece_tables(path: str) -> PieceTables:
 
 def prefix_table(path: str, text: str) -> bytes:
     """The table of one text: a signed byte per code point."""
-    if usual(text):
-        return b"".join(map(piece_tables(path).__getitem__, word_pieces(text)))
+    try:
+        return piece_tables(path).table(text)
+    except Unusual:
+        pass
     table = np.zeros(len(text), np.int64)
     for _, end in tokenizer(path).encode(text, add_special_tokens=False).offsets:
         table[max(end, 1) - 1] += 1

@@ -1,9 +1,9 @@
-"""Tokenizer files turned into per-piece lookups that a task fills as it meets pieces.
+"""Tokenizer files turned into lookups that a task fills as it meets words.
 
-A BPE tokenizer never merges across its pre-token pieces, so a text's ids are the pieces' ids
-one after the other and a piece needs to be encoded once per task process. Texts of ASCII and
-Latin-1 letters are cut with one compiled pattern; any other text (other scripts, combining
-marks, control characters, special strings) is cut by the tokenizer library itself.
+A BPE tokenizer never merges across its pre-token pieces, so a text's ids are the pieces' ids one after
+the other and a piece needs to be encoded once per task process. Texts of ASCII and Latin-1 letters are
+cut at spaces, the parts between them (looked up whole) by one compiled pattern; any other text (other
+scripts, combining marks, control characters, special strings) is left to the tokenizer library.
 """
 
 from __future__ import annotations
@@ -13,21 +13,59 @@ from functools import lru_cache
 
 from tokenizers import Tokenizer
 
-# Pieces kept per process; the lookup starts afresh beyond that.
-CACHE_PIECES = 1 << 19
+# Entries of a lookup (see ``Lookup``).
+CACHE_PIECES = 1 << 18
 # Longer pieces are not kept.
 CACHE_LENGTH = 64
 
 _L = "A-Za-zÀ-ÖØ-öø-ÿ"
-_UNUSUAL = re.compile(f"[^\t\n\x0b\x0c\r -~{_L}]|<\\|")
-# The pre-token patterns of the two vocabularies, fixed values, over the usual characters.
-_BYTE_BPE = re.compile(rf" ?[{_L}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^\s{_L}0-9]+|\s+(?!\S)|\s+")
-_WORD_BPE = re.compile(rf"[{_L}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\s{_L}0-9]+|\s+")
+_S = "\t\n\x0b\x0c\r "
+_P = r"!-/:-@\[-`{-~"
+# The pre-token patterns of the two vocabularies, fixed values, over the usual characters; the last
+# alternative of each meets the other characters.
+_BYTE_BPE = re.compile(rf" ?[{_L}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[{_P}]+|[{_S}]+(?![^{_S}])|[{_S}]+|[^{_S}]")
+_WORD_BPE = re.compile(rf"[{_L}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[{_P}]+|[{_S}]+|[^{_S}]")
+_USUAL = re.compile(rf"[{_S} -~{_L}]*")
+# A space beside other white space does not part a text the way single spaces do.
+_WIDE = tuple(x for c in _S for x in {" " + c, c + " "})
 
 
-def usual(text: str) -> bool:
-    """Whether the compiled patterns cut this text as the library does."""
-    return _UNUSUAL.search(text) is None
+class Unusual(Exception):
+    """A text that only the library can cut."""
+
+
+def usual(piece: str) -> bool:
+    """Whether the compiled patterns cut this as the library does."""
+    return "<|" not in piece and _USUAL.fullmatch(piece) is not None
+
+
+def byte_letters() -> list[str]:
+    """The printable letter that byte-level vocabularies write for each byte value."""
+    kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = {b: chr(b) for b in kept}
+    spare = iter(range(0x100, 0x200))
+    return [letters.get(b) or chr(next(spare)) for b in range(256)]
+
+
+class Lookup(dict):
+    """key -> value of ``make(key)`` for up to twice ``most`` short keys: when full, the lookup starts afresh
+    and takes back the keys of the last one that are asked for again, so frequent keys stay."""
+
+    def __init__(self, make, most: int = CACHE_PIECES):
+        super().__init__()
+        self.make, self.most, self.last = make, most, {}
+
+    def __missing__(self, key):
+        value = self.last.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > CACHE_LENGTH:
+                return value
+        if len(self) >= self.most:
+            self.last = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 @lru_cache(maxsize=8)
@@ -39,25 +77,33 @@ def tokenizer(path: str) -> Tokenizer:
     return tok
 
 
-class PieceIds(dict):
-    """Piece -> its ids as little-endian unsigned 32-bit bytes (byte-level vocabulary)."""
+class PieceIds:
+    """Ids of texts as little-endian unsigned 32-bit bytes (byte-level vocabulary)."""
 
     def __init__(self, path: str):
-        super().__init__()
         self.tok = tokenizer(path)
+        self.letters = byte_letters()
+        self.pieces = Lookup(self.piece)
+        # a part of a text and the space before it
+        self.parts = Lookup(lambda part: self.cut(" " + part))
+
+    def piece(self, piece: str) -> bytes:
+        if not usual(piece):
+            raise Unusual
+        found = self.tok.model.tokenize("".join([self.letters[b] for b in piece.encode()]))
+        return b"".join([t.id.to_bytes(4, "little") for t in found])
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = encoded(self.tok, piece)
-        if len(piece) <= CACHE_LENGTH:
-            if len(self) >= CACHE_PIECES:
-                self.clear()
-            self[piece] = ids
-        return ids
+    def cut(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, _BYTE_BPE.findall(text)))
 
     def ids(self, text: str) -> bytes:
-        if usual(text):
-            return b"".join(map(self.__getitem__, _BYTE_BPE.findall(text)))
-        return encoded(self.tok, text)
+        try:
+            if any(w in text for w in _WIDE):
+                return self.cut(text)
+            first, *rest = text.split(" ")
+            return self.cut(first) + b"".join(map(self.parts.__getitem__, rest))
+        except Unusual:
+            return encoded(self.tok, text)
 
 
 def encoded(tok: Tokenizer, text: str) -> bytes:
@@ -70,6 +116,6 @@ def piece_ids(path: str) -> PieceIds:
     return PieceIds(path)
 
 
-def word_pieces(text: str) -> list[str]:
-    """All of a usual text in order: lower-cased pieces and the white space between them."""
-    return _WORD_BPE.findall(text.lower())
+def word_pieces(part: str) -> list[str]:
+    """All of a lower-cased usual text in order: pieces and the white space between them."""
+    return _WORD_BPE.findall(part)
