@@ -243,6 +243,22 @@ def infer_primary_keys(profile: DataFrame) -> DataFrame:
             .select("table_name", "column_name", keyish.alias("key_like_name")))
 
 
+def infer_composite_keys(df: DataFrame, table_name: str) -> DataFrame:
+    """K2 for tables without a single-column key: the first pair of key-like columns (names ending in id,
+    key, num or number, in column order) that is unique and null-free: (table_name, columns)."""
+    names = [f.name for f in df.schema.fields if key_family(f.dataType) and f.name.lower().endswith(("id", "key", "num", "number"))]
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
+    parts = [uniqueness(df, list(p)).select(F.lit(i).alias("i"), F.lit(", ".join(p)).alias("columns"), "is_unique")
+             for i, p in enumerate(pairs)]
+    if not parts:
+        return df.sparkSession.createDataFrame([], "table_name string, columns string")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    first = out.where("is_unique").agg(F.min(F.struct("i", "columns")).alias("first"))
+    return first.where("first IS NOT NULL").select(F.lit(table_name).alias("table_name"), F.col("first.columns").alias("columns"))
+
+
 def infer_foreign_keys(tables: dict, columns: DataFrame, pks: DataFrame, found=None) -> DataFrame:
     """K3: FK = name match to another table's key + full inclusion of values + unique target.
 

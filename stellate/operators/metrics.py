@@ -30,6 +30,18 @@ def baseline_metrics(fact: DataFrame, fact_name: str, measures, business_key: st
                  F.round(F.col(k), digits).alias("value")) for k in aggs])))
 
 
+def measure_columns(df: DataFrame) -> list[str]:
+    """A5: the columns that metrics are generated for: measures by type and name."""
+    from stellate.functions.types import NUMERIC, type_family
+    from stellate.operators.profile import is_dimension_name
+    return [f.name for f in df.schema.fields if type_family(f.dataType) == NUMERIC and not is_dimension_name(f.name)]
+
+
+def generated_metrics(fact: DataFrame, fact_name: str, business_key: str | None = None, digits: int = 4) -> DataFrame:
+    """A5: the baseline metrics with their measures taken from the table's metadata."""
+    return baseline_metrics(fact, fact_name, measure_columns(fact), business_key, digits=digits)
+
+
 def per_entity_kpi(fact: DataFrame, entity: str, measure: str | None = None, name: str = "value") -> DataFrame:
     """Per-entity total (or row count), then the average over entities."""
     v = F.sum(F.col(measure).cast("decimal(38,4)")) if measure else F.count(F.lit(1))

@@ -320,6 +320,12 @@ def rank_statistics(freqs: DataFrame, probs=(0.25, 0.5, 0.75), partitions: int |
     return distinct_counts(kept).join(out, "column_name", "left")
 
 
+def is_dimension_name(name: str) -> bool:
+    """Whether a numeric column's name makes it a dimension."""
+    low = name.lower()
+    return low == "id" or any(low.endswith(s) for s in DIMENSION_SUFFIXES)
+
+
 def presented(c: Column, digits: int) -> Column:
     """Round for presentation. Exact halves (a mean of few-digit numbers often is one) go up even where the
     last bits of a floating sum fall just short of the half."""

@@ -155,6 +155,18 @@ def uniqueness_lineitem_key(spark, sf):
     return K.uniqueness(load_tables(spark, sf, ["lineitem"])["lineitem"], ["l_orderkey", "l_linenumber"])
 
 
+_LINE_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+_LINE_PAIRS = [(a, b) for i, a in enumerate(_LINE_KEYS) for b in _LINE_KEYS[i + 1:]]
+
+
+@register("composite_key_lineitem", "SELECT 'lineitem' AS table_name, columns FROM (" + " UNION ALL ".join(
+    f"SELECT {i} AS i, '{a}, {b}' AS columns, (SELECT COUNT(*) = COUNT(DISTINCT ({a}, {b})) FROM lineitem "
+    f"WHERE {a} IS NOT NULL AND {b} IS NOT NULL) AS u" for i, (a, b) in enumerate(_LINE_PAIRS)) + ") WHERE u ORDER BY i LIMIT 1")
+def composite_key_lineitem(spark, sf):
+    """K2: a two-column key where names indicate one (LIMIT: the first of the candidates)."""
+    return K.infer_composite_keys(load_tables(spark, sf, ["lineitem"])["lineitem"], "lineitem")
+
+
 def _key_cols():
     out = []
     for t in TABLES:

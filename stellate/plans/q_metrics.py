@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from stellate.operators import metrics as A
 from stellate.plans.registry import register
+from stellate.plans.schemas import SCHEMAS
+from stellate.plans.sqlgen import _fam, _role
 from stellate.sources.tables import load_table
 
 
@@ -24,6 +26,18 @@ def baseline_metrics_orders(spark, sf):
                               averages=["o_totalprice"])
 
 
+_MEASURES = [c for c, ty in SCHEMAS["lineitem"] if _role(c, _fam(ty)) == "measure"]
+
+
+@register("generated_metrics_lineitem", "SELECT 'fact_lines' AS fact_name, metric, ROUND(value, 4) AS value FROM ("
+          "SELECT 'row_count' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM lineitem UNION ALL "
+          "SELECT 'distinct_l_orderkey', CAST(COUNT(DISTINCT l_orderkey) AS DOUBLE) FROM lineitem UNION ALL " + " UNION ALL ".join(
+              f"SELECT 'total_{c}', CAST(SUM(CAST({c} AS DECIMAL(38,4))) AS DOUBLE) FROM lineitem" for c in _MEASURES) + ")")
+def generated_metrics_lineitem(spark, sf):
+    """A5: one SUM per measure the metadata names."""
+    return A.generated_metrics(_t(spark, sf, "lineitem"), "fact_lines", "l_orderkey")
+
+
 @register("revenue_per_customer", """SELECT ROUND(CAST(AVG(v) AS DOUBLE), 4) AS revenue_per_o_custkey,
   COUNT(*) AS o_custkey_count FROM (SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(38,4))) AS v
   FROM orders GROUP BY o_custkey)""")

@@ -10,6 +10,7 @@ from stellate.operators import dims as Dm
 from stellate.operators import facts as Fa
 from stellate.plans.registry import register
 from stellate.sources import derived as D
+from stellate.sources import files as S
 from stellate.sources.tables import load_table
 
 ML = D.MEMBERSHIP_LOG_SQL
@@ -147,6 +148,16 @@ def null_defaults(spark, sf):
     return C.fill_defaults(e, ["lang", "quality", "toxic"])
 
 
+@register("backfill_enriched_labels", f"""WITH {_ENR}
+SELECT doc_id, lang, COALESCE(quality, 0) AS quality, COALESCE(toxic, 0) AS toxic FROM enriched""")
+def backfill_enriched_labels(spark, sf):
+    """NULLs of an existing (written) table replaced in place."""
+    e = Fa.enrich(_t(spark, sf, "documents").select("doc_id", "lang"), _t(spark, sf, "labels"), "doc_id")
+    path = S.scratch_path(spark, "enriched")
+    S.write_table(e, path)
+    return S.backfill_table(spark, path, ["quality", "toxic"])
+
+
 @register("all_null_default", f"""WITH {D.ORDERS_NULL_COL_SQL}
 SELECT o_orderkey, 'Unknown' AS o_comment, o_orderstatus FROM orders_nc""")
 def all_null_default(spark, sf):

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stellate.functions.clean import fill_defaults
 from stellate.session import checkpoint_dir
 
 
@@ -109,6 +110,18 @@ def write_profile_json(doc: DataFrame, path: str) -> None:
     doc.write.mode("overwrite").json(path)
 
 
+def backfill_table(spark: SparkSession, path: str, columns) -> DataFrame:
+    """Replace NULLs in the given columns of an existing table by their type defaults.
+
+    The filled rows are written beside the table first, then over it, as a table cannot be overwritten
+    while it is read; a run that fails in between leaves the copy.
+    """
+    copy = scratch_path(spark, "backfill")
+    write_table(fill_defaults(spark.read.parquet(path), columns), copy)
+    write_table(spark.read.parquet(copy), path)
+    return spark.read.parquet(path)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Typed target write. ``overwrite`` makes a re-run idempotent (an append
     re-run would duplicate facts)."""
