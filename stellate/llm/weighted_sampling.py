@@ -41,32 +41,52 @@ def _unit(bits: Column, shift: int, width: int) -> Column:
     return (part.cast("double") + F.lit(0.5)) * F.lit(2.0 ** -width)
 
 
-def _ln_a(term: Column, weight_ln: Column, k: Column) -> Column:
-    """ln a of a word for sample k."""
+def _draws(term: Column, k: Column) -> tuple[Column, Column, Column]:
+    """r, ln c and b of a word for sample k."""
     h, g = F.xxhash64(term, k), F.xxhash64(k, term)
     r = -F.log(_unit(h, 0, 21) * _unit(h, 21, 21))
     c = -F.log(_unit(g, 0, 21) * _unit(g, 21, 21))
-    b = _unit(h, 42, 21)
-    t = F.floor(weight_ln / r + b)
-    return F.log(c) - r * (t - b + F.lit(1.0))
+    return r, F.log(c), _unit(h, 42, 21)
 
 
-def signatures(texts: DataFrame, keys: list[str], text_col: str = "text", samples: int = SAMPLES) -> DataFrame:
-    """(keys, fingerprint) of the texts that have words. ``keys`` tell the rows apart; where ``texts`` is
-    partitioned by some of them, nothing is shuffled."""
+def _ln_a(r: Column, ln_c: Column, b: Column, weight_ln: Column) -> Column:
+    """ln a at a weight; null where the weight is."""
+    return ln_c - r * (F.floor(weight_ln / r + b) - b + F.lit(1.0))
+
+
+def signatures(texts: DataFrame, keys: list[str], text_cols: list[str], samples: int = SAMPLES) -> DataFrame:
+    """(keys, parts): the samples of the texts in ``text_cols``, as sorted (block, one part per text)
+    entries; no row where no text has words. ``keys`` tell the rows apart; where ``texts`` is partitioned
+    by some of them, nothing is shuffled.
+
+    A word of several texts of a row draws its random numbers once for all of them.
+    """
     if samples % BLOCK:
         raise ValueError(f"samples must be a multiple of {BLOCK}")
-    words = (texts.select(*keys, F.explode(F.split(F.col(text_col), _SPACE)).alias("word")).where("word <> ''")
-             .select(*keys, F.xxhash64("word").alias("term")))
-    weights = words.groupBy(*keys, "term").agg(F.log(F.count(F.lit(1)).cast("double")).alias("weight_ln"))
-    blocks = weights.select("*", F.explode(F.array(*[F.lit(b) for b in range(samples // BLOCK)])).alias("block"))
-    names = [f"a{j}" for j in range(BLOCK)]
-    least = blocks.groupBy(*keys, "block").agg(*[
-        F.min(_ln_a(F.col("term"), F.col("weight_ln"), F.col("block") * BLOCK + j)).alias(n) for j, n in enumerate(names)])
-    part = F.concat(*[F.lpad(F.lower(F.hex(F.xxhash64(n).bitwiseAND(0xFFFFFFFF))), 8, "0") for n in names])
-    return (least.select(*keys, F.struct("block", part.alias("part")).alias("part"))
-            .groupBy(*keys).agg(F.sort_array(F.collect_list("part")).alias("parts"))
-            .select(*keys, F.array_join(F.col("parts.part"), "").alias("fingerprint")))
+    each = F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).alias("text")) for i, c in enumerate(text_cols)])
+    words = (texts.select(*keys, F.explode(each).alias("t"))
+             .select(*keys, "t.side", F.explode(F.split("t.text", _SPACE)).alias("word")).where("word <> ''")
+             .select(*keys, "side", F.xxhash64("word").alias("term")))
+    sides = range(len(text_cols))
+    weights = words.groupBy(*keys, "term").agg(*[F.sum((F.col("side") == i).cast("int")).alias(f"n{i}") for i in sides])
+    weights = weights.select(*keys, "term", *[F.when(F.col(f"n{i}") > 0, F.log(F.col(f"n{i}").cast("double"))).alias(f"w{i}") for i in sides])
+    drawn = weights.select("*", F.explode(F.array(*[F.lit(b) for b in range(samples // BLOCK)])).alias("block"))
+    draws = [_draws(F.col("term"), F.col("block") * BLOCK + j) for j in range(BLOCK)]
+    drawn = drawn.select(*keys, "block", *[f"w{i}" for i in sides],
+                         *[x.alias(f"{n}{j}") for j in range(BLOCK) for n, x in zip(("r", "c", "b"), draws[j])])
+    least = drawn.groupBy(*keys, "block").agg(*[
+        F.min(_ln_a(F.col(f"r{j}"), F.col(f"c{j}"), F.col(f"b{j}"), F.col(f"w{i}"))).alias(f"a{i}_{j}")
+        for i in sides for j in range(BLOCK)])
+    parts = [F.concat(*[F.lpad(F.lower(F.hex(F.xxhash64(f"a{i}_{j}").bitwiseAND(0xFFFFFFFF))), 8, "0") for j in range(BLOCK)])
+             for i in sides]
+    entry = F.struct("block", *[F.when(F.col(f"a{i}_0").isNotNull(), p).alias(f"part{i}") for i, p in zip(sides, parts)])
+    return least.select(*keys, entry.alias("part")).groupBy(*keys).agg(F.sort_array(F.collect_list("part")).alias("parts"))
+
+
+def joined(i: int, samples: int = SAMPLES) -> Column:
+    """The fingerprint of text ``i`` from ``signatures`` (zeros if it has no words)."""
+    text = F.array_join(F.col(f"parts.part{i}"), "")
+    return F.when(F.length(text) > 0, text).otherwise(F.lit(zero_fingerprint(samples)))
 
 
 def zero_fingerprint(samples: int = SAMPLES) -> str:
@@ -84,9 +104,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, fingerprint) of every row."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    signed = signatures(rows, ["row"], "text", samples)
-    return rows.join(signed, "row", "left").select(
-        F.col("id").alias(id_col), F.coalesce("fingerprint", F.lit(zero_fingerprint(samples))).alias("fingerprint"))
+    signed = signatures(rows, ["row"], ["text"], samples)
+    return rows.join(signed, "row", "left").select(F.col("id").alias(id_col), joined(0, samples).alias("fingerprint"))
 
 
 def following(ids: DataFrame, key: str = "k") -> DataFrame:
@@ -112,34 +131,37 @@ def edit_robustness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     next document in ascending id), both fingerprints, and the likeness of its fingerprint to the edited
     text's and to the next document's.
 
-    ``id_col`` is an integer; null counts as the smallest 64-bit integer. Where rows share an id, each row
-    is edited by itself; as a next document the id stands for its greatest start and fingerprint.
+    ``id_col`` is an integer; null counts as the smallest 64-bit integer. Where different texts share an
+    id, each is edited by itself; as a next document the id stands for its greatest start and fingerprint.
+    Rows that are equal in id and text are worked on once and given back as often as they came.
+
+    Texts cross the network once, by id: the two uses of ``texts`` read one shuffle, and everything up to
+    the fingerprints happens in the partitions it makes. Starts of next documents are moved a second time.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
-                       F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST)).alias("k"),
+    id_type = docs.schema[id_col].dataType
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST)).alias("k"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    order = following(rows.groupBy("k").agg(F.max(F.char_length("text")).alias("most")))
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    texts = (rows.repartition(n, "k").groupBy("k", F.xxhash64("text").alias("th"))
+             .agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")))
+    order = stage(following(rows.groupBy("k").agg(F.max(F.char_length("text")).alias("most"))), "order")
     takers = order.select(F.col("next_k").alias("k"), F.col("k").alias("taker"), "most")
-    starts = (rows.join(takers, "k")
+    starts = (texts.join(takers.hint("shuffle_merge"), "k")
               .select(F.col("taker").alias("k"), F.substring("text", F.lit(1), F.floor(F.col("most") / 4).cast("int")).alias("start"))
               .groupBy("k").agg(F.max("start").alias("start")))
     size = F.char_length("text")
     cut = F.floor(size / 4).cast("int")
-    both = (rows.join(order.select("k", "next_k"), "k").join(starts, "k")
+    both = (texts.join(order.select("k", "next_k").hint("shuffle_merge"), "k").join(starts.hint("shuffle_merge"), "k")
             .withColumn("edited", F.concat(F.substring("text", F.lit(1), size - cut), F.substring("start", F.lit(1), cut))))
-    sides = both.select("k", F.explode(F.array(F.struct((F.col("row") * 2).alias("side"), F.col("text").alias("text")),
-                                               F.struct((F.col("row") * 2 + 1).alias("side"), F.col("edited").alias("text")))).alias("s"))
-    signed = signatures(sides.select("k", "s.side", "s.text"), ["k", "side"], "text", samples)
-    pairs = (signed.groupBy("k", F.shiftright("side", 1).alias("row"))
-             .agg(F.max(F.when(F.col("side") % 2 == 0, F.col("fingerprint"))).alias("fingerprint"),
-                  F.max(F.when(F.col("side") % 2 == 1, F.col("fingerprint"))).alias("edited_fingerprint")))
-    zero = F.lit(zero_fingerprint(samples))
-    done = stage(both.select("k", "row", "id", "next_k", size.cast("long").alias("n_chars"),
+    pairs = signatures(both.select("k", "th", "text", "edited"), ["k", "th"], ["text", "edited"], samples)
+    done = stage(both.select("k", "th", "copies", "next_k", size.cast("long").alias("n_chars"),
                              F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-                 .join(pairs, ["k", "row"], "left")
-                 .withColumns({c: F.coalesce(c, zero) for c in ("fingerprint", "edited_fingerprint")}), "signatures")
+                 .join(pairs, ["k", "th"], "left")
+                 .select("*", joined(0, samples).alias("fingerprint"), joined(1, samples).alias("edited_fingerprint"))
+                 .drop("parts"), "signatures")
     nexts = done.groupBy(F.col("k").alias("next_k")).agg(F.max("fingerprint").alias("next_fingerprint"))
-    return done.join(nexts, "next_k").select(
-        F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+    every = done.join(nexts, "next_k").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return every.select(
+        F.when(F.col("k") != _LEAST, F.col("k")).cast(id_type).alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint"), samples).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint"), samples).alias("near_next"))
