@@ -37,6 +37,8 @@ _U64 = np.uint64
 # Units worked on at a time; places within a stretch take 24 bits of a key.
 STRETCH = 1 << 20
 _PLACE = (1 << 24) - 1
+# Windows that ``count_windows`` counts as one block.
+BLOCK = 16
 # bits of the packed place of a context: its units before the anchor and its number of windows
 _LO, _N = 12, 12
 
@@ -90,11 +92,11 @@ def _contexts(v: np.ndarray, base: int, first: np.ndarray, units: Units):
 
 
 def _base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, th, text as bytes, row: the other columns)."""
+    """(id, th, text as bytes and, if there are others, row: the other columns)."""
     others = [c for c in docs.columns if c not in (id_col, text_col)]
-    row = F.struct(*others) if others else F.lit(None).cast("string")
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"), row.alias("row"))
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"),
+                       *([F.struct(*others).alias("row")] if others else []))
 
 
 def _survey(base: DataFrame, units: Units) -> DataFrame:
@@ -130,21 +132,24 @@ def windows(place):
 
 def repeated_windows(docs: DataFrame, units: Units, decide: Callable[[DataFrame, DataFrame], DataFrame],
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row as (id, text as bytes, row: struct of its other columns, ranges): ``ranges`` are pairs
-    (first, last) of windows, by their first unit in the text, that start elsewhere too; null if none.
+    """Every row as (id, text as bytes, ranges and, if it has other columns, row: a struct of them):
+    ``ranges`` are pairs (first, last) of windows, by their first unit in the text, that start elsewhere
+    too; null if none.
 
     ``decide(open, base)`` gets the open contexts (h, c, id, th, place, contexts: how many share h) and
     returns (h, c, first, last): ranges of repeated windows counted from the context's first window.
     """
     base = _base(docs, id_col, text_col)
-    counted = _survey(base, units).groupBy("h").agg(F.count(F.lit(1)).alias("places")).where("places > 1").select("h")
+    # staged, so that both sides of the next join are plain shuffles, which AQE can split at a hot anchor
+    counted = stage(_survey(base, units).groupBy("h").agg(F.count(F.lit(1)).alias("places")).where("places > 1").select("h"),
+                    "repeated-anchors")
     found = stage(_survey(base, units).join(counted, "h", "left_semi"), "contexts")
     kinds = found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("copies"), F.first("id").alias("id"),
                                         F.first("th").alias("th"), F.first("place").alias("place"))
     kinds = stage(kinds, "context-kinds")
     whole = kinds.where("copies > 1").select("h", "c", F.lit(0).cast("long").alias("first"),
                                              (windows(F.col("place")) - 1).alias("last"))
-    shared = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1")
+    shared = stage(kinds.groupBy("h").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1"), "shared-anchors")
     open_ = kinds.join(shared, "h")
     decided = whole.unionByName(decide(open_, base))
     start = first_window(F.col("place"))
@@ -153,20 +158,31 @@ def repeated_windows(docs: DataFrame, units: Units, decide: Callable[[DataFrame,
               .groupBy("id", "th").agg(F.collect_list("range").alias("ranges")))
     b, r = base.alias("b"), ranges.alias("r")
     return (b.join(r, F.col("b.id").eqNullSafe(F.col("r.id")) & (F.col("b.th") == F.col("r.th")), "left")
-            .select("b.id", "b.text", "b.row", "r.ranges"))
+            .select("b.id", "b.text", "r.ranges", *_carried(base)))
+
+
+def _carried(base: DataFrame) -> list[str]:
+    return ["b.row"] if "row" in base.columns else []
 
 
 def with_texts(open_: DataFrame, base: DataFrame) -> DataFrame:
-    """(text, cuts): each document with open contexts, and (h, c, place, contexts) of those to cut from it."""
+    """(text, cuts): each document with open contexts, and (h, c, place, contexts, copies) of those to cut
+    from it. Other columns come along only so that this join and the last one read one shuffle of the texts."""
     cuts = open_.groupBy("id", "th").agg(F.collect_list(F.struct("h", "c", "place", "contexts", "copies")).alias("cuts")).alias("o")
     b = base.alias("b")
     return (b.join(cuts, F.col("b.id").eqNullSafe(F.col("o.id")) & (F.col("b.th") == F.col("o.th")))
-            .select("b.text", "o.cuts"))
+            .select("b.text", "o.cuts", *_carried(base)))
 
 
 def count_windows(open_: DataFrame, base: DataFrame, units: Units) -> DataFrame:
-    """``decide`` by counting: the hash of every window of the open contexts, counted in Spark with its
-    anchor and offset; windows met in two contexts are repeated."""
+    """``decide`` by counting hashes in Spark, of blocks of windows first and of windows where those differ.
+
+    The windows of a context are dealt into blocks by their distance to the anchor. All windows of a block
+    hold the block's core (the units common to them), so contexts with different cores share none of them:
+    a core met once settles the block. Blocks that are equal as a whole are repeated as a whole. Only where
+    one core stands in different blocks are the windows themselves counted; those met twice are repeated.
+    """
+    size = max(1, min(BLOCK, units.width // 2))
 
     def run(batches):
         for batch in batches:
@@ -180,29 +196,55 @@ def count_windows(open_: DataFrame, base: DataFrame, units: Units) -> DataFrame:
                 h, c, place = (flat.field(k).to_numpy() for k in range(3))
                 n, before = place & ((1 << _N) - 1), (place >> _N) & ((1 << _LO) - 1)
                 start = np.repeat(first[:-1], per) + (place >> (_LO + _N))
+                context = np.repeat(np.arange(len(n)), n)
                 k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                at = np.repeat(start, n) + k
-                hashes = window_hashes(values, at, units.width)
+                at = start[context] + k
+                block = (before[context] - k) // size
+                new = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (block[1:] != block[:-1])]))
+                last = np.append(new[1:], len(k)) - 1
+                of = context[new]
+                anchor = start[of] + before[of]
+                core = span_hashes(values, anchor - size * block[new], anchor - size * block[new] - size + 1 + units.width)
+                place_in = ((before[of] - k[new]) * 4096 + (last - new)).astype(_U64)
+                digest = mix(span_hashes(values, at[new], at[last] + units.width) ^ place_in)
+                hashes = span_hashes(values, at, at + units.width).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(h, n)), pa.array(np.repeat(c, n)), pa.array(k),
-                     pa.array(np.repeat(before, n) - k), pa.array(hashes.view(np.int64))], ["h", "c", "first", "d", "w"])
-
-    rows = with_texts(open_, base).mapInArrow(run, "h long, c long, first long, d long, w long")
-    again = rows.groupBy("h", "d", "w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "d", "w")
-    return rows.join(again, ["h", "d", "w"]).select("h", "c", "first", F.col("first").alias("last"))
-
-
-def window_hashes(values: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
-    """Rabin-Karp hash of the windows at ``starts``, a stretch of units at a time."""
+                    [pa.array(h[of]), pa.array(c[of]), pa.array(block[new]), pa.array(core.view(np.int64)),
+                     pa.array(digest.view(np.int64)), pa.array(k[new]), pa.array((before[of] - k[new])),
+                     pa.ListArray.from_arrays(pa.array(np.append(new, len(k)).astype(np.int32)), pa.array(hashes))],
+                    ["h", "c", "block", "core", "digest", "first", "d", "w"])
+
+    blocks = stage(with_texts(open_, base).mapInArrow(
+        run, "h long, c long, block long, core long, digest long, first long, d long, w array<long>"), "blocks")
+    core = ["h", "block", "core"]
+    kinds = stage(blocks.groupBy(*core, "digest").agg(F.count(F.lit(1)).alias("copies")), "block-kinds")
+    again = kinds.where("copies > 1").select(*core, "digest")
+    whole = blocks.join(again, [*core, "digest"]).select("h", "c", "first", (F.col("first") + F.size("w") - 1).alias("last"))
+    mixed = stage(kinds.groupBy(*core).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*core), "mixed-cores")
+    # one block of each kind takes part in the count of windows
+    rows = (blocks.join(mixed, core).join(kinds.where("copies = 1").select(*core, "digest", F.lit(True).alias("single")),
+                                          [*core, "digest"], "left")
+            .select(*core, "digest", "c", "first", "d", F.coalesce("single", F.lit(False)).alias("single"), F.posexplode("w").alias("i", "w"))
+            .select(*core, "digest", "c", (F.col("first") + F.col("i")).alias("first"), (F.col("d") - F.col("i")).alias("d"), "single", "w"))
+    counted = (rows.groupBy(*core, "d", "w").agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
+               .where("least <> most").select(*core, "d", "w"))
+    single = (rows.where("single").join(counted, [*core, "d", "w"])
+              .select("h", "c", F.col("first").cast("long").alias("first"), F.col("first").cast("long").alias("last")))
+    return whole.unionByName(single)
+
+
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Rabin-Karp hash of spans of units, a stretch of units at a time."""
     out = np.empty(len(starts), _U64)
     order = np.argsort(starts, kind="stable")
+    ordered = starts[order]
     i = 0
     while i < len(order):
-        lo = starts[order[i]]
-        j = int(np.searchsorted(starts[order], lo + STRETCH, "right"))
-        sums = prefix_sums(values[lo:starts[order[j - 1]] + width])
-        at = starts[order[i:j]] - lo
-        out[order[i:j]] = spans_hash(sums, at, at + width)
+        lo = ordered[i]
+        j = int(np.searchsorted(ordered, lo + STRETCH, "right"))
+        some = order[i:j]
+        sums = prefix_sums(values[lo:ends[some].max()])
+        out[some] = spans_hash(sums, starts[some] - lo, ends[some] - lo)
         i = j
     return out
 

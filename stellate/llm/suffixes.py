@@ -134,11 +134,10 @@ def repeated_in(group: list[Suffix], lcps: list[int], length: int):
             continue  # repeated whole already
         before = len(s.backward)
         least = before - s.windows + 1  # bytes before the anchor of its last window
-        open_ = [True] * s.windows
-        left = s.windows
+        every, found = (1 << s.windows) - 1, 0  # bit k: window k
         for step in (-1, 1):
             j, r = i, len(s.forward)
-            while left:
+            while found != every:
                 k = j if step < 0 else j + 1
                 j += step
                 if j < 0 or j >= len(group):
@@ -146,22 +145,16 @@ def repeated_in(group: list[Suffix], lcps: list[int], length: int):
                 r = min(r, lcps[k])
                 if r + before < length:
                     break
-                back = common(s.backward, group[j].backward)
-                for d in range(max(length - r, least), min(back, before) + 1):
-                    if open_[before - d]:
-                        open_[before - d] = False
-                        left -= 1
-        if left < s.windows:
-            at = 0
-            while at < s.windows:
-                if open_[at]:
-                    at += 1
-                    continue
-                end = at
-                while end + 1 < s.windows and not open_[end + 1]:
-                    end += 1
-                yield s, at, end
-                at = end + 1
+                low, high = max(length - r, least), min(common(s.backward, group[j].backward), before)
+                if low <= high:
+                    found |= (1 << high - low + 1) - 1 << before - high
+        at = 0
+        while found:
+            skip = (found & -found).bit_length() - 1
+            run = (~(found >> skip) & (found >> skip) + 1).bit_length() - 1
+            yield s, at + skip, at + skip + run - 1
+            at += skip + run
+            found >>= skip + run
 
 
 def sorted_runs(open_: DataFrame, base: DataFrame, buckets: int, length: int) -> DataFrame:
@@ -234,8 +227,8 @@ def merge_runs(runs: DataFrame, buckets: int, gram: int, length: int) -> DataFra
 
 def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                 crowd: int = CROWD, whole_characters: bool = False) -> DataFrame:
-    """id, n_bytes, n_removed, spans (maximal removed runs of bytes), kept (bytes), row (struct of the other
-    columns). With ``whole_characters``, what is left of characters that were cut goes from ``kept`` too."""
+    """id, n_bytes, n_removed, spans (maximal removed runs of bytes), kept (bytes) and, if there are other
+    columns, row (a struct of them). With ``whole_characters``, what is left of characters that were cut goes from ``kept`` too."""
     units = Units(length, min(GRAM, length), byte_units)
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
 
@@ -245,12 +238,13 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return by_merge.unionByName(count_windows(many, base, units))
 
     found = repeated_windows(docs, units, decide, id_col, text_col)
-    id_type, row_type = (found.schema[c].dataType.simpleString() for c in ("id", "row"))
+    rest = ["row"] if "row" in found.columns else []
+    types = ", ".join(f"{c} {found.schema[c].dataType.simpleString()}" for c in ["id", *rest])
 
     def run(batches):
         for batch in batches:
             kept, spans, size = [], [], []
-            for text, ranges in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()):
+            for text, ranges in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 gone = covered(ranges, length)
                 size.append(len(text))
                 if gone:
@@ -261,13 +255,13 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 kept.append(text)
                 spans.append(gone)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                 pa.array(kept, pa.binary())], ["id", "row", "n_bytes", "spans", "kept"])
+                [batch.column(0), *(batch.column(3) for _ in rest), pa.array(size, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                 pa.array(kept, pa.binary())], ["id", *rest, "n_bytes", "spans", "kept"])
 
-    out = found.mapInArrow(run, f"id {id_type}, row {row_type}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    out = found.mapInArrow(run, f"{types}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return out.select(F.col("id").alias(id_col), "n_bytes", removed.alias("n_removed"),
-                      "spans", "kept", "row")
+                      "spans", "kept", *rest)
 
 
 def keep_new_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
