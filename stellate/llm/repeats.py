@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,6 @@ _U64 = np.uint64
 # Units worked on at a time; places within a stretch take 24 bits of a key.
 STRETCH = 1 << 20
 _PLACE = (1 << 24) - 1
-# Windows that ``count_windows`` counts as one block.
-BLOCK = 16
 # bits of the packed place of a context: its units before the anchor and its number of windows
 _LO, _N = 12, 12
 
@@ -181,8 +180,10 @@ def count_windows(open_: DataFrame, base: DataFrame, units: Units) -> DataFrame:
     hold the block's core (the units common to them), so contexts with different cores share none of them:
     a core met once settles the block. Blocks that are equal as a whole are repeated as a whole. Only where
     one core stands in different blocks are the windows themselves counted; those met twice are repeated.
+    A block is about the square root of a context's usual number of windows, which makes the blocks of a
+    context and the windows of its one or two open blocks fewest.
     """
-    size = max(1, min(BLOCK, units.width // 2))
+    size = max(1, isqrt((units.width - units.gram + 1) // 2))
 
     def run(batches):
         for batch in batches:
