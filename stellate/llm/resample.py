@@ -9,7 +9,8 @@ text. Adding Gumbel noise (from a hash of the id) and taking the k largest keys
 replacement with probability in proportion to their weights. Unless given, k is the labelled documents'
 share of targets, of all documents.
 
-Counts cover all documents and are added up per task before the shuffle; the models are fixed-size arrays
+Raw counts cover all documents, target counts all labelled targets up to ``TARGET_ROWS`` of them (then a
+share of about that many, drawn by hash); both are added up per task before the shuffle; the models are fixed-size arrays
 (``BUCKETS`` entries an order), so what is collected and broadcast does not grow. The k-th largest key is
 found by counting keys in ever narrower ranges; keys never meet in one place.
 
@@ -29,6 +30,9 @@ from stellate.llm.kernels import LOWER_VALUES, mix, slices, tokens, word_hashes
 from stellate.llm.staging import stage
 
 BUCKETS = 1 << 18
+# Labelled target documents that the target model is fitted on, about: all of them up to here, else a
+# share drawn by hash. Their ids are broadcast, so texts are never shuffled to meet labels.
+TARGET_ROWS = 1 << 17
 # s of single tokens and of pairs
 SHRINK = (2.0, 32.0)
 SEED = 7
@@ -54,8 +58,11 @@ def targets(labels: DataFrame) -> DataFrame:
 
 def log_ratios(docs: DataFrame, labelled: DataFrame) -> np.ndarray:
     """The fitted log ratio of every bucket, a row per order."""
-    rows = docs.join(labelled, "doc_id", "left").select((F.coalesce("target", F.lit(0)) == 1).alias("good"),
-                                                        F.col("text").cast("binary").alias("text"))
+    known = labelled.where("target = 1").select("doc_id")
+    share = min(1.0, TARGET_ROWS / max(known.count(), 1))
+    ids = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(
+        F.broadcast(ids.withColumn("good", F.lit(True))), "doc_id", "left").select(F.coalesce("good", F.lit(False)).alias("good"), "text")
 
     def run(batches):
         total = np.zeros((2, 2, BUCKETS), np.int64)
@@ -94,7 +101,7 @@ def log_weights(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", tex
                 found = ngrams(data, offsets)
                 weight = sum(np.bincount(text, r[bucket], minlength=n) for r, (bucket, text) in zip(shared.value, found))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, n), pa.array(np.bincount(found[0][1], minlength=n)), pa.array(weight)],
+                    [batch.column(0).slice(row, n), pa.array(np.bincount(found[0][1], minlength=n)), pa.array(np.asarray(weight, np.float64))],
                     ["id", "n_tokens", "log_weight"])
 
     return rows.mapInArrow(run, f"id {id_type}, n_tokens long, log_weight double").withColumnRenamed("id", id_col)
