@@ -154,13 +154,16 @@ def edit_robustness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     both = (texts.join(order.select("k", "next_k").hint("shuffle_merge"), "k").join(starts.hint("shuffle_merge"), "k")
             .withColumn("edited", F.concat(F.substring("text", F.lit(1), size - cut), F.substring("start", F.lit(1), cut))))
     pairs = signatures(both.select("k", "th", "text", "edited"), ["k", "th"], ["text", "edited"], samples)
-    done = stage(both.select("k", "th", "copies", "next_k", size.cast("long").alias("n_chars"),
-                             F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-                 .join(pairs, ["k", "th"], "left")
-                 .select("*", joined(0, samples).alias("fingerprint"), joined(1, samples).alias("edited_fingerprint"))
-                 .drop("parts"), "signatures")
-    nexts = done.groupBy(F.col("k").alias("next_k")).agg(F.max("fingerprint").alias("next_fingerprint"))
-    every = done.join(nexts, "next_k").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    # joined on k, by which both sides lie already; different texts of one id are told apart by the condition
+    left = both.select("k", "th", "copies", "next_k", size.cast("long").alias("n_chars"),
+                       F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")).alias("l")
+    same = (F.col("l.k") == F.col("p.k")) & (F.col("l.th").bitwiseXOR(F.col("p.th")) == 0)
+    done = stage(left.join(pairs.alias("p"), same, "left")
+                 .select("l.*", F.unhex(joined(0, samples)).alias("fp"), F.unhex(joined(1, samples)).alias("edited_fp")), "signatures")
+    nexts = done.groupBy(F.col("k").alias("next_k")).agg(F.max("fp").alias("next_fp"))
+    text = {n: F.lower(F.hex(c)) for n, c in (("fingerprint", "fp"), ("edited_fingerprint", "edited_fp"), ("next_fingerprint", "next_fp"))}
+    every = (done.join(nexts, "next_k").withColumns(text)
+             .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))))
     return every.select(
         F.when(F.col("k") != _LEAST, F.col("k")).cast(id_type).alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint"), samples).alias("near_edited"),
