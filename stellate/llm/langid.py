@@ -7,8 +7,8 @@ seen, seen bytes excluded below), down to a uniform choice. After training the s
 so a text's code length in a language is the sum of one table entry per byte. The language with the
 shortest code wins; the score is its share of the probability all languages give the text.
 
-Training reads a bounded sample: per language the ``ROWS`` labelled whole texts of at most
-``MAX_TRAIN_BYTES`` bytes with the smallest hashes (a documented bound: at most ROWS *
+Training reads a bounded sample: per language the ``ROWS`` different labelled whole texts of at
+most ``MAX_TRAIN_BYTES`` bytes with the smallest hashes (a documented bound: at most ROWS *
 MAX_TRAIN_BYTES bytes a language); counting is a Spark aggregation, whose result is bounded by the
 sample. At most ``MAX_LANGUAGES`` languages and ``MAX_CONTEXTS`` longest contexts are modelled; more
 languages raise an error. Scoring is one pass, bounded by one group of texts.
@@ -53,9 +53,9 @@ def training_texts(docs: DataFrame, rows: int = ROWS, max_bytes: int = MAX_TRAIN
            .where(F.octet_length("text").between(1, max_bytes))
            .withColumn("h", F.xxhash64("text")))
     first = Window.partitionBy("lang").orderBy("h")
-    # identical texts share h: one of them stands for all, so the join back stays within the bound
-    chosen = (fit.select("lang", "h").withColumn("r", F.row_number().over(first)).where(F.col("r") <= rows)
-              .select("lang", "h").distinct())
+    # identical texts share h: one of them stands for all before texts are ranked, so copies take no places
+    chosen = (fit.select("lang", "h").distinct().withColumn("r", F.row_number().over(first)).where(F.col("r") <= rows)
+              .select("lang", "h"))
     return fit.join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "text")
 
 

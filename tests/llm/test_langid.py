@@ -34,6 +34,14 @@ def test_sample_is_bounded_and_repeats_count_once(spark):
     assert L.training_texts(docs, rows=20).count() <= 20
 
 
+def test_copies_leave_a_full_sample(spark):
+    other = spark.createDataFrame([(i, f"text {i}", "x") for i in range(100)], "doc_id long, text string, lang string")
+    least = L.training_texts(other, rows=100).selectExpr("text", "xxhash64(text) AS h").orderBy("h").first().text
+    copies = spark.createDataFrame([(i, bytes(least).decode(), "x") for i in range(1000, 1300)], other.schema)
+    got = [bytes(r.text) for r in L.training_texts(other.union(copies), rows=20).collect()]
+    assert len(got) == len(set(got)) == 20 and bytes(least) in got
+
+
 def test_probabilities_of_a_context_add_up():
     p = L._escaped(np.array([[3.0, 1.0, 0.0, 0.0], [0.0, 0.0, 0.0, 0.0], [1.0, 1.0, 1.0, 1.0]]),
                    np.array([[0.25, 0.25, 0.25, 0.25]] * 3))
