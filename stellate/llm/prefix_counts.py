@@ -10,16 +10,24 @@ removal leaves a shorter prefix that ends in a *compatible* token, i.e. the two
 encoded together. So each prefix needs its last token and its count and nothing is encoded anew. Prefixes
 and whole pieces that were met before are looked up, and pieces' tables are strung together per text.
 
-Texts with characters outside ASCII and Latin-1 letters, control characters or special strings are
-cut by the tokenizer library; there counts change at the code point where the library's piece or
-special string ends. Defined results: null and empty texts have 0 tokens and an empty table;
-repeated rows and ties give a row each; an empty table gives no row; other columns are not looked at.
-Memory is bounded by one Arrow batch and the piece lookup.
+Parts of a text with characters outside ASCII and Latin-1 letters, control characters or '<|' go through
+the same program, piece by piece; there the library normalises and cuts, the program counts. Code points that
+normalisation can join with the one before (combining marks, jamo) are normalised in groups, and prefixes that end
+inside a group one by one, so work grows with the square of a group's length. A special string is one
+token from its last code point on and ordinary text before. No text is left to the library's encoder.
+
+Defined results: null and empty texts have 0 tokens and an empty table; repeated rows and ties give a row
+each; an empty table gives no row; other columns are not looked at. Memory is bounded by one Arrow batch
+and the piece lookup.
 """
 
 from __future__ import annotations
 
 import json
+import re
+import sys
+import unicodedata
+from bisect import bisect_left
 from functools import lru_cache
 
 import numpy as np
@@ -34,6 +42,20 @@ from stellate.llm.vocab import CACHE_LENGTH, Lookup, Unusual, byte_letters, toke
 CACHE_STATES = 1 << 18
 
 
+@lru_cache(maxsize=1)
+def groups() -> re.Pattern:
+    """Cuts a text into code points with those after them that normalisation (NFC) can join to them."""
+    joins = {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))}
+    points = [chr(c) for c in range(sys.maxunicode + 1)]
+    for c in points:
+        parts = unicodedata.decomposition(c)
+        if parts and parts[0] != "<":
+            joins.update(chr(int(x, 16)) for x in parts.split()[1:])
+    joins = {c for c in points if c in joins or unicodedata.combining(c)}
+    joins |= {c for c in points if unicodedata.decomposition(c) and unicodedata.normalize("NFD", c)[0] in joins}
+    return re.compile(f"(?s:.)[{''.join(map(re.escape, sorted(joins)))}]*")
+
+
 class PieceTables:
     """For each code point of a text, the change of the token count of the prefix that ends there, one
     signed byte each. Built by the dynamic program above from the vocabulary file's merges."""
@@ -41,7 +63,15 @@ class PieceTables:
     def __init__(self, path: str):
         self.pieces = Lookup(self.piece)
         self.parts = Lookup(self.cut)
-        model = json.load(open(path))["model"]
+        self.odd_parts = Lookup(self.cut_odd)
+        tok = tokenizer(path)
+        self.normal = tok.normalizer.normalize_str
+        self.forms = Lookup(self.normal)
+        self.pre_tokens = tok.pre_tokenizer.pre_tokenize_str
+        file = json.load(open(path))
+        model = file["model"]
+        special = sorted((t["content"] for t in file["added_tokens"]), key=len, reverse=True)
+        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)")
         self.end = model["end_of_word_suffix"] or ""
         self.letters = byte_letters()
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
@@ -59,7 +89,10 @@ class PieceTables:
 
     def table(self, text: str) -> bytes:
         # white space has no tokens, so a text falls apart at its spaces, each a zero in the table
-        return b"\0".join(map(self.parts.__getitem__, text.lower().split(" ")))
+        try:
+            return b"\0".join(map(self.parts.__getitem__, text.lower().split(" ")))
+        except Unusual:
+            return b"\0".join(map(self.odd_parts.__getitem__, text.split(" ")))
 
     def cut(self, part: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, word_pieces(part)))
@@ -72,6 +105,56 @@ class PieceTables:
         counts = self.counts(piece)
         return bytes([b - a & 0xFF for a, b in zip([0, *counts], counts)])
 
+    def cut_odd(self, part: str) -> bytes:
+        """The table of a part with any characters."""
+        if usual(part):
+            return self.parts[part.lower()]
+        counts, at = [0], 0
+        for special in self.special.finditer(part):
+            first, end = special.span()
+            before = counts[-1]
+            counts += [before + n for n in self.prefixes(part[at:end - 1])]
+            counts.append(counts[first] + 1)
+            at = end
+        before = counts[-1]
+        counts += [before + n for n in self.prefixes(part[at:])]
+        steps = np.diff(counts)
+        if np.abs(steps).max(initial=0) > 127:
+            raise ValueError("a code point that changes the count by more than 127 tokens")
+        return steps.astype(np.int8).tobytes()
+
+    def prefixes(self, text: str) -> list[int]:
+        """Tokens of each prefix of a text without special strings, one entry a code point."""
+        found = groups().findall(text)
+        forms = [self.forms[g] for g in found]
+        whole, normal = "".join(forms), self.normal(text)
+        if whole != normal and whole.replace(" ", "") != normal.replace(" ", ""):
+            # code points that the library joins and Python's tables do not know
+            found, forms, whole = [text], [normal], normal
+        starts, counts = [], [0]  # of pieces; of each prefix of the normalised text
+        for start, end in self.cuts(whole):
+            counts += [counts[-1]] * (start + 1 - len(counts))
+            before = counts[-1]
+            counts += [before + n for n in self.counts(whole[start:end])]
+            starts.append(start)
+        counts += [counts[-1]] * (len(whole) + 1 - len(counts))
+        out, n = [], 0
+        for group, form in zip(found, forms):
+            if len(group) > 1:
+                # the two last pieces so far ("'" and "re" can become one)
+                i = bisect_left(starts, n)
+                tail = starts[max(i - 2, 0)] if i else 0
+                for k in range(1, len(group)):
+                    upto = whole[tail:n] + self.forms[group[:k]]
+                    out.append(counts[tail] + sum(self.counts(upto[a:b])[-1] for a, b in self.cuts(upto)))
+            n += len(form)
+            out.append(counts[n])
+        return out
+
+    def cuts(self, normal: str) -> list[tuple[int, int]]:
+        """Where the library's pieces of a normalised text start and end."""
+        return [span for _, span in self.pre_tokens(normal)]
+
     def counts(self, piece: str) -> list[int]:
         """Tokens of each prefix of a piece, one entry a code point."""
         letters, states = self.letters, self.states
@@ -83,29 +166,32 @@ class PieceTables:
         last_states = self.last_states
         path = [("", 0, 0)]
         for k in range(1, len(symbols) + 1):
+            if k > CACHE_LENGTH:
+                last, n = self.step(symbols, k, "", path)
+                path.append((last, n, self.step(symbols, k, self.end, path)[1]))
+                continue
             prefix = symbols[:k]
             state = states.get(prefix)
             if state is None:
                 state = last_states.get(prefix)
                 if state is None:
-                    last, n = self.step(prefix, "", path)
-                    state = last, n, self.step(prefix, self.end, path)[1]
-                if k <= CACHE_LENGTH:
-                    states[prefix] = state
+                    last, n = self.step(symbols, k, "", path)
+                    state = last, n, self.step(symbols, k, self.end, path)[1]
+                states[prefix] = state
             path.append(state)
         if len(data) == len(piece):
             return [state[2] for state in path[1:]]
         # the byte prefixes that are whole code points: the next byte does not continue one
         return [path[k][2] for k in range(1, len(data) + 1) if k == len(data) or data[k] & 0xC0 != 0x80]
 
-    def step(self, prefix: str, end: str, path: list[tuple[str, int, int]]) -> tuple[str, int]:
-        """Last token and count of a prefix, given those of the shorter ones (the inside of a word, or
-        with ``end`` a whole word)."""
+    def step(self, symbols: str, k: int, end: str, path: list[tuple[str, int, int]]) -> tuple[str, int]:
+        """Last token and count of the first k symbols, given those of the shorter prefixes (the inside of
+        a word, or with ``end`` a whole word)."""
         vocab, stays = self.vocab, self.stays
-        upto = prefix + end
-        k = len(prefix)
-        for j in range(k - self.longest if k > self.longest else 0, k):
-            last = vocab.get(upto[j:])
+        lo = k - self.longest if k > self.longest else 0
+        upto = symbols[lo:k] + end
+        for j in range(lo, k):
+            last = vocab.get(upto[j - lo:])
             if last is not None:
                 if j == 0:
                     return last, 1
@@ -167,16 +253,7 @@ def piece_tables(path: str) -> PieceTables:
 
 def prefix_table(path: str, text: str) -> bytes:
     """The table of one text: a signed byte per code point."""
-    try:
-        return piece_tables(path).table(text)
-    except Unusual:
-        pass
-    table = np.zeros(len(text), np.int64)
-    for _, end in tokenizer(path).encode(text, add_special_tokens=False).offsets:
-        table[max(end, 1) - 1] += 1
-    if table.max(initial=0) > 127:
-        raise ValueError("a code point with more than 127 tokens")
-    return table.astype(np.int8).tobytes()
+    return piece_tables(path).table(text)
 
 
 def counts_of(table: bytes) -> np.ndarray:

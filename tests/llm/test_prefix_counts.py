@@ -1,3 +1,4 @@
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -41,6 +42,30 @@ def test_every_prefix_has_its_exact_count(tok, text):
     assert counts.tolist() == [n_tokens(tok, text[:k]) for k in range(len(text) + 1)]
 
 
+@pytest.mark.parametrize("text", [*ODD, "hello世界", "say “it’s” — 5€ a\u00a0b", "'re\u0301 we'll\u0308 A\u0323\u0302x", "각 각 क़",
+                                  "x<|endoftext|>'s <|endoftext <|startoftext<|startoftext|>|>é", "İIıſ ΣΑΣ. Ὀδυσσεύς", "😀👍🏽 a😀b"])
+def test_every_prefix_of_any_text_has_its_exact_count(tok, text):
+    counts = C.counts_of(C.prefix_table(PATH, text))
+    assert counts.tolist() == [n_tokens(tok, text[:k]) for k in range(len(text) + 1)]
+
+
+def test_every_prefix_of_random_texts(tok):
+    rng = np.random.default_rng(3)
+    letters = list("aeRsl' 3!-") + list("’—€世界ñΣİक़é각ᄀ\u1161\u11a8\u0301\u0323\u0344\u00a0\x85\x1c\u212b😀\u200d") + ["<|endoftext|>", "<|", "'ll"]
+    for _ in range(300):
+        text = "".join(rng.choice(letters, 12))
+        counts = C.counts_of(C.prefix_table(PATH, text))
+        assert counts.tolist() == [n_tokens(tok, text[:k]) for k in range(len(text) + 1)], text
+
+
+def test_cuts_of_odd_texts_stay_within_the_budget(spark, tok):
+    docs = spark.createDataFrame([(0, "hello世界"), (1, "it’s 5€")], "doc_id long, text string")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    for budget in range(4):
+        for r in C.budget_cuts(C.token_counts(docs, PATH), budget).collect():
+            assert n_tokens(tok, text[r.doc_id][:r.n_chars_kept]) == r.n_tokens_kept <= budget
+
+
 def test_prefixes_of_documents(tok, document_rows):
     for _, text in document_rows[::17]:
         counts = C.counts_of(C.prefix_table(PATH, text))
