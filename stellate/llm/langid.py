@@ -7,11 +7,12 @@ seen, seen bytes excluded below), down to a uniform choice. After training the s
 so a text's code length in a language is the sum of one table entry per byte. The language with the
 shortest code wins; the score is its share of the probability all languages give the text.
 
-Training reads a bounded sample: per language the ``ROWS`` different labelled whole texts of at
-most ``MAX_TRAIN_BYTES`` bytes with the smallest hashes (a documented bound: at most ROWS *
-MAX_TRAIN_BYTES bytes a language); counting is a Spark aggregation, whose result is bounded by the
-sample. At most ``MAX_LANGUAGES`` languages and ``MAX_CONTEXTS`` longest contexts are modelled; more
-languages raise an error. Scoring is one pass, bounded by one group of texts.
+Training reads a bounded sample: per language ``ROWS`` different labelled whole texts, first those of at
+most ``MAX_TRAIN_BYTES`` bytes with the smallest hashes, then, where these are fewer, the shortest longer ones as
+far as all stay within ROWS * MAX_TRAIN_BYTES bytes (a language's only text whatever its length). Counting is a
+Spark aggregation, whose result is bounded by the sample. All languages and all contexts of the sample are
+modelled; the model broadcast holds an entry for each byte met in a context of a language, so it grows with the
+number of languages. Scoring is one pass, bounded by one group of texts.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, so is everything if
 nothing can be learned; equal code lengths go to the language first in order; repeated rows give a row
@@ -34,8 +35,8 @@ from stellate.llm.kernels import SLICE_BYTES, slices
 ORDER = 3
 ROWS = 400
 MAX_TRAIN_BYTES = 1 << 16
-MAX_LANGUAGES = 64
-MAX_CONTEXTS = 1 << 14
+# Contexts whose probabilities are worked out at a time.
+GROUP = 1 << 12
 # Code lengths are stored in steps of 1/2048 bit.
 STEP = 2048
 _LETTER = re.compile(r"[^\W\d_]")
@@ -50,11 +51,18 @@ def training_texts(docs: DataFrame, rows: int = ROWS, max_bytes: int = MAX_TRAIN
     """(lang, text as bytes) of the bounded sample of labelled documents."""
     fit = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
            .select("lang", F.col("text").cast("binary").alias("text"))
-           .where(F.octet_length("text").between(1, max_bytes))
+           .where(F.octet_length("text") > 0)
            .withColumn("h", F.xxhash64("text")))
-    first = Window.partitionBy("lang").orderBy("h")
+    # texts over max_bytes come after all others, the shortest first
+    size = F.octet_length("text").cast("long")
+    first = Window.partitionBy("lang").orderBy("over", "h")
+    upto = first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # identical texts share h: one of them stands for all before texts are ranked, so copies take no places
-    chosen = (fit.select("lang", "h").distinct().withColumn("r", F.row_number().over(first)).where(F.col("r") <= rows)
+    chosen = (fit.groupBy("lang", "h").agg(F.min(size).alias("size"))
+              .withColumn("over", F.when(F.col("size") > max_bytes, F.col("size")).otherwise(0))
+              .withColumn("r", F.row_number().over(first)).where(F.col("r") <= rows)
+              .withColumn("sum", F.sum("size").over(upto))
+              .where((F.col("r") == 1) | (F.col("over") == 0) | (F.col("sum") <= rows * max_bytes))
               .select("lang", "h"))
     return fit.join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "text")
 
@@ -62,21 +70,62 @@ def training_texts(docs: DataFrame, rows: int = ROWS, max_bytes: int = MAX_TRAIN
 def _grams(batches):
     """Counts of (ORDER + 1)-byte strings by language, each text led by ORDER zero bytes."""
     for batch in batches:
-        by_lang: dict[str, list[np.ndarray]] = {}
         langs = batch.column(0).to_pylist()
         for lo, data, offsets in slices(batch.column(1)):
+            by_lang: dict[str, list[np.ndarray]] = {}
             for i in range(len(offsets) - 1):
-                b = np.concatenate([np.zeros(ORDER, np.int64), data[offsets[i]:offsets[i + 1]].astype(np.int64)])
-                code = b[:-ORDER] << 24 | b[1:-2] << 16 | b[2:-1] << 8 | b[3:]
-                by_lang.setdefault(langs[lo + i], []).append(code)
-        for lang, codes in by_lang.items():
-            gram, n = np.unique(np.concatenate(codes), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram)), pa.array(gram), pa.array(n)], ["lang", "gram", "n"])
+                # a long text is counted a stretch at a time
+                for start in range(offsets[i], offsets[i + 1], SLICE_BYTES):
+                    end = min(start + SLICE_BYTES, offsets[i + 1])
+                    before = data[max(start - ORDER, offsets[i]):start]
+                    b = np.concatenate([np.zeros(ORDER - len(before), np.int64), before, data[start:end]]).astype(np.int64)
+                    code = b[:-ORDER] << 24 | b[1:-2] << 16 | b[2:-1] << 8 | b[3:]
+                    if len(code) < SLICE_BYTES:
+                        by_lang.setdefault(langs[lo + i], []).append(code)
+                    else:
+                        yield _counted(langs[lo + i], code)
+            for lang, codes in by_lang.items():
+                yield _counted(lang, np.concatenate(codes))
+
+
+def _counted(lang: str, codes: np.ndarray) -> pa.RecordBatch:
+    gram, n = np.unique(codes, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(gram)), pa.array(gram), pa.array(n)], ["lang", "gram", "n"])
+
+
+class Costs:
+    """One language's code lengths, for bytes met in a context and for escapes from it only: code lengths
+    of other bytes are the escape's and those of the context one byte shorter, and so on."""
+
+    def __init__(self, classes: int, parent: np.ndarray, keys: np.ndarray, bits: np.ndarray):
+        # a key is node * (classes + 1) + class; the class after the last one is the escape
+        order = np.argsort(keys)
+        self.classes, self.parent, self.keys, self.bits = classes, parent, keys[order], bits[order]
+
+    def found(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[at] == keys, self.bits[at]
+
+    def __getitem__(self, entry) -> np.ndarray:
+        """Code lengths, in steps, of entries node * classes + class."""
+        node, sym = np.divmod(np.asarray(entry, np.int64).ravel(), self.classes)
+        total, open_ = np.zeros(len(node)), np.arange(len(node))
+        for _ in range(ORDER + 1):
+            first = node * (self.classes + 1)
+            met, bits = self.found(first + sym)
+            total[open_[met]] += bits[met]
+            open_, node, sym, first = open_[~met], node[~met], sym[~met], first[~met]
+            known, bits = self.found(first + self.classes)
+            total[open_] += np.where(known, bits, 0.0)
+            root = node == 0
+            total[open_[root]] += np.log2(self.classes)
+            open_, node, sym = open_[~root], self.parent[node[~root]].astype(np.int64), sym[~root]
+        return np.minimum(np.rint(total * STEP), 65535).astype(np.int64).reshape(np.shape(entry))
 
 
 class Model:
-    """Frozen code lengths: ``node`` gives the longest kept context of the last three bytes' classes,
-    ``cost`` the code length of a class in a node for every language."""
+    """Frozen code lengths: ``node`` gives the longest context any language has of the last three bytes' classes,
+    ``cost`` for every language the code lengths of a class in a node."""
 
     def __init__(self, langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray):
         self.langs = langs
@@ -89,36 +138,49 @@ class Model:
         # zero bytes stand for the edge of a text unless they were seen as a byte
         sym = [self.of_byte[(gram >> s) & 0xFF] for s in (24, 16, 8, 0)]
         context = (sym[0] * A + sym[1]) * A + sym[2]
-        kept, total = np.unique(context, return_inverse=True)
-        weight = np.bincount(total, n, minlength=len(kept))
-        if len(kept) > MAX_CONTEXTS:
-            kept = np.sort(kept[np.argsort(-weight, kind="stable")[:MAX_CONTEXTS]])
-        two = np.unique(np.concatenate([np.unique(context % (A * A)), kept % (A * A)]))
+        three = np.unique(context)
+        two = np.unique(three % (A * A))
         one = np.unique(two % A)
         first = [0, 1, 1 + len(one), 1 + len(one) + len(two)]  # first node of each order
-        nodes = first[3] + len(kept)
-        node1 = np.zeros(A, np.int64)
+        nodes = first[3] + len(three)
+        node1 = np.zeros(A, np.int32)
         node1[one] = first[1] + np.arange(len(one))
         node2 = np.tile(node1, A)
         node2[two] = first[2] + np.arange(len(two))
-        self.node = np.tile(node2, A).astype(np.int32)
-        self.node[kept] = first[3] + np.arange(len(kept))
-        parent = np.zeros(nodes, np.int64)
+        self.node = np.tile(node2, A)
+        self.node[three] = first[3] + np.arange(len(three))
+        parent = np.zeros(nodes, np.int32)
         parent[first[2]:first[3]] = node1[two % A]
-        parent[first[3]:] = node2[kept % (A * A)]
-        cost = np.zeros((len(langs), nodes, A), np.uint16)
-        chains = [(np.zeros(len(context), np.int64), 0, 1), (node1[sym[2]], first[1], first[2]),
-                  (node2[context % (A * A)], first[2], first[3]), (self.node[context].astype(np.int64), first[3], nodes)]
-        for i in range(len(langs)):
-            mine = lang == i
-            p = np.zeros((nodes, A))
-            for order, (at, lo, hi) in enumerate(chains):
-                ok = mine & (at >= lo) & (at < hi)
-                counts = np.bincount((at[ok] - lo) * A + sym[3][ok], n[ok], minlength=(hi - lo) * A).reshape(-1, A)
-                below = np.full((hi - lo, A), 1.0 / A) if order == 0 else p[parent[lo:hi]]
-                p[lo:hi] = _escaped(counts, below)
-            cost[i] = np.minimum(np.rint(-np.log2(p) * STEP), 65535)
-        self.cost = cost.reshape(len(langs), nodes * A)
+        parent[first[3]:] = node2[three % (A * A)]
+        by_lang = np.argsort(lang, kind="stable")
+        ends = np.searchsorted(lang[by_lang], np.arange(len(langs) + 1))
+        self.cost = [self._costs(parent, first, context[mine], sym[3][mine], n[mine], node1, node2)
+                     for mine in (by_lang[lo:hi] for lo, hi in zip(ends[:-1], ends[1:]))]
+
+    def _costs(self, parent, first, context, sym, n, node1, node2) -> Costs:
+        """A language's code lengths from its counts, contexts of one order in groups of some thousand."""
+        A = self.classes
+        keys, bits = [], []
+        p = np.full((1, A), 1.0 / A)  # of all classes in the nodes of the lower orders
+        for order in range(ORDER + 1):
+            at = [np.zeros(len(context), np.int64), node1[context % A], node2[context % (A * A)], self.node[context]][order]
+            known, place = np.unique(at, return_inverse=True)
+            by_node = np.argsort(place, kind="stable")
+            ends = np.searchsorted(place[by_node], np.arange(0, len(known) + GROUP, GROUP))
+            if 0 < order < ORDER:
+                p = np.concatenate([p, p[parent[first[order]:first[order + 1]]]])
+            for k, (lo, hi) in enumerate(zip(ends[:-1], ends[1:])):
+                node = known[k * GROUP:(k + 1) * GROUP].astype(np.int64)
+                mine = by_node[lo:hi]
+                counts = np.bincount((place[mine] - k * GROUP) * A + sym[mine], n[mine], minlength=len(node) * A).reshape(-1, A)
+                below = p[parent[node]]
+                here = _escaped(counts, below)
+                if order < ORDER:
+                    p[node] = here
+                row, met = np.nonzero(counts)
+                keys += [node[row] * (A + 1) + met, node * (A + 1) + A]
+                bits += [-np.log2(here[row, met]), np.log2(below[:, -1]) - np.log2(here[:, -1])]
+        return Costs(A, parent, np.concatenate(keys), np.concatenate(bits))
 
     def lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Code length in bits of each text in each language, a stretch of bytes at a time."""
@@ -138,8 +200,9 @@ class Model:
                     at = at[(at >= 0) & (at < hi - lo) & (offsets[:-1] + j < offsets[1:])]
                     before[k - 1, at] = self.other
             entry = self.node[(before[2] * A + before[1]) * A + before[0]] * np.int64(A) + s[lead:]
+            place, met = pd.factorize(entry)  # each different entry is looked up once
             for i, cost in enumerate(self.cost):
-                sums = np.concatenate([[0], np.cumsum(cost[entry], dtype=np.int64)])
+                sums = np.concatenate([[0], np.cumsum(cost[met][place])])
                 bits[:, i] += sums[ends] - sums[starts]
         return bits / STEP
 
@@ -162,13 +225,12 @@ def train(docs: DataFrame, rows: int = ROWS, max_bytes: int = MAX_TRAIN_BYTES) -
     grams = (training_texts(docs, rows, max_bytes).mapInArrow(_grams, "lang string, gram long, n long")
              .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     found = grams.toArrow()
-    langs = sorted(set(found.column("lang").to_pylist()))
+    langs = sorted(found.column("lang").unique().to_pylist())
     if not langs:
         return None
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"{len(langs)} languages; at most {MAX_LANGUAGES} are modelled")
-    index = {name: i for i, name in enumerate(langs)}
-    lang = np.array([index[v] for v in found.column("lang").to_pylist()], np.int64)
+    column = found.column("lang").combine_chunks().dictionary_encode()
+    rank = np.array([langs.index(v) for v in column.dictionary.to_pylist()], np.int64)
+    lang = rank[column.indices.to_numpy()]
     return Model(langs, lang, found.column("gram").to_numpy(), found.column("n").to_numpy())
 
 

@@ -42,6 +42,35 @@ def test_copies_leave_a_full_sample(spark):
     assert len(got) == len(set(got)) == 20 and bytes(least) in got
 
 
+def test_more_languages_than_64_are_all_modelled(spark):
+    rows = [(100 * k + i, f"{chr(0x4e00 + k)}{chr(0x4e00 + k)} {k:03d} {i}", f"l{k:03d}") for k in range(70) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    truth = {r[0]: r[2] for r in rows}
+    got = L.identify(docs).collect()
+    assert len(got) == len(rows) and np.mean([r.lang_pred == truth[r.doc_id] for r in got]) > 0.97
+
+
+def test_languages_of_long_texts_are_learned(spark):
+    rows = [(i, f"alpha beta {i} " * (30 + i), "long") for i in range(8)] + [(20 + i, f"gamma delta {i}", "short") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = L.training_texts(docs, rows=3, max_bytes=400).collect()
+    sizes = sorted(len(r.text) for r in got if r.lang == "long")
+    known = sorted(len(t) for i, t, lang in rows if lang == "long" and zlib.crc32(str(i).encode()) % 4 != 2)
+    assert sizes == known[:len(sizes)] and sizes and sum(sizes) <= 1200
+    assert [len(r.text) for r in L.training_texts(docs.where("doc_id = 0"), rows=3, max_bytes=10).collect()] == [known[0]]
+    assert {r.doc_id: r.lang_pred for r in L.identify(docs, rows=3, max_bytes=400).collect()}[7] == "long"
+
+
+def test_every_context_of_the_sample_is_kept():
+    gram = np.unique(np.random.default_rng(2).integers(1, 200, (60_000, 4)) @ np.array([1 << 24, 1 << 16, 1 << 8, 1]))
+    model = L.Model(["x"], np.zeros(len(gram), np.int64), gram, np.ones(len(gram), np.int64))
+    A, s = model.classes, [model.of_byte[gram >> k & 0xFF] for k in (24, 16, 8)]
+    nodes = model.node[(s[0] * A + s[1]) * A + s[2]]
+    assert len(np.unique(nodes)) == len(np.unique(gram >> 8)) > 1 << 14
+    total = np.exp2(-model.cost[0][nodes[:50, None] * np.int64(A) + np.arange(A)] / L.STEP).sum(1)
+    assert np.allclose(total, 1, atol=0.01)
+
+
 def test_probabilities_of_a_context_add_up():
     p = L._escaped(np.array([[3.0, 1.0, 0.0, 0.0], [0.0, 0.0, 0.0, 0.0], [1.0, 1.0, 1.0, 1.0]]),
                    np.array([[0.25, 0.25, 0.25, 0.25]] * 3))
