@@ -14,7 +14,7 @@ from stellate.sources.tables import load_table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: documents without a letter, or that no language explains best, go."""
+    """Operator 7: documents without a letter go (all, if no language can be learned)."""
     return langid.keep_identified(docs)
 
 

@@ -280,11 +280,11 @@ def identify(docs: DataFrame, rows: int = ROWS, max_bytes: int = MAX_TRAIN_BYTES
     return predict(docs.select("doc_id", "text"), train(docs, rows, max_bytes)).drop("text")
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all their columns, whose language is identified with at least ``min_score``.
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all their columns, whose language is identified.
 
-    Rejected are texts without a letter and texts no language explains clearly better than the rest.
+    Rejected is only what the operator calls ``und``: texts without a letter, and all if nothing can be learned.
+    Short texts that several languages explain about as well stay.
     """
     held = docs.select(F.struct("*").alias("row"), "text")
-    judged = predict(held, train(docs))
-    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select("row.*")
+    return predict(held, train(docs)).where(F.col("lang_pred") != "und").select("row.*")

@@ -71,6 +71,15 @@ def test_every_context_of_the_sample_is_kept():
     assert np.allclose(total, 1, atol=0.01)
 
 
+def test_every_lettered_document_stays(spark):
+    texts = ["a", "no", "one two", "x 1", "é", "日", "1 2 3", "", "?!", None]
+    rows = [(100 * k + i, f"the same words {i}", f"l{k}") for k in range(4) for i in range(8)]
+    rows += [(1000 + i, t, None) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in L.keep_identified(docs).collect()}
+    assert kept == {r[0] for r in rows if r[1] and any(c.isalpha() for c in r[1])}
+
+
 def test_probabilities_of_a_context_add_up():
     p = L._escaped(np.array([[3.0, 1.0, 0.0, 0.0], [0.0, 0.0, 0.0, 0.0], [1.0, 1.0, 1.0, 1.0]]),
                    np.array([[0.25, 0.25, 0.25, 0.25]] * 3))
