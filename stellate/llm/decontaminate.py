@@ -56,9 +56,11 @@ class Phrases:
         found: dict[tuple[int, ...], set[str]] = {}
         pairs = []
         for (name, _), lo, hi in zip(items, first[:-1], first[1:]):
+            if lo == hi:
+                continue
             w = ids[lo:hi].tolist()
             pairs.append(ids[lo:hi - 1] * (self.sigma + 1) + ids[lo + 1:hi])
-            for i in range(max(len(w) - window, 0) + 1 if w else 0):
+            for i in range(max(len(w) - window, 0) + 1):
                 found.setdefault(tuple(w[i:i + window]), set()).add(name)
         self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
         self.items = [sorted(v) for v in found.values()]

@@ -53,6 +53,15 @@ def test_edges_against_brute_force(spark, edge_docs, edge_rows, no_docs):
     assert kept.columns == edge_docs.columns and 14 not in [r.doc_id for r in kept.collect()]
 
 
+def test_a_block_may_begin_with_an_item_without_words(spark, edge_docs, edge_rows):
+    items = [(4, "..."), (2, "one TWO"), (5, " ".join(split(edge_rows[7][1])[:20])), (6, " ")]
+    bench = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+    got = D.decontaminate(edge_docs, bench).collect()
+    want = sorted(map(str, brute([r[1] for r in edge_rows], items)))
+    assert sorted(str((r.n_words, r.n_hit, list(r["items"]))) for r in got) == want
+    assert D.Phrases([("a", b"..."), ("b", b"x y z")]).size.tolist() == [3]
+
+
 def test_fm_index_finds_every_occurrence():
     rng = np.random.default_rng(5)
     symbols = np.concatenate([rng.integers(1, 4, 400), [0], rng.integers(1, 4, 300), [0]])
