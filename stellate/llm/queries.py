@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import decontaminate, hosts, langid, packing, prefix_counts, resample, simhash, substrings, suffixes, weighted_sampling
+from stellate.llm import alignment, decontaminate, hosts, langid, packing, prefix_counts, resample, simhash, substrings, suffixes, weighted_sampling
 from stellate.sources.tables import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,10 @@ def op9_importance_resampling(spark, sf_dir):
 def op10_prefix_token_counts(spark, sf_dir):
     counted = prefix_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), tables=False)
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query()
+def op13_cross_tokenizer_alignment(spark, sf_dir):
+    found, _ = alignment.align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                               public_tokenizers.path("piece_bpe_32k.model"))
+    return found

@@ -11,6 +11,8 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 # Entries of a lookup (see ``Lookup``).
@@ -119,3 +121,48 @@ def piece_ids(path: str) -> PieceIds:
 def word_pieces(part: str) -> list[str]:
     """All of a lower-cased usual text in order: pieces and the white space between them."""
     return _WORD_BPE.findall(part)
+
+
+# Last bytes of the white space beyond ASCII, fixed values: (byte two before, byte before, last bytes).
+_WIDE_SPACE = ((None, 0xC2, (0x85, 0xA0)), (0xE1, 0x9A, (0x80,)), (0xE2, 0x80, (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)),
+               (0xE2, 0x81, (0x9F,)), (0xE3, 0x80, (0x80,)))
+
+
+def part_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the parts of consecutive texts, and the first part of each text and the end.
+
+    A part begins with its text or with a space after a printing character. No piece of the three
+    vocabularies runs over such a place, so a text's ids are its parts' ids one after the other.
+    """
+    at = np.flatnonzero(data == 0x20)
+    at = at[at > 0]
+    last = data[at - 1]
+    solid = (last > 0x20) & (last != 0x7F)
+    high = np.flatnonzero(last >= 0x80)
+    if len(high):
+        place = at[high]
+        two, three = data[np.maximum(place - 2, 0)], data[np.maximum(place - 3, 0)]
+        for first, second, lasts in _WIDE_SPACE:
+            wide = (two == second) & np.isin(last[high], lasts)
+            if first is not None:
+                wide &= three == first
+            solid[high[wide]] = False
+    begins = offsets[:-1][offsets[1:] > offsets[:-1]]
+    starts = np.union1d(at[solid], begins)
+    return starts, np.searchsorted(starts, offsets)
+
+
+def dictionary(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """The parts as numbers, and the different parts by number (equal bytes only)."""
+    if not len(starts):
+        return np.zeros(0, np.int64), []
+    ends = np.append(starts, len(data)).astype(np.int64)
+    column = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    coded = column.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+
+
+def spread(lengths: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """begins[i], begins[i] + 1, ... (lengths[i] of them) for each i, one after the other."""
+    total = np.cumsum(lengths)
+    return np.arange(int(total[-1]) if len(total) else 0) - np.repeat(total - lengths - begins, lengths)
