@@ -37,25 +37,17 @@ from tokenizers import Tokenizer
 
 from stellate.llm.kernels import slices
 from stellate.llm.staging import stage
-from stellate.llm.vocab import Lookup, byte_letters, dictionary, part_starts, spread
+from stellate.llm.vocab import byte_letters, dictionary, part_starts
 
 SLICE_BYTES = 1 << 22
-PARTS_KEPT = 1 << 17
+# Different parts are encoded together in texts of about so many bytes.
+TOGETHER_BYTES = 1 << 16
 # A pair is one number: A id * _B + B id. An identity link of A id a is -1 - a.
 _B = 1 << 24
 
 
-class Part:
-    """One aligned text part: token and group counts, its groups as text, its links as numbers."""
-
-    __slots__ = ("n_a", "n_b", "n_groups", "groups", "links")
-
-    def __init__(self, n_a: int, n_b: int, groups: list[bytes], links: list[int]):
-        self.n_a, self.n_b, self.n_groups, self.groups, self.links = n_a, n_b, len(groups), b";".join(groups), links
-
-
 class Aligner:
-    """Two vocabularies, the identity map between them, and the parts met lately."""
+    """Two vocabularies and the identity map between them."""
 
     def __init__(self, path_a: str, path_b: str):
         self.a = Tokenizer.from_file(path_a)
@@ -70,6 +62,7 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         single = [self.b.is_byte(i) for i in range(len(pieces))]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if s else p.replace("▁", " ").encode() for p, s in zip(pieces, single)]
+        self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         # pieces before single-byte fallbacks, lower ids first
         ids: dict[bytes, int] = {}
         for i in sorted(range(len(pieces)), key=lambda i: (single[i], i)):
@@ -79,41 +72,55 @@ class Aligner:
         self.space = self.b.piece_to_id("▁")
         # a piece with a space after another character could run over the edge of a part
         self.by_parts = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.parts = Lookup(self.align, PARTS_KEPT)
+        # an id as text, within its group and at the end of its side
+        self.text = [b"%d" % i + end for n, last in ((len(self.bytes_a), b"|"), (len(self.bytes_b), b";"))
+                     for i in range(n) for end in (b",", last)]
+        self.text_size = np.array([len(x) for x in self.text], np.int64)
 
-    def tokens(self, spaced: bytes) -> tuple[list[int], list[int]]:
-        """Ids by A and by B of a text that begins with a space."""
+    def tokens(self, spaced: bytes) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids by A and by B of a text that begins with a space; None if they do not give it back."""
         text = spaced.decode()
-        found = self.b.encode(text[1:]) if len(text) > 1 else [self.space]
-        return self.a.encode(text, add_special_tokens=False).ids, found
-
-    def align(self, spaced: bytes) -> Part | None:
-        """The alignment of a text that begins with a space; None if its tokens do not give it back."""
-        a, b = self.tokens(spaced)
+        a = self.a.encode(text, add_special_tokens=False).ids
+        b = self.b.encode(text[1:]) if len(text) > 1 else [self.space]
         if b"".join([self.bytes_a[i] for i in a]) != spaced or b"".join([self.bytes_b[i] for i in b]) != spaced:
             return None
-        groups, links = [], []
-        i = j = end_a = end_b = 0
-        while i < len(a):
-            first_a, first_b = i, j
-            end_a += len(self.bytes_a[a[i]])
-            end_b += len(self.bytes_b[b[j]])
-            while end_a != end_b:
-                if end_a < end_b:
-                    i += 1
-                    end_a += len(self.bytes_a[a[i]])
-                else:
-                    j += 1
-                    end_b += len(self.bytes_b[b[j]])
-            identical = i == first_a and j == first_b and self.same[a[i]] == b[j]
-            links.append(-1 - a[i] if identical else a[i] * _B + b[j])
-            i, j = i + 1, j + 1
-            groups.append(b",".join([b"%d" % x for x in a[first_a:i]]) + b"|" + b",".join([b"%d" % x for x in b[first_b:j]]))
-        return Part(len(a), len(b), groups, links)
-
-    def slice(self, data: np.ndarray, offsets: np.ndarray):
-        """(parts, part numbers, first number of each text and the end) of consecutive texts; a text without
-        tokens has no part."""
+        return np.array(a, np.int64), np.array(b, np.int64)
+
+    def encode(self, parts: list[bytes], alone: bool):
+        """(numbers of the parts in the order taken, their tokens by A and B); parts whose tokens do not give them
+        back are left out. Unless ``alone``, parts that may stand one after the other are encoded together."""
+        order, found = [], []
+        if not alone:
+            data = np.frombuffer(b"".join(parts), np.uint8)
+            ends = np.cumsum([len(p) for p in parts])
+            starts, _ = part_starts(data, np.array([0, len(data)]))
+            closed = np.isin(ends, np.append(starts, len(data)))
+            closed[-1:] = False
+            together, size = [], 0
+            for k in [*np.flatnonzero(closed).tolist(), None]:
+                if together and (k is None or size > TOGETHER_BYTES):
+                    both = self.tokens(b"".join([parts[i] for i in together]))
+                    if both is None:
+                        closed[together] = False
+                    else:
+                        order += together
+                        found.append(both)
+                    together, size = [], 0
+                if k is not None:
+                    together.append(k)
+                    size += len(parts[k])
+            rest = np.flatnonzero(~closed).tolist()
+        else:
+            rest = range(len(parts))
+        for k in rest:
+            both = self.tokens(parts[k])
+            if both is not None:
+                order.append(k)
+                found.append(both)
+        return order, found
+
+    def slice(self, data: np.ndarray, offsets: np.ndarray) -> Slice:
+        """The alignment of consecutive texts; a text without tokens has no part."""
         full = offsets[1:] > offsets[:-1]
         data = np.insert(data, offsets[:-1][full], 0x20)
         offsets = offsets + np.concatenate([[0], np.cumsum(full)])
@@ -123,19 +130,60 @@ class Aligner:
             starts = offsets[:-1][full]
             first = np.searchsorted(starts, offsets)
         codes, keys = dictionary(data, starts)
-        parts = [self.parts[k] for k in keys]
-        strange = np.array([p is None for p in parts], bool)
-        if strange.any():
+        order, found = self.encode(keys, not self.by_parts)
+        place = np.full(len(keys), -1, np.int64)
+        place[order] = np.arange(len(order))
+        codes = place[codes]
+        sizes = [len(keys[k]) for k in order]
+        if (codes < 0).any():
             # the whole text decides
-            doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
             lists = np.split(codes, first[1:-1])
-            for d in np.unique(doc[strange[codes]]).tolist():
-                whole = self.align(data[offsets[d]:offsets[d + 1]].tobytes())
-                lists[d] = np.array([] if whole is None else [len(parts)], np.int64)
-                parts += [] if whole is None else [whole]
+            for d in np.unique(np.searchsorted(first, np.flatnonzero(codes < 0), "right") - 1).tolist():
+                whole = data[offsets[d]:offsets[d + 1]].tobytes()
+                both = self.tokens(whole)
+                lists[d] = np.array([] if both is None else [len(sizes)], np.int64)
+                if both is not None:
+                    found.append(both)
+                    sizes.append(len(whole))
             codes = np.concatenate(lists)
             first = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-        return parts, codes, first
+        return Slice(self, codes, first, np.array(sizes, np.int64), found)
+
+
+class Slice:
+    """Aligned texts: part numbers ``codes``, texts' first places ``first``, and per part token and group counts,
+    groups as text and links (``links[link_first[i]:link_first[i + 1]]``; one link a group, as no token is empty)."""
+
+    def __init__(self, table: Aligner, codes, first, sizes, found):
+        self.codes, self.first = codes, first
+        none = np.zeros(0, np.int64)
+        a = np.concatenate([none, *[x for x, _ in found]])
+        b = np.concatenate([none, *[x for _, x in found]])
+        ends_a, ends_b, ends = np.cumsum(table.size_a[a]), np.cumsum(table.size_b[b]), np.cumsum(sizes)
+        cuts, last_a, last_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        upto = [np.concatenate([[0], np.searchsorted(x, ends) + 1]) for x in (ends_a, ends_b, cuts)]
+        self.n_a, self.n_b, self.n_groups = (np.diff(x) for x in upto)
+        self.link_first = upto[2]
+        link_a, link_b = a[last_a], b[last_b]
+        alone = (np.diff(last_a, prepend=-1) == 1) & (np.diff(last_b, prepend=-1) == 1)
+        self.links = np.where(alone & (table.same[link_a] == link_b), -1 - link_a, link_a * _B + link_b)
+        # ids as text, in the order of the groups: A's of a group, then B's
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        order = np.empty(len(a) + len(b), np.int64)
+        closes = np.zeros(len(a), np.int64)
+        closes[last_a] = 1
+        order[np.arange(len(a)) + np.concatenate([[0], last_b + 1])[group_a]] = 2 * a + closes
+        closes = np.zeros(len(b), np.int64)
+        closes[last_b] = 1
+        order[np.arange(len(b)) + last_a[group_b] + 1] = 2 * (len(table.bytes_a) + b) + closes
+        text = b"".join([table.text[k] for k in order.tolist()])
+        edges = np.concatenate([[0], np.cumsum(table.text_size[order])])[upto[0] + upto[1]].tolist()
+        self.groups = [text[lo:hi] for lo, hi in zip(edges[:-1], edges[1:])]
+
+    def digests(self) -> list[str]:
+        """SHA-256 of each text's groups; empty for a text without tokens."""
+        lists = (self.codes[lo:hi].tolist() for lo, hi in zip(self.first[:-1], self.first[1:]))
+        return [hashlib.sha256(b"".join([self.groups[c] for c in x])[:-1]).hexdigest() if x else "" for x in lists]
 
 
 @lru_cache(maxsize=2)
@@ -150,28 +198,22 @@ def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 _SLICES = ("slice long, ids array<{}>, n_a array<long>, n_b array<long>, n_groups array<long>, groups_sha256 array<string>, "
-           "first binary, codes binary, links binary, link_ends binary, pairs array<long>, counts array<long>, vector array<long>")
+           "first binary, codes binary, links binary, link_first binary, pairs array<long>, counts array<long>, vector array<long>")
 
 
 def _slice_row(table: Aligner, number: int, ids: pa.Array, data: np.ndarray, offsets: np.ndarray, vector: np.ndarray):
-    parts, codes, first = table.slice(data, offsets)
-    n_links = np.array([0 if p is None else len(p.links) for p in parts], np.int64)
-    links = np.array([x for p in parts if p is not None for x in p.links], np.int64)
-    used = np.bincount(codes, minlength=len(parts)).astype(np.int64)
-    weight = np.repeat(used, n_links)
-    plain = links < 0
-    np.add.at(vector, -1 - links[plain], weight[plain])
-    pairs, at = np.unique(links[~plain], return_inverse=True)
-    counts = np.zeros(len(pairs), np.int64)
-    np.add.at(counts, at, weight[~plain])
-    # pairs of parts that only a text without tokens has
-    pairs, counts = pairs[counts > 0], counts[counts > 0]
-    texts = [p.groups if p else b"" for p in parts]
-    shas = [hashlib.sha256(b";".join([texts[c] for c in part])).hexdigest() if part else ""
-            for part in (codes[lo:hi].tolist() for lo, hi in zip(first[:-1], first[1:]))]
-    per_doc = [sums(np.array([getattr(p, k) if p else 0 for p in parts], np.int64)[codes], first) for k in ("n_a", "n_b", "n_groups")]
-    return [number, ids, *[pa.array(x) for x in per_doc], pa.array(shas, pa.string()), first.astype("<i8").tobytes(), codes.astype("<i4").tobytes(),
-            links.astype("<i8").tobytes(), np.cumsum(n_links).astype("<i8").tobytes(), pa.array(pairs), pa.array(counts), None]
+    found = table.slice(data, offsets)
+    used = np.bincount(found.codes, minlength=len(found.n_a)).astype(np.int64)
+    weight = np.repeat(used, found.n_groups)
+    plain = found.links < 0
+    vector += np.bincount(-1 - found.links[plain], weight[plain], len(vector)).astype(np.int64)
+    pairs, at = np.unique(found.links[~plain], return_inverse=True)
+    counts = np.bincount(at, weight[~plain], len(pairs)).astype(np.int64)
+    links = found.links.copy()
+    links[~plain] = at
+    per_doc = [pa.array(sums(x[found.codes], found.first)) for x in (found.n_a, found.n_b, found.n_groups)]
+    return [number, ids, *per_doc, pa.array(found.digests(), pa.string()), found.first.astype("<i8").tobytes(), found.codes.astype("<i4").tobytes(),
+            links.astype("<i4").tobytes(), found.link_first.astype("<i8").tobytes(), pa.array(pairs), pa.array(counts), None]
 
 
 def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -190,7 +232,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
                 longs = pa.list_(pa.int64())
                 schema = pa.schema([("slice", pa.int64()), ("ids", pa.list_(batch.schema.field(0).type)), ("n_a", longs), ("n_b", longs), ("n_groups", longs),
                                     ("groups_sha256", pa.list_(pa.string())), ("first", pa.binary()), ("codes", pa.binary()), ("links", pa.binary()),
-                                    ("link_ends", pa.binary()), ("pairs", longs), ("counts", longs), ("vector", longs)])
+                                    ("link_first", pa.binary()), ("pairs", longs), ("counts", longs), ("vector", longs)])
             for lo, data, offsets in slices(batch.column(1), SLICE_BYTES):
                 row = _slice_row(table, number, batch.column(0).slice(lo, len(offsets) - 1), data, offsets, vector)
                 yield _one_row(schema, row)
@@ -217,21 +259,17 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
         row = {k: left.column(k)[0] for k in left.column_names}
         ids = left.column("ids").combine_chunks().flatten()
-        first, codes, links, ends = (np.frombuffer(row[k].as_py(), t) for k, t in
-                                     (("first", "<i8"), ("codes", "<i4"), ("links", "<i8"), ("link_ends", "<i8")))
-        pairs, total = right.column("pair").to_numpy(), right.column("total").to_numpy()
-        order = np.argsort(pairs)
-        pairs, total = pairs[order], total[order]
+        first, codes, links, part = (np.frombuffer(row[k].as_py(), t) for k, t in
+                                     (("first", "<i8"), ("codes", "<i4"), ("links", "<i4"), ("link_first", "<i8")))
         plain = links < 0
         count, top = np.zeros(len(links), np.int64), np.zeros(len(links), bool)
         a = -1 - links[plain]
         count[plain], top[plain] = identity[a], is_best[a]
-        if len(pairs):
-            odd = links[~plain]
-            place = np.minimum(np.searchsorted(pairs, odd), len(pairs) - 1)
-            found = np.where(pairs[place] == odd, total[place], 0)  # 0: in no document that has tokens
-            count[~plain], top[~plain] = found, found == best[odd % _B]
-        part = np.concatenate([[0], ends])
+        # the slice's own pairs, in the order of their numbers in it
+        pairs, total = right.column("pair").to_numpy(), right.column("total").to_numpy()
+        order = np.argsort(pairs)
+        pairs, total = pairs[order], total[order]
+        count[~plain], top[~plain] = total[links[~plain]], (total == best[pairs % _B])[links[~plain]]
         size, n = np.diff(part), len(first) - 1
         out = [sums(x[codes], first) for x in (size, sums(top.astype(np.int64), part), sums(count, part))]
         return pa.table([ids, *[left.column(k).combine_chunks().flatten() for k in ("n_a", "n_b", "n_groups")],

@@ -147,8 +147,10 @@ def part_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
             if first is not None:
                 wide &= three == first
             solid[high[wide]] = False
-    begins = offsets[:-1][offsets[1:] > offsets[:-1]]
-    starts = np.union1d(at[solid], begins)
+    begins = np.zeros(len(data), bool)
+    begins[at[solid]] = True
+    begins[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
+    starts = np.flatnonzero(begins)
     return starts, np.searchsorted(starts, offsets)
 
 
@@ -160,9 +162,3 @@ def dictionary(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[b
     column = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data)])
     coded = column.dictionary_encode()
     return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
-
-
-def spread(lengths: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """begins[i], begins[i] + 1, ... (lengths[i] of them) for each i, one after the other."""
-    total = np.cumsum(lengths)
-    return np.arange(int(total[-1]) if len(total) else 0) - np.repeat(total - lengths - begins, lengths)
