@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import alignment, decontaminate, hosts, langid, packing, prefix_counts, resample, simhash, substrings, suffixes, weighted_sampling
+from stellate.llm import alignment, decontaminate, hosts, langid, packing, prefix_counts, quality_rules, resample, simhash, substrings, suffixes, weighted_sampling
 from stellate.sources.tables import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,50 @@ def op13_cross_tokenizer_alignment(spark, sf_dir):
     found, _ = alignment.align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
                                public_tokenizers.path("piece_bpe_32k.model"))
     return found
+
+
+def _op12_sql() -> str:
+    """Counts, sketches of the three levels, cutoffs and verdicts of ``quality_rules`` with its parameters."""
+    rules = quality_rules
+    parts = {"word_length": ("word_chars", "n_words"), "symbol_rate": ("n_symbols", "n_words"),
+             "dup_line_rate": ("n_dup_lines", "n_lines"), "repeat_rate": ("n_repeat_words", "n_words")}
+    ratios = ", ".join(f"CASE WHEN {w} > 0 THEN {rules.SCALE} * {p} // {w} END AS {m}" for m, (p, w) in parts.items())
+    size = f"greatest(length(bin(v)) - {rules.BITS}, 0)"
+    highs = ", ".join(f"max(CASE WHEN metric = '{m}' THEN q90 + {rules.REACH} * greatest(q90 - q50, {t}) END) AS {m}_high"
+                      for m, t in rules.TOLERANCE.items())
+    lows = ", ".join(f"max(CASE WHEN metric = '{m}' THEN greatest(q10 - {rules.REACH} * greatest(q50 - q10, {rules.TOLERANCE[m]}), 0) END) AS {m}_low"
+                     for m in rules.TWO_SIDED)
+    names = [f"{m}_high" for m in rules.TOLERANCE] + [f"{m}_low" for m in rules.TWO_SIDED]
+    quantiles = ", ".join(f"min(CASE WHEN 100 * upto >= {q} * total THEN bucket END) AS q{q}" for q in (10, 50, 90))
+    levels = "".join(f"""
+{level}q AS (SELECT {keys}metric, max(total) AS docs, {quantiles} FROM (SELECT {keys}metric, bucket, sum(count(*)) OVER (PARTITION BY {keys}metric ORDER BY bucket) AS upto,
+  sum(count(*)) OVER (PARTITION BY {keys}metric) AS total FROM v GROUP BY {keys}metric, bucket) GROUP BY {keys}metric),
+{level} AS (SELECT {keys}max(docs) AS docs, {highs}, {lows} FROM {level}q{" GROUP BY " + keys.rstrip(", ") if keys else ""}),"""
+                     for level, keys in (("src", "lang, source, "), ("lng", "lang, "), ("every", "")))
+    use = ", ".join(f"CASE WHEN src.docs >= {rules.LEAST} THEN src.{n} WHEN lng.docs >= {rules.LEAST} THEN lng.{n} ELSE every.{n} END AS {n}" for n in names)
+    broken = " OR ".join([f"coalesce({m} > {m}_high, false)" for m in rules.TOLERANCE] + [f"coalesce({m} < {m}_low, false)" for m in rules.TWO_SIDED])
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lines AS (SELECT r, line, count(*) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r, line),
+lc AS (SELECT r, CAST(sum(n) AS BIGINT) AS n_lines, CAST(sum(n - 1) AS BIGINT) AS n_dup_lines FROM lines GROUP BY r),
+win AS (SELECT r, i, count(*) OVER (PARTITION BY r, p) AS n FROM (SELECT r, i, array_to_string(w[i:i + {rules.WINDOW - 1}], ' ') AS p FROM
+  (SELECT r, w, unnest(range(1, len(w) - {rules.WINDOW - 2})) AS i FROM d WHERE len(w) >= {rules.WINDOW}))),
+rc AS (SELECT r, count(DISTINCT pos) AS n_repeat_words FROM (SELECT r, unnest(range(i, i + {rules.WINDOW})) AS pos FROM win WHERE n > 1) GROUP BY r),
+m AS (SELECT r, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+  coalesce(n_lines, 0) AS n_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN lc USING (r) LEFT JOIN rc USING (r)),
+x AS (SELECT *, {ratios}, n_words < {rules.LEAST_WORDS} OR 100 * n_repeat_words > {rules.REPEAT_PERCENT} * n_words AS base_failed FROM m),
+v AS (SELECT lang, source, metric, (v >> {size}) << {size} AS bucket FROM (SELECT lang, source, unnest(['{"', '".join(parts)}']) AS metric,
+  unnest([{", ".join(parts)}]) AS v FROM x WHERE n_words > 0)),{levels}
+cut AS (SELECT src.lang, src.source, {use} FROM src LEFT JOIN lng ON src.lang IS NOT DISTINCT FROM lng.lang, every)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({broken}) AS kept
+FROM x LEFT JOIN cut ON x.lang IS NOT DISTINCT FROM cut.lang AND x.source IS NOT DISTINCT FROM cut.source"""
+
+
+@query(_op12_sql())
+def op12_adaptive_quality_rules(spark, sf_dir):
+    judged = quality_rules.apply_rules(documents(spark, sf_dir))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
