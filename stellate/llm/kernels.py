@@ -113,6 +113,16 @@ def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE)
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def numbered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A number for each stretch of bytes, and the different stretches by number (equal bytes only)."""
+    size = ends - starts
+    edges = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    at = np.arange(int(edges[-1])) + np.repeat(starts - edges[:-1], size)
+    column = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(data[at])])
+    coded = column.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+
 # Kinds of bytes for tokens that tell words from signs: 0 white space, 1 letters, digits and all of
 # non-ASCII, 2 the rest.
 KINDS = np.full(256, 2, np.int8)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stellate.llm.kernels import slices, words
+from stellate.llm.kernels import numbered, slices, words
 from stellate.llm.staging import stage
 
 # Fixed values of the base rules.
@@ -51,15 +51,6 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
 
 
-def _numbered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A number for each stretch of bytes: equal bytes, equal number."""
-    size = ends - starts
-    edges = np.concatenate([[0], np.cumsum(size)])
-    at = np.arange(int(edges[-1])) + np.repeat(starts - edges[:-1], size)
-    column = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(data[at])])
-    return column.dictionary_encode().indices.to_numpy().astype(np.int64)
-
-
 def _paired(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """A dense number for each pair of numbers."""
     key = left * (int(right.max()) + 1 if len(right) else 1) + right
@@ -88,13 +79,13 @@ def counts(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     worded = np.searchsorted(starts, stops) > np.searchsorted(starts, begins)
     begins, stops = begins[worded], stops[worded]
     of = np.searchsorted(offsets, begins, "right") - 1
-    key = _paired(of, _numbered(data, begins, stops))
+    key = _paired(of, numbered(data, begins, stops)[0])
     again = np.ones(len(key), bool)
     again[np.unique(key, return_index=True)[1]] = False
     # windows of words: numbers of 2, 4 and 5 words, within the text
     repeated = np.zeros(len(starts), bool)
     if len(starts) >= WINDOW:
-        one = _paired(doc, _numbered(data, starts, ends))
+        one = _paired(doc, numbered(data, starts, ends)[0])
         two = _paired(one[:-1], one[1:])
         four = _paired(two[:-2], two[2:])
         five = _paired(four[:-1], one[4:])

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stellate.llm import alignment, decontaminate, hosts, langid, packing, prefix_counts, quality_rules, resample, simhash, substrings, suffixes, weighted_sampling
+from stellate.llm import alignment, decontaminate, hosts, langid, lexical, packing, prefix_counts, quality_rules, resample, simhash, substrings, suffixes, weighted_sampling
 from stellate.sources.tables import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -228,3 +228,22 @@ FROM x LEFT JOIN cut ON x.lang IS NOT DISTINCT FROM cut.lang AND x.source IS NOT
 def op12_adaptive_quality_rules(spark, sf_dir):
     judged = quality_rules.apply_rules(documents(spark, sf_dir))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_OP11_TERMS = r"regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_OP11_SQL = f"""
+WITH b AS (SELECT row_number() OVER () AS q, item_id, {_OP11_TERMS} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+qt AS (SELECT DISTINCT q, item_id, unnest(w) AS term FROM b),
+d AS (SELECT * FROM (SELECT row_number() OVER () AS r, doc_id, {_OP11_TERMS} AS w FROM documents) WHERE len(w) > 0),
+s AS (SELECT count(*) AS big_n, CAST(sum(len(w)) AS BIGINT) AS big_l FROM d),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM qt) GROUP BY r, term),
+t AS (SELECT term, CAST(floor(1000 * ln((2.0 * big_n + 2) / (2.0 * count(*) + 1))) AS BIGINT) AS weight FROM p, s GROUP BY term, big_n),
+sc AS (SELECT q, item_id, r, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * len(w) * big_n) // big_l)))) AS BIGINT) AS score
+  FROM qt JOIN p USING (term) JOIN t USING (term) JOIN d USING (r), s GROUP BY q, item_id, r),
+k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM sc JOIN d USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10"""
+
+
+@query(_OP11_SQL)
+def op11_stratified_search(spark, sf_dir):
+    return lexical.search(documents(spark, sf_dir), load_table(spark, sf_dir, "benchmark"))
