@@ -11,8 +11,8 @@ each neighbouring pair is also a neighbouring pair of the benchmark, at least as
 phrase. That leaves every occurrence in place, and the index small where texts are clean.
 
 Scale: one pass over the documents, no shuffle. The benchmark is broadcast in blocks of at most
-``BLOCK_BYTES`` of text, one after the other if it is larger; each block's spans join those found
-before. A task holds one group of texts (or one long text) and its index.
+``BLOCK_BYTES`` of text (its phrases are about 20 times that), one after the other if it is larger; rows are staged
+between blocks, and each block's spans join those found before. A task holds one group of texts (or one long text) and its index.
 
 Words: A-Z lower-cased, then runs of bytes other than 0x00-0x2F, 0x3A-0x60, 0x7B-0x7F. Defined
 results: null and empty texts have no words and are clean; items without words have no phrase;
@@ -27,14 +27,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.kernels import LOWER_VALUES, runs, slices, word_hashes, words
+from stellate.llm.kernels import LOWER_VALUES, runs, slices, spread, word_hashes, words
+from stellate.llm.staging import stage
 
 WINDOW = 13
-BLOCK_BYTES = 1 << 25
+BLOCK_BYTES = 1 << 23
 # A text is contaminated if at least one word in SHARE is covered.
 SHARE = 20
 SHARD_BYTES = 1 << 22
 SAMPLE = 8
+# Names of the columns that carry the text and the findings beside a row's own columns.
+TEXT, FOUND = "__decontaminate_text", "__decontaminate_found"
 
 SEPARATORS = np.zeros(256, bool)
 SEPARATORS[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
@@ -49,27 +52,40 @@ class Phrases:
         offsets[-1] = len(data)
         starts, ends, first = words(data, offsets, SEPARATORS)
         self.vocabulary, ids = np.unique(word_hashes(data, starts, ends, LOWER_VALUES), return_inverse=True)
-        ids = ids + 1
+        ids = (ids + 1).astype(np.int32)
         self.sigma = len(self.vocabulary)
         self.seen = np.zeros(1 << 22, bool)
         self.seen[self.vocabulary >> np.uint64(42)] = True
-        found: dict[tuple[int, ...], set[str]] = {}
-        pairs = []
-        for (name, _), lo, hi in zip(items, first[:-1], first[1:]):
-            if lo == hi:
-                continue
-            w = ids[lo:hi].tolist()
-            pairs.append(ids[lo:hi - 1] * (self.sigma + 1) + ids[lo + 1:hi])
-            for i in range(max(len(w) - window, 0) + 1):
-                found.setdefault(tuple(w[i:i + window]), set()).add(name)
-        self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
-        self.items = [sorted(v) for v in found.values()]
-        self.size = np.array([len(p) for p in found], np.int64)
-        self.least = int(self.size.min()) if found else 0
-        # phrases as columns of words, the last word first
-        self.back = np.zeros((window, len(found)), np.int64)
-        for i, p in enumerate(found):
-            self.back[:len(p), i] = p[::-1]
+        pair = ids[:-1].astype(np.int64) * (self.sigma + 1) + ids[1:]
+        self.pairs = np.unique(np.delete(pair, first[1:-1][(first[1:-1] > 0) & (first[1:-1] < len(ids))] - 1))
+        # windows as rows of word numbers, the last word first, zeros after a short item's words
+        size = np.minimum(np.diff(first), window)
+        count = np.where(size > 0, np.diff(first) - size + 1, 0)
+        owner = np.repeat(np.arange(len(items)), count)
+        start, length = spread(count, first[:-1]), size[owner]
+        rows = np.zeros((len(start), window), np.int32)
+        for k in range(window):
+            here = length > k
+            rows[here, k] = ids[(start + length - 1 - k)[here]]
+        if len(rows):
+            _, at, phrase = np.unique(rows.view(np.dtype((np.void, rows.itemsize * window))).ravel(), return_index=True, return_inverse=True)
+            rows = rows[at]
+        else:
+            phrase = np.zeros(0, np.int64)
+        self.back = np.ascontiguousarray(rows.T)
+        self.size = (rows > 0).sum(1)
+        self.least = int(self.size.min()) if len(rows) else 0
+        # the items of each phrase, by name
+        self.names, name = np.unique(np.array([n for n, _ in items], object), return_inverse=True)
+        owners = np.unique(phrase * max(len(self.names), 1) + name[owner])
+        self.owners = (owners % max(len(self.names), 1)).astype(np.int32)
+        self.owned = np.searchsorted(owners // max(len(self.names), 1), np.arange(len(rows) + 1))
+
+    def items(self, phrases: np.ndarray) -> list[str]:
+        """The names of the items that hold any of these phrases, sorted."""
+        phrases = np.unique(phrases)
+        found = self.owners[spread(self.owned[phrases + 1] - self.owned[phrases], self.owned[phrases])]
+        return self.names[np.unique(found)].tolist()
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Dense number of each word, 0 if it is not in the benchmark."""
@@ -223,38 +239,50 @@ def _merged(lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
 
 
 _SPAN = pa.struct([("first_word", pa.int64()), ("end_word", pa.int64()), ("first_byte", pa.int64()), ("end_byte", pa.int64())])
-_FOUND = "n_words long, items array<string>, spans array<struct<first_word:long,end_word:long,first_byte:long,end_byte:long>>"
-
-
-def _pass(rows: DataFrame, phrases: Phrases, id_type: str, again: bool) -> DataFrame:
-    """Add one block's findings; ``again``: rows already carry those of earlier blocks."""
+_FOUND = ("struct<n_words:long,items:array<string>,spans:array<struct<first_word:long,end_word:long,first_byte:long,end_byte:long>>>")
+
+
+def _findings(texts: pa.Array, old: pa.Array | None, phrases: Phrases) -> pa.Array:
+    """n_words, items and spans of each text, with those of ``old`` (earlier blocks)."""
+    counts, items, full = [np.zeros(0, np.int64)], [], []
+    for row, data, offsets in slices(texts, SHARD_BYTES):
+        n = len(offsets) - 1
+        count, doc, lo, hi, phrase, starts, ends, first = find(phrases, data, offsets)
+        names, spans = [[] for _ in range(n)], [[] for _ in range(n)]
+        order = np.argsort(doc, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(doc[order])) + 1) if len(order) else ():
+            d = int(doc[part[0]])
+            names[d] = phrases.items(phrase[part])
+            spans[d] = _merged(lo[part] - first[d], hi[part] - first[d])
+        if old is not None:
+            for d, was in enumerate(old.slice(row, n).to_pylist()):
+                names[d] = sorted({*names[d], *was["items"]})
+                both = spans[d] + [(s["first_word"], s["end_word"]) for s in was["spans"]]
+                spans[d] = _merged(np.array([s for s, _ in both], np.int64), np.array([e for _, e in both], np.int64))
+        counts.append(count)
+        items += names
+        full += [[(s, e, int(starts[first[d] + s] - offsets[d]), int(ends[first[d] + e - 1] - offsets[d])) for s, e in v]
+                 for d, v in enumerate(spans)]
+    return pa.StructArray.from_arrays([pa.array(np.concatenate(counts), pa.int64()), pa.array(items, pa.list_(pa.string())),
+                                       pa.array(full, pa.list_(_SPAN))], ["n_words", "items", "spans"])
+
+
+def _marked(rows: DataFrame, phrases: Phrases, again: bool) -> DataFrame:
+    """``rows`` with one block's findings; ``again``: they already carry those of earlier blocks. Only texts go to
+    Python, and only findings come back."""
     shared = rows.sparkSession.sparkContext.broadcast(phrases)
+    text = F.col(TEXT).cast("binary")
+    if again:
+        @F.arrow_udf(_FOUND)
+        def mark(texts: pa.Array, old: pa.Array) -> pa.Array:
+            return _findings(texts, old, shared.value)
+        return rows.withColumn(FOUND, mark.asNondeterministic()(text, F.col(FOUND)))
 
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(1)
-            for row, data, offsets in slices(texts, SHARD_BYTES):
-                n = len(offsets) - 1
-                count, doc, lo, hi, phrase, starts, ends, first = find(shared.value, data, offsets)
-                items, spans = [[] for _ in range(n)], [[] for _ in range(n)]
-                order = np.argsort(doc, kind="stable")
-                for part in np.split(order, np.flatnonzero(np.diff(doc[order])) + 1) if len(order) else ():
-                    d = int(doc[part[0]])
-                    items[d] = sorted({i for p in np.unique(phrase[part]) for i in shared.value.items[p]})
-                    spans[d] = _merged(lo[part] - first[d], hi[part] - first[d])
-                if again:
-                    for d, (old_items, old) in enumerate(zip(batch.column(3).slice(row, n).to_pylist(), batch.column(4).slice(row, n).to_pylist())):
-                        items[d] = sorted({*items[d], *old_items})
-                        both = spans[d] + [(s["first_word"], s["end_word"]) for s in old]
-                        spans[d] = _merged(np.array([s for s, _ in both], np.int64), np.array([e for _, e in both], np.int64))
-                full = [[(s, e, int(starts[first[d] + s] - offsets[d]), int(ends[first[d] + e - 1] - offsets[d])) for s, e in v]
-                        for d, v in enumerate(spans)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, n), texts.slice(row, n), pa.array(count, pa.int64()),
-                     pa.array(items, pa.list_(pa.string())), pa.array(full, pa.list_(_SPAN))],
-                    ["id", "text", "n_words", "items", "spans"])
-
-    return rows.mapInArrow(run, f"id {id_type}, text binary, {_FOUND}")
+    @F.arrow_udf(_FOUND)
+    def mark_first(texts: pa.Array) -> pa.Array:
+        return _findings(texts, None, shared.value)
+    # not to be evaluated once for a filter and again for its rows
+    return rows.withColumn(FOUND, mark_first.asNondeterministic()(text))
 
 
 def benchmark_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text",
@@ -269,20 +297,27 @@ def benchmark_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col:
         yield [(r["item"], bytes(r["text"])) for r in part.collect()]
 
 
+def _all_blocks(rows: DataFrame, benchmark: DataFrame, window: int, block_bytes: int) -> DataFrame:
+    """``rows`` (with a column TEXT) and the findings of all blocks, staged between blocks so that one block's
+    phrases are broadcast at a time."""
+    again = False
+    for items in benchmark_blocks(benchmark, block_bytes=block_bytes):
+        rows = _marked(stage(rows, "decontaminated") if again else rows, Phrases(items, window), again)
+        again = True
+    return rows if again else _marked(rows, Phrases([], window), False)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """id, n_words, n_hit (covered words), items (sorted ids of items with occurring windows), spans
     (merged, in words and bytes of the text), contaminated."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    id_type = rows.schema["id"].dataType.simpleString()
-    again = False
-    for items in benchmark_blocks(benchmark, block_bytes=block_bytes):
-        rows, again = _pass(rows, Phrases(items, window), id_type, again), True
-    if not again:
-        rows = _pass(rows, Phrases([], window), id_type, False)
-    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end_word"] - x["first_word"])
-    return rows.select(F.col("id").alias(id_col), "n_words", hit.alias("n_hit"), "items", "spans",
-                       contaminated(F.col("n_words"), hit).alias("contaminated"))
+    rows = _all_blocks(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias(TEXT)), benchmark, window, block_bytes)
+    return rows.select(F.col("id").alias(id_col), f"{FOUND}.n_words", n_hit().alias("n_hit"), f"{FOUND}.items", f"{FOUND}.spans",
+                       contaminated(F.col(f"{FOUND}.n_words"), n_hit()).alias("contaminated"))
+
+
+def n_hit() -> Column:
+    return F.aggregate(f"{FOUND}.spans", F.lit(0).cast("long"), lambda s, x: s + x["end_word"] - x["first_word"])
 
 
 def contaminated(n_words: Column, n_hit: Column) -> Column:
@@ -290,6 +325,6 @@ def contaminated(n_words: Column, n_hit: Column) -> Column:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all their columns, that are not contaminated."""
-    held = docs.select(F.struct("*").alias("row"), "text")
-    return decontaminate(held, benchmark, "row", "text").where(~F.col("contaminated")).select("row.*")
+    """The rows of ``docs``, all their columns, that are not contaminated. Rows stay in the JVM."""
+    rows = _all_blocks(docs.withColumn(TEXT, F.col("text")), benchmark, WINDOW, BLOCK_BYTES)
+    return rows.where(~contaminated(F.col(f"{FOUND}.n_words"), n_hit())).drop(TEXT, FOUND)

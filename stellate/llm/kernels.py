@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 # Texts are worked on in groups of about so many bytes (a longer text is a group of its own).
 SLICE_BYTES = 1 << 20
@@ -113,12 +114,17 @@ def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE)
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def spread(lengths: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """begins[i], begins[i] + 1, ... (lengths[i] of them) for each i, one after the other."""
+    total = np.cumsum(lengths)
+    return np.arange(int(total[-1]) if len(total) else 0) - np.repeat(total - lengths - begins, lengths)
+
+
 def numbered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """A number for each stretch of bytes, and the different stretches by number (equal bytes only)."""
     size = ends - starts
     edges = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-    at = np.arange(int(edges[-1])) + np.repeat(starts - edges[:-1], size)
-    column = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(data[at])])
+    column = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(data[spread(size, starts)])])
     coded = column.dictionary_encode()
     return coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
@@ -147,19 +153,20 @@ def tokens(data: np.ndarray, offsets: np.ndarray):
 
 
 # Byte values with A-Z and a-z taken as equal.
-LOWER_VALUES = BYTE_VALUES.copy()
-LOWER_VALUES[65:91] = BYTE_VALUES[97:123]
+LOWER_VALUES = np.arange(256, dtype=np.uint8)
+LOWER_VALUES[65:91] += 32
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
-    """Rabin-Karp hash of each word, a stretch of bytes at a time."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray | None = None) -> np.ndarray:
+    """XXH3 hash of each word, its bytes taken through ``values`` if given. (A polynomial modulo 2^64 would give
+    equal hashes to long words made of two letters in the Thue-Morse order and its complement.)"""
     out = np.empty(len(starts), _U64)
     i = 0
     while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + SLICE_BYTES, "right")))
-        base = starts[i]
-        sums = prefix_sums(values[data[base:ends[j - 1]]])
-        out[i:j] = spans_hash(sums, starts[i:j] - base, ends[i:j] - base)
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + 4 * SLICE_BYTES, "right")))
+        part, base = data[starts[i]:ends[j - 1]], starts[i]
+        codes, different = numbered(part if values is None else values[part], starts[i:j] - base, ends[i:j] - base)
+        out[i:j] = np.fromiter(map(xxhash.xxh3_64_intdigest, different.to_pylist()), _U64, len(different))[codes]
         i = j
     return out
 

@@ -34,6 +34,8 @@ from stellate.llm.kernels import SLICE_BYTES, slices
 
 ORDER = 3
 ROWS = 400
+# Name of the column that carries the verdict beside a row's own columns.
+JUDGED = "__language"
 MAX_TRAIN_BYTES = 1 << 16
 # Contexts whose probabilities are worked out at a time.
 GROUP = 1 << 12
@@ -234,19 +236,17 @@ def train(docs: DataFrame, rows: int = ROWS, max_bytes: int = MAX_TRAIN_BYTES) -
     return Model(langs, lang, found.column("gram").to_numpy(), found.column("n").to_numpy())
 
 
-def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``bits_per_byte`` (of the language found) beside its own
-    columns, which these three replace where a name clashes; one pass, no join."""
+def _judged(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """``docs`` with a struct JUDGED of lang_pred, score, bits_per_byte. Only texts go to Python."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [] if model is None else model.langs
 
-    @F.pandas_udf("struct<lang_pred string, score double, bits_per_byte double>")
-    def judge(texts: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("struct<lang_pred:string,score:double,bits_per_byte:double>")
+    def judge(texts: pa.Array) -> pa.Array:
         m = shared.value
-        column = pa.array(texts, pa.binary(), from_pandas=True)
-        n = len(column)
+        n = len(texts)
         pred, score, rate = np.full(n, len(names), np.int64), np.zeros(n), np.zeros(n)
-        for lo, data, offsets in slices(column) if m is not None else ():
+        for lo, data, offsets in slices(texts) if m is not None else ():
             bits = m.lengths(data, offsets)
             best = bits.argmin(1)
             low = bits[np.arange(len(best)), best]
@@ -255,10 +255,18 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
             pred[at] = np.where(ok, best, len(names))
             score[at] = np.where(ok, share, 0.0)
             rate[at] = np.where(ok, low / np.maximum(np.diff(offsets), 1), 0.0)
-        return pd.DataFrame({"lang_pred": np.array([*names, "und"], object)[pred], "score": score, "bits_per_byte": rate})
+        lang = pa.array([*names, "und"], pa.string()).take(pa.array(pred))
+        return pa.StructArray.from_arrays([lang, pa.array(score), pa.array(rate)], ["lang_pred", "score", "bits_per_byte"])
+
+    # not to be evaluated once for a filter and again for its rows
+    return docs.withColumn(JUDGED, judge.asNondeterministic()(F.col(text_col).cast("binary")))
 
-    judged = docs.withColumn("__judged", judge(F.col(text_col).cast("binary")))
-    return judged.withColumns({c: F.col(f"__judged.{c}") for c in ("lang_pred", "score", "bits_per_byte")}).drop("__judged")
+
+def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score`` and ``bits_per_byte`` (of the language found) beside its own
+    columns, which these three replace where a name clashes; one pass, no join."""
+    judged = _judged(docs, model, text_col)
+    return judged.withColumns({c: F.col(f"{JUDGED}.{c}") for c in ("lang_pred", "score", "bits_per_byte")}).drop(JUDGED)
 
 
 _ASCII_LETTER = np.zeros(256, bool)
@@ -281,10 +289,10 @@ def identify(docs: DataFrame, rows: int = ROWS, max_bytes: int = MAX_TRAIN_BYTES
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all their columns, whose language is identified.
+    """The rows of ``docs``, all their columns, whose language is identified; a null ``lang`` is filled with it.
 
     Rejected is only what the operator calls ``und``: texts without a letter, and all if nothing can be learned.
     Short texts that several languages explain about as well stay.
     """
-    held = docs.select(F.struct("*").alias("row"), "text")
-    return predict(held, train(docs)).where(F.col("lang_pred") != "und").select("row.*")
+    judged = _judged(docs, train(docs)).where(F.col(f"{JUDGED}.lang_pred") != "und")
+    return judged.withColumn("lang", F.coalesce("lang", f"{JUDGED}.lang_pred")).drop(JUDGED)

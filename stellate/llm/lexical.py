@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stellate.llm.kernels import numbered, slices, words
+from stellate.llm.kernels import LOWER_VALUES, numbered, slices, spread, words
 from stellate.llm.staging import stage
 
 TOP = 10
@@ -46,15 +46,13 @@ CELLS = 1 << 21
 
 SEPARATORS = np.zeros(256, bool)
 SEPARATORS[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 _RUNS = ("terms", "term_first", "tfs", "run_first", "places")
 
 
 def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(first term of each text and the end, numbers of the terms, different terms by number)."""
     starts, ends, first = words(data, offsets, SEPARATORS)
-    return first, *numbered(_LOWER[data], starts, ends)
+    return first, *numbered(LOWER_VALUES[data], starts, ends)
 
 
 class Items:
@@ -73,13 +71,7 @@ class Items:
     def askers(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in ``asked``, item) of every item that asks for one of these terms."""
         size = self.first[asked + 1] - self.first[asked]
-        return np.repeat(np.arange(len(asked)), size), self.items[_spread(size, self.first[asked])]
-
-
-def _spread(lengths: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """begins[i], begins[i] + 1, ... (lengths[i] of them) for each i, one after the other."""
-    total = np.cumsum(lengths)
-    return np.arange(int(total[-1]) if len(total) else 0) - np.repeat(total - lengths - begins, lengths)
+        return np.repeat(np.arange(len(asked)), size), self.items[spread(size, self.first[asked])]
 
 
 def _added(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -235,7 +227,7 @@ def score_block(items: Items, m: int, columns: list[np.ndarray], n_docs: int, li
         i = 0
         while i < len(term):
             j = max(i + 1, int(np.searchsorted(edges, edges[i] + CELLS, "right")) - 1)
-            posting = _spread(size[i:j], posting_first[term[i:j]])
+            posting = spread(size[i:j], posting_first[term[i:j]])
             scores += _added(np.repeat(who[i:j] * n_docs, size[i:j]) + places[posting], impact[posting], len(scores))
             i = j
         scores = scores.reshape(len(some), n_docs)

@@ -5,22 +5,24 @@ of ``max_length`` as fit, then one piece for each set bit of the rest, longest f
 sequence of its own, so no sequence crosses documents and none is padded: its length is a power of
 two, and the pieces of one length form one bucket, from which a trainer draws whole batches.
 
-One pass over the rows, no shuffle: memory is bounded by one Arrow batch. Defined results: a null or
+One pass over the rows, no shuffle: memory is bounded by one Arrow batch and a slice of ``SLICE_BYTES`` of text. Defined results: a null or
 empty text is the end id alone (one piece of length 1); repeated rows and ties give their own
 pieces; an empty table gives no piece; other columns are not looked at.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stellate.llm.kernels import slices
 from stellate.llm.vocab import piece_ids
 
 MAX_LENGTH = 2048
 END_ID = 1
-FLUSH_BYTES = 1 << 24
+SLICE_BYTES = 1 << 22
 
 
 def cuts(n: int, max_length: int = MAX_LENGTH) -> list[tuple[int, int]]:
@@ -46,29 +48,26 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     """
     if max_length < 1 or max_length & (max_length - 1):
         raise ValueError("max_length must be a power of two")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    end = end_id.to_bytes(4, "little")
 
     def run(batches):
         table = piece_ids(tokenizer_path)
         for batch in batches:
-            id_type_pa = batch.schema.field("id").type
-            out, size = ([], [], [], [], []), 0
-            for lo in range(0, batch.num_rows, 128):
-                part = batch.slice(lo, 128)
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = table.ids(text) + end if text else end
-                    n = len(ids) >> 2
-                    for start, length in cuts(n, max_length):
-                        for col, v in zip(out, (key, start, length, ids[4 * start:4 * (start + length)], n)):
-                            col.append(v)
-                    size += len(ids)
-                if size >= FLUSH_BYTES:
-                    yield _piece_batch(out, id_type_pa)
-                    out, size = ([], [], [], [], []), 0
-            if out[0]:
-                yield _piece_batch(out, id_type_pa)
+            for lo, data, offsets in slices(batch.column(1), SLICE_BYTES):
+                ids, first = table.ids(data, offsets)
+                ids = np.insert(ids, first[1:], end_id)
+                n = np.diff(first) + 1
+                places = [cuts(x, max_length) for x in n.tolist()]
+                doc = np.repeat(np.arange(len(n)), [len(x) for x in places])
+                start, length = np.array([x for p in places for x in p], np.int64).reshape(-1, 2).T
+                # pieces follow each other as their ids do
+                edges = np.concatenate([[0], np.cumsum(4 * length)])
+                column = pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(edges), pa.py_buffer(ids.astype("<u4"))])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, len(n)).take(pa.array(doc)), pa.array(np.ascontiguousarray(start)),
+                     pa.array(np.ascontiguousarray(length)), column.cast(pa.binary()), pa.array(n[doc])],
+                    ["id", "start", "length", "ids", "doc_tokens"])
 
     pieces = rows.mapInArrow(run, f"id {id_type}, start long, length long, ids binary, doc_tokens long")
     return pieces.select(F.col("id").alias(id_col), "start", "length", "ids", "doc_tokens",
@@ -76,12 +75,6 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                          F.lit(0).cast("long").alias("offset"))
 
 
-def _piece_batch(cols, id_type) -> pa.RecordBatch:
-    types = (id_type, pa.int64(), pa.int64(), pa.binary(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                      ["id", "start", "length", "ids", "doc_tokens"])
-
-
 def write_buckets(pieces: DataFrame, path: str) -> None:
     """Write the packed pieces with one folder per length."""
     pieces.write.mode("overwrite").partitionBy("length").parquet(path)

@@ -1,9 +1,9 @@
 """Tokenizer files turned into lookups that a task fills as it meets words.
 
-A BPE tokenizer never merges across its pre-token pieces, so a text's ids are the pieces' ids one after
-the other and a piece needs to be encoded once per task process. Texts of ASCII and Latin-1 letters are
-cut at spaces, the parts between them (looked up whole) by one compiled pattern; any other text (other
-scripts, combining marks, control characters, special strings) is left to the tokenizer library.
+A BPE tokenizer never merges across its pre-token pieces, so a text's ids are the ids of its parts (see
+``part_starts``) one after the other, and a batch of texts needs a lookup per different part. Parts of ASCII and
+Latin-1 letters are cut into pieces by one compiled pattern; any other part (other scripts, combining marks,
+control characters, special strings) is left to the tokenizer library.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
+from stellate.llm.kernels import spread
+
 # Entries of a lookup (see ``Lookup``).
 CACHE_PIECES = 1 << 18
 # Longer pieces are not kept.
@@ -28,9 +30,6 @@ _P = r"!-/:-@\[-`{-~"
 _BYTE_BPE = re.compile(rf" ?[{_L}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[{_P}]+|[{_S}]+(?![^{_S}])|[{_S}]+|[^{_S}]")
 _WORD_BPE = re.compile(rf"[{_L}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[{_P}]+|[{_S}]+|[^{_S}]")
 _USUAL = re.compile(rf"[{_S} -~{_L}]*")
-# A space beside other white space does not part a text the way single spaces do.
-_WIDE = tuple(x for c in _S for x in {" " + c, c + " "})
-
 
 class Unusual(Exception):
     """A text that only the library can cut."""
@@ -80,14 +79,13 @@ def tokenizer(path: str) -> Tokenizer:
 
 
 class PieceIds:
-    """Ids of texts as little-endian unsigned 32-bit bytes (byte-level vocabulary)."""
+    """Ids of texts (byte-level vocabulary)."""
 
     def __init__(self, path: str):
         self.tok = tokenizer(path)
         self.letters = byte_letters()
         self.pieces = Lookup(self.piece)
-        # a part of a text and the space before it
-        self.parts = Lookup(lambda part: self.cut(" " + part))
+        self.parts = Lookup(self.part)
 
     def piece(self, piece: str) -> bytes:
         if not usual(piece):
@@ -95,22 +93,25 @@ class PieceIds:
         found = self.tok.model.tokenize("".join([self.letters[b] for b in piece.encode()]))
         return b"".join([t.id.to_bytes(4, "little") for t in found])
 
-    def cut(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, _BYTE_BPE.findall(text)))
-
-    def ids(self, text: str) -> bytes:
+    def part(self, part: bytes) -> bytes:
+        """Ids of a part of a text as little-endian unsigned 32-bit bytes."""
+        text = part.decode()
         try:
-            if any(w in text for w in _WIDE):
-                return self.cut(text)
-            first, *rest = text.split(" ")
-            return self.cut(first) + b"".join(map(self.parts.__getitem__, rest))
+            return b"".join(map(self.pieces.__getitem__, _BYTE_BPE.findall(text)))
         except Unusual:
-            return encoded(self.tok, text)
-
-
-def encoded(tok: Tokenizer, text: str) -> bytes:
-    ids = tok.encode(text, add_special_tokens=False).ids
-    return b"".join([i.to_bytes(4, "little") for i in ids])
+            return b"".join([i.to_bytes(4, "little") for i in self.tok.encode(text, add_special_tokens=False).ids])
+
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of consecutive texts one after the other, and each text's first id and the end. Different
+        parts are looked up once."""
+        starts, first = part_starts(data, offsets)
+        codes, keys = dictionary(data, starts)
+        found = [self.parts[k] for k in keys]
+        size = np.array([len(x) for x in found], np.int64) >> 2
+        pool = np.frombuffer(b"".join(found), "<u4")
+        lengths = size[codes]
+        ids = pool[spread(lengths, (np.cumsum(size) - size)[codes])]
+        return ids, np.concatenate([[0], np.cumsum(lengths)])[first]
 
 
 @lru_cache(maxsize=8)

@@ -80,3 +80,27 @@ def test_suffix_array_is_sorted():
     s = np.append(rng.integers(1, 3, 200), 0)
     want = sorted(range(len(s)), key=lambda i: s[i:].tolist())
     assert D.suffix_array(s).tolist() == want
+
+
+def thue_morse(n):
+    """A word of the letters a, b in the Thue-Morse order, and its complement."""
+    word = "".join("ab"[i.bit_count() & 1] for i in range(n))
+    return word, word.translate({97: 98, 98: 97})
+
+
+def test_words_that_a_polynomial_hash_takes_as_equal(spark):
+    one, other = thue_morse(4096)
+    rest = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, f"{one} {rest}"), (2, f"{other} {rest}")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, f"{one} {rest}")], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.contaminated) for r in D.decontaminate(docs, bench).collect()}
+    assert got == {1: (13, True), 2: (0, False)}
+
+
+def test_rows_keep_their_columns_over_many_blocks(spark, edge_docs, edge_rows):
+    items = [(i, " ".join(split(edge_rows[k][1])[:30])) for i, k in enumerate((0, 4, 7))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    kept = D.keep_clean(edge_docs, bench)
+    assert kept.columns == edge_docs.columns
+    dirty = {str(r.doc_id) for r in D.decontaminate(edge_docs, bench, block_bytes=100).where("contaminated").collect()}
+    assert dirty and {str(r.doc_id) for r in kept.collect()} == {str(r[0]) for r in edge_rows} - dirty

@@ -69,3 +69,15 @@ def test_buckets_round_trip(spark, documents, tmp_path):
     packing.write_buckets(pieces, str(tmp_path / "b"))
     back = spark.read.parquet(str(tmp_path / "b"))
     assert back.count() == pieces.count() and back.where("length(ids) <> 4 * length").count() == 0
+
+
+def test_hard_texts(spark):
+    """Parts cut at spaces keep the library's ids: white space of all kinds, other scripts, special strings."""
+    texts = ["a ", " a", "a  b", "a b  c ", "x　 y", "<|endoftext|> a <|endoftext|>", "a<|endoftext|> b", "日本 語 テ", "é́ e x", "\n a\n b", " ", "don't 've  's",
+             "x\x85 y", "x  y", "tab\t \tx", "a\x7f b", "\x01 \x02"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = {}
+    for p in packing.pack(df, PATH).collect():
+        got.setdefault(p.doc_id, []).append(p)
+    for i, ids in enumerate(library_ids(texts)):
+        check_pieces(got[i], ids)
