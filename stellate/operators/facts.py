@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stellate.functions import clean as C
+from stellate.operators.asof import as_of_join, hourly
 from stellate.operators.discovery import uniqueness
 
 def _keys(x):
@@ -225,3 +226,25 @@ def page_views(events: DataFrame, gap_minutes: int = 30, **kw) -> DataFrame:
                     (F.col("_seq") - F.col("_s0") + 1).cast("bigint").alias("sequence_in_session"),
                     F.when(same, F.round(nxt, 3)).alias("view_duration_seconds"),
                     "event_type")
+
+
+# ------------------------------------------------------------------ L11
+def event_sessions(events: DataFrame, registration_type: str, gap_minutes: int = 30, user: str = "user_id", ts: str = "ts",
+                   event: str = "event_id", kind: str = "event_type", value: str = "value", bucket=hourly) -> DataFrame:
+    """L11 (sessions): one row per session with its amount, its opening event and the registration it runs under.
+
+    That registration is the user's latest one at or before the session's start (``asof.as_of_join``, so a user with
+    a third of all rows is spread over time buckets); ``session_registration`` is the first one made within the
+    session. Events with a NULL user form sessions too and have no earlier registration.
+    """
+    s = sessionize(events, user=user, ts=ts, tiebreak=event, gap_minutes=gap_minutes, bucket=bucket(F.col(ts)))
+    opening = F.min(F.struct(F.col(ts).alias("ts"), F.col(event).alias("event"), F.col(kind).alias("kind")))
+    sessions = s.groupBy(F.col(user).alias("session_user"), "session_no").agg(
+        opening.alias("_o"), F.max(ts).alias("session_end"), F.sum(F.col(value).cast("decimal(18,4)")).alias("session_amount"),
+        F.min(F.when(F.col(kind) == registration_type, F.col(ts))).alias("session_registration"))
+    sessions = sessions.select("session_user", "session_no", F.col("_o.ts").alias("session_start"), "session_end", F.col("_o.event").alias("opening_event"),
+                               F.col("_o.kind").alias("opening_kind"), "session_amount", "session_registration")
+    made = events.where(F.col(kind) == registration_type).select(
+        F.col(user).alias("registered_user"), F.col(ts).alias("registered_at"), F.col(event).alias("registration_event"))
+    return as_of_join(sessions, made, "session_user", "session_start", "registered_at", ["registered_at", "registration_event"],
+                      "registration_event", bucket, "registered_user")

@@ -756,6 +756,40 @@ _LINE_KEYS_SQL = """dp AS (SELECT p_partkey, ROW_NUMBER() OVER (ORDER BY p_partk
 dco AS (SELECT s_suppkey, ROW_NUMBER() OVER (ORDER BY s_suppkey) AS company_key FROM supplier)"""
 
 
+@register("fact_event_sessions", f"""WITH {_EVENT_KEYS_SQL}, {_SESS_SQL.replace("event_type,", "event_type, value,", 1)},
+de AS (SELECT event_type, ROW_NUMBER() OVER (ORDER BY event_type) AS event_key FROM (SELECT DISTINCT event_type FROM events)),
+se AS (SELECT user_id, session_no, MIN(ts) AS session_start, MAX(ts) AS session_end, arg_min(event_id, (ts, event_id)) AS session_key,
+  arg_min(event_type, (ts, event_id)) AS opening, SUM(CAST(value AS DECIMAL(18,4))) AS session_amount,
+  MIN(CASE WHEN event_type = 'signup' THEN ts END) AS session_registration FROM s GROUP BY user_id, session_no),
+made AS (SELECT user_id, ts AS registered_at, MAX(event_id) AS registration_event FROM events WHERE event_type = 'signup' GROUP BY user_id, ts)
+SELECT CAST(session_amount AS DECIMAL(18,4)) AS session_amount, CAST(NULL AS DECIMAL(18,4)) AS event_distance,
+  CAST(registered_at AS DATE) AS event_registration_date, CAST(session_registration AS DATE) AS session_registration_date,
+  CAST(session_start AS DATE) AS session_start_date, CAST(session_end AS DATE) AS session_end_date,
+  strftime(session_start, '%H:%M:%S') AS session_start_time, strftime(session_end, '%H:%M:%S') AS session_end_time,
+  CAST(session_key AS BIGINT) AS session_key, event_key, CAST(NULL AS BIGINT) AS product_key, CAST(NULL AS BIGINT) AS location_key,
+  individual_key, CAST(NULL AS BIGINT) AS company_key, geography_key, CAST(NULL AS BIGINT) AS event_geography_key,
+  CAST(registration_event AS BIGINT) AS event_registration_key, ROW_NUMBER() OVER (ORDER BY session_key) AS event_sessions_key
+FROM se ASOF LEFT JOIN made ON se.user_id = made.user_id AND se.session_start >= made.registered_at
+LEFT JOIN dig ON se.user_id = c_custkey LEFT JOIN de ON opening = event_type""")
+def fact_event_sessions(spark, sf):
+    """L11 (sessions): one row per session in the 18 columns of the declared target, under the user's latest
+    registration at or before its start; the event key is that of the opening event's kind, the sessions key dense."""
+    e = _t(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    found = Dm.surrogate_key(Fa.event_sessions(e, "signup"), "opening_event", "event_sessions_key")
+    return Fa.load_fact(found, Fa.FactSpec(
+        name="fact_event_sessions",
+        columns={"session_amount": F.col("session_amount").cast("decimal(18,4)"), "event_distance": C.typed_null("decimal(18,4)"),
+                 "event_registration_date": F.to_date("registered_at"), "session_registration_date": F.to_date("session_registration"),
+                 "session_start_date": F.to_date("session_start"), "session_end_date": F.to_date("session_end"),
+                 "session_start_time": F.date_format("session_start", "HH:mm:ss"), "session_end_time": F.date_format("session_end", "HH:mm:ss"),
+                 "session_key": F.col("opening_event").cast("bigint"), "event_key": "event_key", "product_key": C.typed_null("bigint"),
+                 "location_key": C.typed_null("bigint"), "individual_key": "individual_key", "company_key": C.typed_null("bigint"),
+                 "geography_key": "geography_key", "event_geography_key": C.typed_null("bigint"),
+                 "event_registration_key": F.col("registration_event").cast("bigint"), "event_sessions_key": "event_sessions_key"},
+        enrich=((_event_keys(spark, sf), F.col("session_user") == F.col("c_custkey")),),
+        lookups=((Dm.status_dimension(e, ["event_type"], "event_key"), "opening_kind", "event_type", "event_key"),)))
+
+
 @register("fact_sponsorships", f"""WITH {_LINE_KEYS_SQL}
 SELECT CAST(l_quantity AS DECIMAL(18,4)) AS sponsorship_quanity, CAST(l_extendedprice AS DECIMAL(18,4)) AS sponsorship_amount,
   CAST(l_shipdate AS DATE) AS sponsorship_purchase_date, CAST(l_shipdate AS DATE) AS sponsorship_start_date,
