@@ -243,22 +243,6 @@ def infer_primary_keys(profile: DataFrame) -> DataFrame:
             .select("table_name", "column_name", keyish.alias("key_like_name")))
 
 
-def infer_composite_keys(df: DataFrame, table_name: str) -> DataFrame:
-    """K2 for tables without a single-column key: the first pair of key-like columns (names ending in id,
-    key, num or number, in column order) that is unique and null-free: (table_name, columns)."""
-    names = [f.name for f in df.schema.fields if key_family(f.dataType) and f.name.lower().endswith(("id", "key", "num", "number"))]
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
-    parts = [uniqueness(df, list(p)).select(F.lit(i).alias("i"), F.lit(", ".join(p)).alias("columns"), "is_unique")
-             for i, p in enumerate(pairs)]
-    if not parts:
-        return df.sparkSession.createDataFrame([], "table_name string, columns string")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    first = out.where("is_unique").agg(F.min(F.struct("i", "columns")).alias("first"))
-    return first.where("first IS NOT NULL").select(F.lit(table_name).alias("table_name"), F.col("first.columns").alias("columns"))
-
-
 def infer_foreign_keys(tables: dict, columns: DataFrame, pks: DataFrame, found=None) -> DataFrame:
     """K3: FK = name match to another table's key + full inclusion of values + unique target.
 
@@ -444,8 +428,12 @@ def relation_cardinality(relations: DataFrame, profile: DataFrame) -> DataFrame:
                     direction.alias("filter_direction"))
 
 
-def logical_table_spec(roles: DataFrame, pks: DataFrame, fks: DataFrame, profile: DataFrame) -> DataFrame:
-    """Per table: role, pk, fks, measures, attributes (ordered lists)."""
+def logical_table_spec(roles: DataFrame, pks: DataFrame, fks: DataFrame, profile: DataFrame, keys: DataFrame) -> DataFrame:
+    """Per table: role, pk, business keys, fks, measures, attributes (ordered lists).
+
+    ``keys``: (table_name, columns), the minimal unique column combinations; those that are not the pk are the
+    business keys, fewest columns first.
+    """
     pk = pks.groupBy("table_name").agg(F.sort_array(F.collect_list("column_name")).alias("pk"))
     fk = (fks.groupBy(F.col("from_table").alias("table_name"))
           .agg(F.sort_array(F.collect_list(F.struct(F.col("from_column").alias("from"),
@@ -457,15 +445,19 @@ def logical_table_spec(roles: DataFrame, pks: DataFrame, fks: DataFrame, profile
     p = (profile.join(fk_cols, ["table_name", "column_name"], "left")
          .join(pk_cols, ["table_name", "column_name"], "left"))
     plain = F.col("_is_fk").isNull() & F.col("_is_pk").isNull()
+    own = pk.select("table_name", F.col("pk").alias("_pk"))
+    business = (keys.join(own, "table_name", "left").where(F.col("_pk").isNull() | (F.array_sort("columns") != F.col("_pk")))
+                .groupBy("table_name").agg(F.array_sort(F.collect_list(F.struct(F.size("columns").alias("k"), "columns"))).alias("_keys")))
     lists = p.groupBy("table_name").agg(
         F.array_sort(F.collect_list(F.when(plain & (F.col("column_role") == "measure"),
                                            F.struct("ordinal", "column_name")))).alias("_m"),
         F.array_sort(F.collect_list(F.when(plain & (F.col("column_role") == "dimension"),
                                            F.struct("ordinal", "column_name")))).alias("_a"))
     return (roles.select("table_name", "role").join(pk, "table_name", "left").join(fk, "table_name", "left")
-            .join(lists, "table_name", "left")
+            .join(lists, "table_name", "left").join(business, "table_name", "left")
             .select("table_name", "role",
                     F.coalesce("pk", F.array().cast("array<string>")).alias("pk"),
+                    F.coalesce(F.transform("_keys", lambda k: k["columns"]), F.array().cast("array<array<string>>")).alias("business_keys"),
                     F.coalesce("fks", F.array().cast(fk.schema["fks"].dataType)).alias("fks"),
                     F.transform("_m", lambda s: s["column_name"]).alias("measures"),
                     F.transform("_a", lambda s: s["column_name"]).alias("attributes")))

@@ -235,7 +235,7 @@ def event_sessions(events: DataFrame, registration_type: str, gap_minutes: int =
 
     That registration is the user's latest one at or before the session's start (``asof.as_of_join``, so a user with
     a third of all rows is spread over time buckets); ``session_registration`` is the first one made within the
-    session. Events with a NULL user form sessions too and have no earlier registration.
+    session. Events with a NULL user form no session.
     """
     s = sessionize(events, user=user, ts=ts, tiebreak=event, gap_minutes=gap_minutes, bucket=bucket(F.col(ts)))
     opening = F.min(F.struct(F.col(ts).alias("ts"), F.col(event).alias("event"), F.col(kind).alias("kind")))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from stellate.operators import catalog as M
 from stellate.operators import discovery as K
+from stellate.operators import keys as Keys
 from stellate.operators import profile as P
 from stellate.plans.registry import register
 from stellate.plans.schemas import SCHEMAS
@@ -155,16 +158,21 @@ def uniqueness_lineitem_key(spark, sf):
     return K.uniqueness(load_tables(spark, sf, ["lineitem"])["lineitem"], ["l_orderkey", "l_linenumber"])
 
 
-_LINE_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-_LINE_PAIRS = [(a, b) for i, a in enumerate(_LINE_KEYS) for b in _LINE_KEYS[i + 1:]]
-
-
-@register("composite_key_lineitem", "SELECT 'lineitem' AS table_name, columns FROM (" + " UNION ALL ".join(
-    f"SELECT {i} AS i, '{a}, {b}' AS columns, (SELECT COUNT(*) = COUNT(DISTINCT ({a}, {b})) FROM lineitem "
-    f"WHERE {a} IS NOT NULL AND {b} IS NOT NULL) AS u" for i, (a, b) in enumerate(_LINE_PAIRS)) + ") WHERE u ORDER BY i LIMIT 1")
-def composite_key_lineitem(spark, sf):
-    """K2: a two-column key where names indicate one (LIMIT: the first of the candidates)."""
-    return K.infer_composite_keys(load_tables(spark, sf, ["lineitem"])["lineitem"], "lineitem")
+def _minimal_sql(tables=TABLES, only=None):
+    """The minimal unique combinations of up to MAX_SIZE of the columns that can carry a key."""
+    def one(t, order, mask, cols):
+        names = ", ".join(cols)
+        null = " OR ".join(f"{c} IS NULL" for c in cols)
+        return (f"SELECT '{t}' AS table_name, '{names}' AS columns, {len(cols)} AS size, {order} AS i, {mask} AS mask, "
+                f"(SELECT COUNT(*) > 0 AND COUNT(*) = COUNT(DISTINCT ({names})) AND COUNT(*) FILTER (WHERE {null}) = 0 FROM {t}) AS u")
+    tried = []
+    for t in tables:
+        cols = [c for tt, c, _ in _key_cols() if tt == t and (only is None or c in only)]
+        for n in range(1, Keys.MAX_SIZE + 1):
+            tried += [one(t, len(tried) + i, sum(1 << j for j in k), [cols[j] for j in k]) for i, k in enumerate(combinations(range(len(cols)), n))]
+    return f"""tried AS MATERIALIZED ({" UNION ALL ".join(tried)}),
+minimal AS (SELECT table_name, columns, size, i FROM tried x WHERE u AND NOT EXISTS (SELECT 1 FROM tried y WHERE y.u
+  AND y.table_name = x.table_name AND y.mask <> x.mask AND (y.mask & x.mask) = y.mask))"""
 
 
 def _key_cols():
@@ -436,23 +444,42 @@ def relation_cardinality(spark, sf):
     return K.relation_cardinality(fks, kp)
 
 
-@register("logical_table_spec", f"""WITH {ROLES_SQL},
-kinds2(table_name, column_name, kind) AS (VALUES {", ".join(f"('{t}', '{c}', '{_role(c, _fam(ty))}')" for t in TABLES for c, ty in SCHEMAS[t])})
+@register("composite_key_lineitem", f"""WITH {_minimal_sql(["lineitem"], ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))}
+SELECT table_name, columns FROM minimal WHERE size > 1 ORDER BY i LIMIT 1""")
+def composite_key_lineitem(spark, sf):
+    """K2: a key of several columns where names indicate one (LIMIT: the first, with the fewest columns)."""
+    return Keys.composite_key(load_tables(spark, sf, ["lineitem"])["lineitem"], "lineitem")
+
+
+@register("unique_combinations", f"WITH {_minimal_sql()} SELECT table_name, columns FROM minimal")
+def unique_combinations(spark, sf):
+    """K2: every minimal key of up to four columns of every table."""
+    found = Keys.minimal_keys(load_tables(spark, sf))
+    return found.select("table_name", F.array_join("columns", ", ").alias("columns"))
+
+
+def _kind_list(kind):
+    return f"""COALESCE((SELECT string_agg(column_name, ',' ORDER BY ordinal) FROM kinds2 k WHERE k.table_name = r.table_name AND kind = '{kind}'
+     AND (table_name, column_name) NOT IN (SELECT table_name, column_name FROM pks)
+     AND (table_name, column_name) NOT IN (SELECT from_table, from_column FROM fks)), '')"""
+
+
+@register("logical_table_spec", f"""WITH {ROLES_SQL}, {_minimal_sql()},
+kinds2(table_name, column_name, ordinal, kind) AS (VALUES {", ".join(f"('{t}', '{c}', {i}, '{_role(c, _fam(ty))}')" for t in TABLES for i, (c, ty) in enumerate(SCHEMAS[t]))})
 SELECT r.table_name, r.role,
   COALESCE((SELECT string_agg(column_name, ',' ORDER BY column_name) FROM pks p WHERE p.table_name = r.table_name), '') AS pk,
+  COALESCE((SELECT string_agg(columns, '; ' ORDER BY size, columns) FROM minimal m WHERE m.table_name = r.table_name
+            AND (table_name, columns) NOT IN (SELECT table_name, column_name FROM pks)), '') AS business_keys,
   COALESCE((SELECT string_agg(from_column || '>' || to_table || '.' || to_column, ',' ORDER BY from_column, to_table, to_column)
             FROM fks f WHERE f.from_table = r.table_name), '') AS fks,
-  COALESCE((SELECT COUNT(*) FROM kinds2 k WHERE k.table_name = r.table_name AND kind = 'measure'
-     AND (table_name, column_name) NOT IN (SELECT table_name, column_name FROM pks)
-     AND (table_name, column_name) NOT IN (SELECT from_table, from_column FROM fks)), 0) AS n_measures,
-  COALESCE((SELECT COUNT(*) FROM kinds2 k WHERE k.table_name = r.table_name AND kind = 'dimension'
-     AND (table_name, column_name) NOT IN (SELECT table_name, column_name FROM pks)
-     AND (table_name, column_name) NOT IN (SELECT from_table, from_column FROM fks)), 0) AS n_attributes
+  {_kind_list("measure")} AS measures, {_kind_list("dimension")} AS attributes
 FROM roles r""")
 def logical_table_spec(spark, sf):
-    """K14, the nested spec flattened to one row per table."""
+    """K14, the nested spec with its lists joined as text: one row per table."""
     prof, pks, fks, roles = _roles(spark, sf)
-    spec = K.logical_table_spec(roles, pks, fks, prof)
+    spec = K.logical_table_spec(roles, pks, fks, prof, Keys.minimal_keys(load_tables(spark, sf)))
     ends = F.transform("fks", lambda f: F.concat(f["from"], F.lit(">"), f["toTable"], F.lit("."), f["toColumn"]))
-    return spec.select("table_name", "role", F.array_join("pk", ",").alias("pk"), F.array_join(ends, ",").alias("fks"),
-                       F.size("measures").cast("bigint").alias("n_measures"), F.size("attributes").cast("bigint").alias("n_attributes"))
+    return spec.select("table_name", "role", F.array_join("pk", ",").alias("pk"),
+                       F.array_join(F.transform("business_keys", lambda k: F.array_join(k, ", ")), "; ").alias("business_keys"),
+                       F.array_join(ends, ",").alias("fks"), F.array_join("measures", ",").alias("measures"),
+                       F.array_join("attributes", ",").alias("attributes"))
