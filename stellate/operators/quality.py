@@ -50,8 +50,7 @@ def orphans(fact: DataFrame, dim: DataFrame, fk: str, dim_key: str):
 
 def orphan_gate(fact: DataFrame, dim: DataFrame, fk: str, dim_key: str, table: str, max_rate: float = 0.0):
     summary, _ = orphans(fact, dim, fk, dim_key)
-    return _gate_rows(summary, "orphan_rate", table, {fk: F.coalesce(F.col("orphan_rate"), F.lit(0.0))},
-                      {fk: max_rate})
+    return _gate_rows(summary, "orphan_rate", table, {fk: F.col("orphan_rate")}, {fk: max_rate})
 
 
 def format_gate(df: DataFrame, table: str, column: str, pattern: str, min_rate: float = 1.0) -> DataFrame:
@@ -63,14 +62,18 @@ def format_gate(df: DataFrame, table: str, column: str, pattern: str, min_rate:
                       higher_is_bad=False)
 
 
+def with_reasons(df: DataFrame, rules: dict[str, Column], name: str = "quarantine_reasons") -> DataFrame:
+    """``df`` with the names of the rules that each row breaks."""
+    return df.withColumn(name, F.array_compact(F.array(*[F.when(cond, F.lit(reason)) for reason, cond in rules.items()])))
+
+
 def quarantine(df: DataFrame, rules: dict[str, Column]):
     """Q4: split rows into clean and bad; bad rows carry the names of the rules they break.
 
     ``rules`` maps a reason to a condition that is TRUE for a bad row. Each input row
     lands in exactly one of the two outputs (a NULL condition counts as not broken).
     """
-    reasons = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules.items()]))
-    tagged = df.withColumn("quarantine_reasons", reasons)
+    tagged = with_reasons(df, rules)
     clean = tagged.where(F.size("quarantine_reasons") == 0).drop("quarantine_reasons")
     bad = tagged.where(F.size("quarantine_reasons") > 0)
     return clean, bad
@@ -93,7 +96,8 @@ def empty_or_low_flags(summary: DataFrame) -> DataFrame:
 
 def length_gate(df: DataFrame, table: str, lengths: dict) -> DataFrame:
     """Q7: values longer than the declared VARCHAR(n), counted per column (max 0)."""
-    agg = df.agg(*[F.count_if(F.length(F.col(c)) > n).alias(c) for c, n in lengths.items()])
+    rows = F.count(F.lit(1))
+    agg = df.agg(*[F.when(rows > 0, F.count_if(F.length(F.col(c)) > n)).alias(c) for c, n in lengths.items()])
     return _gate_rows(agg, "too_long", table, {c: F.col(c) for c in lengths}, {c: 0 for c in lengths})
 
 
@@ -113,6 +117,11 @@ def gate_report(*gates: DataFrame) -> DataFrame:
     return out
 
 
+def load_warning() -> Column:
+    return (F.when(F.col("row_count") == 0, F.lit("empty load"))
+            .when(F.col("null_fk_rate") > 0, F.lit("unresolved foreign keys")).alias("warning"))
+
+
 def audit_rows(spark, steps) -> DataFrame:
     """Ordered audit of loads. ``steps``: iterable of (step_no, target, df, fk_columns).
 
@@ -132,9 +141,7 @@ def audit_rows(spark, steps) -> DataFrame:
         row = df.agg(F.count(F.lit(1)).alias("row_count"), rate.alias("null_fk_rate"))
         parts.append(row.select(
             F.lit(int(step)).alias("step"), F.lit(target).alias("target"), "row_count",
-            "null_fk_rate",
-            F.when(F.col("row_count") == 0, F.lit("empty load"))
-            .when(F.col("null_fk_rate") > 0, F.lit("unresolved foreign keys")).alias("warning")))
+            "null_fk_rate", load_warning()))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

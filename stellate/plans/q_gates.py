@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from stellate.operators import dims as Dm
 from stellate.operators import facts as Fa
+from stellate.operators import loading as L
 from stellate.operators import profile as P
 from stellate.operators import quality as Q
 from stellate.plans.registry import register
 from stellate.plans.sqlgen import profile_sql
 from stellate.sources import derived as D
+from stellate.sources import files as S
 from stellate.sources.tables import TABLES, load_table
 
 
@@ -99,13 +101,16 @@ _QUAR_SQL = """q AS (SELECT l_orderkey, l_linenumber, list_filter([
   FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey)"""
 
 
+def _quarantine_rules():
+    return {"ship_before_order": F.col("l_shipdate") < F.col("o_orderdate"), "non_positive_quantity": F.col("l_quantity") <= 0,
+            "discount_out_of_range": F.col("l_discount") > 0.1}
+
+
 def _quarantine(spark, sf):
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", "l_discount")
     o = _t(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     x = li.join(o, li.l_orderkey == o.o_orderkey, "left")
-    return Q.quarantine(x, {"ship_before_order": F.col("l_shipdate") < F.col("o_orderdate"),
-                            "non_positive_quantity": F.col("l_quantity") <= 0,
-                            "discount_out_of_range": F.col("l_discount") > 0.1})
+    return Q.quarantine(x, _quarantine_rules())
 
 
 @register("quarantine_bad_rows", f"""WITH {_QUAR_SQL}
@@ -199,20 +204,60 @@ def gate_report(spark, sf):
         Q.fk_coverage(fo, "fact_orders", ["customer_key"], 0.95))
 
 
-_EMPTY_GATES_SQL = " UNION ALL ".join(
-    f"SELECT '{gate}' AS gate, 'empty_orders' AS table_name, '{col}' AS column_name, CAST(NULL AS DOUBLE) AS observed, "
-    f"CAST({thr} AS DOUBLE) AS threshold, (SELECT COUNT(*) FROM orders WHERE 1 = 0) > 0 AS passed"
-    for gate, col, thr in (("null_rate", "o_orderkey", 0.0), ("format_rate", "o_orderpriority", 1.0),
-                           ("fk_coverage", "o_custkey", 0.95)))
+_EMPTY_GATES = (("null_rate", "o_orderkey", "ROUND(AVG(CASE WHEN o_orderkey IS NULL THEN 1.0 ELSE 0.0 END), 6)", 0.0, True),
+                ("orphan_rate", "o_custkey", "ROUND(COUNT(*) FILTER (WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer))"
+                 " / NULLIF(COUNT(o_custkey), 0), 6)", 0.0, True),
+                ("format_rate", "o_orderpriority", r"ROUND(COUNT(*) FILTER (WHERE regexp_matches(o_orderpriority, '^\d')) / NULLIF(COUNT(o_orderpriority), 0), 6)", 1.0, False),
+                ("too_long", "o_orderstatus", "CASE WHEN COUNT(*) > 0 THEN COUNT(*) FILTER (WHERE length(o_orderstatus) > 1) END", 0.0, True),
+                ("fk_coverage", "o_custkey", "ROUND(AVG(CASE WHEN o_custkey IS NULL THEN 0.0 ELSE 1.0 END), 6)", 0.95, False))
 
 
-@register("gates_on_empty_load", _EMPTY_GATES_SQL)
+@register("gates_on_empty_load", " UNION ALL ".join(
+    _gate_sql(gate, table, col, f"(SELECT {sql} FROM orders{where})", thr, bad)
+    for table, where in (("orders", ""), ("empty_orders", " WHERE 1 = 0")) for gate, col, sql, thr, bad in _EMPTY_GATES))
 def gates_on_empty_load(spark, sf):
-    """Q1, Q3, Q8 on an empty source: nothing observed, nothing passed."""
-    o = D.empty_orders(spark, sf)
-    return Q.gate_report(Q.null_rate(o, "empty_orders", ["o_orderkey"], 0.0),
-                         Q.format_gate(o, "empty_orders", "o_orderpriority", r"^\d", 1.0),
-                         Q.fk_coverage(o, "empty_orders", ["o_custkey"], 0.95))
+    """Q1-Q3, Q7, Q8 on the filled source and on an empty load of it: nothing observed, nothing passed."""
+    found = []
+    for name, o in (("orders", _t(spark, sf, "orders")), ("empty_orders", D.empty_orders(spark, sf))):
+        found += [Q.null_rate(o, name, ["o_orderkey"], 0.0),
+                  Q.orphan_gate(o, _t(spark, sf, "customer"), "o_custkey", "c_custkey", name),
+                  Q.format_gate(o, name, "o_orderpriority", r"^\d", 1.0), Q.length_gate(o, name, {"o_orderstatus": 1}),
+                  Q.fk_coverage(o, name, ["o_custkey"], 0.95)]
+    return Q.gate_report(*found)
+
+
+def _checked_load(spark, sf):
+    """Order lines loaded with the quarantine rules and every gate, in one job."""
+    li = _t(spark, sf, "lineitem")
+    x = li.join(_t(spark, sf, "orders").select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    checks = L.Checks(required={"l_orderkey": 0.0}, looked_up={"o_orderkey": "l_orderkey"}, formats={"l_returnflag": ("^[AR]$", 0.9)},
+                      lengths={"l_linestatus": 1}, coverage={"o_orderkey": 0.95}, rules=_quarantine_rules(), keys=("o_orderkey",))
+    return L.load(x, S.scratch_path(spark, "checked-load"), "order_lines", checks, li.columns)
+
+
+@register("checked_load_rows", f"""WITH {_QUAR_SQL} SELECT CASE WHEN len(reasons) = 0 THEN 'clean' ELSE 'bad' END AS sink,
+  l_orderkey, l_linenumber, array_to_string(reasons, ',') AS reasons FROM q""")
+def checked_load_rows(spark, sf):
+    """Q4 while loading: both sinks of one write, read back."""
+    done = _checked_load(spark, sf)
+    keys = ["l_orderkey", "l_linenumber"]
+    return (done.target().select(F.lit("clean").alias("sink"), *keys, F.lit("").alias("reasons"))
+            .unionByName(done.bad().select(F.lit("bad").alias("sink"), *keys, F.array_join(L.REASONS, ",").alias("reasons"))))
+
+
+_CLEAN_SQL = """cl AS (SELECT l.*, o_orderkey FROM lineitem l LEFT JOIN orders ON l_orderkey = o_orderkey
+  WHERE NOT COALESCE(l_shipdate < o_orderdate, FALSE) AND NOT COALESCE(l_quantity <= 0, FALSE) AND NOT COALESCE(l_discount > 0.1, FALSE))"""
+
+
+@register("checked_load_gates", f"WITH {_CLEAN_SQL} " + " UNION ALL ".join([
+    _gate_sql("null_rate", "order_lines", "l_orderkey", "(SELECT ROUND(AVG(CASE WHEN l_orderkey IS NULL THEN 1.0 ELSE 0.0 END), 6) FROM cl)", 0.0),
+    _gate_sql("orphan_rate", "order_lines", "o_orderkey", "(SELECT ROUND(AVG(CASE WHEN o_orderkey IS NULL THEN 1.0 ELSE 0.0 END), 6) FROM cl WHERE l_orderkey IS NOT NULL)", 0.0),
+    _gate_sql("format_rate", "order_lines", "l_returnflag", "(SELECT ROUND(AVG(CASE WHEN regexp_matches(l_returnflag, '^[AR]$') THEN 1.0 ELSE 0.0 END), 6) FROM cl WHERE l_returnflag IS NOT NULL)", 0.9, False),
+    _gate_sql("too_long", "order_lines", "l_linestatus", "(SELECT COUNT(*) FILTER (WHERE length(l_linestatus) > 1) FROM cl)", 0.0),
+    _gate_sql("fk_coverage", "order_lines", "o_orderkey", "(SELECT ROUND(AVG(CASE WHEN o_orderkey IS NULL THEN 0.0 ELSE 1.0 END), 6) FROM cl)", 0.95, False)]))
+def checked_load_gates(spark, sf):
+    """Q1-Q3, Q7-Q9 as observed by the job that wrote the clean rows."""
+    return _checked_load(spark, sf).gates()
 
 
 @register("load_audit", f"""WITH {PD_SQL}

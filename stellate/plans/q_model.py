@@ -320,10 +320,16 @@ def _cov_sql(table, column, observed):
             f"COALESCE(ROUND({observed}, 6) >= 0.95, TRUE) AS passed")
 
 
+def _star_gate(gate, table, column, observed):
+    """A gate whose observed share may be 0 at most."""
+    return (f"SELECT '{gate}', '{table}', '{column}', CAST(ROUND({observed}, 6) AS DOUBLE), CAST(0.0 AS DOUBLE), "
+            f"COALESCE(ROUND({observed}, 6) <= 0.0, FALSE)")
+
+
 _STAR_GATES_SQL = """WITH cal AS (SELECT MIN(CAST(o_orderdate AS DATE)) AS a, MAX(CAST(o_orderdate AS DATE)) AS b FROM orders),
 fo AS (SELECT o.o_orderkey, o.o_custkey, c.c_custkey FROM orders o
        LEFT JOIN (SELECT DISTINCT c_custkey FROM customer) c ON o.o_custkey = c.c_custkey WHERE o.o_orderkey IS NOT NULL),
-fl AS (SELECT CAST(l_shipdate AS DATE) BETWEEN (SELECT a FROM cal) AND (SELECT b FROM cal) AS ship_ok,
+fl AS (SELECT l_partkey, l_suppkey, CAST(l_shipdate AS DATE) BETWEEN (SELECT a FROM cal) AND (SELECT b FROM cal) AS ship_ok,
               p.p_partkey IS NOT NULL AS part_ok, s.s_suppkey IS NOT NULL AS supp_ok
        FROM lineitem LEFT JOIN (SELECT DISTINCT p_partkey FROM part) p ON l_partkey = p.p_partkey
        LEFT JOIN (SELECT DISTINCT s_suppkey FROM supplier) s ON l_suppkey = s.s_suppkey)
@@ -335,17 +341,16 @@ fl AS (SELECT CAST(l_shipdate AS DATE) BETWEEN (SELECT a FROM cal) AND (SELECT b
     _cov_sql("fact_sales_lines", "ship_date_key", "(SELECT AVG(CASE WHEN ship_ok THEN 1.0 ELSE 0.0 END) FROM fl)"),
     _cov_sql("fact_sales_lines", "product_key", "(SELECT AVG(CASE WHEN part_ok THEN 1.0 ELSE 0.0 END) FROM fl)"),
     _cov_sql("fact_sales_lines", "company_key", "(SELECT AVG(CASE WHEN supp_ok THEN 1.0 ELSE 0.0 END) FROM fl)"),
-    # orphans among the surrogate keys the lookup produced (rows whose key resolved)
-    "SELECT 'orphan_rate', 'fact_sales_orders', 'customer_key', "
-    "CAST(COALESCE((SELECT ROUND(AVG(CASE WHEN c_custkey IS NULL THEN 1.0 ELSE 0.0 END), 6) FROM fo "
-    "WHERE c_custkey IS NOT NULL), 0.0) AS DOUBLE), CAST(0.0 AS DOUBLE), "
-    "COALESCE((SELECT ROUND(AVG(CASE WHEN c_custkey IS NULL THEN 1.0 ELSE 0.0 END), 6) FROM fo "
-    "WHERE c_custkey IS NOT NULL), 0.0) <= 0.0"])
+    # natural keys that the lookups did not resolve
+    _star_gate("orphan_rate", "fact_sales_orders", "customer_key", "(SELECT AVG(CASE WHEN c_custkey IS NULL THEN 1.0 ELSE 0.0 END) FROM fo WHERE o_custkey IS NOT NULL)"),
+    _star_gate("orphan_rate", "fact_sales_lines", "product_key", "(SELECT AVG(CASE WHEN part_ok THEN 0.0 ELSE 1.0 END) FROM fl WHERE l_partkey IS NOT NULL)"),
+    _star_gate("orphan_rate", "fact_sales_lines", "company_key", "(SELECT AVG(CASE WHEN supp_ok THEN 0.0 ELSE 1.0 END) FROM fl WHERE l_suppkey IS NOT NULL)"),
+    _star_gate("null_rate", "fact_sales_orders", "o_orderkey", "(SELECT AVG(CASE WHEN o_orderkey IS NULL THEN 1.0 ELSE 0.0 END) FROM fo)")])
 
 
 @register("star_build_gates", _STAR_GATES_SQL)
 def star_build_gates(spark, sf):
-    """Gate report over the built star: FK coverage of both facts and the customer orphan gate."""
+    """Gate report of the star build: coverage, orphans and required keys, observed by the jobs that write the facts."""
     from stellate.plans.star import build_star
     _, _, gates = build_star(spark, sf)
     return gates
