@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stellate.llm.kernels import mix, prefix_sums, slices, spans_hash, window_min
-from stellate.llm.staging import stage
+from stellate.llm.staging import drop_staged, stage
 
 _U64 = np.uint64
 # Units worked on at a time; places within a stretch take 24 bits of a key.
@@ -143,6 +143,7 @@ def repeated_windows(docs: DataFrame, units: Units, decide: Callable[[DataFrame,
     counted = stage(_survey(base, units).groupBy("h").agg(F.count(F.lit(1)).alias("places")).where("places > 1").select("h"),
                     "repeated-anchors")
     found = stage(_survey(base, units).join(counted, "h", "left_semi"), "contexts")
+    drop_staged(counted)
     kinds = found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("copies"), F.first("id").alias("id"),
                                         F.first("th").alias("th"), F.first("place").alias("place"))
     kinds = stage(kinds, "context-kinds")
@@ -154,7 +155,7 @@ def repeated_windows(docs: DataFrame, units: Units, decide: Callable[[DataFrame,
     start = first_window(F.col("place"))
     ranges = (found.join(decided, ["h", "c"])
               .select("id", "th", F.struct((start + F.col("first")).alias("first"), (start + F.col("last")).alias("last")).alias("range"))
-              .groupBy("id", "th").agg(F.collect_list("range").alias("ranges")))
+              .groupBy("id", "th").agg(F.collect_set("range").alias("ranges")))  # equal rows have equal ranges
     b, r = base.alias("b"), ranges.alias("r")
     return (b.join(r, F.col("b.id").eqNullSafe(F.col("r.id")) & (F.col("b.th") == F.col("r.th")), "left")
             .select("b.id", "b.text", "r.ranges", *_carried(base)))
@@ -218,14 +219,14 @@ def count_windows(open_: DataFrame, base: DataFrame, units: Units) -> DataFrame:
     blocks = stage(with_texts(open_, base).mapInArrow(
         run, "h long, c long, block long, core long, digest long, first long, d long, w array<long>"), "blocks")
     core = ["h", "block", "core"]
-    kinds = stage(blocks.groupBy(*core, "digest").agg(F.count(F.lit(1)).alias("copies")), "block-kinds")
+    kinds = stage(blocks.groupBy(*core, "digest").agg(F.count(F.lit(1)).alias("copies"), F.min("c").alias("c")), "block-kinds")
     again = kinds.where("copies > 1").select(*core, "digest")
     whole = blocks.join(again, [*core, "digest"]).select("h", "c", "first", (F.col("first") + F.size("w") - 1).alias("last"))
     mixed = stage(kinds.groupBy(*core).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*core), "mixed-cores")
     # one block of each kind takes part in the count of windows
-    rows = (blocks.join(mixed, core).join(kinds.where("copies = 1").select(*core, "digest", F.lit(True).alias("single")),
-                                          [*core, "digest"], "left")
-            .select(*core, "digest", "c", "first", "d", F.coalesce("single", F.lit(False)).alias("single"), F.posexplode("w").alias("i", "w"))
+    chosen = kinds.join(mixed, core).select(*core, "digest", "c", (F.col("copies") == 1).alias("single"))
+    rows = (blocks.join(chosen, [*core, "digest", "c"])
+            .select(*core, "digest", "c", "first", "d", "single", F.posexplode("w").alias("i", "w"))
             .select(*core, "digest", "c", (F.col("first") + F.col("i")).alias("first"), (F.col("d") - F.col("i")).alias("d"), "single", "w"))
     counted = (rows.groupBy(*core, "d", "w").agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
                .where("least <> most").select(*core, "d", "w"))

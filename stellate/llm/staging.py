@@ -31,11 +31,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{_ROOT}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.__dict__["staged_path"] = path
+    return staged
+
+
+def drop_staged(*tables: DataFrame) -> None:
+    """Delete staged tables whose readers have all been staged themselves."""
+    for table in tables:
+        _delete(table.sparkSession, table.__dict__["staged_path"])
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def clear_staged(spark: SparkSession) -> None:
     """Delete this application's staged tables (call once their results are written)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{_ROOT}/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_dir(spark)}/{_ROOT}/{spark.sparkContext.applicationId}")

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from stellate.llm.kernels import spread
+from stellate.llm.kernels import SPACE, spread
 
 # Entries of a lookup (see ``Lookup``).
 CACHE_PIECES = 1 << 18
@@ -104,7 +104,7 @@ class PieceIds:
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of consecutive texts one after the other, and each text's first id and the end. Different
         parts are looked up once."""
-        starts, first = part_starts(data, offsets)
+        starts, first = part_starts(data, offsets, True)
         codes, keys = dictionary(data, starts)
         found = [self.parts[k] for k in keys]
         size = np.array([len(x) for x in found], np.int64) >> 2
@@ -129,13 +129,22 @@ _WIDE_SPACE = ((None, 0xC2, (0x85, 0xA0)), (0xE1, 0x9A, (0x80,)), (0xE2, 0x80, (
                (0xE2, 0x81, (0x9F,)), (0xE3, 0x80, (0x80,)))
 
 
-def part_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+# Signs that end a word and stand in no special string.
+_ENDING = np.zeros(256, bool)
+_ENDING[list(b",.;:!?)")] = True
+
+
+def part_starts(data: np.ndarray, offsets: np.ndarray, byte_bpe: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Starts of the parts of consecutive texts, and the first part of each text and the end.
 
     A part begins with its text or with a space after a printing character. No piece of the three
-    vocabularies runs over such a place, so a text's ids are its parts' ids one after the other.
+    vocabularies runs over such a place, so a text's ids are its parts' ids one after the other. With
+    ``byte_bpe`` a part also begins with any white space after a printing character, and with a sign
+    after a letter, over which no piece of the byte-level pattern runs.
     """
-    at = np.flatnonzero(data == 0x20)
+    at = np.flatnonzero(SPACE[data]) if byte_bpe else np.flatnonzero(data == 0x20)
     at = at[at > 0]
     last = data[at - 1]
     solid = (last > 0x20) & (last != 0x7F)
@@ -150,6 +159,8 @@ def part_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
             solid[high[wide]] = False
     begins = np.zeros(len(data), bool)
     begins[at[solid]] = True
+    if byte_bpe:
+        begins[1:] |= _LETTER[data[:-1]] & _ENDING[data[1:]]
     begins[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
     starts = np.flatnonzero(begins)
     return starts, np.searchsorted(starts, offsets)

@@ -130,3 +130,13 @@ def test_words_that_a_polynomial_hash_takes_as_equal(spark):
     rest = " ".join(f"w{i}" for i in range(34))
     df = spark.createDataFrame([(1, f"{one} {rest}"), (2, f"{other} {rest}"), (3, f"x {one} {rest}")], "doc_id long, text string")
     assert {r.doc_id: r.n_removed for r in substrings.dedup_substrings(df).collect()} == {1: 35, 2: 0, 3: 35}
+
+
+def test_many_equal_rows(spark):
+    """Rows equal in id and text share their findings: the work grows with their number, not its square."""
+    text = " ".join(f"word{i}" for i in range(300))
+    df = spark.createDataFrame([(1, text)] * 3000 + [(2, text + " tail"), (3, "alone " * 3)], "doc_id long, text string").repartition(8)
+    got = Counter((r.doc_id, r.n_removed) for r in substrings.dedup_substrings(df).collect())
+    assert got == {(1, 300): 3000, (2, 300): 1, (3, 0): 1}
+    got = Counter((r.doc_id, r.n_removed) for r in suffixes.dedup_bytes(df).collect())
+    assert got == {(1, len(text)): 3000, (2, len(text)): 1, (3, 0): 1}
