@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stellate.llm.kernels import mix, prefix_sums, slices, spans_hash, window_min
-from stellate.llm.staging import drop_staged, stage
+from stellate.llm.staging import drop_staged, release_shuffles, stage
 
 _U64 = np.uint64
 # Units worked on at a time; places within a stretch take 24 bits of a key.
@@ -144,6 +144,7 @@ def repeated_windows(docs: DataFrame, units: Units, decide: Callable[[DataFrame,
                     "repeated-anchors")
     found = stage(_survey(base, units).join(counted, "h", "left_semi"), "contexts")
     drop_staged(counted)
+    release_shuffles(docs.sparkSession)
     kinds = found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("copies"), F.first("id").alias("id"),
                                         F.first("th").alias("th"), F.first("place").alias("place"))
     kinds = stage(kinds, "context-kinds")
@@ -218,6 +219,7 @@ def count_windows(open_: DataFrame, base: DataFrame, units: Units) -> DataFrame:
 
     blocks = stage(with_texts(open_, base).mapInArrow(
         run, "h long, c long, block long, core long, digest long, first long, d long, w array<long>"), "blocks")
+    release_shuffles(base.sparkSession)
     core = ["h", "block", "core"]
     kinds = stage(blocks.groupBy(*core, "digest").agg(F.count(F.lit(1)).alias("copies"), F.min("c").alias("c")), "block-kinds")
     again = kinds.where("copies > 1").select(*core, "digest")
