@@ -166,10 +166,9 @@ def _carried(base: DataFrame) -> list[str]:
     return ["b.row"] if "row" in base.columns else []
 
 
-def with_texts(open_: DataFrame, base: DataFrame) -> DataFrame:
-    """(text, cuts): each document with open contexts, and (h, c, place, contexts, copies) of those to cut
-    from it. Other columns come along only so that this join and the last one read one shuffle of the texts."""
-    cuts = open_.groupBy("id", "th").agg(F.collect_list(F.struct("h", "c", "place", "contexts", "copies")).alias("cuts")).alias("o")
+def with_texts(open_: DataFrame, base: DataFrame, columns=("h", "c", "place", "contexts", "copies")) -> DataFrame:
+    """(text, cuts): each document with open contexts, and these columns of those to cut from it. Other columns come along only so that this join and the last one read one shuffle of the texts."""
+    cuts = open_.groupBy("id", "th").agg(F.collect_list(F.struct(*columns)).alias("cuts")).alias("o")
     b = base.alias("b")
     return (b.join(cuts, F.col("b.id").eqNullSafe(F.col("o.id")) & (F.col("b.th") == F.col("o.th")))
             .select("b.text", "o.cuts", *_carried(base)))
@@ -210,26 +209,48 @@ def count_windows(open_: DataFrame, base: DataFrame, units: Units) -> DataFrame:
                 core = span_hashes(values, anchor - size * block[new], anchor - size * block[new] - size + 1 + units.width)
                 place_in = ((before[of] - k[new]) * 4096 + (last - new)).astype(_U64)
                 digest = mix(span_hashes(values, at[new], at[last] + units.width) ^ place_in)
-                hashes = span_hashes(values, at, at + units.width).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[of]), pa.array(c[of]), pa.array(block[new]), pa.array(core.view(np.int64)),
-                     pa.array(digest.view(np.int64)), pa.array(k[new]), pa.array((before[of] - k[new])),
-                     pa.ListArray.from_arrays(pa.array(np.append(new, len(k)).astype(np.int32)), pa.array(hashes))],
-                    ["h", "c", "block", "core", "digest", "first", "d", "w"])
+                    [pa.array(h[of]), pa.array(c[of]), pa.array(block[new].astype(np.int32)), pa.array(core.view(np.int64)),
+                     pa.array(digest.view(np.int64)), pa.array(k[new].astype(np.int32)), pa.array((last - new + 1).astype(np.int32))],
+                    ["h", "c", "block", "core", "digest", "first", "n"])
 
-    blocks = stage(with_texts(open_, base).mapInArrow(
-        run, "h long, c long, block long, core long, digest long, first long, d long, w array<long>"), "blocks")
+    blocks = stage(with_texts(open_, base, ("h", "c", "place")).mapInArrow(
+        run, "h long, c long, block int, core long, digest long, first int, n int"), "blocks")
     release_shuffles(base.sparkSession)
     core = ["h", "block", "core"]
     kinds = stage(blocks.groupBy(*core, "digest").agg(F.count(F.lit(1)).alias("copies"), F.min("c").alias("c")), "block-kinds")
     again = kinds.where("copies > 1").select(*core, "digest")
-    whole = blocks.join(again, [*core, "digest"]).select("h", "c", "first", (F.col("first") + F.size("w") - 1).alias("last"))
+    whole = blocks.join(again, [*core, "digest"]).select("h", "c", F.col("first").cast("long").alias("first"),
+                                                         (F.col("first") + F.col("n") - 1).cast("long").alias("last"))
     mixed = stage(kinds.groupBy(*core).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*core), "mixed-cores")
-    # one block of each kind takes part in the count of windows
+    # one block of each kind takes part in the count of windows, which are hashed only now
     chosen = kinds.join(mixed, core).select(*core, "digest", "c", (F.col("copies") == 1).alias("single"))
-    rows = (blocks.join(chosen, [*core, "digest", "c"])
-            .select(*core, "digest", "c", "first", "d", "single", F.posexplode("w").alias("i", "w"))
-            .select(*core, "digest", "c", (F.col("first") + F.col("i")).alias("first"), (F.col("d") - F.col("i")).alias("d"), "single", "w"))
+    picked = (blocks.join(chosen, [*core, "digest", "c"]).join(open_.select("h", "c", "id", "th", "place"), ["h", "c"])
+              .withColumns({"start": first_window(F.col("place")) + F.col("first"), "d": before_anchor(F.col("place")) - F.col("first")}))
+    columns = ("start", "n", "h", "block", "core", "digest", "c", "first", "d", "single")
+
+    def hash_windows(batches):
+        for batch in batches:
+            for row, data, offsets in slices(batch.column(0)):
+                values, first = units.values(data, offsets)
+                cuts = batch.column(1).slice(row, len(offsets) - 1)
+                flat = cuts.flatten()
+                if not len(flat):
+                    continue
+                field = {k: flat.field(i) for i, k in enumerate(columns)}
+                n = field["n"].to_numpy().astype(np.int64)
+                of = np.repeat(np.arange(len(n)), n)
+                i = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+                at = (np.repeat(first[:-1], np.diff(np.asarray(cuts.offsets))) + field["start"].to_numpy())[of] + i
+                w = span_hashes(values, at, at + units.width).view(np.int64)
+                pick = pa.array(of)
+                yield pa.RecordBatch.from_arrays(
+                    [*(field[k].take(pick) for k in ("h", "block", "core", "digest", "c")), pa.array(field["first"].to_numpy()[of] + i),
+                     pa.array(field["d"].to_numpy()[of] - i), field["single"].take(pick), pa.array(w)],
+                    ["h", "block", "core", "digest", "c", "first", "d", "single", "w"])
+
+    rows = with_texts(picked, base, columns).mapInArrow(
+        hash_windows, "h long, block int, core long, digest long, c long, first long, d long, single boolean, w long")
     counted = (rows.groupBy(*core, "d", "w").agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
                .where("least <> most").select(*core, "d", "w"))
     single = (rows.where("single").join(counted, [*core, "d", "w"])
