@@ -180,9 +180,10 @@ def ordered_neighbours(df: DataFrame, entity: str, ts: str, tiebreak: str, bucke
 
 
 def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tiebreak: str = "event_id",
-               gap_minutes: int = 30, bucket: Column | None = None) -> DataFrame:
+               gap_minutes: int = 30, bucket: Column | None = None, keep_bucket: bool = False) -> DataFrame:
     """L9 building block: session number per user; a new session starts when the gap to
-    the previous event exceeds ``gap_minutes``. Adds session_no (1-based) and seq.
+    the previous event exceeds ``gap_minutes``. Adds session_no (1-based) and seq; with
+    ``keep_bucket`` also the time bucket ``_b`` and ``_new`` (1 at a session's first row).
 
     The session number is a running count of session starts; it is computed per
     (user, bucket) and offset by the starts of earlier buckets (small summary).
@@ -199,7 +200,7 @@ def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", tiebrea
     starts = starts.select(user, "_b", F.coalesce(F.sum("_s").over(wb), F.lit(0)).alias("_sb"))
     return (x.join(starts, [user, "_b"])
             .withColumn("session_no", (F.col("_sb") + F.col("_local")).cast("bigint"))
-            .drop("_local", "_sb", "_b"))
+            .drop("_local", "_sb", *([] if keep_bucket else ["_b"])))
 
 
 def web_sessions(events: DataFrame, gap_minutes: int = 30, **kw) -> DataFrame:
@@ -216,14 +217,24 @@ def web_sessions(events: DataFrame, gap_minutes: int = 30, **kw) -> DataFrame:
 
 def page_views(events: DataFrame, gap_minutes: int = 30, **kw) -> DataFrame:
     """Each view with its session, position in the session and seconds to the next
-    event of the same session (NULL for the last one)."""
-    s = sessionize(events, gap_minutes=gap_minutes, **kw)
-    first_seq = s.groupBy("user_id", "session_no").agg(F.min("_seq").alias("_s0"))
-    s = s.join(first_seq, ["user_id", "session_no"])
+    event of the same session (NULL for the last one).
+
+    The position of a session's first row is a running maximum over the session starts, taken
+    per (user, bucket) and carried over from the user's earlier buckets, so a session that never
+    pauses is spread over its buckets like any other rows.
+    """
+    s = sessionize(events, gap_minutes=gap_minutes, keep_bucket=True, **kw)
+    start = F.when(F.col("_new") == 1, F.col("_seq"))
+    w = Window.partitionBy("user_id", "_b").orderBy("_seq").rowsBetween(Window.unboundedPreceding, 0)
+    s = s.withColumn("_own", F.max(start).over(w))
+    wb = Window.partitionBy("user_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (s.groupBy("user_id", "_b").agg(F.max(start).alias("_last"))
+               .select("user_id", "_b", F.max("_last").over(wb).alias("_carried")))
+    s = s.join(carried, ["user_id", "_b"])
     nxt = C.seconds_between("ts", "_next_ts")
     same = F.col("_next_ts").isNotNull() & (nxt <= gap_minutes * 60)
     return s.select("event_id", "user_id", "session_no", "ts",
-                    (F.col("_seq") - F.col("_s0") + 1).cast("bigint").alias("sequence_in_session"),
+                    (F.col("_seq") - F.coalesce("_own", "_carried") + 1).cast("bigint").alias("sequence_in_session"),
                     F.when(same, F.round(nxt, 3)).alias("view_duration_seconds"),
                     "event_type")
 

@@ -151,10 +151,10 @@ def null_defaults(spark, sf):
 @register("backfill_enriched_labels", f"""WITH {_ENR}
 SELECT doc_id, lang, COALESCE(quality, 0) AS quality, COALESCE(toxic, 0) AS toxic FROM enriched""")
 def backfill_enriched_labels(spark, sf):
-    """NULLs of an existing (written) table replaced in place."""
+    """NULLs of an existing (written) table replaced by a new version of it."""
     e = Fa.enrich(_t(spark, sf, "documents").select("doc_id", "lang"), _t(spark, sf, "labels"), "doc_id")
     path = S.scratch_path(spark, "enriched")
-    S.write_table(e, path)
+    S.replace_table(e, path)
     return S.backfill_table(spark, path, ["quality", "toxic"])
 
 

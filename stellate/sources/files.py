@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from stellate.functions.clean import fill_defaults
 from stellate.session import checkpoint_dir
+from stellate.sources.versions import read_current, replace_table
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -110,16 +111,11 @@ def write_profile_json(doc: DataFrame, path: str) -> None:
     doc.write.mode("overwrite").json(path)
 
 
-def backfill_table(spark: SparkSession, path: str, columns) -> DataFrame:
-    """Replace NULLs in the given columns of an existing table by their type defaults.
-
-    The filled rows are written beside the table first, then over it, as a table cannot be overwritten
-    while it is read; a run that fails in between leaves the copy.
-    """
-    copy = scratch_path(spark, "backfill")
-    write_table(fill_defaults(spark.read.parquet(path), columns), copy)
-    write_table(spark.read.parquet(copy), path)
-    return spark.read.parquet(path)
+def backfill_table(spark: SparkSession, root: str, columns) -> DataFrame:
+    """Replace NULLs in the given columns of an existing versioned table (``sources.versions``) by their type
+    defaults. The filled rows become a new version, so a run that fails leaves the table as it was."""
+    replace_table(fill_defaults(read_current(spark, root), columns), root)
+    return read_current(spark, root)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:

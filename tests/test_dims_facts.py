@@ -138,3 +138,15 @@ def test_checkpoint_dir_is_set_once(spark):
     first = checkpoint_dir(spark), spark.sparkContext.getCheckpointDir()
     for _ in range(500):
         assert (checkpoint_dir(spark), spark.sparkContext.getCheckpointDir()) == first
+
+
+def test_a_session_that_never_pauses_spans_many_buckets(spark):
+    """Positions run on over time buckets, with a second session and another user between."""
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, 1, t0 + dt.timedelta(minutes=20 * i), "view") for i in range(100)]
+    rows += [(500 + i, 1, t0 + dt.timedelta(minutes=20 * 99 + 31 + 10 * i), "view") for i in range(9)]
+    rows += [(900, 2, t0 + dt.timedelta(minutes=7), "view")]
+    e = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp, event_type string").repartition(3)
+    got = {r.event_id: (r.session_no, r.sequence_in_session) for r in Fa.page_views(e).collect()}
+    assert all(got[i] == (1, i + 1) for i in range(100)) and all(got[500 + i] == (2, i + 1) for i in range(9)) and got[900] == (1, 1)
