@@ -7,7 +7,6 @@ session; a scratch folder is made only where the setting is absent and the maste
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
@@ -43,13 +42,6 @@ def drop_staged(*tables: DataFrame) -> None:
         _delete(table.sparkSession, table.__dict__["staged_path"])
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Ask the driver's JVM to collect plans that nothing refers to any more, upon which Spark's cleaner removes their
-    shuffle files; without it they stay until the driver happens to collect."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def _delete(spark: SparkSession, name: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
