@@ -55,7 +55,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         table = piece_ids(tokenizer_path)
         for batch in batches:
             for lo, data, offsets in slices(batch.column(1), SLICE_BYTES):
-                ids, first = table.ids(data, offsets)
+                ids, first = table.batch(data, offsets)
                 ids = np.insert(ids, first[1:], end_id)
                 n = np.diff(first) + 1
                 places = [cuts(x, max_length) for x in n.tolist()]

@@ -99,9 +99,14 @@ class PieceIds:
         try:
             return b"".join(map(self.pieces.__getitem__, _BYTE_BPE.findall(text)))
         except Unusual:
-            return b"".join([i.to_bytes(4, "little") for i in self.tok.encode(text, add_special_tokens=False).ids])
+            return encoded(self.tok, text)
 
-    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def ids(self, text: str) -> bytes:
+        """Ids of one text as little-endian unsigned 32-bit bytes."""
+        data = np.frombuffer(text.encode(), np.uint8)
+        return self.batch(data, np.array([0, len(data)]))[0].tobytes()
+
+    def batch(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of consecutive texts one after the other, and each text's first id and the end. Different
         parts are looked up once."""
         starts, first = part_starts(data, offsets, True)
@@ -114,6 +119,11 @@ class PieceIds:
         return ids, np.concatenate([[0], np.cumsum(lengths)])[first]
 
 
+def encoded(tok: Tokenizer, text: str) -> bytes:
+    ids = tok.encode(text, add_special_tokens=False).ids
+    return b"".join([i.to_bytes(4, "little") for i in ids])
+
+
 @lru_cache(maxsize=8)
 def piece_ids(path: str) -> PieceIds:
     return PieceIds(path)
