@@ -233,7 +233,7 @@ def infer_primary_keys(profile: DataFrame) -> DataFrame:
     """K2: one single-column key per table: unique and null-free, key-like name first.
 
     Rank: key-like name (ends in id/key), then column position. Tables without a
-    unique column get none (composite keys are not guessed).
+    unique column get none here; keys of several columns are in ``keys``.
     """
     keyish = F.lower("column_name").rlike("(id|key)$")
     cand = profile.where((F.col("total_rows") > 0) & (F.col("null_count") == 0)
