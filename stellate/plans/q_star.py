@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from stellate.functions import clean as C
 from stellate.operators import dims as Dm
 from stellate.operators import facts as Fa
+from stellate.operators import key_registry as R
 from stellate.plans.registry import register
 from stellate.sources import derived as D
 from stellate.sources import files as S
@@ -265,6 +266,34 @@ def stable_surrogate_customer(spark, sf):
     return Dm.stable_surrogate_key(first.select("c_custkey", "customer_key"), c, "c_custkey", "customer_key")
 
 
+_YEAR_LOADS = """seen AS (SELECT o_custkey, MIN(year(o_orderdate)) AS y FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey)"""
+
+
+def _year_loads(spark, sf):
+    """A registry loaded once for each order year, the first year twice, and its folder."""
+    orders = _t(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").alias("y"))
+    years = sorted(r["y"] for r in orders.select("y").distinct().collect())  # one row a load
+    root = S.scratch_path(spark, "customer-keys")
+    for y in [*years, *years[:1]]:
+        keys = R.register_load(root, str(y), orders.where(F.col("y") == y), "o_custkey", "customer_key")
+    return root, keys
+
+
+@register("key_registry_customer", f"""WITH {_YEAR_LOADS}
+SELECT o_custkey, ROW_NUMBER() OVER (ORDER BY y, o_custkey) AS customer_key, CAST(y AS VARCHAR) AS load FROM seen""")
+def key_registry_customer(spark, sf):
+    """D3: customers get keys in the load (order year) that brings them first; the first load is run twice."""
+    return _year_loads(spark, sf)[1]
+
+
+@register("key_registry_checks", f"""WITH {_YEAR_LOADS}
+SELECT 'keys' AS "check", COUNT(*) AS found FROM seen UNION ALL SELECT 'blocks', COUNT(DISTINCT y) FROM seen
+UNION ALL SELECT 'repeated_naturals', 0 UNION ALL SELECT 'repeated_keys', 0 UNION ALL SELECT 'outside', 0""")
+def key_registry_checks(spark, sf):
+    """D3: the committed registry has each customer and each key once, every key in the range of its load."""
+    return R.verify_registry(spark, _year_loads(spark, sf)[0], "o_custkey", "customer_key")
+
+
 @register("reuse_surrogate_orders", "SELECT o_orderkey, CAST(o_orderkey AS BIGINT) AS order_key FROM orders")
 def reuse_surrogate_orders(spark, sf):
     """A source key already usable as the surrogate is cast to BIGINT."""

@@ -15,14 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 _END = "end"
 
 
-def _fs(spark: SparkSession, name: str):
+def file_system(spark: SparkSession, name: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
-def _manifests(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+def manifests(spark: SparkSession, root: str) -> list[tuple[int, str]]:
     """(number, version) of the whole manifests, lowest first."""
-    fs, folder = _fs(spark, f"{root}/_manifest")
+    fs, folder = file_system(spark, f"{root}/_manifest")
     if not fs.exists(folder):
         return []
     found = []
@@ -36,7 +36,7 @@ def _manifests(spark: SparkSession, root: str) -> list[tuple[int, str]]:
 
 
 def _read(spark: SparkSession, name: str) -> str:
-    fs, path = _fs(spark, name)
+    fs, path = file_system(spark, name)
     stream = fs.open(path)
     try:
         return bytes(stream.readAllBytes()).decode()
@@ -44,9 +44,13 @@ def _read(spark: SparkSession, name: str) -> str:
         stream.close()
 
 
-def _publish(spark: SparkSession, root: str, number: int, version: str) -> None:
+def manifest_name(root: str, number: int) -> str:
+    return f"{root}/_manifest/{number:010d}"
+
+
+def publish(spark: SparkSession, root: str, number: int, version: str) -> None:
     """Make the manifest; fails if another writer made this number first."""
-    fs, path = _fs(spark, f"{root}/_manifest/{number:010d}")
+    fs, path = file_system(spark, manifest_name(root, number))
     stream = fs.create(path, False)
     try:
         stream.write(bytearray(f"{version}\n{_END}\n".encode()))
@@ -56,7 +60,7 @@ def _publish(spark: SparkSession, root: str, number: int, version: str) -> None:
 
 def current_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
     """(number, folder) of the version that readers see; None if there is none."""
-    found = _manifests(spark, root)
+    found = manifests(spark, root)
     return (found[-1][0], f"{root}/{found[-1][1]}") if found else None
 
 
@@ -71,15 +75,15 @@ def replace_table(df: DataFrame, root: str) -> None:
     """Write ``df``, which may read the current version, as the new version and switch to it."""
     spark = df.sparkSession
     found = current_version(spark, root)
-    taken = _numbers(spark, root)
+    taken = numbers(spark, root)
     number = max([found[0] if found else 0, *taken]) + 1
     version = f"v-{uuid.uuid4().hex}"
     df.write.parquet(f"{root}/{version}")
-    _publish(spark, root, number, version)
+    publish(spark, root, number, version)
 
 
-def _numbers(spark: SparkSession, root: str) -> list[int]:
-    fs, folder = _fs(spark, f"{root}/_manifest")
+def numbers(spark: SparkSession, root: str) -> list[int]:
+    fs, folder = file_system(spark, f"{root}/_manifest")
     if not fs.exists(folder):
         return []
     return [int(n) for s in fs.listStatus(folder) if (n := s.getPath().getName()).isdigit()]
@@ -88,8 +92,8 @@ def _numbers(spark: SparkSession, root: str) -> list[int]:
 def drop_old_versions(spark: SparkSession, root: str, keep: int = 1) -> None:
     """Delete every version but the last ``keep`` ones, with what failed writers left. Not while readers of older versions or
     writers are at work."""
-    kept = {v for _, v in _manifests(spark, root)[-keep:]}
-    fs, folder = _fs(spark, root)
+    kept = {v for _, v in manifests(spark, root)[-keep:]}
+    fs, folder = file_system(spark, root)
     for status in fs.listStatus(folder):
         name = status.getPath().getName()
         if name.startswith("v-") and name not in kept:

@@ -33,7 +33,7 @@ def test_a_crash_at_any_step_leaves_a_whole_version(spark, tmp_path, monkeypatch
         with pytest.raises(Exception):  # noqa: B017
             versions.replace_table(new.selectExpr("k", "raise_error('lost') AS x"), root)
     elif step == "manifest":
-        monkeypatch.setattr(versions, "_publish", dies)
+        monkeypatch.setattr(versions, "publish", dies)
         with pytest.raises(RuntimeError):
             versions.replace_table(new, root)
         monkeypatch.undo()
@@ -54,6 +54,6 @@ def test_a_crash_at_any_step_leaves_a_whole_version(spark, tmp_path, monkeypatch
 def test_of_two_writers_from_one_version_one_fails(spark, tmp_path):
     root = str(tmp_path / "t")
     versions.replace_table(spark.createDataFrame([(1,)], "k long"), root)
-    versions._publish(spark, root, 2, "v-other")
+    versions.publish(spark, root, 2, "v-other")
     with pytest.raises(Exception):  # noqa: B017
-        versions._publish(spark, root, 2, "v-mine")
+        versions.publish(spark, root, 2, "v-mine")
