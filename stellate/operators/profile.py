@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stellate.functions.types import DATE, NUMERIC, OTHER, STRING, type_family
+from stellate.operators.heavy import digest, summaries
 from stellate.session import checkpoint_dir
 
 # Fixed values (must equal the reference's profiler defaults).
@@ -451,13 +452,57 @@ def profile_light(tables: dict) -> DataFrame:
 
 def table_top_values(df: DataFrame, table_name: str, threshold: int = TOP_THRESHOLD,
                      limit: int = TOP_LIMIT) -> DataFrame:
-    """P8-P10 + W1 alone: the top values of a table without the other statistics: exact distinct counts
-    over digests decide which columns are stacked with their values."""
+    """P8-P10 + W1 alone: the top values of a table without the other statistics, in two scans. Summaries of the first scan
+    (``heavy``) list all values of a column that has few; those columns are counted exactly in the second, and the
+    threshold applies to the values counted there."""
     columns = [f.name for f in df.schema.fields if type_family(f.dataType) != OTHER]
-    few = [r["column_name"] for r in distinct_by_digest(df, columns).where(F.col("distinct_count") <= threshold).collect()]
+    found = summaries(df, columns, threshold + 1)
+    few = [c for c in columns if found[c].whole and found[c].non_null]
     if not few:
         return df.sparkSession.createDataFrame([], _NO_TOP)
-    return top_values(df, table_name, few, limit)
+    freqs = value_frequencies(df, few)
+    values = F.count(F.lit(1)).over(Window.partitionBy("column_name"))
+    w = Window.partitionBy("column_name").orderBy(F.col("frequency").desc(), F.col("value").asc())
+    return (freqs.withColumns({"values": values, "rank": F.row_number().over(w)})
+            .where((F.col("values") <= threshold) & (F.col("rank") <= limit))
+            .select(F.lit(table_name).alias("table_name"), "column_name", "rank", "value", "frequency"))
+
+
+def _leading(freqs: DataFrame, limit: int, slices: int) -> DataFrame:
+    """The ``limit`` most frequent values per column, ranked in slices of the values first, so that a column with very many
+    values is no single task."""
+    order = [F.col("frequency").desc(), F.col("value").asc()]
+    part = freqs.withColumn("_s", F.pmod(F.xxhash64("value"), F.lit(slices)))
+    part = part.withColumn("rank", F.row_number().over(Window.partitionBy("column_name", "_s").orderBy(*order)))
+    return (part.where(F.col("rank") <= limit).withColumn("rank", F.row_number().over(Window.partitionBy("column_name").orderBy(*order)))
+            .where(F.col("rank") <= limit).drop("_s"))
+
+
+def heavy_hitters(df: DataFrame, table_name: str, columns=None, limit: int = TOP_LIMIT, listed: int = 1024, slices: int = 256) -> DataFrame:
+    """P9 without a limit on the number of different values: the exact ``limit`` most frequent values of each column, ties by
+    value ascending. The first scan lists candidates, the second recounts them. Where the last one's count is above what
+    any value outside the list may have, the recount is the answer; the other columns (nearly flat ones) are counted in full.
+    The driver holds ``listed`` digests and ``limit`` values a column."""
+    columns = [f.name for f in df.schema.fields if type_family(f.dataType) != OTHER and (columns is None or f.name in columns)]
+    spark = df.sparkSession
+    found = {c: s for c, s in summaries(df, columns, listed).items() if s.non_null}
+    if not found:
+        return spark.createDataFrame([], _NO_TOP)
+    likely = [c for c, s in found.items() if s.digests]
+    shown = df.select(*[F.when(digest(c).isin(list(found[c].digests)), F.col(_q(c))).alias(c) for c in likely])
+    top = _leading(value_frequencies(shown, likely), limit, slices).collect() if likely else []
+    settled = []
+    for c in likely:
+        mine = [r for r in top if r["column_name"] == c]
+        if found[c].whole or (len(mine) == limit and min(r["frequency"] for r in mine) > found[c].bound):
+            settled.append(c)
+    rows = [(table_name, r["column_name"], r["rank"], r["value"], r["frequency"]) for r in top if r["column_name"] in settled]
+    out = spark.createDataFrame(rows, _NO_TOP)
+    open_ = [c for c in found if c not in settled]
+    if open_:
+        rest = _leading(value_frequencies(df, open_), limit, slices)
+        out = out.unionByName(rest.select(F.lit(table_name).alias("table_name"), "column_name", "rank", "value", "frequency"))
+    return out
 
 
 def table_quality(profile: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stellate.operators import metrics as A
+from stellate.operators.levels import distinct_over_levels
 from stellate.plans.registry import register
 from stellate.plans.schemas import SCHEMAS
 from stellate.plans.sqlgen import _fam, _role
@@ -38,6 +39,29 @@ def generated_metrics_lineitem(spark, sf):
     return A.generated_metrics(_t(spark, sf, "lineitem"), "fact_lines", "l_orderkey")
 
 
+@register("distinct_keys_over_levels", """SELECT ship_year, l_returnflag, l_linestatus,
+  3 - CAST(GROUPING(ship_year) + GROUPING(l_returnflag) + GROUPING(l_linestatus) AS INTEGER) AS depth, COUNT(*) AS row_count,
+  COUNT(DISTINCT l_orderkey) AS distinct_l_orderkey, SUM(CAST(l_quantity AS DECIMAL(38,4))) AS total_l_quantity
+FROM (SELECT *, CAST(year(l_shipdate) AS INTEGER) AS ship_year FROM lineitem) GROUP BY ROLLUP (ship_year, l_returnflag, l_linestatus)""")
+def distinct_keys_over_levels(spark, sf):
+    """A2 + A9: distinct orders per level from bitmaps combined up the rollup."""
+    li = _t(spark, sf, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
+    return distinct_over_levels(li, ["ship_year", "l_returnflag", "l_linestatus"], "l_orderkey", ["l_quantity"])
+
+
+@register("distinct_customers_by_geography", """SELECT r_name, n_name, c_mktsegment,
+  3 - CAST(GROUPING(r_name) + GROUPING(n_name) + GROUPING(c_mktsegment) AS INTEGER) AS depth, COUNT(*) AS row_count,
+  COUNT(DISTINCT o_custkey) AS distinct_o_custkey
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+GROUP BY ROLLUP (r_name, n_name, c_mktsegment)""")
+def distinct_customers_by_geography(spark, sf):
+    """A2 + A9: buying customers per region, nation and segment."""
+    o, c, n, r = (_t(spark, sf, t) for t in ("orders", "customer", "nation", "region"))
+    x = (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+         .join(r, n.n_regionkey == r.r_regionkey))
+    return distinct_over_levels(x, ["r_name", "n_name", "c_mktsegment"], "o_custkey")
+
+
 @register("revenue_per_customer", """SELECT ROUND(CAST(AVG(v) AS DOUBLE), 4) AS revenue_per_o_custkey,
   COUNT(*) AS o_custkey_count FROM (SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(38,4))) AS v
   FROM orders GROUP BY o_custkey)""")

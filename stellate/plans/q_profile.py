@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stellate.operators import profile as P
+from stellate.operators import sketches as K
 from stellate.plans.registry import register
 from stellate.plans.schemas import SCHEMAS, TPCH
-from stellate.plans.sqlgen import frequencies_sql, profile_sql, top_values_sql
+from stellate.plans.sqlgen import _fam, frequencies_sql, profile_sql, top_values_sql
 from stellate.sources import derived as D
+from stellate.sources import files as S
 from stellate.sources.tables import load_table
 
 PROFILED = tuple(SCHEMAS)
@@ -117,27 +119,80 @@ def profile_empty_orders(spark, sf):
     return prof
 
 
+def _heavy(table):
+    def q(spark, sf):
+        """P9 for columns of any number of values: candidates from one scan, recounted exactly."""
+        return P.heavy_hitters(load_table(spark, sf, table), table)
+    return q
+
+
+for _t in ("lineitem", "events", "documents"):
+    register(f"heavy_hitters_{_t}", top_values_sql(_t, threshold=1 << 62))(_heavy(_t))
+
+
+_QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
+_CLOSE_SQL = ", ".join(f"TRUE AS {q}_close" for q in _QUARTILES)
+
+
+def _rank_checks(df, quartiles):
+    """column_name and, for each quartile of it, whether the shares of values below and up to it enclose its probability
+    within 1 %; ``quartiles`` has one row a column."""
+    found = [(r["column_name"], q, r[q]) for r in quartiles.select("column_name", *_QUARTILES).collect() for q in _QUARTILES]
+    checks = []
+    for c, q, v in found:
+        if v is not None:
+            x = F.col(c).cast("double")
+            checks.append(F.struct(F.lit(c).alias("column_name"), F.lit(q).alias("quartile"), F.lit(_QUARTILES[q]).alias("p"),
+                                   (x < v).cast("int").alias("below"), (x <= v).cast("int").alias("upto")))
+    shares = df.select(F.inline(F.array(*checks))).groupBy("column_name", "quartile", "p").agg(
+        F.avg("below").alias("below"), F.avg("upto").alias("upto"))
+    close = (F.col("below") <= F.col("p") + 0.01) & (F.col("upto") >= F.col("p") - 0.01)
+    return shares.groupBy("column_name").agg(*[F.bool_and(F.when(F.col("quartile") == q, close)).alias(f"{q}_close") for q in _QUARTILES])
+
+
+def _close_columns():
+    return [F.coalesce(F.col(f"{q}_close"), F.lit(True)).alias(f"{q}_close") for q in _QUARTILES]
+
+
 _APPROX_SQL = "\nUNION ALL\n".join(f"""SELECT '{c}' AS column_name, COUNT(*) AS total_rows, COUNT("{c}") AS non_null_count,
-  TRUE AS distinct_close, TRUE AS median_close FROM lineitem""" for c, _ in SCHEMAS["lineitem"])
+  TRUE AS distinct_close, {_CLOSE_SQL} FROM lineitem""" for c, _ in SCHEMAS["lineitem"])
 
 
 @register("profile_approx_lineitem", _APPROX_SQL)
 def profile_approx_lineitem(spark, sf):
-    """P6 + P7: sketch-based distinct counts and percentiles against their bounds: distinct counts within
-    five standard deviations of the sketch (25 %), and the share of values below the median within 1 % of
-    a half (counting those equal to it)."""
+    """P6 + P7: sketch-based distinct counts and quartiles against their bounds: distinct counts within five
+    standard deviations of the sketch (25 %), quartiles by rank within 1 %."""
     li = load_table(spark, sf, "lineitem")
     approx, _ = P.profile_columns(li, "lineitem", percentiles="approx", distinct="approx")
     exact = P.distinct_by_digest(li).withColumnRenamed("distinct_count", "exact")
-    medians = {r["column_name"]: r["median"] for r in approx.select("column_name", "median").collect()}
-    shares = li.select(F.inline(F.array(*[F.struct(
-        F.lit(c).alias("column_name"), (F.col(c).cast("double") < m).alias("below"), (F.col(c).cast("double") <= m).alias("upto"))
-        for c, m in medians.items() if m is not None]))).groupBy("column_name").agg(
-        F.avg(F.col("below").cast("int")).alias("below"), F.avg(F.col("upto").cast("int")).alias("upto"))
-    x = approx.join(exact, "column_name").join(shares, "column_name", "left")
+    x = approx.join(exact, "column_name").join(_rank_checks(li, approx), "column_name", "left")
     return x.select("column_name", "total_rows", "non_null_count",
-                    (F.abs(F.col("distinct_count") - F.col("exact")) <= 0.25 * F.col("exact")).alias("distinct_close"),
-                    F.coalesce((F.col("below") <= 0.51) & (F.col("upto") >= 0.49), F.lit(True)).alias("median_close"))
+                    (F.abs(F.col("distinct_count") - F.col("exact")) <= 0.25 * F.col("exact")).alias("distinct_close"), *_close_columns())
+
+
+_INCREMENT_SQL = "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column_name, COUNT(*) AS total_rows, COUNT("{c}") AS non_null_count, COUNT(*) - COUNT("{c}") AS null_count,
+  {f'MIN("{c}"::DOUBLE + 0.0)' if _fam(ty) == "numeric" else 'NULL::DOUBLE'} AS min_val, {f'MAX("{c}"::DOUBLE + 0.0)' if _fam(ty) == "numeric" else 'NULL::DOUBLE'} AS max_val,
+  TRUE AS distinct_close, {_CLOSE_SQL} FROM lineitem""" for c, ty in SCHEMAS["lineitem"])
+
+
+@register("profile_increment_lineitem", _INCREMENT_SQL)
+def profile_increment_lineitem(spark, sf):
+    """P6 + P7 kept: sketches of the first load (all ship years but the last) and of the last year, stored, the second load
+    run twice, then merged; distinct counts within 8 % (five standard errors), quartiles by rank within 1 %."""
+    li = load_table(spark, sf, "lineitem")
+    year = F.year("l_shipdate")
+    last = li.agg(F.max(year)).first()[0]  # one scalar
+    root = S.scratch_path(spark, "sketches")
+    new = F.coalesce(year == last, F.lit(False))
+    K.store_load(root, "base", li.where(~new))
+    for _ in range(2):
+        K.store_load(root, "increment", li.where(new))
+    merged = K.profile_from_sketches(K.merge_sketches(K.stored_sketches(spark, root)))
+    exact = P.distinct_by_digest(li).withColumnRenamed("distinct_count", "exact")
+    x = merged.join(exact, "column_name").join(_rank_checks(li, merged), "column_name", "left")
+    return x.select("column_name", "total_rows", "non_null_count", "null_count", "min_val", "max_val",
+                    (F.abs(F.col("distinct_count") - F.col("exact")) <= 0.08 * F.col("exact")).alias("distinct_close"), *_close_columns())
 
 
 @register("bounded_sample_customer_name",
