@@ -156,6 +156,8 @@ def repeated_windows(docs: DataFrame, units: Units, decide: Callable[[DataFrame,
     ranges = (found.join(decided, ["h", "c"])
               .select("id", "th", F.struct((start + F.col("first")).alias("first"), (start + F.col("last")).alias("last")).alias("range"))
               .groupBy("id", "th").agg(F.collect_set("range").alias("ranges")))  # equal rows have equal ranges
+    ranges = stage(ranges, "ranges")
+    drop_staged(found, kinds, shared)
     b, r = base.alias("b"), ranges.alias("r")
     return (b.join(r, F.col("b.id").eqNullSafe(F.col("r.id")) & (F.col("b.th") == F.col("r.th")), "left")
             .select("b.id", "b.text", "r.ranges", *_carried(base)))
@@ -212,27 +214,29 @@ def count_windows(open_: DataFrame, base: DataFrame, units: Units) -> DataFrame:
                 hashes = span_hashes(values, at, at + units.width).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[of]), pa.array(c[of]), pa.array(block[new]), pa.array(core.view(np.int64)),
-                     pa.array(digest.view(np.int64)), pa.array(k[new]), pa.array((before[of] - k[new])),
+                     pa.array(digest.view(np.int64)), pa.array(k[new]),
                      pa.ListArray.from_arrays(pa.array(np.append(new, len(k)).astype(np.int32)), pa.array(hashes))],
-                    ["h", "c", "block", "core", "digest", "first", "d", "w"])
+                    ["h", "c", "block", "core", "digest", "first", "w"])
 
     blocks = stage(with_texts(open_, base).mapInArrow(
-        run, "h long, c long, block long, core long, digest long, first long, d long, w array<long>"), "blocks")
+        run, "h long, c long, block long, core long, digest long, first long, w array<long>"), "blocks")
     core = ["h", "block", "core"]
     kinds = stage(blocks.groupBy(*core, "digest").agg(F.count(F.lit(1)).alias("copies"), F.min("c").alias("c")), "block-kinds")
     again = kinds.where("copies > 1").select(*core, "digest")
     whole = blocks.join(again, [*core, "digest"]).select("h", "c", "first", (F.col("first") + F.size("w") - 1).alias("last"))
-    mixed = stage(kinds.groupBy(*core).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*core), "mixed-cores")
-    # one block of each kind takes part in the count of windows
+    mixed = kinds.groupBy(*core).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*core)
+    # One block of each kind takes part in the count of windows. Equal windows have equal anchors at equal
+    # offsets, so the hashes of anchor and window stand for their block and core too.
     chosen = kinds.join(mixed, core).select(*core, "digest", "c", (F.col("copies") == 1).alias("single"))
-    rows = (blocks.join(chosen, [*core, "digest", "c"])
-            .select(*core, "digest", "c", "first", "d", "single", F.posexplode("w").alias("i", "w"))
-            .select(*core, "digest", "c", (F.col("first") + F.col("i")).alias("first"), (F.col("d") - F.col("i")).alias("d"), "single", "w"))
-    counted = (rows.groupBy(*core, "d", "w").agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
-               .where("least <> most").select(*core, "d", "w"))
-    single = (rows.where("single").join(counted, [*core, "d", "w"])
-              .select("h", "c", F.col("first").cast("long").alias("first"), F.col("first").cast("long").alias("last")))
-    return whole.unionByName(single)
+    rows = stage(blocks.join(chosen, [*core, "digest", "c"]).select("h", "c", "digest", "first", "single", "w"), "mixed-blocks")
+    windows_ = rows.select("h", "c", "digest", "single", "first", F.posexplode("w").alias("i", "w"))
+    counted = (windows_.groupBy("h", "w").agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
+               .where("least <> most").select("h", "w"))
+    at = (F.col("first") + F.col("i")).cast("long")
+    single = windows_.where("single").join(counted, ["h", "w"]).select("h", "c", at.alias("first"), at.alias("last"))
+    out = stage(whole.unionByName(single), "repeated-blocks")
+    drop_staged(blocks, kinds, rows)
+    return out
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
