@@ -1,7 +1,8 @@
 """Token counts by prefix dynamic programming.
 
 For every prefix of a text the table holds the exact number of tokens the tokenizer gives for that
-prefix, as the difference to the prefix one code point shorter (one signed byte a code point).
+prefix, as the difference to the prefix one code point shorter (one signed byte a code point; -128 and
+four bytes for a difference beyond 127).
 Counting, truncating and budgeting then read the table and never encode again.
 
 The table of a piece (a word, number or run of signs; a BPE never merges across pieces) comes from
@@ -13,7 +14,8 @@ and whole pieces that were met before are looked up, and pieces' tables are stru
 Parts of a text with characters outside ASCII and Latin-1 letters, control characters or '<|' go through
 the same program, piece by piece; there the library normalises and cuts, the program counts. Code points that
 normalisation can join with the one before (combining marks, jamo) are normalised in groups, and prefixes that end
-inside a group one by one, so work grows with the square of a group's length. A special string is one
+inside a group one by one; the program goes on from what a prefix shares with the prefix before, so only
+normalising and cutting see a long group's prefixes whole. A special string is one
 token from its last code point on and ordinary text before. No text is left to the library's encoder.
 
 Defined results: null and empty texts have 0 tokens and an empty table; repeated rows and ties give a row
@@ -57,8 +59,7 @@ def groups() -> re.Pattern:
 
 
 class PieceTables:
-    """For each code point of a text, the change of the token count of the prefix that ends there, one
-    signed byte each. Built by the dynamic program above from the vocabulary file's merges."""
+    """For each code point of a text, the change of the token count of the prefix that ends there, packed. Built by the dynamic program above from the vocabulary file's merges."""
 
     def __init__(self, path: str):
         self.pieces = Lookup(self.piece)
@@ -83,6 +84,8 @@ class PieceTables:
         # letters of a prefix -> last token and count inside a word, count as a whole word
         self.states: dict[str, tuple[str, int, int]] = {}
         self.last_states: dict[str, tuple[str, int, int]] = {}
+        # the last long piece that ``total`` was asked for, and its prefixes' last tokens and counts
+        self.long, self.long_path = "", [("", 0, 0)]
         # tokens that encode to themselves: letters, and merges of two compatible parts
         self.vocab = {t: t for t in model["vocab"] if t not in self.made or self.reached(t)}
         self.longest = max(map(len, self.vocab))
@@ -103,7 +106,7 @@ class PieceTables:
         if piece.isspace():
             return bytes(len(piece))
         counts = self.counts(piece)
-        return bytes([b - a & 0xFF for a, b in zip([0, *counts], counts)])
+        return packed([b - a for a, b in zip([0, *counts], counts)])
 
     def cut_odd(self, part: str) -> bytes:
         """The table of a part with any characters."""
@@ -118,10 +121,7 @@ class PieceTables:
             at = end
         before = counts[-1]
         counts += [before + n for n in self.prefixes(part[at:])]
-        steps = np.diff(counts)
-        if np.abs(steps).max(initial=0) > 127:
-            raise ValueError("a code point that changes the count by more than 127 tokens")
-        return steps.astype(np.int8).tobytes()
+        return packed(np.diff(counts).tolist())
 
     def prefixes(self, text: str) -> list[int]:
         """Tokens of each prefix of a text without special strings, one entry a code point."""
@@ -146,7 +146,7 @@ class PieceTables:
                 tail = starts[max(i - 2, 0)] if i else 0
                 for k in range(1, len(group)):
                     upto = whole[tail:n] + self.forms[group[:k]]
-                    out.append(counts[tail] + sum(self.counts(upto[a:b])[-1] for a, b in self.cuts(upto)))
+                    out.append(counts[tail] + sum(self.total(upto[a:b]) for a, b in self.cuts(upto)))
             n += len(form)
             out.append(counts[n])
         return out
@@ -184,6 +184,23 @@ class PieceTables:
         # the byte prefixes that are whole code points: the next byte does not continue one
         return [path[k][2] for k in range(1, len(data) + 1) if k == len(data) or data[k] & 0xC0 != 0x80]
 
+    def total(self, piece: str) -> int:
+        """Tokens of a piece. A long one takes over what it shares with the long one before it."""
+        if len(piece) <= CACHE_LENGTH:
+            return self.counts(piece)[-1]
+        symbols = piece.encode().decode("latin-1").translate(self.letters)
+        path, before = self.long_path, self.long
+        if symbols.startswith(before):
+            shared = len(before)
+        else:
+            shared = bisect_left(range(1, min(len(before), len(symbols)) + 1), True,
+                                 key=lambda k: not symbols.startswith(before[:k]))
+        del path[shared + 1:]
+        for k in range(shared + 1, len(symbols) + 1):
+            path.append((*self.step(symbols, k, "", path), 0))
+        self.long = symbols
+        return self.step(symbols, len(symbols), self.end, path)[1]
+
     def step(self, symbols: str, k: int, end: str, path: list[tuple[str, int, int]]) -> tuple[str, int]:
         """Last token and count of the first k symbols, given those of the shorter prefixes (the inside of
         a word, or with ``end`` a whole word)."""
@@ -246,20 +263,40 @@ class PieceTables:
         return result
 
 
+def packed(steps: list[int]) -> bytes:
+    """Steps of the count as stored."""
+    if max(steps, default=0) <= 127 and min(steps, default=0) >= -127:
+        return bytes([s & 0xFF for s in steps])
+    return b"".join([bytes([s & 0xFF]) if -127 <= s <= 127 else b"\x80" + s.to_bytes(4, "little", signed=True) for s in steps])
+
+
+def steps_of(table: bytes) -> np.ndarray:
+    """The steps of a stored table."""
+    steps = np.frombuffer(table, np.int8)
+    if b"\x80" not in table:
+        return steps
+    parts, at = [], 0
+    while (wide := table.find(b"\x80", at)) >= 0:
+        parts += [steps[at:wide], np.frombuffer(table, "<i4", 1, wide + 1)]
+        at = wide + 5
+    return np.concatenate([*parts, steps[at:]])
+
+
 @lru_cache(maxsize=4)
 def piece_tables(path: str) -> PieceTables:
     return PieceTables(path)
 
 
 def prefix_table(path: str, text: str) -> bytes:
-    """The table of one text: a signed byte per code point."""
+    """The table of one text (``steps_of`` reads it)."""
     return piece_tables(path).table(text)
 
 
 def counts_of(table: bytes) -> np.ndarray:
     """Token counts of all prefixes, the empty one first."""
-    out = np.zeros(len(table) + 1, np.int64)
-    np.cumsum(np.frombuffer(table, np.int8), dtype=np.int64, out=out[1:])
+    steps = steps_of(table)
+    out = np.zeros(len(steps) + 1, np.int64)
+    np.cumsum(steps, dtype=np.int64, out=out[1:])
     return out
 
 
@@ -278,7 +315,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
                 found = [prefix_table(tokenizer_path, t) if t else b"" for t in part.to_pylist()]
                 sizes = [0 if v is None else v for v in pc.binary_length(part).to_pylist()]
                 cols = [batch.column(0).slice(lo, 256), pa.array(sizes, pa.int64()),
-                        pa.array([int(np.frombuffer(t, np.int8).sum(dtype=np.int64)) for t in found], pa.int64())]
+                        pa.array([int(steps_of(t).sum(dtype=np.int64)) for t in found], pa.int64())]
                 if tables:
                     cols.append(pa.array(found, pa.binary()))
                 yield pa.RecordBatch.from_arrays(cols, ["id", "n_bytes", "n_tokens", "prefix_table"][:len(cols)])

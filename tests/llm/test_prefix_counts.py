@@ -58,6 +58,24 @@ def test_every_prefix_of_random_texts(tok):
         assert counts.tolist() == [n_tokens(tok, text[:k]) for k in range(len(text) + 1)], text
 
 
+@pytest.mark.parametrize("marks", ["\u0301" * 90, "\u0323\u0301" * 60, "\u0301" * 70 + "\u0323" * 5 + "\u0344" * 9])
+def test_every_prefix_of_long_groups_of_marks(tok, marks):
+    text = "ye" + marks + " we'll a" + marks[:80]
+    counts = C.counts_of(C.prefix_table(PATH, text))
+    assert counts.tolist() == [n_tokens(tok, text[:k]) for k in range(len(text) + 1)]
+
+
+def test_a_group_of_thousands_of_marks_ends(tok):
+    text = "e" + "\u0301" * 4000
+    assert C.counts_of(C.prefix_table(PATH, text))[-1] == n_tokens(tok, text)
+
+
+def test_wide_steps_round_trip():
+    for steps in ([], [1, 0, -127], [128, 1, -128, 127, 0, 70000, 128], [0, -300]):
+        table = C.packed(steps)
+        assert C.steps_of(table).tolist() == steps and C.counts_of(table).tolist() == [0, *np.cumsum(steps).tolist()]
+
+
 def test_cuts_of_odd_texts_stay_within_the_budget(spark, tok):
     docs = spark.createDataFrame([(0, "hello世界"), (1, "it’s 5€")], "doc_id long, text string")
     text = {r.doc_id: r.text for r in docs.collect()}
