@@ -20,17 +20,20 @@ def dedupe_latest(df: DataFrame, key, order, tiebreak=()) -> DataFrame:
 
     A grouped ``max(struct(order..., row))`` instead of ``row_number`` over a window:
     the aggregate is combined map-side, so a key holding a third of all rows never
-    has to be sorted inside one task.
+    has to be sorted inside one task. Maps have no order, so a map column goes through as its sorted entries.
     """
     key = [key] if isinstance(key, str) else list(key)
     order = [order] if isinstance(order, str) else list(order)
     tiebreak = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
     rest = [c for c in df.columns if c not in key]
+    maps = {f.name for f in df.schema if isinstance(f.dataType, T.MapType)}
     # NULL orders sort below any value inside a struct, so max() puts them last.
     ranked = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order + tiebreak)],
-                      F.struct(*[F.col(c) for c in rest]).alias("_row"))
+                      F.struct(*[(F.sort_array(F.map_entries(f"`{c}`")) if c in maps else F.col(f"`{c}`")).alias(c) for c in rest])
+                      .alias("_row"))
     best = df.groupBy(*key).agg(F.max(ranked).alias("_best"))
-    return best.select(*key, *[F.col(f"_best._row.`{c}`").alias(c) for c in rest]).select(*df.columns)
+    row = {c: F.col(f"_best._row.`{c}`") for c in rest}
+    return best.select(*key, *[(F.map_from_entries(v) if c in maps else v).alias(c) for c, v in row.items()]).select(*df.columns)
 
 
 # ------------------------------------------------------------------ D2, D3

@@ -28,6 +28,13 @@ def test_stable_surrogate_key_keeps_old_keys(spark):
     assert got == {5: 1, 9: 2, 1: 3, 7: 4}
 
 
+def test_dedupe_latest_carries_maps(spark):
+    rows = [(1, 1, {"a": 1}), (1, 2, {"b": 2, "a": 3}), (2, 1, None), (3, 1, {}), (3, 1, {"x": None})]
+    df = spark.createDataFrame(rows, "k int, modified int, v map<string,int>")
+    got = {r.k: r.v for r in Dm.dedupe_latest(df, "k", "modified").collect()}
+    assert got == {1: {"a": 3, "b": 2}, 2: None, 3: {"x": None}}
+
+
 def test_dedupe_latest_nulls_last_and_hot_key(spark):
     rows = [(1, None, "n"), (1, 5, "a"), (1, 7, "b"), (2, None, "z")] + [(3, i, f"v{i}") for i in range(2000)]
     df = spark.createDataFrame(rows, "k int, modified int, v string")
