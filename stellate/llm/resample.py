@@ -9,7 +9,7 @@ text. Adding Gumbel noise (from a hash of the id) and taking the k largest keys
 replacement with probability in proportion to their weights. Unless given, k is the labelled documents'
 share of targets, of all documents.
 
-Raw counts cover all documents, target counts all labelled targets up to ``TARGET_ROWS`` of them (then a
+Raw counts cover all documents, target counts all labelled targets up to ``target_rows`` of them (then a
 share of about that many, drawn by hash); both are added up per task before the shuffle; the models are fixed-size arrays
 (``BUCKETS`` entries an order), so what is collected and broadcast does not grow. The k-th largest key is
 found by counting keys in ever narrower ranges; keys never meet in one place.
@@ -56,10 +56,11 @@ def targets(labels: DataFrame) -> DataFrame:
             .agg(F.min(F.coalesce(good, F.lit(False)).cast("int")).alias("target")))
 
 
-def log_ratios(docs: DataFrame, labelled: DataFrame) -> np.ndarray:
-    """The fitted log ratio of every bucket, a row per order."""
+def log_ratios(docs: DataFrame, labelled: DataFrame, target_rows: int = TARGET_ROWS) -> np.ndarray:
+    """The fitted log ratio of every bucket, a row per order; targets are counted on about ``target_rows`` of the
+    labelled ones at most."""
     known = labelled.where("target = 1").select("doc_id")
-    share = min(1.0, TARGET_ROWS / max(known.count(), 1))
+    share = min(1.0, target_rows / max(known.count(), 1))
     ids = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(
         F.broadcast(ids.withColumn("good", F.lit(True))), "doc_id", "left").select(F.coalesce("good", F.lit(False)).alias("good"), "text")
@@ -127,10 +128,11 @@ def kth_largest(df: DataFrame, col: str, k: int, parts: int = 4096, few: int = 4
     return lo
 
 
-def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = SEED) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = SEED,
+             target_rows: int = TARGET_ROWS) -> DataFrame:
     """Every document with n_tokens, log_weight, its Gumbel key and whether it is ``selected``."""
     labelled = targets(labels)
-    scored = log_weights(docs, log_ratios(docs, labelled))
+    scored = log_weights(docs, log_ratios(docs, labelled, target_rows))
     bits = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11).cast("double")
     uniform = (bits + F.lit(0.5)) * F.lit(2.0 ** -53)
     scored = stage(scored.withColumn("key", F.col("log_weight") - F.log(-F.log(uniform))), "log-weights")

@@ -75,3 +75,14 @@ def test_edges(spark, edge_docs, edge_rows, no_docs):
     none = labels.limit(0)
     assert R.resample(edge_docs, none).where("NOT selected").count() == 0
     assert R.resample(no_docs, labels).count() == 0
+
+
+def test_targets_are_counted_up_to_the_bound(spark):
+    docs = spark.createDataFrame([(i, f"w{i} same") for i in range(400)], "doc_id long, text string")
+    known = spark.createDataFrame([(i, 1) for i in range(400)], "doc_id long, target int")
+    every = R.log_ratios(docs, known)
+    assert np.array_equal(every, R.log_ratios(docs, known, 400))
+    some = R.log_ratios(docs, known, 100)
+    assert some.shape == every.shape and not np.array_equal(every, some)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    assert R.resample(docs, labels, target_rows=100).count() == 400
