@@ -1,16 +1,26 @@
 """Minimal unique column combinations (K2, business keys of K14), searched level by level.
 
 A combination is a key if no two rows agree on all its columns and none of them holds a NULL; it is minimal if no
-part of it is a key. Level k tries combinations of k columns, all of them and all tables in one scan: each row
-gives a 128-bit digest per candidate, grouped with a map-side partial count. What keeps the candidates few:
+part of it is a key. Level k tries combinations of k columns, those of all tables together. What keeps the candidates few:
 
 * a combination with a key inside it is not minimal;
 * agree sets: two rows that agree on a set of columns rule out every combination within that set. They come from
-  all pairs of a bounded sample and from the duplicates that each level finds (the first and last row of a group
-  of duplicates). A sample only ever rules out, by two rows that really agree; what it leaves is counted on all rows;
+  all pairs of a bounded sample and from the duplicates that each level finds. A sample only ever rules out, by two
+  rows that really agree; what it leaves is counted on all rows;
 * a combination whose columns have fewer possible values together than the table has rows cannot be unique.
 
-The driver holds column names, candidates, agree sets and the sample (``sample_rows`` digests a table).
+What keeps a level small on the network (rows themselves never move, only digests of candidates):
+
+* in a table of more than ``SCREEN_ROWS`` rows each candidate is screened first: of its digests, those in one of
+  ``SCREEN`` parts of the digest space are counted. A value that repeats there rules the candidate out. Only what
+  the screen leaves, keys and combinations that hardly repeat, goes on;
+* the rest is counted on all rows, 64 bits a row and candidate, without a partial count that could not shrink it;
+* the rows of a few repeated digests are looked up and compared column by column, which gives the agree sets and
+  tells true repeats from equal digests of different values. Where the repeats looked up turn out to be the latter,
+  the candidate is counted again by 128 bits.
+
+The driver holds column names, candidates, agree sets, a few digests a candidate and the sample (``sample_rows``
+digests a table).
 """
 
 from __future__ import annotations
@@ -18,7 +28,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import combinations
-from math import prod
+from math import ceil, prod
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -28,6 +38,11 @@ from stellate.operators.discovery import key_family
 
 MAX_SIZE = 4
 SAMPLE_ROWS = 1000
+SCREEN_ROWS = 1 << 20  # larger tables are screened before they are counted
+SCREEN = 64  # one part in so many of the digest space
+FEW_VALUES = 1 << 16  # columns of about so many values or fewer have them counted, for the bound by their product
+WITNESSES = 4  # repeated digests looked up per candidate
+_COUNTED = 1_000_000  # digests counted in one partition
 
 
 @dataclass
@@ -36,7 +51,7 @@ class _Search:
 
     columns: list[str]
     rows: int = 0
-    distinct: dict[int, int] = field(default_factory=dict)
+    distinct: dict[int, int] = field(default_factory=dict)  # at most so many values; 0: has NULLs
     agree: list[frozenset] = field(default_factory=list)
     keys: list[tuple[int, ...]] = field(default_factory=list)
 
@@ -49,8 +64,6 @@ class _Search:
         self.agree = kept
 
     def candidates(self, size: int) -> list[tuple[int, ...]]:
-        if size == 1:
-            return [(i,) for i in range(len(self.columns))]  # also tells NULLs and distinct values
         free = sorted(i for i, n in self.distinct.items() if n and (i,) not in self.keys)
         out = []
         for c in combinations(free, size):
@@ -75,40 +88,112 @@ def _col(name: str):
     return F.col(f"`{name}`")
 
 
-def _signature(columns: list[str]):
-    """One 64-bit digest a column, by which rows of a group of duplicates are compared."""
-    return F.array(*[F.xxhash64(F.lit(i), _col(c)) for i, c in enumerate(columns)])
+def _signature(columns: list[str]) -> list:
+    """One 64-bit digest a column, by which rows are compared."""
+    return [F.xxhash64(F.lit(i), _col(c)) for i, c in enumerate(columns)]
 
 
-def _level(tables: dict, searches: dict, wanted: dict) -> list:
-    """One scan of the tables for all ``wanted`` candidates: per candidate rows, different values, NULLs and, where
-    rows agree on it, one agree set (the largest found)."""
+def _digests(tables: dict, searches: dict, wanted: list, wide: bool = False) -> DataFrame:
+    """(id, h1[, h2]): for every row of a table one digest per candidate in ``wanted``, whose place in the list is the id."""
     parts = []
-    for t, cands in wanted.items():
-        cols = searches[t].columns
+    for t in dict.fromkeys(t for t, _ in wanted):
         entries = []
-        for i, c in enumerate(cands):
-            names = [_col(cols[j]) for j in c]
-            full = reduce(lambda a, b: a & b, [x.isNotNull() for x in names])
-            entries.append(F.struct(F.lit(i).alias("c"), F.when(full, F.xxhash64(*names)).alias("h1"),
-                                    F.when(full, F.xxhash64(F.lit(t), *names)).alias("h2")))
-        parts.append(tables[t].select(F.lit(t).alias("t"), F.inline(F.array(*entries)), _signature(cols).alias("s"))
-                     if cands else None)
-    rows = reduce(DataFrame.unionAll, [p for p in parts if p is not None])
-    groups = rows.groupBy("t", "c", "h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("a"), F.max("s").alias("b"))
-    places = F.transform(F.arrays_zip("a", "b"), lambda p, i: F.when(p["a"] == p["b"], i))
-    repeated = (F.col("n") > 1) & F.col("h1").isNotNull()
-    agreed = F.when(repeated, F.array_compact(places))
-    return (groups.select("t", "c", "n", F.col("h1").isNull().alias("null"), agreed.alias("agreed"))
-            .groupBy("t", "c").agg(F.sum("n").alias("rows"), F.count_if(~F.col("null")).alias("distinct"), F.max("null").alias("null"),
-                                   F.max(F.struct(F.size("agreed").alias("k"), F.col("agreed").alias("on"))).alias("agreed"))
-            .collect())  # a row per candidate
-
-
-def unique_combinations(tables: dict, max_size: int = MAX_SIZE, sample_rows: int = SAMPLE_ROWS, columns: dict | None = None):
+        for i, (u, c) in enumerate(wanted):
+            if u == t:
+                names = [_col(searches[t].columns[j]) for j in c]
+                second = [F.xxhash64(F.lit(t), *names).alias("h2")] if wide else []
+                entries.append(F.struct(F.lit(i).alias("id"), F.xxhash64(*names).alias("h1"), *second))
+        parts.append(tables[t].select(F.inline(F.array(*entries))))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _repeats(digests: DataFrame) -> dict[int, list]:
+    """Per candidate with repeated digests up to ``WITNESSES`` of them, each the rarest of its part."""
+    keys = digests.columns[1:]
+    repeated = digests.groupBy(*digests.columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    part = F.shiftrightunsigned("h1", 32).bitwiseAND(WITNESSES - 1).alias("part")
+    found: dict[int, list] = {}
+    for r in repeated.groupBy("id", part).agg(F.min(F.struct("n", *keys)).alias("rarest")).collect():
+        found.setdefault(r["id"], []).append(tuple(r["rarest"][k] for k in keys))
+    return found
+
+
+def _screened(tables: dict, searches: dict, wanted: list) -> dict[int, list]:
+    """Repeated digests of the candidates in one of ``SCREEN`` parts of the digest space."""
+    return _repeats(_digests(tables, searches, wanted).where(F.pmod("h1", F.lit(SCREEN)) == 0))
+
+
+def _counted(tables: dict, searches: dict, wanted: list, wide: bool = False) -> dict[int, list]:
+    """Repeated digests of the candidates on all rows. As nearly all differ, they are moved as they are."""
+    partitions = ceil(sum(searches[t].rows for t, _ in wanted) / _COUNTED)
+    return _repeats(_digests(tables, searches, wanted, wide).repartition(max(partitions, 1), "h1"))
+
+
+def _agreed(tables: dict, searches: dict, wanted: list, repeats: dict) -> dict[int, list[frozenset]]:
+    """Per candidate the sets of columns on which all rows of one of its repeated digests agree."""
+    parts = []
+    for t in dict.fromkeys(t for t, _ in wanted):
+        sought = []
+        for i, found in repeats.items():
+            if wanted[i][0] == t:
+                digest = F.xxhash64(*[_col(searches[t].columns[j]) for j in wanted[i][1]])
+                sought.append(F.when(digest.isin([h[0] for h in found]), F.struct(F.lit(i).alias("id"), digest.alias("h1"))))
+        if not sought:
+            continue
+        signs = [s.alias(f"s{j}") for j, s in enumerate(_signature(searches[t].columns))]
+        rows = tables[t].select(F.explode(F.array_compact(F.array(*sought))).alias("of"), *signs).select("of.*", *[f"s{j}" for j in range(len(signs))])
+        same = rows.groupBy("id", "h1").agg(*[(F.min(f"s{j}") == F.max(f"s{j}")).alias(f"s{j}") for j in range(len(signs))])
+        parts.append(same.select("id", F.array(*[f"s{j}" for j in range(len(signs))]).alias("same")))
+    agreed: dict[int, list[frozenset]] = {}
+    for r in reduce(DataFrame.unionAll, parts).collect() if parts else []:
+        agreed.setdefault(r["id"], []).append(frozenset(j for j, x in enumerate(r["same"]) if x))
+    return agreed
+
+
+def _level(tables: dict, searches: dict, wanted: list, screen_rows: int) -> None:
+    """Decide the candidates ``wanted`` (table, columns): learn agree sets of those that repeat, add the others to the keys."""
+    def settle(left, repeats):
+        """The candidates without repeats, and those whose repeats looked up are different values of equal digests."""
+        agreed = _agreed(tables, searches, left, repeats)
+        for i, sets in agreed.items():
+            searches[left[i][0]].learn(sets)
+        ruled_out = {i for i, sets in agreed.items() if any(s.issuperset(left[i][1]) for s in sets)}
+        return [x for i, x in enumerate(left) if i not in repeats], [x for i, x in enumerate(left) if i in repeats and i not in ruled_out]
+
+    large = [x for x in wanted if searches[x[0]].rows > screen_rows]
+    left = [x for x in wanted if x not in large]
+    if large:
+        clean, unclear = settle(large, _screened(tables, searches, large))
+        left += [x for x in clean + unclear if not any(a.issuperset(x[1]) for a in searches[x[0]].agree)]
+    for wide in (False, True):
+        if left:
+            clean, left = settle(left, _counted(tables, searches, left, wide))
+            for t, c in clean:
+                searches[t].keys.append(c)
+
+
+def _values(tables: dict, searches: dict) -> None:
+    """Rows of each table, which columns hold NULLs, and at most how many values each has: counted where they are few."""
+    stats = [tables[t].select(*[_col(c).alias(f"c{i}") for i, c in enumerate(s.columns)]).agg(
+        F.lit(t).alias("t"), F.count(F.lit(1)).alias("rows"), F.array(*[F.count(f"c{i}") for i in range(len(s.columns))]).alias("set"),
+        F.array(*[F.approx_count_distinct(f"c{i}") for i in range(len(s.columns))]).alias("about")) for t, s in searches.items()]
+    few = []
+    for r in reduce(DataFrame.unionAll, stats).collect():
+        s = searches[r["t"]]
+        s.rows = r["rows"]
+        s.distinct = {i: s.rows if n == s.rows else 0 for i, n in enumerate(r["set"])}
+        few += [(r["t"], (i,)) for i, n in enumerate(r["about"]) if s.distinct[i] and n <= FEW_VALUES]
+    if few:
+        for r in _digests(tables, searches, few).distinct().groupBy("id").count().collect():
+            t, (i,) = few[r["id"]]
+            searches[t].distinct[i] = r["count"]
+
+
+def unique_combinations(tables: dict, max_size: int = MAX_SIZE, sample_rows: int = SAMPLE_ROWS, columns: dict | None = None,
+                        screen_rows: int = SCREEN_ROWS):
     """(keys, scans): per table the minimal unique combinations as tuples of column names, fewest columns first, in column
     order; ``scans`` says how many levels were scanned. ``columns`` limits the columns of a table; by default all that
-    can carry a key (numbers but floating ones, texts, dates)."""
+    can carry a key (numbers but floating ones, texts, dates). Tables of more than ``screen_rows`` rows are screened."""
     searches = {}
     for t in sorted(tables):
         able = [f.name for f in tables[t].schema.fields if key_family(f.dataType)]
@@ -117,27 +202,19 @@ def unique_combinations(tables: dict, max_size: int = MAX_SIZE, sample_rows: int
             searches[t] = _Search(chosen)
     if not searches:
         return {}, 0
-    samples = reduce(DataFrame.unionAll, [tables[t].limit(sample_rows).select(F.lit(t).alias("t"), _signature(s.columns).alias("s"))
+    samples = reduce(DataFrame.unionAll, [tables[t].limit(sample_rows).select(F.lit(t).alias("t"), F.array(*_signature(s.columns)).alias("s"))
                                           for t, s in searches.items()]).collect()
     for t, s in searches.items():
         rows = np.array([r["s"] for r in samples if r["t"] == t], np.int64)
         if len(rows) > 1:
             s.learn(agree_sets(rows))
+    _values(tables, searches)
     scans = 0
     for size in range(1, max_size + 1):
-        wanted = {t: c for t, s in searches.items() if (c := s.candidates(size))}
-        if not wanted:
-            continue
-        scans += 1
-        for r in _level(tables, searches, wanted):
-            s, cand = searches[r["t"]], wanted[r["t"]][r["c"]]
-            if size == 1:
-                s.rows = r["rows"]
-                s.distinct[cand[0]] = 0 if r["null"] else r["distinct"]  # a column with NULLs is in no key
-            if r["agreed"]["on"] is not None:
-                s.learn([frozenset(r["agreed"]["on"])])
-            elif not r["null"]:
-                s.keys.append(cand)
+        wanted = [(t, c) for t, s in searches.items() if s.rows for c in s.candidates(size)]
+        if wanted:
+            scans += 1
+            _level(tables, searches, wanted, screen_rows)
     return {t: [tuple(s.columns[i] for i in k) for k in sorted(s.keys, key=lambda k: (len(k), k))] for t, s in searches.items()}, scans
 
 

@@ -72,3 +72,45 @@ def test_composite_key(spark):
     df = spark.createDataFrame([(1, 1, 5), (1, 2, 5), (2, 1, 6)], "order_id long, line_number long, price long")
     assert [tuple(r) for r in K.composite_key(df, "lines").collect()] == [("lines", "order_id, line_number")]
     assert K.composite_key(df.select("order_id", "price"), "lines").count() == 0
+
+
+@pytest.mark.parametrize("sample", [2, 1000])
+def test_screened_tables(spark, sample):
+    """Screening large tables changes nothing but the work."""
+    rows = {t: table(*s) for t, s in SHAPES.items()}
+    cols = {t: [f"c{i}" for i in range(len(SHAPES[t][2]))] for t in SHAPES}
+    tables = {t: spark.createDataFrame(rows[t], ", ".join(f"{c} long" for c in cols[t])) for t in SHAPES}
+    found, _ = K.unique_combinations(tables, sample_rows=sample, screen_rows=0)
+    assert {t: sorted(v) for t, v in found.items()} == {t: sorted(brute(rows[t], cols[t])) for t in SHAPES}
+
+
+def test_a_screen_hands_on_little(spark, monkeypatch):
+    """Of a table whose values mostly repeat, only keys and their like are counted on all rows, by a digest a row."""
+    df = spark.range(20_000).selectExpr("id", "id div 2 as pair", "id % 2 as side", "id % 5000 as many", "cast(id % 3000 as string) as text")
+    counted = []
+    old = K._counted
+
+    def noted(tables, searches, wanted, *wide):
+        counted.extend((searches[t].columns[j] for j in c) for t, c in wanted)
+        assert K._digests(tables, searches, wanted).columns == ["id", "h1"]
+        return old(tables, searches, wanted, *wide)
+
+    monkeypatch.setattr(K, "_counted", noted)
+    found, _ = K.unique_combinations({"t": df}, sample_rows=10, screen_rows=1000)
+    assert [tuple(c) for c in counted] == found["t"] == [("id",), ("pair", "side"), ("pair", "many"), ("pair", "text")]
+
+
+def test_equal_digests_of_different_values(spark, monkeypatch):
+    """A narrow digest under which different values meet sends a candidate to the wide one; true repeats stay repeats."""
+    df = spark.createDataFrame([(i, i // 2, i % 2, i % 7) for i in range(400)], "a long, b long, c long, d long")
+    old = K._digests
+
+    def narrow(tables, searches, wanted, wide=False):
+        rows = old(tables, searches, wanted, wide)
+        return rows if wide else rows.selectExpr("id", "CASE WHEN abs(h1) % 2 = 0 THEN 0 ELSE h1 END AS h1")
+
+    monkeypatch.setattr(K, "_values", lambda tables, searches: [setattr(s, k, v) for s in searches.values() for k, v in
+                                                                (("rows", 400), ("distinct", dict.fromkeys(range(4), 400)))])
+    monkeypatch.setattr(K, "_digests", narrow)
+    found, _ = K.unique_combinations({"t": df}, sample_rows=2)
+    assert found["t"] == [("a",), ("b", "c"), ("b", "d")]
