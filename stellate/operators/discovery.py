@@ -18,6 +18,7 @@ from stellate.session import checkpoint_dir
 
 # Column-name endings that mark a shared join key.
 KEY_SUFFIXES = ("_id", "_key", "_code", "_num")
+_MASK = 62  # columns a bit mask holds
 LONG_TEXT = 64  # longer texts are compared by a 128-bit digest instead of being shuffled
 
 
@@ -122,9 +123,14 @@ def value_sets(tables: dict, columns) -> tuple[DataFrame, list[tuple[str, str]]]
     for p in parts[1:]:
         out = out.unionByName(p)
     checkpoint_dir(out.sparkSession)
-    held = (out.where(F.col("ival").isNotNull() | F.col("sval").isNotNull()).distinct()
-            .groupBy("ival", "sval").agg(F.sort_array(F.collect_list("c")).alias("cols")))
-    sets = held.groupBy("cols").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+    # a value's columns are bits, so that tasks combine them and each different value crosses the network once
+    words = range(-(-len(listed) // _MASK))
+    bits = [F.when(F.floor(F.col("c") / _MASK) == w, F.expr(f"shiftleft(1L, c % {_MASK})")).otherwise(F.lit(0).cast("long")) for w in words]
+    held = (out.where(F.col("ival").isNotNull() | F.col("sval").isNotNull())
+            .groupBy("ival", "sval").agg(*[F.bit_or(b).alias(f"m{w}") for w, b in zip(words, bits)]))
+    masks = [f"m{w}" for w in words]
+    cols = F.array_compact(F.array(*[F.when(F.expr(f"m{i // _MASK} & shiftleft(1L, {i % _MASK})") != 0, F.lit(i)) for i in range(len(listed))]))
+    sets = held.groupBy(*masks).agg(F.count(F.lit(1)).alias("n")).select(cols.alias("cols"), "n").checkpoint(eager=True)
     return sets, listed
 
 

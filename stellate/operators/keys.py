@@ -14,13 +14,16 @@ What keeps a level small on the network (rows themselves never move, only digest
 * in a table of more than ``SCREEN_ROWS`` rows each candidate is screened first: of its digests, those in one of
   ``SCREEN`` parts of the digest space are counted. A value that repeats there rules the candidate out. Only what
   the screen leaves, keys and combinations that hardly repeat, goes on;
-* the rest is counted on all rows, 64 bits a row and candidate, without a partial count that could not shrink it;
+* the rest is counted on all rows by short digests, ``SPARE`` bits longer than the number of rows needs. Each task sorts
+  them and sends their differences, compressed: about three bytes a row and candidate. A row whose short digest is met
+  once is unique; the few others are counted again by 64 bits;
 * the rows of a few repeated digests are looked up and compared column by column, which gives the agree sets and
   tells true repeats from equal digests of different values. Where the repeats looked up turn out to be the latter,
   the candidate is counted again by 128 bits.
 
 The driver holds column names, candidates, agree sets, a few digests a candidate and the sample (``sample_rows``
-digests a table).
+digests a table). Short digests met twice are broadcast: at random one row in 2 ** ``SPARE``, and at most ``_SUSPECTS`` a
+candidate and group; where there are more and none of those is a true repeat, the candidate is counted by 128 bits.
 """
 
 from __future__ import annotations
@@ -31,10 +34,12 @@ from itertools import combinations
 from math import ceil, prod
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stellate.operators.discovery import key_family
+from stellate.session import checkpoint_dir
 
 MAX_SIZE = 4
 SAMPLE_ROWS = 1000
@@ -42,7 +47,10 @@ SCREEN_ROWS = 1 << 20  # larger tables are screened before they are counted
 SCREEN = 64  # one part in so many of the digest space
 FEW_VALUES = 1 << 16  # columns of about so many values or fewer have them counted, for the bound by their product
 WITNESSES = 4  # repeated digests looked up per candidate
+SPARE = 14  # bits of a short digest beyond those that number the rows
 _COUNTED = 1_000_000  # digests counted in one partition
+_PACKED = 1 << 22  # short digests that a task sorts at once, and that one group takes
+_SUSPECTS = 4096  # short digests met twice that are looked up, per candidate and group
 
 
 @dataclass
@@ -123,10 +131,85 @@ def _screened(tables: dict, searches: dict, wanted: list) -> dict[int, list]:
     return _repeats(_digests(tables, searches, wanted).where(F.pmod("h1", F.lit(SCREEN)) == 0))
 
 
+def _packed(digests: DataFrame, bits: int, group_bits: int) -> DataFrame:
+    """(part, id, packed): the first ``bits`` bits of the digests, sorted within a task, as compressed differences; ``part`` is
+    their first ``group_bits`` bits. Of a digest that a task has often, two are sent."""
+    most = _PACKED
+
+    def pack(batches):
+        codec = pa.Codec("zstd", 1)
+
+        def sent(held):
+            ids, h = (np.concatenate(x) for x in zip(*held))
+            short = h.view(np.uint64) >> np.uint64(64 - bits)
+            rows = []
+            for i in np.unique(ids):
+                s = np.sort(short[ids == i])
+                s = s[np.concatenate([np.ones(min(len(s), 2), bool), s[2:] != s[:-2]])]
+                part = (s >> np.uint64(bits - group_bits)).astype(np.int64)
+                starts = np.flatnonzero(np.diff(part, prepend=-1))
+                for a, b in zip(starts, [*starts[1:], len(s)]):
+                    steps = np.diff(s[a:b], prepend=np.uint64(0))
+                    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T)  # bytes of equal rank side by side
+                    rows.append((int(part[a]), int(i), int(b - a), codec.compress(planes.tobytes(), asbytes=True)))
+            for k in range(0, len(rows), 4096):
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[k:k + 4096]), kinds)], names=["part", "id", "n", "packed"])
+
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        held, size = [], 0
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            size += batch.num_rows
+            if size >= most:
+                yield from sent(held)
+                held, size = [], 0
+        if size:
+            yield from sent(held)
+
+    return digests.select("id", "h1").mapInArrow(pack, "part long, id int, n int, packed binary")
+
+
+def _suspects(digests: DataFrame, bits: int, group_bits: int) -> DataFrame:
+    """(id, short, more): the short digests met more than once, at most ``_SUSPECTS`` per candidate and group; ``more``: there
+    are others."""
+    most = _SUSPECTS
+
+    def twice(table):
+        codec = pa.Codec("zstd", 1)
+        found = {"id": [], "short": [], "more": []}
+        ids, counts, packed = table["id"].to_numpy(), table["n"].to_numpy(), table["packed"]
+        for i in np.unique(ids):
+            runs = []
+            for k in np.flatnonzero(ids == i):
+                n = int(counts[k])
+                planes = np.frombuffer(codec.decompress(packed[k].as_py(), 8 * n, asbytes=True), np.uint8).reshape(8, n)
+                runs.append(np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64))
+            s = np.sort(np.concatenate(runs))
+            again = np.unique(s[1:][s[1:] == s[:-1]])
+            found["id"] += [int(i)] * min(len(again), most)
+            found["short"] += again[:most].view(np.int64).tolist()
+            found["more"] += [len(again) > most] * min(len(again), most)
+        return pa.table(found, schema=pa.schema([("id", pa.int32()), ("short", pa.int64()), ("more", pa.bool_())]))
+
+    return _packed(digests, bits, group_bits).groupBy("part").applyInArrow(twice, "id int, short long, more boolean")
+
+
 def _counted(tables: dict, searches: dict, wanted: list, wide: bool = False) -> dict[int, list]:
-    """Repeated digests of the candidates on all rows. As nearly all differ, they are moved as they are."""
-    partitions = ceil(sum(searches[t].rows for t, _ in wanted) / _COUNTED)
-    return _repeats(_digests(tables, searches, wanted, wide).repartition(max(partitions, 1), "h1"))
+    """Repeated digests of the candidates on all rows. A candidate without a repeat among its looked up short digests, but with
+    others not looked up, has an empty list. By 128 bits (``wide``) the digests are moved as they are."""
+    digests = _digests(tables, searches, wanted, wide)
+    total = sum(searches[t].rows for t, _ in wanted)
+    if wide:
+        return _repeats(digests.repartition(max(ceil(total / _COUNTED), 1), "h1"))
+    bits = min(max(searches[t].rows for t, _ in wanted).bit_length() + SPARE, 64)
+    checkpoint_dir(digests.sparkSession)
+    suspects = _suspects(digests, bits, min((total // _PACKED).bit_length(), bits)).checkpoint(eager=True)
+    crowded = {r["id"]: r["more"] for r in suspects.groupBy("id").agg(F.max("more").alias("more")).collect()}
+    if not crowded:
+        return {}
+    found = _repeats(digests.withColumn("short", F.shiftrightunsigned("h1", 64 - bits)).where(F.col("id").isin(sorted(crowded)))
+                     .join(F.broadcast(suspects), ["id", "short"], "left_semi").select("id", "h1"))
+    return {i: [] for i, more in crowded.items() if more} | found
 
 
 def _agreed(tables: dict, searches: dict, wanted: list, repeats: dict) -> dict[int, list[frozenset]]:
@@ -135,7 +218,7 @@ def _agreed(tables: dict, searches: dict, wanted: list, repeats: dict) -> dict[i
     for t in dict.fromkeys(t for t, _ in wanted):
         sought = []
         for i, found in repeats.items():
-            if wanted[i][0] == t:
+            if wanted[i][0] == t and found:
                 digest = F.xxhash64(*[_col(searches[t].columns[j]) for j in wanted[i][1]])
                 sought.append(F.when(digest.isin([h[0] for h in found]), F.struct(F.lit(i).alias("id"), digest.alias("h1"))))
         if not sought:

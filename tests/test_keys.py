@@ -114,3 +114,37 @@ def test_equal_digests_of_different_values(spark, monkeypatch):
     monkeypatch.setattr(K, "_digests", narrow)
     found, _ = K.unique_combinations({"t": df}, sample_rows=2)
     assert found["t"] == [("a",), ("b", "c"), ("b", "d")]
+
+
+def test_counted_digests_are_packed(spark, monkeypatch):
+    """A row and candidate crosses the network in a few bytes, and what is met twice is found whatever the task and group."""
+    monkeypatch.setattr(K, "_PACKED", 1 << 14)
+    df = spark.range(0, 200_000, 1, 4).selectExpr("id", "id % 199990 as most")
+    searches = {"t": K._Search(["id", "most"], rows=200_000)}
+    digests = K._digests({"t": df}, searches, [("t", (0,)), ("t", (1,))])
+    sent = K._packed(digests, 32, 4).selectExpr("count(*) AS blocks", "sum(n) AS n", "sum(length(packed)) AS bytes").first()
+    assert sent.n == 400_000 and sent.blocks < 4000 and sent.bytes < 4.5 * sent.n
+    met = {r.h1 for r in digests.where("id = 1").groupBy("h1").count().where("count > 1").collect()}
+    found = K._suspects(digests, 60, 4).collect()
+    assert len(met) == 10 and {(r.id, r.short) for r in found} == {(1, (h % 2**64) >> 4) for h in met}
+    assert set(K._counted({"t": df}, searches, [("t", (0,)), ("t", (1,))])) == {1}
+
+
+@pytest.mark.parametrize("spare", [0, 14])
+def test_more_suspects_than_are_looked_up(spark, monkeypatch, spare):
+    """Short digests that meet by chance, and more of them than are looked up, change nothing but the work."""
+    monkeypatch.setattr(K, "SPARE", spare)
+    monkeypatch.setattr(K, "_SUSPECTS", 1)
+    df = spark.range(3000).selectExpr("id", "id div 2 as pair", "id % 2 as side", "cast(id * 7 as string) as text")
+    found, _ = K.unique_combinations({"t": df}, sample_rows=2)
+    assert found["t"] == [("id",), ("text",), ("pair", "side")]
+
+
+def test_value_sets_of_many_columns(spark):
+    """One shuffle of the values; columns are told apart beyond the bits of one mask."""
+    from stellate.operators import discovery as D
+    df = spark.range(50).selectExpr(*[f"cast(id + {i // 2 * 100} as long) as c{i}" for i in range(130)])
+    sets, listed = D.value_sets({"t": df}, [("t", f"c{i}") for i in range(130)])
+    got = {frozenset(listed[c][1] for c in r.cols): r.n for r in sets.collect()}
+    assert got == {frozenset({f"c{i}", f"c{i + 1}"}): 50 for i in range(0, 130, 2)}
+    assert all(r.cols == sorted(r.cols) for r in sets.collect())
