@@ -23,6 +23,8 @@ table gives no row; columns other than id and text are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -30,7 +32,7 @@ from pyspark.sql import Window
 from stellate.llm.staging import stage
 
 SAMPLES = 64
-BLOCK = 8  # samples computed side by side
+BLOCK = 4  # samples computed side by side
 _SPACE = r"[\x20\x09-\x0D]+"
 _LEAST = -(1 << 63)
 
@@ -59,7 +61,7 @@ def signatures(texts: DataFrame, keys: list[str], text_cols: list[str], samples:
     entries; no row where no text has words. ``keys`` tell the rows apart; where ``texts`` is partitioned
     by some of them, nothing is shuffled.
 
-    A word of several texts of a row draws its random numbers once for all of them.
+    A word of several texts of a row draws its random numbers once for all of them where it weighs the same.
     """
     if samples % BLOCK:
         raise ValueError(f"samples must be a multiple of {BLOCK}")
@@ -69,14 +71,20 @@ def signatures(texts: DataFrame, keys: list[str], text_cols: list[str], samples:
              .select(*keys, "side", F.xxhash64("word").alias("term")))
     sides = range(len(text_cols))
     weights = words.groupBy(*keys, "term").agg(*[F.sum((F.col("side") == i).cast("int")).alias(f"n{i}") for i in sides])
-    weights = weights.select(*keys, "term", *[F.when(F.col(f"n{i}") > 0, F.log(F.col(f"n{i}").cast("double"))).alias(f"w{i}") for i in sides])
-    drawn = weights.select("*", F.explode(F.array(*[F.lit(b) for b in range(samples // BLOCK)])).alias("block"))
+    # texts in which a word weighs the same share its draws and its values: an entry per different weight, with the texts as bits
+    entries = []
+    for i in sides:
+        bits = sum((F.when(F.col(f"n{j}") == F.col(f"n{i}"), F.lit(1 << j)).otherwise(F.lit(0)) for j in sides if j > i), F.lit(1 << i))
+        new = reduce(Column.__and__, [F.col(f"n{j}") != F.col(f"n{i}") for j in sides if j < i], F.col(f"n{i}") > 0)
+        entries.append(F.struct(F.when(new, bits).alias("held"), F.col(f"n{i}").alias("n")))
+    drawn = (weights.select(*keys, "term", F.inline(F.array(*entries))).where(F.col("held").isNotNull())
+             .select(*keys, "held", "term", F.log(F.col("n").cast("double")).alias("w"), F.explode(F.array(*[F.lit(b) for b in range(samples // BLOCK)])).alias("block")))
     draws = [_draws(F.col("term"), F.col("block") * BLOCK + j) for j in range(BLOCK)]
-    drawn = drawn.select(*keys, "block", *[f"w{i}" for i in sides],
-                         *[x.alias(f"{n}{j}") for j in range(BLOCK) for n, x in zip(("r", "c", "b"), draws[j])])
-    least = drawn.groupBy(*keys, "block").agg(*[
-        F.min(_ln_a(F.col(f"r{j}"), F.col(f"c{j}"), F.col(f"b{j}"), F.col(f"w{i}"))).alias(f"a{i}_{j}")
-        for i in sides for j in range(BLOCK)])
+    drawn = drawn.select(*keys, "held", "block", "w", *[x.alias(f"{n}{j}") for j in range(BLOCK) for n, x in zip(("r", "c", "b"), draws[j])])
+    least = (drawn.groupBy(*keys, "block", "held")
+             .agg(*[F.min(_ln_a(F.col(f"r{j}"), F.col(f"c{j}"), F.col(f"b{j}"), F.col("w"))).alias(f"a{j}") for j in range(BLOCK)])
+             .groupBy(*keys, "block").agg(*[F.min(F.when(F.col("held").bitwiseAND(1 << i) != 0, F.col(f"a{j}"))).alias(f"a{i}_{j}")
+                                            for i in sides for j in range(BLOCK)]))
     parts = [F.concat(*[F.lpad(F.lower(F.hex(F.xxhash64(f"a{i}_{j}").bitwiseAND(0xFFFFFFFF))), 8, "0") for j in range(BLOCK)])
              for i in sides]
     entry = F.struct("block", *[F.when(F.col(f"a{i}_0").isNotNull(), p).alias(f"part{i}") for i, p in zip(sides, parts)])

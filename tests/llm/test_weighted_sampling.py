@@ -68,3 +68,14 @@ def test_following_is_the_global_order(spark):
     got = {r.k: r.next_k for r in W.following(ids).collect()}
     order = sorted(got)
     assert len(order) == 1009 and all(got[a] == b for a, b in zip(order, order[1:] + order[:1]))
+
+
+def test_texts_of_a_row_share_draws_but_not_samples(spark):
+    """Side by side, texts get the parts each gets alone, whether a word weighs the same in both or not; one value a sample serves both."""
+    texts = ["a a b c d", "a b b c e e e"]
+    rows = spark.createDataFrame([(1, *texts), (2, texts[0], texts[0]), (3, texts[1], "")], "k long, x string, y string")
+    both = W.signatures(rows, ["k"], ["x", "y"])
+    got = {r.k: (r.x, r.y) for r in both.select("k", W.joined(0).alias("x"), W.joined(1).alias("y")).collect()}
+    alone = [r.fingerprint for r in W.fingerprints(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert got == {1: tuple(alone), 2: (alone[0], alone[0]), 3: (alone[1], W.zero_fingerprint())}
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("FLOOR(") == W.BLOCK
