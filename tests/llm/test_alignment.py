@@ -112,6 +112,39 @@ def test_one_slice_a_text(spark, document_rows, library, monkeypatch):
     assert [got[i] for i in range(40)] == brute(texts, library)[0]
 
 
+def test_short_rows(spark, document_rows, library, monkeypatch):
+    """Cutting slices into many rows changes nothing."""
+    monkeypatch.setattr(alignment, "ROW_LINKS", 1)
+    monkeypatch.setattr(alignment, "ROW_PAIRS", 2)
+    monkeypatch.setattr(alignment, "BLOCK_TOKENS", 1)
+    texts = [t for _, t in document_rows[:40]] + HARD
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    docs, pairs = alignment.align(df, A, B)
+    got = {r["doc_id"]: tuple(r[c] for c in COLUMNS) for r in docs.collect()}
+    want, counts = brute(texts, library)
+    assert [got[i] for i in range(len(texts))] == want
+    assert {(r.a, r.b): r.n for r in pairs.collect()} == dict(counts)
+
+
+def test_staged_rows_are_small(spark, monkeypatch):
+    """A slice of 4 MB of many different words is staged as rows of which none holds 256 KB."""
+    held, stage = [], alignment.stage
+    monkeypatch.setattr(alignment, "stage", lambda df, name: held.append(stage(df, name)) or held[-1])
+    texts = [" ".join(f"{(i * 7919 + j * 104729) % 99991:x}é" for j in range(500)) for i in range(1200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    docs, _ = alignment.align(df, A, B)
+    rows = [r for r in held[0].collect() if r.vector is None]
+    assert sum(len(r.ids) for r in rows) == len(texts) == docs.count()
+    size = lambda v: len(v) if isinstance(v, (bytes, bytearray, str)) else sum(map(size, v)) if isinstance(v, list) else 8
+    assert max(sum(size(v) for v in r if v is not None) for r in rows) < 1 << 18
+
+
+def test_packed_numbers():
+    import numpy as np
+    for values in ([], [0], [1, 255, 256, 65535, 65536, 2**32 - 1, 7]):
+        assert alignment.unpacked(alignment.packed(np.array(values, np.int64))).tolist() == values
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t\r.ab1'<|é日  　́"), st.characters(codec="utf-8")), min_size=1, max_size=40))
 def test_parts_give_the_ids_of_whole_texts(library, text):
